@@ -29,6 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def round_binary(c, digits: int):
+    """Round the binary double half away from zero (what DuckDB's and C's
+    ``round`` do); Spark's ``round`` rounds the decimal rendering instead,
+    which differs on values such as 1037.0821875. Huge or non-finite values
+    pass through unchanged."""
+    m = float(10 ** digits)
+    finite = ~F.isnan(c) & (F.abs(c) < F.lit(1e15 / m))
+    r = F.signum(c) * F.floor(F.abs(c) * m + F.lit(0.5)).cast("double") / F.lit(m)
+    return F.when(c.isNull(), F.lit(None).cast("double")).when(finite, r).otherwise(c.cast("double"))
+
+
 def tidy(df: DataFrame, digits: int = 6, digits_by: dict | None = None) -> DataFrame:
     """Presentation for exact comparison: doubles rounded, dates and
     timestamps rendered as ISO strings (the oracle SQL does the same)."""
@@ -37,7 +48,7 @@ def tidy(df: DataFrame, digits: int = 6, digits_by: dict | None = None) -> DataF
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, digits_by.get(f.name, digits))
+            c = round_binary(c, digits_by.get(f.name, digits))
         elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             c = c.cast("string")
         cols.append(c.alias(f.name))
