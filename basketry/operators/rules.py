@@ -59,7 +59,8 @@ def validity_rules(df: DataFrame, rules: list[tuple], table: str = "") -> DataFr
         c = F.col(col)
         ok = _OPS[op](c, value)
         aggs += [F.count(c).alias(f"c{i}"), F.count_if(c.isNotNull() & ~ok).alias(f"v{i}"),
-                 F.min(c).cast("double").alias(f"mn{i}"), F.max(c).cast("double").alias(f"mx{i}")]
+                 F.min(c).cast("string").try_cast("double").alias(f"mn{i}"),
+                 F.max(c).cast("string").try_cast("double").alias(f"mx{i}")]
         vtxt = f"{value[0]}..{value[1]}" if op == "between" else str(value)
         rows.append({"table_name": F.lit(table), "column_name": F.lit(col), "rule": F.lit(f"{op} {vtxt}"),
                      "n_rows": F.col("n_rows"), "n_checked": F.col(f"c{i}"), "violations": F.col(f"v{i}"),
