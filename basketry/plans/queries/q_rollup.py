@@ -33,14 +33,14 @@ lines AS (SELECT i.*, p.category, p.brand, p.price, i.gross - i.discount_amount
 @register("group_summary", LINES_SQL + """
 SELECT category, round(sum(net), 4) AS revenue, round(sum(gross), 2) AS gross, round(sum(net - cost), 4) AS profit,
        round(sum(quantity), 2) AS units, count(DISTINCT order_id) AS n_orders, round(sum(discount_amount), 4) AS discount,
-       round(sum(net) / count(DISTINCT order_id), 9) AS aov, round(sum(net - cost) / sum(net), 6) AS margin,
+       round(sum(net) / count(DISTINCT order_id), 7) AS aov, round(sum(net - cost) / sum(net), 6) AS margin,
        round(sum(net) / (SELECT sum(net) FROM lines), 6) AS revenue_share
 FROM lines GROUP BY 1""")
 def q_group_summary(spark, sf):
     """revenue/gross/profit/units/orders/discount/AOV/margin/share."""
     g = rollup.group_summary(lines(spark, sf), "category", "net", gross="gross", cost="cost", units="quantity",
                              order_col="order_id", discount="discount_amount")
-    return tidy(g, 2, {"revenue": 4, "profit": 4, "discount": 4, "aov": 9, "margin": 6, "revenue_share": 6})
+    return tidy(g, 2, {"revenue": 4, "profit": 4, "discount": 4, "aov": 7, "margin": 6, "revenue_share": 6})
 
 
 @register("kpi_overview", LINES_SQL + """,
@@ -71,13 +71,13 @@ def q_kpi_overview(spark, sf):
 SELECT CAST(CAST(date_trunc('week', ship_date) AS DATE) AS VARCHAR) AS period_start,
        CAST(CAST(date_trunc('week', ship_date) AS DATE) + 6 AS VARCHAR) AS period_end,
        round(sum(quantity), 2) AS quantity, round(sum(gross), 2) AS gross, count(DISTINCT order_id) AS n_order_id,
-       round(sum(gross) / count(DISTINCT order_id), 9) AS aov
+       round(sum(gross) / count(DISTINCT order_id), 7) AS aov
 FROM r_items GROUP BY 1, 2""")
 def q_period_rollup(spark, sf):
     """weekly (Mon–Sun) sums, distinct orders, AOV."""
     g = rollup.period_rollup(retail.items(spark, sf), "ship_date", "week", ["quantity", "gross"], ["order_id"],
                              order_col="order_id", revenue="gross")
-    return tidy(g, 2, {"aov": 9})
+    return tidy(g, 2, {"aov": 7})
 
 
 @register("month_resample", with_roles("orders") + """,
