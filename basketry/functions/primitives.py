@@ -43,13 +43,13 @@ def prefix_sum(df: DataFrame, by: str, values, tiebreak=(), descending: bool = F
         base = base.join(edges, part, "left")
         edges_col = F.col("_ps_edges")
     else:
-        edges_col = base.select(F.percentile_approx("_ps_key", probs, 10000)).scalar()
+        # scalar subquery projected into a column: HOFs may not hold subqueries
+        base = base.withColumn("_ps_edges", base.select(F.percentile_approx("_ps_key", probs, 10000)).scalar())
+        edges_col = F.col("_ps_edges")
     bucket = F.when(F.col("_ps_key").isNull(), F.lit(buckets)).otherwise(
         F.aggregate(F.coalesce(edges_col, F.array().cast("array<double>")), F.lit(0),
                     lambda acc, e: acc + F.when(e < F.col("_ps_key"), 1).otherwise(0)))
-    base = base.withColumn("_ps_bucket", bucket)
-    if part:
-        base = base.drop("_ps_edges")
+    base = base.withColumn("_ps_bucket", bucket).drop("_ps_edges")
     order = [F.col("_ps_key").asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in tiebreak]
     frame_end = Window.currentRow if inclusive else -1
     w = Window.partitionBy(*part, "_ps_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)

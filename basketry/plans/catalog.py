@@ -40,7 +40,7 @@ def round_binary(c, digits: int):
     return F.when(c.isNull(), F.lit(None).cast("double")).when(finite, r).otherwise(c.cast("double"))
 
 
-def tidy(df: DataFrame, digits: int = 6, digits_by: dict | None = None) -> DataFrame:
+def tidy(df: DataFrame, digits: int = 9, digits_by: dict | None = None) -> DataFrame:
     """Presentation for exact comparison: doubles rounded, dates and
     timestamps rendered as ISO strings (the oracle SQL does the same)."""
     digits_by = digits_by or {}

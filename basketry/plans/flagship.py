@@ -33,9 +33,9 @@ WITH s AS (
          max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned
   FROM lineitem GROUP BY l_orderkey),
 r AS (SELECT *, least(greatest(CASE WHEN g = 0 THEN NULL ELSE d / g END, 0), 1) AS ratio FROM s)
-SELECT c_mktsegment AS segment, round(avg(returned), 6) AS target_rate, count(*) AS n_rows,
+SELECT c_mktsegment AS segment, round(avg(returned), 9) AS target_rate, count(*) AS n_rows,
        CAST(sum(returned) AS BIGINT) AS sum_returned,
-       round(avg(ratio), 6) AS mean_discount_ratio
+       round(avg(ratio), 9) AS mean_discount_ratio
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN r ON l_orderkey = o_orderkey
 GROUP BY c_mktsegment ORDER BY target_rate DESC NULLS LAST, segment LIMIT 10
 """

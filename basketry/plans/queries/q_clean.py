@@ -76,8 +76,8 @@ def q_dedupe_keep_first(spark, sf):
 
 
 @register("aggregate_duplicate_lines", """
-SELECT l_orderkey AS order_id, l_partkey AS product_id, round(sum(l_quantity), 6) AS quantity,
-       round(avg(l_extendedprice / l_quantity), 6) AS unit_price, round(sum(l_extendedprice * l_discount), 6) AS discount_amount,
+SELECT l_orderkey AS order_id, l_partkey AS product_id, round(sum(l_quantity), 9) AS quantity,
+       round(avg(l_extendedprice / l_quantity), 9) AS unit_price, round(sum(l_extendedprice * l_discount), 9) AS discount_amount,
        min(l_returnflag) AS return_flag, count(*) AS n_merged_lines
 FROM lineitem GROUP BY 1, 2""")
 def q_aggregate_duplicate_lines(spark, sf):
@@ -102,7 +102,7 @@ def q_duplicate_line_decision(spark, sf):
 
 
 @register("weighted_unit_price", """
-SELECT l_orderkey AS order_id, round(CASE WHEN sum(l_quantity) > 0 THEN sum(l_extendedprice) / sum(l_quantity) END, 6)
+SELECT l_orderkey AS order_id, round(CASE WHEN sum(l_quantity) > 0 THEN sum(l_extendedprice) / sum(l_quantity) END, 9)
        AS weighted_unit_price FROM lineitem GROUP BY 1""")
 def q_weighted_unit_price(spark, sf):
     """Σ line value / Σ quantity when quantity > 0."""

@@ -33,14 +33,14 @@ lines AS (SELECT i.*, p.category, p.brand, p.price, i.gross - i.discount_amount
 @register("group_summary", LINES_SQL + """
 SELECT category, round(sum(net), 4) AS revenue, round(sum(gross), 2) AS gross, round(sum(net - cost), 4) AS profit,
        round(sum(quantity), 2) AS units, count(DISTINCT order_id) AS n_orders, round(sum(discount_amount), 4) AS discount,
-       round(sum(net) / count(DISTINCT order_id), 7) AS aov, round(sum(net - cost) / sum(net), 6) AS margin,
-       round(sum(net) / (SELECT sum(net) FROM lines), 6) AS revenue_share
+       round(sum(net) / count(DISTINCT order_id), 7) AS aov, round(sum(net - cost) / sum(net), 9) AS margin,
+       round(sum(net) / (SELECT sum(net) FROM lines), 9) AS revenue_share
 FROM lines GROUP BY 1""")
 def q_group_summary(spark, sf):
     """revenue/gross/profit/units/orders/discount/AOV/margin/share."""
     g = rollup.group_summary(lines(spark, sf), "category", "net", gross="gross", cost="cost", units="quantity",
                              order_col="order_id", discount="discount_amount")
-    return tidy(g, 2, {"revenue": 4, "profit": 4, "discount": 4, "aov": 7, "margin": 6, "revenue_share": 6})
+    return tidy(g, 2, {"revenue": 4, "profit": 4, "discount": 4, "aov": 7, "margin": 9, "revenue_share": 9})
 
 
 @register("kpi_overview", LINES_SQL + """,
@@ -96,8 +96,8 @@ def q_month_resample(spark, sf):
 @register("weighted_mean", with_roles("items") + """
 SELECT EXTRACT(year FROM ship_date) AS year,
        round(sum(CASE WHEN discount_rate IS NOT NULL AND gross IS NOT NULL AND gross <> 0 THEN discount_rate * gross END)
-           / sum(CASE WHEN discount_rate IS NOT NULL AND gross IS NOT NULL AND gross <> 0 THEN gross END), 6) AS weighted_discount,
-       round(avg(discount_rate), 6) AS plain_discount
+           / sum(CASE WHEN discount_rate IS NOT NULL AND gross IS NOT NULL AND gross <> 0 THEN gross END), 9) AS weighted_discount,
+       round(avg(discount_rate), 9) AS plain_discount
 FROM r_items GROUP BY 1""")
 def q_weighted_mean(spark, sf):
     """gross-weighted discount rate per year vs the plain mean."""
@@ -108,7 +108,7 @@ def q_weighted_mean(spark, sf):
 
 
 @register("ratio_of_sums", with_roles("items") + """
-SELECT return_flag, round(sum(discount_amount) / sum(gross), 6) AS discount_rate FROM r_items GROUP BY 1""")
+SELECT return_flag, round(sum(discount_amount) / sum(gross), 9) AS discount_rate FROM r_items GROUP BY 1""")
 def q_ratio_of_sums(spark, sf):
     """rates from sums, not means of rates."""
     return tidy(retail.items(spark, sf).groupBy("return_flag").agg(
@@ -166,7 +166,7 @@ def q_pivot_nunique(spark, sf):
 
 
 @register("category_share", LINES_SQL + "SELECT EXTRACT(year FROM ship_date) AS year, " + ", ".join(
-    f"round(sum(CASE WHEN category = '{v}' THEN quantity ELSE 0 END) / nullif(sum(quantity), 0), 6) AS share_{v.lower()}"
+    f"round(sum(CASE WHEN category = '{v}' THEN quantity ELSE 0 END) / nullif(sum(quantity), 0), 9) AS share_{v.lower()}"
     for v in PART_TYPES[:4]) + " FROM lines GROUP BY 1")
 def q_category_share(spark, sf):
     """yearly quantity share of the top 4 categories."""
@@ -194,12 +194,12 @@ def q_order_rollup(spark, sf):
 @register("order_item_summary", with_roles("items") + """
 SELECT order_id, round(sum(quantity), 2) AS total_quantity, count(DISTINCT product_id) AS n_products, count(*) AS n_lines,
        round(sum(discount_amount), 4) AS discount_total, round(sum(gross), 2) AS gross_total,
-       round(least(greatest(sum(discount_amount) / nullif(sum(gross), 0), 0), 1), 6) AS discount_ratio
+       round(least(greatest(sum(discount_amount) / nullif(sum(gross), 0), 0), 1), 9) AS discount_ratio
 FROM r_items GROUP BY 1""")
 def q_order_item_summary(spark, sf):
     """per-order totals and clipped discount ratio."""
     s = rollup.order_item_summary(retail.items(spark, sf), "order_id", "product_id", "quantity", "gross", "discount_amount")
-    return tidy(s, 2, {"discount_total": 4, "discount_ratio": 6})
+    return tidy(s, 2, {"discount_total": 4, "discount_ratio": 9})
 
 
 @register("conditional_count", """
@@ -224,7 +224,7 @@ def q_distinct_daily_counts(spark, sf):
 
 
 @register("group_target_rate", LINES_SQL + """
-SELECT category, round(avg(returned), 6) AS target_rate, count(*) AS n_rows, CAST(sum(returned) AS BIGINT) AS sum_returned
+SELECT category, round(avg(returned), 9) AS target_rate, count(*) AS n_rows, CAST(sum(returned) AS BIGINT) AS sum_returned
 FROM lines GROUP BY 1""")
 def q_group_target_rate(spark, sf):
     """returned-line rate per category."""
@@ -232,9 +232,9 @@ def q_group_target_rate(spark, sf):
 
 
 @register("delta_vs_baseline", LINES_SQL + """
-SELECT brand, round(avg(returned), 6) AS target_rate, count(*) AS n_rows,
-       round((SELECT avg(returned) FROM lines), 6) AS global_rate,
-       round((avg(returned) - (SELECT avg(returned) FROM lines)) * 100, 6) AS delta_pp FROM lines GROUP BY 1""")
+SELECT brand, round(avg(returned), 9) AS target_rate, count(*) AS n_rows,
+       round((SELECT avg(returned) FROM lines), 9) AS global_rate,
+       round((avg(returned) - (SELECT avg(returned) FROM lines)) * 100, 9) AS delta_pp FROM lines GROUP BY 1""")
 def q_delta_vs_baseline(spark, sf):
     """brand return rate minus global rate in percentage points."""
     return tidy(rollup.delta_vs_baseline(lines(spark, sf), "brand", "returned"))
@@ -246,7 +246,7 @@ g AS (SELECT 'dow' AS calendar_key, isodow(order_date) - 1 AS key_value, avg(n_o
       UNION ALL SELECT 'weekend', CASE WHEN isodow(order_date) >= 6 THEN 1 ELSE 0 END, avg(n_orders), count(*) FROM d GROUP BY 2
       UNION ALL SELECT 'month', month(order_date), avg(n_orders), count(*) FROM d GROUP BY 2
       UNION ALL SELECT 'quarter', quarter(order_date), avg(n_orders), count(*) FROM d GROUP BY 2)
-SELECT calendar_key, key_value, round(m, 6) AS target_mean, n AS n_rows, round(m / (SELECT avg(n_orders) FROM d), 6) AS lift FROM g""")
+SELECT calendar_key, key_value, round(m, 9) AS target_mean, n AS n_rows, round(m / (SELECT avg(n_orders) FROM d), 9) AS lift FROM g""")
 def q_calendar_lift(spark, sf):
     """mean daily orders by dow / weekend / month / quarter (one
     GROUPING SETS pass) and lift over the overall mean."""
@@ -258,7 +258,7 @@ def q_calendar_lift(spark, sf):
 m AS (SELECT priority, date_trunc('month', order_date) AS p, count(*) AS v FROM r_orders GROUP BY 1, 2),
 g AS (SELECT priority, p, (v - lag(v) OVER w) / lag(v) OVER w AS gr FROM m WINDOW w AS (PARTITION BY priority ORDER BY p)),
 r AS (SELECT *, row_number() OVER (PARTITION BY priority ORDER BY p DESC) AS rn FROM g WHERE gr IS NOT NULL)
-SELECT priority, round(avg(gr), 6) AS mean_recent_growth, count(*) AS n_periods FROM r WHERE rn <= 6 GROUP BY 1""")
+SELECT priority, round(avg(gr), 9) AS mean_recent_growth, count(*) AS n_periods FROM r WHERE rn <= 6 GROUP BY 1""")
 def q_channel_growth(spark, sf):
     """mean month-over-month growth of each channel's last 6 months."""
     m = retail.orders(spark, sf).groupBy("priority", F.date_trunc("month", "order_date").alias("p")).agg(
@@ -270,12 +270,12 @@ def q_channel_growth(spark, sf):
 WITH c AS (SELECT o_custkey, sum(o_totalprice) AS spend, count(*)::DOUBLE AS n_orders FROM orders GROUP BY 1)
 SELECT spend >= (SELECT quantile_cont(spend, 0.5) FROM c) AS high_spend,
        n_orders >= (SELECT quantile_cont(n_orders, 0.5) FROM c) AS high_n_orders,
-       count(*) AS n_rows, round(avg(spend), 4) AS mean_spend, round(avg(n_orders), 6) AS mean_n_orders FROM c GROUP BY 1, 2""")
+       count(*) AS n_rows, round(avg(spend), 4) AS mean_spend, round(avg(n_orders), 9) AS mean_n_orders FROM c GROUP BY 1, 2""")
 def q_quadrant_summary(spark, sf):
     """customers split at the median of spend and order count."""
     c = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spend"),
                                                             F.count(F.lit(1)).cast("double").alias("n_orders"))
-    return tidy(rollup.quadrant_summary(c, "spend", "n_orders"), 6, {"mean_spend": 4})
+    return tidy(rollup.quadrant_summary(c, "spend", "n_orders"), 9, {"mean_spend": 4})
 
 
 @register("revenue_bridge", LINES_SQL + """
@@ -294,20 +294,20 @@ def q_revenue_bridge(spark, sf):
 SELECT category, count(*) AS n_lines, count_if(returned = 1) AS returned_lines,
        round(sum(CASE WHEN returned = 1 THEN quantity ELSE 0 END), 2) AS returned_units,
        round(sum(CASE WHEN returned = 1 THEN net ELSE 0 END), 4) AS refund, round(sum(net), 4) AS revenue,
-       count(DISTINCT order_id) AS n_orders, round(count_if(returned = 1) * 1.0 / count(*), 6) AS return_rate,
-       round(sum(CASE WHEN returned = 1 THEN net ELSE 0 END) / sum(net), 6) AS refund_to_revenue
+       count(DISTINCT order_id) AS n_orders, round(count_if(returned = 1) * 1.0 / count(*), 9) AS return_rate,
+       round(sum(CASE WHEN returned = 1 THEN net ELSE 0 END) / sum(net), 9) AS refund_to_revenue
 FROM lines GROUP BY 1 HAVING count(DISTINCT order_id) >= 20""")
 def q_return_impact(spark, sf):
     """returns by category with minimum order support."""
     ln = lines(spark, sf).withColumn("refund", F.when(F.col("returned") == 1, F.col("net")).otherwise(0.0))
     out = rollup.return_impact(ln, "category", "returned", "quantity", "refund", "net", order_col="order_id", min_orders=20)
-    return tidy(out, 2, {"refund": 4, "revenue": 4, "return_rate": 6, "refund_to_revenue": 6})
+    return tidy(out, 2, {"refund": 4, "revenue": 4, "return_rate": 9, "refund_to_revenue": 9})
 
 
 @register("delivery_vs_return", with_roles("items", "orders") + """
 SELECT CASE WHEN return_flag = 'R' THEN 1 ELSE 0 END AS returned, count(*) AS n_rows,
-       round(avg(date_diff('day', order_date, ship_date)), 6) AS mean_days,
-       round(quantile_cont(date_diff('day', order_date, ship_date), 0.5), 6) AS median_days
+       round(avg(date_diff('day', order_date, ship_date)), 9) AS mean_days,
+       round(quantile_cont(date_diff('day', order_date, ship_date), 0.5), 9) AS median_days
 FROM r_items JOIN r_orders USING (order_id) GROUP BY 1""")
 def q_delivery_vs_return(spark, sf):
     """delivery days (order → ship) by returned flag."""
@@ -344,14 +344,14 @@ def q_boxplot(spark, sf):
 
 @register("group_target_agg", LINES_SQL + """,
 top AS (SELECT brand FROM lines WHERE brand IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, brand LIMIT 5)
-SELECT brand, round(avg(quantity), 6) AS mean_quantity, count(*) AS n_rows FROM lines WHERE brand IN (SELECT brand FROM top) GROUP BY 1""")
+SELECT brand, round(avg(quantity), 9) AS mean_quantity, count(*) AS n_rows FROM lines WHERE brand IN (SELECT brand FROM top) GROUP BY 1""")
 def q_group_target_agg(spark, sf):
     """mean quantity for the 5 most frequent brands."""
     return tidy(rollup.group_target_agg(lines(spark, sf), "brand", "quantity", "mean", top_k=5))
 
 
 @register("category_counts", """
-SELECT o_orderpriority, count(*) AS count, round(count(*) * 1.0 / (SELECT count(*) FROM orders), 6) AS rate
+SELECT o_orderpriority, count(*) AS count, round(count(*) * 1.0 / (SELECT count(*) FROM orders), 9) AS rate
 FROM orders GROUP BY 1 ORDER BY count DESC, o_orderpriority LIMIT 3""")
 def q_category_counts(spark, sf):
     """value counts with share, top 3."""
@@ -361,23 +361,23 @@ def q_category_counts(spark, sf):
 @register("daily_source_features", """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS n_events, count(DISTINCT user_id) AS n_users,
        count_if(event_type = 'purchase') AS n_purchases, count_if(event_type = 'error') AS n_errors,
-       round(sum(value), 4) AS value_sum, round(avg(value), 6) AS value_mean FROM events GROUP BY 1""")
+       round(sum(value), 4) AS value_sum, round(avg(value), 9) AS value_mean FROM events GROUP BY 1""")
 def q_daily_source_features(spark, sf):
     """event source aggregated to the day."""
     ev = retail.events(spark, sf)
     return tidy(rollup.daily_agg(ev, "event_date", {
         "n_events": F.count(F.lit(1)), "n_users": F.count_distinct("user_id"),
         "n_purchases": F.count_if(F.col("event_type") == "purchase"), "n_errors": F.count_if(F.col("event_type") == "error"),
-        "value_sum": F.sum("value"), "value_mean": F.avg("value")}), 6, {"value_sum": 4})
+        "value_sum": F.sum("value"), "value_mean": F.avg("value")}), 9, {"value_sum": 4})
 
 
 @register("promo_vs_nopromo", LINES_SQL + """
 SELECT discount_rate > 0.05 AS promo, count(*) AS n_rows, round(avg(net), 4) AS mean_net, round(quantile_cont(net, 0.5), 4) AS median_net,
-       round(avg(quantity), 6) AS mean_quantity, round(quantile_cont(quantity, 0.5), 6) AS median_quantity FROM lines GROUP BY 1""")
+       round(avg(quantity), 9) AS mean_quantity, round(quantile_cont(quantity, 0.5), 9) AS median_quantity FROM lines GROUP BY 1""")
 def q_promo_vs_nopromo(spark, sf):
     """F32: promoted (discount > 5%) vs other lines."""
     ln = lines(spark, sf).withColumn("promo", F.col("discount_rate") > 0.05)
-    return tidy(rollup.flag_vs_noflag(ln, "promo", ["net", "quantity"]), 6, {"mean_net": 4, "median_net": 4})
+    return tidy(rollup.flag_vs_noflag(ln, "promo", ["net", "quantity"]), 9, {"mean_net": 4, "median_net": 4})
 
 
 @register("distribution_by_group", """
@@ -394,7 +394,7 @@ def q_distribution_by_group(spark, sf):
 rev AS (SELECT product_id, sum(net) AS revenue FROM lines GROUP BY 1 ORDER BY revenue DESC, product_id LIMIT 30),
 risk AS (SELECT product_id, count_if(returned = 1) * 1.0 / count(*) AS return_rate,
                 sum(CASE WHEN returned = 1 THEN net ELSE 0 END) AS refund FROM lines GROUP BY 1)
-SELECT rev.product_id, round(revenue, 4) AS revenue, round(return_rate, 6) AS return_rate, round(refund, 4) AS refund
+SELECT rev.product_id, round(revenue, 4) AS revenue, round(return_rate, 9) AS return_rate, round(refund, 4) AS refund
 FROM rev LEFT JOIN risk USING (product_id)""")
 def q_top_risk_join(spark, sf):
     """top 30 products by revenue with their return rate and refund."""
@@ -402,4 +402,4 @@ def q_top_risk_join(spark, sf):
     ln = lines(spark, sf).withColumn("refund", F.when(F.col("returned") == 1, F.col("net")).otherwise(0.0))
     rev = top_k(ln.groupBy("product_id").agg(F.sum("net").alias("revenue")), "revenue", 30, tiebreak=["product_id"])
     risk = rollup.return_impact(ln, "product_id", "returned", "quantity", "refund", "net").select("product_id", "return_rate", "refund")
-    return tidy(rev.join(risk, "product_id", "left"), 4, {"return_rate": 6})
+    return tidy(rev.join(risk, "product_id", "left"), 4, {"return_rate": 9})

@@ -9,7 +9,7 @@ from basketry.sources import retail
 
 @register("validity_rules", """
 SELECT 'lineitem' AS table_name, column_name, rule, n_rows, n_checked, violations,
-       round(violations * 100.0 / n_checked, 6) AS violation_pct, min_value, max_value FROM (
+       round(violations * 100.0 / n_checked, 9) AS violation_pct, min_value, max_value FROM (
   SELECT 'l_quantity' AS column_name, 'between 1..50' AS rule, count(*) AS n_rows, count(l_quantity) AS n_checked,
          count_if(l_quantity IS NOT NULL AND NOT (l_quantity BETWEEN 1 AND 50)) AS violations,
          min(l_quantity)::DOUBLE AS min_value, max(l_quantity)::DOUBLE AS max_value FROM lineitem
@@ -28,7 +28,7 @@ def q_validity_rules(spark, sf):
 
 
 @register("business_rules", """
-SELECT 'lineitem' AS table_name, rule, severity, n_checked, violations, round(violations * 100.0 / n_checked, 6) AS violation_pct FROM (
+SELECT 'lineitem' AS table_name, rule, severity, n_checked, violations, round(violations * 100.0 / n_checked, 9) AS violation_pct FROM (
   SELECT 'discount_le_gross' AS rule, 'high' AS severity, count_if((l_extendedprice * l_discount <= l_extendedprice) IS NOT NULL) AS n_checked,
          count_if(NOT (l_extendedprice * l_discount <= l_extendedprice)) AS violations FROM lineitem
   UNION ALL SELECT 'tax_le_discount', 'medium', count_if((l_tax <= l_discount) IS NOT NULL), count_if(NOT (l_tax <= l_discount)) FROM lineitem
@@ -45,7 +45,7 @@ def q_business_rules(spark, sf):
 WITH j AS (SELECT o_orderdate AS l, l_shipdate AS r FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey)
 SELECT 'o_orderdate <= l_shipdate' AS rule, count(*) AS n_rows, count_if(l IS NOT NULL AND r IS NOT NULL) AS checked,
        count_if(l IS NOT NULL AND r IS NOT NULL AND NOT (l <= r)) AS violations,
-       round(count_if(l IS NOT NULL AND r IS NOT NULL AND NOT (l <= r)) * 100.0 / count_if(l IS NOT NULL AND r IS NOT NULL), 6) AS violation_pct,
+       round(count_if(l IS NOT NULL AND r IS NOT NULL AND NOT (l <= r)) * 100.0 / count_if(l IS NOT NULL AND r IS NOT NULL), 9) AS violation_pct,
        count_if(l IS NULL) AS missing_left, count_if(r IS NULL) AS missing_right,
        CASE WHEN count_if(l IS NOT NULL AND r IS NOT NULL) = 0 THEN 'not_checkable'
             WHEN count_if(l IS NOT NULL AND r IS NOT NULL AND NOT (l <= r)) > 0 THEN 'fail' ELSE 'pass' END AS status FROM j""")
@@ -59,12 +59,12 @@ def q_temporal_rule(spark, sf):
 @register("foreign_key_check", """
 SELECT 'l_partkey->p_partkey' AS relation, count(*) AS n_rows, count(l_partkey) AS checked_rows,
        count_if(l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)) AS orphan_rows,
-       round(count_if(l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)) * 1.0 / count(l_partkey), 6) AS orphan_rate
+       round(count_if(l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)) * 1.0 / count(l_partkey), 9) AS orphan_rate
 FROM lineitem
 UNION ALL
 SELECT 'l_orderkey->o_orderkey', count(*), count(l_orderkey),
        count_if(l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')),
-       round(count_if(l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')) * 1.0 / count(l_orderkey), 6)
+       round(count_if(l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')) * 1.0 / count(l_orderkey), 9)
 FROM lineitem""")
 def q_foreign_key_check(spark, sf):
     """Orphan child keys (second relation uses a date-bounded parent,
@@ -78,10 +78,10 @@ def q_foreign_key_check(spark, sf):
 
 @register("key_coverage", """
 SELECT 'items' AS child_table, count(*) AS parent_keys, count_if(o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS covered_keys,
-       round(count_if(o_orderkey IN (SELECT l_orderkey FROM lineitem)) * 1.0 / count(*), 6) AS coverage FROM orders
+       round(count_if(o_orderkey IN (SELECT l_orderkey FROM lineitem)) * 1.0 / count(*), 9) AS coverage FROM orders
 UNION ALL
 SELECT 'returns', count(*), count_if(o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')),
-       round(count_if(o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')) * 1.0 / count(*), 6) FROM orders""")
+       round(count_if(o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')) * 1.0 / count(*), 9) FROM orders""")
 def q_key_coverage(spark, sf):
     """Share of orders present in each child table."""
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
@@ -152,8 +152,8 @@ WITH f AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN
 
 
 @register("lifecycle_share", FLAGS_SQL + """
-SELECT order_status, count(*) AS n_orders, round(avg(has_item), 6) AS share_has_item, round(avg(has_return), 6) AS share_has_return,
-       round(avg(has_shipment), 6) AS share_has_shipment FROM f GROUP BY 1""")
+SELECT order_status, count(*) AS n_orders, round(avg(has_item), 9) AS share_has_item, round(avg(has_return), 9) AS share_has_return,
+       round(avg(has_shipment), 9) AS share_has_shipment FROM f GROUP BY 1""")
 def q_lifecycle_share(spark, sf):
     """Child-record flags per order, share per status."""
     return tidy(rules.lifecycle_share(_flags(spark, sf), "order_status", ["item", "return", "shipment"]))
@@ -172,7 +172,7 @@ LIFECYCLE_CHECKS = [
 
 @register("lifecycle_consistency", FLAGS_SQL + "SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{n}' AS check_name, '{s}' AS severity, count(*) AS n_rows, count_if({p}) AS issue_count, "
-    f"round(count_if({p}) * 100.0 / count(*), 6) AS issue_pct, CASE WHEN count_if({p}) > 0 THEN 'review' ELSE 'pass' END AS result FROM f"
+    f"round(count_if({p}) * 100.0 / count(*), 9) AS issue_pct, CASE WHEN count_if({p}) > 0 THEN 'review' ELSE 'pass' END AS result FROM f"
     for n, p, s in LIFECYCLE_CHECKS) + ")")
 def q_lifecycle_consistency(spark, sf):
     """Named status-vs-child checks in one scan."""
@@ -208,8 +208,8 @@ def q_return_vs_ordered(spark, sf):
 
 @register("missing_child_by_status", FLAGS_SQL + """
 SELECT order_status, count(*) AS n_total, count_if(has_shipment = 0) AS n_missing,
-       round(count_if(has_shipment = 0) * 100.0 / count(*), 6) AS pct_in_status,
-       round(count_if(has_shipment = 0) * 100.0 / (SELECT count_if(has_shipment = 0) FROM f), 6) AS pct_of_missing,
+       round(count_if(has_shipment = 0) * 100.0 / count(*), 9) AS pct_in_status,
+       round(count_if(has_shipment = 0) * 100.0 / (SELECT count_if(has_shipment = 0) FROM f), 9) AS pct_of_missing,
        CASE WHEN count_if(has_shipment = 0) = 0 THEN 'complete' WHEN count_if(has_shipment = 0) = count(*) THEN 'expected_absent'
             ELSE 'partial' END AS interpretation FROM f GROUP BY 1""")
 def q_missing_child_by_status(spark, sf):
@@ -247,13 +247,13 @@ def q_aggregation_conservation(spark, sf):
 @register("logic_checks", """
 SELECT * FROM (
 SELECT 'negative_price' AS check_name, 'high' AS severity, count(*) AS n_rows, count_if(l_extendedprice < 0) AS issue_count,
-  round(count_if(l_extendedprice < 0) * 100.0 / count(*), 6) AS issue_pct, CASE WHEN count_if(l_extendedprice < 0) > 0 THEN 'review' ELSE 'pass' END AS result FROM lineitem
+  round(count_if(l_extendedprice < 0) * 100.0 / count(*), 9) AS issue_pct, CASE WHEN count_if(l_extendedprice < 0) > 0 THEN 'review' ELSE 'pass' END AS result FROM lineitem
 UNION ALL SELECT 'price_below_cost', 'medium', count(*), count_if(l_extendedprice / l_quantity < 0.95 * p_retailprice),
-  round(count_if(l_extendedprice / l_quantity < 0.95 * p_retailprice) * 100.0 / count(*), 6),
+  round(count_if(l_extendedprice / l_quantity < 0.95 * p_retailprice) * 100.0 / count(*), 9),
   CASE WHEN count_if(l_extendedprice / l_quantity < 0.95 * p_retailprice) > 0 THEN 'review' ELSE 'pass' END
   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
 UNION ALL SELECT 'discount_above_gross', 'high', count(*), count_if(l_extendedprice * l_discount > l_extendedprice),
-  round(count_if(l_extendedprice * l_discount > l_extendedprice) * 100.0 / count(*), 6),
+  round(count_if(l_extendedprice * l_discount > l_extendedprice) * 100.0 / count(*), 9),
   CASE WHEN count_if(l_extendedprice * l_discount > l_extendedprice) > 0 THEN 'review' ELSE 'pass' END FROM lineitem)""")
 def q_logic_checks(spark, sf):
     """Negative values, price below 0.95·cost, discount above gross."""
@@ -270,7 +270,7 @@ def q_logic_checks(spark, sf):
 WITH f AS (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY 1),
 j AS (SELECT o_orderdate, first_order FROM orders JOIN f USING (o_custkey))
 SELECT 'order_before_start' AS check_name, 'high' AS severity, count(*) AS n_rows, count_if(o_orderdate < first_order) AS issue_count,
-       round(count_if(o_orderdate < first_order) * 100.0 / count(*), 6) AS issue_pct,
+       round(count_if(o_orderdate < first_order) * 100.0 / count(*), 9) AS issue_pct,
        CASE WHEN count_if(o_orderdate < first_order) > 0 THEN 'review' ELSE 'pass' END AS result FROM j""")
 def q_tenure_audit(spark, sf):
     """Orders dated before the customer's start (first order here)."""
