@@ -1 +1,134 @@
-"""Queries."""
+"""Queries for §2.10 binning and segmentation."""
+
+from pyspark.sql import functions as F
+
+from basketry.operators import binning
+from basketry.plans.catalog import register, table, tidy
+from basketry.plans.queries.q_rollup import LINES_SQL, lines
+from basketry.sources import retail
+from basketry.sources.retail import with_roles
+
+QCUT_SQL = """
+WITH e AS (SELECT list_sort(list_distinct(quantile_cont({x}, [{probs}]))) AS e FROM {src}),
+b AS (SELECT *, CASE WHEN {x} IS NOT NULL THEN len(list_filter(e[2:len(e) - 1], lambda v: v < {x})) END AS bin FROM {src}, e)
+"""
+
+
+def _probs(q):
+    return ", ".join(str(i / q) for i in range(q + 1))
+
+
+@register("cut_fixed", """
+SELECT CASE WHEN l_discount > 0 AND l_discount <= 0.02 THEN 'low' WHEN l_discount > 0.02 AND l_discount <= 0.05 THEN 'mid'
+            WHEN l_discount > 0.05 AND l_discount <= 0.1 THEN 'high' END AS discount_band, count(*) AS n_lines
+FROM lineitem GROUP BY 1""")
+def q_cut_fixed(spark, sf):
+    """Right-closed fixed edges; 0 (out of range) → NULL band."""
+    li = table(spark, sf, "lineitem")
+    b = li.withColumn("discount_band", binning.cut_fixed("l_discount", [0, 0.02, 0.05, 0.1], ["low", "mid", "high"]))
+    return b.groupBy("discount_band").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@register("qcut", QCUT_SQL.format(x="o_totalprice", probs=_probs(5), src="orders") + """
+SELECT bin, count(*) AS n_rows, round(min(o_totalprice), 2) AS lo, round(max(o_totalprice), 2) AS hi FROM b GROUP BY 1""")
+def q_qcut(spark, sf):
+    """Quintile bins of order value (exact interpolated edges)."""
+    b = binning.qcut(table(spark, sf, "orders"), "o_totalprice", 5)
+    return tidy(b.groupBy("bin").agg(F.count(F.lit(1)).alias("n_rows"), F.min("o_totalprice").alias("lo"),
+                                     F.max("o_totalprice").alias("hi")), 2)
+
+
+@register("qcut_duplicate_edges", QCUT_SQL.format(x="l_quantity", probs=_probs(10), src="lineitem") + """
+SELECT bin, count(*) AS n_rows, round(quantile_cont(l_quantity, 0.5), 9) AS x_median,
+       round(avg(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END), 9) AS y_mean FROM b GROUP BY 1""")
+def q_qcut_duplicates(spark, sf):
+    """J02 + J08: deciles of an integer column (duplicate edges dropped);
+    per bin median x and mean returned flag."""
+    li = table(spark, sf, "lineitem").withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
+    out = binning.binned_mean(li, "l_quantity", "y", 10)
+    return tidy(out.select("bin", F.col("n").alias("n_rows"), "x_median", "y_mean"))
+
+
+RANKSEG_SQL = """
+WITH o AS (SELECT l_orderkey AS order_id, sum(l_extendedprice * (1 - l_discount)) AS revenue,
+                  sum(l_extendedprice * (1 - l_discount) - l_extendedprice * l_tax) AS cost_basis FROM lineitem GROUP BY 1),
+r AS (SELECT *, row_number() OVER (ORDER BY revenue, order_id) AS rk, count(*) OVER () AS n FROM o),
+s AS (SELECT *, len(list_filter([1 + 0.2 * (n - 1), 1 + 0.4 * (n - 1), 1 + 0.6 * (n - 1), 1 + 0.8 * (n - 1)], lambda v: v < rk)) AS bin FROM r)
+"""
+
+
+def _order_values(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) - F.col("l_extendedprice") * F.col("l_tax")).alias("cost_basis"))
+
+
+@register("qcut_on_rank", RANKSEG_SQL + """
+SELECT bin, count(*) AS n_orders, round(min(revenue), 4) AS lo, round(max(revenue), 4) AS hi FROM s GROUP BY 1""")
+def q_qcut_on_rank(spark, sf):
+    """Five near-equal groups over rank(method=first)."""
+    s = binning.qcut_on_rank(_order_values(spark, sf), "revenue", 5, ["order_id"])
+    return tidy(s.groupBy("bin").agg(F.count(F.lit(1)).alias("n_orders"), F.min("revenue").alias("lo"),
+                                     F.max("revenue").alias("hi")), 4)
+
+
+@register("value_segment_summary", RANKSEG_SQL + """
+SELECT ['very_low', 'low', 'mid', 'high', 'very_high'][bin + 1] AS segment, count(*) AS n_orders, round(sum(revenue), 2) AS revenue,
+       round(avg(revenue), 4) AS aov, round(sum(revenue - cost_basis), 2) AS profit,
+       round(sum(revenue - cost_basis) / sum(revenue), 9) AS margin FROM s GROUP BY 1""")
+def q_value_segment_summary(spark, sf):
+    """Rank-based value segments with AOV and true margin."""
+    o = _order_values(spark, sf).withColumn("cost", F.col("cost_basis"))
+    return tidy(binning.value_segment_summary(o, "order_id", "revenue", "cost"), 2, {"aov": 4, "margin": 9})
+
+
+@register("train_fitted_bins", """
+WITH e AS (SELECT quantile_cont(o_totalprice, [0, 0.25, 0.5, 0.75, 1]) AS e FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+b AS (SELECT o_orderdate < TIMESTAMP '1999-01-01' AS is_train,
+             len(list_filter(e[2:4], lambda v: v < o_totalprice)) AS bin FROM orders, e)
+SELECT is_train, bin, count(*) AS n_rows FROM b GROUP BY 1, 2""")
+def q_train_fitted_bins(spark, sf):
+    """Quartile edges from train rows only, ±inf outer edges, applied
+    to every row."""
+    o = table(spark, sf, "orders").withColumn("is_train", F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    edges = binning.train_fitted_edges(o.filter("is_train"), "o_totalprice", 4)
+    b = binning.apply_train_bins(o, "o_totalprice", edges)
+    return b.groupBy("is_train", "bin").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("discount_bucket_summary", with_roles("items") + """,
+o AS (SELECT order_id, sum(gross) AS gross, sum(discount_amount) AS discount, sum(discount_amount) / nullif(sum(gross), 0) AS rate
+      FROM r_items GROUP BY 1),
+d(discount_bucket, bucket_order) AS (VALUES ('0%', 0), ('0-5%', 1), ('5-10%', 2), ('10-20%', 3), ('20-50%', 4), ('>50%', 5)),
+b AS (SELECT CASE WHEN coalesce(rate, 0) > -0.001 AND coalesce(rate, 0) <= 0 THEN '0%' WHEN coalesce(rate, 0) > 0 AND coalesce(rate, 0) <= 0.05 THEN '0-5%'
+                  WHEN coalesce(rate, 0) > 0.05 AND coalesce(rate, 0) <= 0.1 THEN '5-10%' WHEN coalesce(rate, 0) > 0.1 AND coalesce(rate, 0) <= 0.2 THEN '10-20%'
+                  WHEN coalesce(rate, 0) > 0.2 AND coalesce(rate, 0) <= 0.5 THEN '20-50%' WHEN coalesce(rate, 0) > 0.5 THEN '>50%' END AS discount_bucket,
+             gross, discount FROM o),
+g AS (SELECT discount_bucket, count(*) AS n, sum(gross) AS gross, sum(discount) AS discount FROM b GROUP BY 1)
+SELECT d.discount_bucket, bucket_order, coalesce(n, 0) AS n_orders, round(coalesce(gross, 0), 2) AS gross,
+       round(coalesce(discount, 0), 4) AS discount, round(discount / gross, 9) AS discount_rate FROM d LEFT JOIN g USING (discount_bucket)""")
+def q_discount_buckets(spark, sf):
+    """Six discount buckets, empty buckets kept."""
+    it = retail.items(spark, sf)
+    o = it.groupBy("order_id").agg(F.sum("gross").alias("gross"), F.sum("discount_amount").alias("discount"))
+    o = o.withColumn("rate", F.try_divide(F.col("discount"), F.col("gross")))
+    return tidy(binning.discount_bucket_summary(o, "rate", "gross", "discount"), 2, {"discount": 4, "discount_rate": 9})
+
+
+@register("tenure_group_presets", with_roles("orders") + """,
+t AS (SELECT date_diff('day', min(order_date) OVER (PARTITION BY customer_id), order_date) AS d FROM r_orders)
+SELECT 'train' AS preset, CASE WHEN d > -1 AND d <= 29 THEN 'new_lt_30d' WHEN d > 29 AND d <= 179 THEN '30_179d'
+       WHEN d > 179 AND d <= 364 THEN '180_364d' WHEN d > 364 THEN 'loyal_365d_plus' END AS tenure_group, count(*) AS n_orders FROM t GROUP BY 1, 2
+UNION ALL
+SELECT 'serve', CASE WHEN d >= 0 AND d < 30 THEN 'new_lt_30d' WHEN d >= 30 AND d < 180 THEN '30_179d'
+       WHEN d >= 180 AND d < 365 THEN '180_364d' WHEN d >= 365 THEN 'loyal_365d_plus' END, count(*) FROM t GROUP BY 1, 2""")
+def q_tenure_presets(spark, sf):
+    """Tenure groups under the training and serving edge presets."""
+    from basketry.operators.timeseries import first_event_date, tenure_days
+    o = retail.orders(spark, sf)
+    t = o.join(first_event_date(o, "customer_id", "order_date", "first_order"), "customer_id") \
+        .select(tenure_days("order_date", "first_order").alias("d"))
+    parts = [t.select(F.lit(p).alias("preset"), binning.tenure_group("d", p).alias("tenure_group"))
+             .groupBy("preset", "tenure_group").agg(F.count(F.lit(1)).alias("n_orders")) for p in ("train", "serve")]
+    return parts[0].unionByName(parts[1])
