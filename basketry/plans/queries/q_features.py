@@ -1 +1,161 @@
-"""Queries."""
+"""Queries for §2.13 end-to-end feature tables (plus A08 and S03)."""
+
+from pyspark.sql import functions as F
+
+from basketry.operators import timeseries as ts
+from basketry.plans import features as ft
+from basketry.plans.catalog import register, table, tidy
+from basketry.plans.queries.q_rollup import PART_TYPES
+from basketry.plans.queries.q_timeseries import DENSE_SQL, dense_daily
+from basketry.sources import io, retail
+from basketry.sources.retail import with_roles
+
+SPEC = ft.OrderFeatureSpec(cash_col="priority", cash_value="1-urgent", categorical=["priority", "segment"],
+                           multihot={"category": PART_TYPES})
+STATUS = "CASE order_status WHEN 'F' THEN 'delivered' WHEN 'P' THEN 'returned' ELSE 'processing' END"
+
+
+def master(spark, sf):
+    """Order × item master (E03) with a text order status."""
+    o = retail.orders(spark, sf).withColumn("order_status", F.when(F.col("order_status") == "F", "delivered")
+                                            .when(F.col("order_status") == "P", "returned").otherwise("processing"))
+    c = retail.customers(spark, sf).select("customer_id", "segment")
+    it = retail.items(spark, sf).select("order_id", "product_id", "quantity", "unit_price", "discount_amount")
+    p = retail.products(spark, sf).select("product_id", "category")
+    return o.join(c, "customer_id", "left").join(it, "order_id", "left").join(p, "product_id", "left")
+
+
+M02_SQL = with_roles("orders", "customers", "items", "products") + f""",
+m AS (SELECT o.order_id, o.customer_id, o.order_date, o.payment_value, o.priority, c.segment, {STATUS.replace('order_status', 'o.order_status')} AS order_status,
+             i.product_id, i.quantity, i.unit_price, i.discount_amount, p.category
+      FROM r_orders o LEFT JOIN r_customers c USING (customer_id) LEFT JOIN r_items i USING (order_id) LEFT JOIN r_products p USING (product_id)),
+a AS (SELECT order_id, min(customer_id) AS customer_id, min(order_date) AS order_date, min(payment_value) AS payment_value,
+             min(priority) AS priority, min(segment) AS segment, min(order_status) AS order_status, sum(quantity) AS total_quantity,
+             count(DISTINCT product_id) AS unique_product_count, sum(discount_amount) AS _disc, sum(quantity * unit_price) AS _gross,
+             """ + ", ".join(f"max(coalesce(CAST(category = '{v}' AS INTEGER), 0)) AS category_{v.lower()}" for v in PART_TYPES) + """
+      FROM m GROUP BY 1),
+f AS (SELECT customer_id, min(order_date) AS first FROM a GROUP BY 1),
+b AS (SELECT a.*, date_diff('day', f.first, a.order_date) AS tenure, CASE WHEN _gross > 0 THEN _disc / _gross ELSE 0.0 END AS ratio
+      FROM a LEFT JOIN f USING (customer_id))
+SELECT order_id, CASE order_status WHEN 'returned' THEN 1 WHEN 'delivered' THEN 0 END AS label, tenure AS customer_tenure_days,
+       round(total_quantity, 2) AS total_quantity, unique_product_count, round(ratio, 9) AS discount_ratio,
+       round(ln(1 + greatest(payment_value, 0)), 9) AS log_payment_value, priority, segment,
+       CASE WHEN tenure >= 0 AND tenure < 30 THEN 'new_lt_30d' WHEN tenure >= 30 AND tenure < 180 THEN '30_179d'
+            WHEN tenure >= 180 AND tenure < 365 THEN '180_364d' WHEN tenure >= 365 THEN 'loyal_365d_plus' END AS tenure_group,
+       CASE WHEN lower(trim(priority)) = '1-urgent' THEN 1 ELSE 0 END AS is_cash, CASE WHEN ratio > 0 THEN 1 ELSE 0 END AS is_discounted,
+       """ + ", ".join(f"category_{v.lower()}" for v in PART_TYPES) + """, round(payment_value, 2) AS payment_value FROM b"""
+
+
+@register("serving_features", M02_SQL)
+def q_serving_features(spark, sf):
+    """Master (order × item fan-out) → one row per order with label,
+    numeric, categorical, binary, multi-hot and quantile inputs."""
+    return tidy(ft.serving_features(master(spark, sf), SPEC), 9, {"total_quantity": 2, "payment_value": 2})
+
+
+@register("order_feature_table")
+def q_order_feature_table(spark, sf):
+    """Labelled-order training table from pre-aggregated blocks."""
+    t = ft.order_feature_table(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf),
+                               retail.products(spark, sf), {"category": PART_TYPES})
+    return tidy(t, 9)
+
+
+@register("nested_order_features")
+def q_nested_order_features(spark, sf):
+    """Nested JSON order requests (built from the tables) → the same
+    features through from_json + higher-order functions."""
+    from basketry.plans.scoring import parse_requests, requests_from_tables
+    req = requests_from_tables(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf))
+    parsed = parse_requests(req).filter(F.col("reject_reason").isNull()).select("order.*")
+    return tidy(ft.nested_order_features(parsed, retail.products(spark, sf), {"category": PART_TYPES}, cash_value="1-urgent"), 9)
+
+
+@register("daily_target_table", DENSE_SQL + """
+SELECT CAST(sale_date AS VARCHAR) AS sale_date, round(revenue, 4) AS revenue, round(cogs, 2) AS cogs, round(revenue - cogs, 4) AS profit,
+       round(CASE WHEN revenue = 0 THEN 0.0 ELSE (revenue - cogs) / revenue END, 9) AS margin,
+       round(lag(revenue, 1) OVER w, 4) AS revenue_lag_1d, round(lag(revenue, 7) OVER w, 4) AS revenue_lag_7d,
+       round(avg(revenue) OVER (ORDER BY sale_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 7) AS revenue_rolling_7d_mean,
+       round(avg(revenue) OVER (ORDER BY sale_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), 7) AS revenue_rolling_28d_mean
+FROM dd WINDOW w AS (ORDER BY sale_date)""")
+def q_daily_target_table(spark, sf):
+    """Dense daily target with profit, margin, lags and past means."""
+    d = ft.daily_target_table(ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf)), "sale_date", "revenue", "cogs")
+    return tidy(d, 4, {"cogs": 2, "margin": 9, "revenue_rolling_7d_mean": 7, "revenue_rolling_28d_mean": 7})
+
+
+@register("daily_candidate_table", DENSE_SQL + """,
+o AS (SELECT CAST(o_orderdate AS DATE) AS sale_date, count(*) AS n_orders FROM orders GROUP BY 1),
+e AS (SELECT CAST(ts AS DATE) AS sale_date, count(*) AS n_events FROM events GROUP BY 1),
+t AS (SELECT sale_date, revenue, cogs FROM daily)
+SELECT (SELECT count(*) FROM t) AS rows_before, count(*) AS rows_after, (SELECT count(*) FROM t) = count(*) AS rowcount_match,
+       'n_orders,n_events,dayofweek,is_weekend,month,quarter,year,dayofmonth,dayofyear,weekofyear,is_month_start,is_month_end' AS new_columns,
+       count_if(n_orders IS NULL) + count_if(n_events IS NULL) AS new_missing_cells
+FROM t LEFT JOIN o USING (sale_date) LEFT JOIN e USING (sale_date)""")
+def q_daily_candidate_table(spark, sf):
+    """Daily target ⟕ daily orders ⟕ daily events ⟕ calendar with the
+    row-count check."""
+    t = ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf))
+    o = retail.orders(spark, sf).groupBy(F.col("order_date").alias("sale_date")).agg(F.count(F.lit(1)).alias("n_orders"))
+    e = retail.events(spark, sf).groupBy(F.col("event_date").alias("sale_date")).agg(F.count(F.lit(1)).alias("n_events"))
+    _, check = ft.daily_candidate_table(t, {"orders": o, "events": e}, "sale_date")
+    return check
+
+
+@register("daily_model_all_sources")
+def q_daily_model_all_sources(spark, sf):
+    """Known-now sources same day (calendar, US holidays), outcome
+    sources (orders, returns) shifted by one day."""
+    from basketry.functions.calendar import holiday_flag, us_federal_holidays
+    t = ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf))
+    b = t.agg(F.min("sale_date").alias("a"), F.max("sale_date").alias("z")).first()
+    hol = holiday_flag(ts.daily_spine(t, "sale_date"), "sale_date", us_federal_holidays(spark, str(b["a"]), str(b["z"])))
+    o = retail.orders(spark, sf).groupBy(F.col("order_date").alias("sale_date")).agg(F.count(F.lit(1)).alias("n_orders"))
+    r = retail.items(spark, sf).filter(F.col("return_flag") == "R").groupBy(F.col("ship_date").alias("sale_date")).agg(
+        F.count(F.lit(1)).alias("n_returned_lines"))
+    out = ft.daily_model_all_sources(t, "sale_date", {"holidays": hol}, {"orders": o, "returns": r})
+    return tidy(out, 4)
+
+
+@register("recreate_selected_features")
+def q_recreate_selected(spark, sf):
+    """Saved feature list rebuilt, contract kept, incomplete rows dropped."""
+    from basketry.plans.queries.q_timeseries import FEATURE_NAMES
+    t = ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf))
+    kept, _unknown, _report = ft.recreate_selected_features(t, "sale_date", FEATURE_NAMES)
+    return tidy(kept, 4)
+
+
+@register("target_driver_table", DENSE_SQL + """,
+o AS (SELECT CAST(o_orderdate AS DATE) AS sale_date, count(*) AS n_orders FROM orders GROUP BY 1),
+j AS (SELECT dd.sale_date, revenue, cogs, n_orders FROM dd LEFT JOIN o USING (sale_date))
+SELECT CAST(sale_date AS VARCHAR) AS sale_date, round(revenue, 4) AS revenue, round(cogs, 2) AS cogs, n_orders,
+       lag(n_orders, 1) OVER w AS n_orders_lag_1d, lag(n_orders, 7) OVER w AS n_orders_lag_7d FROM j WINDOW w AS (ORDER BY sale_date)""")
+def q_target_driver_table(spark, sf):
+    """Target + daily driver with lag 1 and 7."""
+    t = ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf))
+    o = retail.orders(spark, sf).groupBy(F.col("order_date").alias("sale_date")).agg(F.count(F.lit(1)).alias("n_orders"))
+    return tidy(ft.target_driver_table(t, o, "sale_date"), 4, {"cogs": 2})
+
+
+@register("submission_export", DENSE_SQL + """
+SELECT strftime(sale_date, '%Y-%m-%d') AS Date, round(revenue, 4) AS Revenue, round(cogs, 2) AS COGS FROM daily""")
+def q_submission_export(spark, sf):
+    """Prediction columns renamed, date formatted, written as CSV and
+    read back."""
+    t = ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf))
+    sub = io.submission_frame(t, "sale_date", {"revenue": "Revenue", "cogs": "COGS"})
+    path = io.scratch_path(spark, "submission")
+    io.csv_sink(sub, path)
+    back = io.read_csv(spark, path, schema="Date string, Revenue double, COGS double")
+    return tidy(back, 4, {"COGS": 2})
+
+
+@register("row_expansion", with_roles("orders") + """,
+x AS (SELECT CAST(unnest(generate_series(order_date, order_date + 6, INTERVAL 1 DAY)) AS DATE) AS d FROM r_orders)
+SELECT CAST(d AS VARCHAR) AS d, count(*) AS n_active FROM x GROUP BY 1""")
+def q_row_expansion(spark, sf):
+    """One row per order and day of its 7-day window."""
+    o = retail.orders(spark, sf)
+    x = o.select(F.explode(F.sequence("order_date", F.date_add("order_date", 6))).alias("d"))
+    return tidy(x.groupBy("d").agg(F.count(F.lit(1)).alias("n_active")))
