@@ -62,12 +62,12 @@ def threshold_table(df: DataFrame, label: str, score: str) -> DataFrame:
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     """Q04: AP = Σ_t (R_t − R_{t−1})·P_t over distinct scores (sklearn
     ``average_precision_score``; not MLlib's interpolated areaUnderPR)."""
-    t = threshold_table(df, label, score)
     g = score_groups(df, label, score)
-    total_pos = g.select(F.sum("pos")).scalar()
-    # R_t − R_{t−1} = positives at exactly this score / all positives.
-    j = t.join(g.select(F.col("score").alias("threshold"), "pos"), "threshold")
-    return j.agg(F.sum(F.try_divide(F.col("pos") * 1.0, total_pos) * F.col("precision")).alias("average_precision"))
+    ps = prefix_sum(g, "score", ["pos", "neg"], descending=True, inclusive=True)
+    prec = F.try_divide(F.col("cum_pos") * 1.0, F.col("cum_pos") + F.col("cum_neg"))
+    # R_t − R_{t−1} = positives at exactly this score / all positives, so
+    # AP = Σ pos_t · P_t / Σ pos_t — one aggregate over the score table.
+    return ps.agg(F.try_divide(F.sum(F.col("pos") * prec), F.sum("pos").cast("double")).alias("average_precision"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -75,10 +75,9 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     (negatives strictly below + ½ negatives tied), over P·N."""
     g = score_groups(df, label, score)
     ps = prefix_sum(g, "score", ["neg"], inclusive=False)
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    P, N = tot.select("P").scalar(), tot.select("N").scalar()
-    u = ps.agg(F.sum(F.col("pos") * (F.col("cum_neg") + 0.5 * F.col("neg"))).alias("u"))
-    return u.select(F.try_divide(F.col("u"), P * N).alias("roc_auc"))
+    u = ps.agg(F.sum(F.col("pos") * (F.col("cum_neg") + 0.5 * F.col("neg"))).alias("u"),
+               F.sum("pos").cast("double").alias("P"), F.sum("neg").cast("double").alias("N"))
+    return u.select(F.try_divide(F.col("u"), F.col("P") * F.col("N")).alias("roc_auc"))
 
 
 def threshold_metrics(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:

@@ -1,10 +1,12 @@
 """Preprocessing fitted on train, applied anywhere (§2.15).
 
 Each ``fit_*`` returns a one-row *state* DataFrame computed from the train
-split only; ``apply_*`` reads that state through scalar subqueries, so the
-statistics never change when validation or test rows change and no join
-or cross product is needed. ``Preprocessor`` chains the steps per column
-group (O09) and can write/read its state as parquet.
+split only; ``apply_*`` fetches that single row once (one value per
+column, like MLlib's Imputer/StandardScaler models) and applies it as
+literals, so statistics never change when validation or test rows change,
+no join or cross product is needed and downstream plans stay small.
+``Preprocessor`` chains the steps per column group (O09) and can write its
+state as parquet.
 """
 
 from __future__ import annotations
@@ -29,9 +31,14 @@ def fit_median(train: DataFrame, cols: list[str]) -> DataFrame:
     return train.agg(*[F.percentile(_q(c).cast("double"), F.lit(0.5)).alias(c) for c in cols])
 
 
-def apply_fill(df: DataFrame, state: DataFrame, cols: list[str]) -> DataFrame:
-    """NULL → fitted value (one scalar subquery per column)."""
-    return df.withColumns({c: F.coalesce(_q(c), state.select(_q(c)).scalar()) for c in cols})
+def _state_row(state) -> dict:
+    return state if isinstance(state, dict) else state.first().asDict()
+
+
+def apply_fill(df: DataFrame, state, cols: list[str]) -> DataFrame:
+    """NULL → fitted value (the one-row state is fetched once)."""
+    row = _state_row(state)
+    return df.withColumns({c: F.coalesce(_q(c), F.lit(row[c])) for c in cols})
 
 
 def fit_mode(train: DataFrame, cols: list[str]) -> DataFrame:
@@ -87,9 +94,9 @@ def fit_scaler(train: DataFrame, cols: list[str], ddof: int = 0) -> DataFrame:
     return train.agg(*aggs)
 
 
-def apply_scaler(df: DataFrame, state: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: (_q(c).cast("double") - state.select(f"`{c}__mean`").scalar())
-                           / state.select(f"`{c}__std`").scalar() for c in cols})
+def apply_scaler(df: DataFrame, state, cols: list[str]) -> DataFrame:
+    row = _state_row(state)
+    return df.withColumns({c: (_q(c).cast("double") - F.lit(row[f"{c}__mean"])) / F.lit(row[f"{c}__std"]) for c in cols})
 
 
 def fit_levels(train: DataFrame, col: str) -> list:
@@ -107,6 +114,15 @@ def apply_one_hot(df: DataFrame, col: str, levels: list, drop_source: bool = Tru
     return out.drop(col) if drop_source else out
 
 
+def train_fitted_edges_values(train: DataFrame, col: str, n_bins: int) -> list[float]:
+    """Train quantile edges as driver values (n_bins + 1 numbers), outer
+    edges ±inf, duplicates dropped."""
+    probs = [i / n_bins for i in range(n_bins + 1)]
+    e = train.select(F.percentile(_q(col).cast("double"), F.array(*[F.lit(p) for p in probs]))).first()[0]
+    inner = sorted(set(e[1:-1]))
+    return [float("-inf"), *inner, float("inf")]
+
+
 def kbins_quantile_onehot(train: DataFrame, df: DataFrame, col: str, n_bins: int = 4, prefix: str | None = None) -> DataFrame:
     """Quantile edges fitted on train (outer edges ±inf), left-closed
     bins like sklearn's KBinsDiscretizer, then one-hot."""
@@ -154,13 +170,13 @@ class Preprocessor:
 
     def fit(self, train: DataFrame) -> "Preprocessor":
         if self.numeric:
-            med = fit_median(train, self.numeric)
+            med = _state_row(fit_median(train, self.numeric))
             self.state["median"] = med
-            self.state["scale"] = fit_scaler(apply_fill(train, med, self.numeric), self.numeric, self.ddof)
+            self.state["scale"] = _state_row(fit_scaler(apply_fill(train, med, self.numeric), self.numeric, self.ddof))
         if self.categorical:
-            self.state["mode"] = fit_mode(train, self.categorical)
+            self.state["mode"] = _state_row(fit_mode(train, self.categorical))
             self.state["levels"] = {c: fit_levels(train, c) for c in self.categorical}
-        self.state["train"] = train.select(*self.quantile) if self.quantile else None
+        self.state["edges"] = {c: train_fitted_edges_values(train, c, self.n_bins) for c in self.quantile}
         return self
 
     def transform(self, df: DataFrame, keep=()) -> DataFrame:
@@ -174,7 +190,10 @@ class Preprocessor:
             for c in self.categorical:
                 out = apply_one_hot(out, c, self.state["levels"][c])
         for c in self.quantile:
-            out = kbins_quantile_onehot(self.state["train"], out, c, self.n_bins)
+            edges = F.array(*[F.lit(float(e)) for e in self.state["edges"][c]])
+            b = with_edges(out, edges, c, "_kb", right=False)
+            out = b.withColumns({f"{c}_bin_{i}": F.coalesce((F.col("_kb") == i).cast("int"), F.lit(0))
+                                 for i in range(self.n_bins)}).drop("_kb")
         return out.select(*keep, *self.output_columns())
 
     def output_columns(self) -> list[str]:
@@ -193,11 +212,10 @@ class Preprocessor:
     def save(self, spark: SparkSession, path: str):
         """Persist fitted state (small frames) as parquet + level lists."""
         import json
-        for k in ("median", "scale", "mode"):
-            if k in self.state:
-                self.state[k].write.mode("overwrite").parquet(f"{path}/{k}")
         meta = {"numeric": self.numeric, "binary": self.binary, "categorical": self.categorical, "quantile": self.quantile,
-                "n_bins": self.n_bins, "ddof": self.ddof, "levels": self.state.get("levels", {})}
+                "n_bins": self.n_bins, "ddof": self.ddof, "levels": self.state.get("levels", {}),
+                "median": self.state.get("median"), "scale": self.state.get("scale"), "mode": self.state.get("mode"),
+                "edges": self.state.get("edges")}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
 
 

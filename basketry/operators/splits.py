@@ -38,14 +38,13 @@ def date_counts(df: DataFrame, date_col: str) -> DataFrame:
 def positional_cut_dates(df: DataFrame, date_col: str, fractions=(0.70, 0.85)):
     """N02 cut dates: the date of the row at position ⌊p·n⌋ (0-based) of the
     rows sorted by date — the first date whose running count exceeds it.
-    Returns scalar-subquery columns, one per fraction."""
+    Fitted once on the date axis (one row per distinct date) and returned
+    as literal columns, like any fitted split boundary."""
     dc = date_counts(df, date_col)
-    n = df.filter(F.col(date_col).isNotNull()).select(F.count(F.lit(1))).scalar()
-    cuts = []
-    for p in fractions:
-        pos = F.floor(n * F.lit(p))
-        cuts.append(dc.filter(F.col("cum_n") > pos).select(F.min(date_col)).scalar())
-    return cuts
+    n = dc.select(F.sum("n")).first()[0] or 0
+    row = dc.agg(*[F.min(F.when(F.col("cum_n") > int(n * p), F.col(date_col))).alias(f"c{i}")
+                   for i, p in enumerate(fractions)]).first()
+    return [F.lit(row[f"c{i}"]) for i in range(len(fractions))]
 
 
 def positional_cutoff_split(df: DataFrame, date_col: str, fractions=(0.70, 0.85), out: str = "data_split") -> DataFrame:

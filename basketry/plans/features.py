@@ -101,9 +101,12 @@ def serving_features(master: DataFrame, spec: OrderFeatureSpec, history: DataFra
         label = reduce(lambda acc, kv: acc.when(F.col(spec.status) == F.lit(kv[0]), F.lit(kv[1])),
                        list(spec.label_map.items())[1:],
                        F.when(F.col(spec.status) == F.lit(list(spec.label_map)[0]), F.lit(list(spec.label_map.values())[0])))
+    from basketry.operators.clean import coalesce_default_clean
     cols = [spec.order, (label if label is not None else F.lit(None)).cast("int").alias("label"),
             tenure.alias("customer_tenure_days"), "total_quantity", "unique_product_count", ratio.alias("discount_ratio"),
-            log1p_clip(spec.payment).alias("log_payment_value"), *spec.categorical,
+            log1p_clip(spec.payment).alias("log_payment_value"),
+            # serving contract: categorical text trimmed, lower-cased, 'unknown' default
+            *[coalesce_default_clean(c).alias(c) for c in spec.categorical],
             tenure_group(tenure, spec.tenure_preset).alias("tenure_group")]
     if spec.cash_col:
         cols.append(flag(ieq(spec.cash_col, spec.cash_value)).alias("is_cash"))

@@ -39,7 +39,8 @@ b AS (SELECT a.*, date_diff('day', f.first, a.order_date) AS tenure, CASE WHEN _
       FROM a LEFT JOIN f USING (customer_id))
 SELECT order_id, CASE order_status WHEN 'returned' THEN 1 WHEN 'delivered' THEN 0 END AS label, tenure AS customer_tenure_days,
        round(total_quantity, 2) AS total_quantity, unique_product_count, round(ratio, 9) AS discount_ratio,
-       round(ln(1 + greatest(payment_value, 0)), 9) AS log_payment_value, priority, segment,
+       round(ln(1 + greatest(payment_value, 0)), 9) AS log_payment_value,
+       coalesce(nullif(lower(trim(priority)), ''), 'unknown') AS priority, coalesce(nullif(lower(trim(segment)), ''), 'unknown') AS segment,
        CASE WHEN tenure >= 0 AND tenure < 30 THEN 'new_lt_30d' WHEN tenure >= 30 AND tenure < 180 THEN '30_179d'
             WHEN tenure >= 180 AND tenure < 365 THEN '180_364d' WHEN tenure >= 365 THEN 'loyal_365d_plus' END AS tenure_group,
        CASE WHEN lower(trim(priority)) = '1-urgent' THEN 1 ELSE 0 END AS is_cash, CASE WHEN ratio > 0 THEN 1 ELSE 0 END AS is_discounted,

@@ -1 +1,168 @@
-"""Queries."""
+"""Queries for §2.16 models (fits have no SQL twin: rows-only checks;
+closed forms are checked against numpy in the tests)."""
+
+from pyspark.sql import functions as F
+
+from basketry.operators import evaluate as ev
+from basketry.operators import models as md
+from basketry.operators import splits
+from basketry.operators.preprocess import Preprocessor, class_weight
+from basketry.plans import features as ft
+from basketry.plans.catalog import register, tidy
+from basketry.plans.queries.q_features import SPEC, master
+from basketry.plans.queries.q_timeseries import DENSE_SQL, dense_daily
+from basketry.session import cut_lineage
+from basketry.sources import retail
+
+REG_FEATS = ["revenue_lag_1d", "revenue_lag_7d", "revenue_rolling_7d_mean"]
+
+
+def daily_model_frame(spark, sf):
+    d = ft.daily_target_table(ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf)), "sale_date", "revenue", "cogs",
+                              lags=(1, 7), windows=(7,))
+    return d.withColumn("is_train", F.col("sale_date") < F.lit("2000-01-01").cast("date")).na.drop(subset=REG_FEATS + ["revenue"])
+
+
+def _reg_metrics(pred, name):
+    return ev.regression_metrics(pred.withColumn("split", F.when(F.col("is_train"), "train").otherwise("test")), "revenue",
+                                 "prediction", ["split"]).withColumn("model", F.lit(name))
+
+
+@register("seasonal_trend_forecast")
+def q_seasonal_trend(spark, sf):
+    """Level × growth^(years ahead) × seasonal factor for the year after
+    the history."""
+    t = ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf))
+    hist = t.filter(F.col("sale_date") < F.lit("2001-01-01").cast("date"))
+    fut = ts_spine(t.filter(F.col("sale_date") >= F.lit("2001-01-01").cast("date")))
+    return md.seasonal_trend_forecast(hist, "sale_date", "revenue", fut, "sale_date")
+
+
+def ts_spine(df):
+    from basketry.operators.timeseries import daily_spine
+    return daily_spine(df, "sale_date")
+
+
+@register("naive_baselines", DENSE_SQL + """
+SELECT CAST(a.sale_date AS VARCHAR) AS sale_date, round(a.revenue, 4) AS revenue,
+       round((SELECT avg(revenue) FROM dd WHERE sale_date < DATE '2000-01-01'), 7) AS pred_mean,
+       round(lag(a.revenue) OVER (ORDER BY a.sale_date), 4) AS pred_yesterday, round(b.revenue, 4) AS pred_same_weekday
+FROM dd a LEFT JOIN dd b ON b.sale_date + 7 = a.sale_date""")
+def q_naive_baselines(spark, sf):
+    """Train mean, yesterday, same weekday last week."""
+    d = dense_daily(spark, sf).select("sale_date", "revenue")
+    return tidy(md.naive_forecasts(d, "sale_date", "revenue", "2000-01-01"), 4, {"pred_mean": 7})
+
+
+@register("ridge_closed_form")
+def q_ridge(spark, sf):
+    """Closed-form ridge (α = 10) from one Gram aggregate; WAPE per split."""
+    d = daily_model_frame(spark, sf)
+    m = md.ridge_closed_form(d.filter("is_train"), REG_FEATS, "revenue", alpha=10.0)
+    return _reg_metrics(m.predict(d), "ridge_alpha_10")
+
+
+@register("linear_regression")
+def q_linear(spark, sf):
+    """MLlib OLS on the same features."""
+    d = daily_model_frame(spark, sf)
+    m = md.linear_regression(d.filter("is_train"), REG_FEATS, "revenue")
+    return _reg_metrics(m.transform(md.assemble(d, REG_FEATS)), "linear")
+
+
+@register("gbt_regressor")
+def q_gbt_regressor(spark, sf):
+    """Boosted trees with early stopping on the last training year."""
+    d = daily_model_frame(spark, sf).withColumn("is_valid", F.year("sale_date") == 1999)
+    m = md.gbt_regressor(d.filter("is_train"), REG_FEATS, "revenue", valid_col="is_valid", maxIter=30, maxDepth=4)
+    return _reg_metrics(m.transform(md.assemble(d, REG_FEATS)), "gbt")
+
+
+NUMERIC = ["customer_tenure_days", "total_quantity", "unique_product_count", "discount_ratio", "log_payment_value"]
+
+
+def classification_frame(spark, sf):
+    """Labelled order features + date + positional split, preprocessed
+    (fit on train) into model columns."""
+    feats = ft.serving_features(master(spark, sf), SPEC).filter(F.col("label").isNotNull())
+    feats = feats.join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
+    # Lineage cut before the fit/apply steps: every later statistic scans
+    # the checkpointed feature table instead of re-running the joins.
+    sp = cut_lineage(splits.positional_cutoff_split(feats, "order_date"))
+    pre = Preprocessor(numeric=NUMERIC, binary=SPEC.binary(), categorical=SPEC.categorical_all())
+    pre.fit(sp.filter(F.col("data_split") == "train"))
+    out = pre.transform(sp, keep=["order_id", "order_date", "data_split", "label"])
+    return class_weight(out, "label"), pre.output_columns()
+
+
+def _cls_eval(model, df, feats, name):
+    p = md.positive_probability(model.transform(md.assemble(df.filter(F.col("data_split") == "validation"), feats)))
+    ap = ev.average_precision(p, "label", "probability_1")
+    roc = ev.roc_auc(p, "label", "probability_1")
+    return ap.select(F.lit(name).alias("model"), "average_precision", roc.select("roc_auc").scalar().alias("roc_auc"))
+
+
+@register("logistic_regression")
+def q_logistic(spark, sf):
+    """Class-weighted logistic regression; validation PR-AUC / ROC-AUC."""
+    d, feats = classification_frame(spark, sf)
+    m = md.logistic_regression(d.filter(F.col("data_split") == "train"), feats, "label", "weight", maxIter=50)
+    return _cls_eval(m, d, feats, "logistic")
+
+
+@register("random_forest")
+def q_random_forest(spark, sf):
+    """Class-weighted random forest (√k features per split)."""
+    d, feats = classification_frame(spark, sf)
+    m = md.random_forest(d.filter(F.col("data_split") == "train"), feats, "label", "weight", numTrees=30, maxDepth=6)
+    return _cls_eval(m, d, feats, "random_forest")
+
+
+@register("gbt_classifier")
+def q_gbt_classifier(spark, sf):
+    """Boosted-tree classifier."""
+    d, feats = classification_frame(spark, sf)
+    m = md.gbt_classifier(d.filter(F.col("data_split") == "train"), feats, "label", "weight", maxIter=20, maxDepth=3)
+    return _cls_eval(m, d, feats, "gbt")
+
+
+def _folds(d):
+    tr = d.filter(F.col("data_split") == "train")
+    return md.cache_folds(tr, splits.expanding_folds(tr, "order_date"), "order_date")
+
+
+@register("grid_search_temporal")
+def q_grid_search(spark, sf):
+    """P09 + P11 + P12: full grid on three expanding folds (fold frames
+    checkpointed once), ranked by mean PR-AUC then fold std."""
+    d, feats = classification_frame(spark, sf)
+    res = md.temporal_search(_folds(d), feats, "label", "logistic", md.param_grid({"regParam": [0.0, 0.1], "maxIter": [30]}), "weight")
+    return md.champion_selection(res)
+
+
+@register("random_search_temporal")
+def q_random_search(spark, sf):
+    """P10: seeded sample of a larger grid on the same folds."""
+    d, feats = classification_frame(spark, sf)
+    cands = md.sample_grid({"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [30]}, 2, seed=7)
+    return md.temporal_search(_folds(d), feats, "label", "logistic", cands, "weight")
+
+
+@register("final_refit_once")
+def q_final_refit(spark, sf):
+    """The locked configuration refitted on train + validation and the
+    test split scored once."""
+    d, feats = classification_frame(spark, sf)
+    fit_on = d.filter(F.col("data_split").isin("train", "validation"))
+    m = md.logistic_regression(fit_on, feats, "label", "weight", regParam=0.1, maxIter=30)
+    p = md.positive_probability(m.transform(md.assemble(d.filter(F.col("data_split") == "test"), feats)))
+    return ev.average_precision(p, "label", "probability_1").select(
+        F.lit("test").alias("split"), "average_precision", ev.roc_auc(p, "label", "probability_1").select("roc_auc").scalar().alias("roc_auc"))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    """Tree importances with share, rank and running share."""
+    d, feats = classification_frame(spark, sf)
+    m = md.gbt_classifier(d.filter(F.col("data_split") == "train"), feats, "label", "weight", maxIter=10, maxDepth=3)
+    return md.feature_importance(m, feats)

@@ -1 +1,88 @@
-"""Queries."""
+"""Queries for §2.18 batch and stream scoring."""
+
+from pyspark.sql import functions as F
+
+from basketry.operators import evaluate as ev
+from basketry.plans import features as ft
+from basketry.plans import scoring as sc
+from basketry.plans.catalog import register
+from basketry.plans.queries.q_features import SPEC, master
+from basketry.plans.queries.q_models import NUMERIC
+from basketry.plans.queries.q_rollup import PART_TYPES
+from basketry.session import cut_lineage
+from basketry.sources import io, retail
+from basketry.streaming.stream_score import start_stream_scoring
+
+CATEG = ["priority", "segment", "tenure_group"]
+
+
+def fitted_bundle(spark, sf):
+    """Order features → positional split → weighted LR pipeline fitted on
+    train; threshold = max-F1 policy on validation (stored with the model)."""
+    from basketry.operators.preprocess import class_weight
+    from basketry.operators.splits import positional_cutoff_split
+    feats = ft.serving_features(master(spark, sf), SPEC)
+    lab = feats.filter(F.col("label").isNotNull()).join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
+    sp = cut_lineage(positional_cutoff_split(lab, "order_date"))
+    train = class_weight(sp.filter(F.col("data_split") == "train"), "label")
+    binary = SPEC.binary()
+    model = sc.fit_scoring_pipeline(train, NUMERIC, CATEG, binary, "label", "weight", maxIter=50, regParam=0.01)
+    val = sc.batch_score(model, sp.filter(F.col("data_split") == "validation"), 0.5, binary=binary).join(
+        sp.select("order_id", "label"), "order_id")
+    pol = ev.threshold_policy(ev.threshold_table(val, "label", "return_probability"))
+    thr = pol.filter(F.col("policy") == "max_f1").first()["threshold"]
+    return model, float(thr), feats, binary
+
+
+@register("batch_score")
+def q_batch_score(spark, sf):
+    """Every order scored with the bundle at its locked threshold."""
+    model, thr, feats, binary = fitted_bundle(spark, sf)
+    return sc.batch_score(model, feats, thr, binary=binary)
+
+
+@register("score_summary")
+def q_score_summary(spark, sf):
+    """N, positive rate, probability range, threshold."""
+    model, thr, feats, binary = fitted_bundle(spark, sf)
+    return sc.score_summary(sc.batch_score(model, feats, thr, binary=binary))
+
+
+@register("scoring_audit")
+def q_scoring_audit(spark, sf):
+    """Bundle saved, reloaded, re-scored; max |Δp| and mismatches."""
+    model, thr, feats, binary = fitted_bundle(spark, sf)
+    path = io.scratch_path(spark, "bundle")
+    sc.save_bundle(model, spark, path, thr, feats.columns, {"n_train_cols": len(feats.columns)})
+    m2, meta = sc.load_bundle(spark, path)
+    a = sc.batch_score(model, feats, thr, binary=binary)
+    b = sc.batch_score(m2, feats, meta["threshold"], binary=binary)
+    return sc.scoring_audit(a, b)
+
+
+@register("scoring_request_shapes", """
+SELECT CASE o_orderstatus WHEN 'F' THEN 'object' WHEN 'O' THEN 'wrapper' ELSE 'list' END AS shape, NULL::VARCHAR AS reject_reason,
+       count(*) AS n_orders FROM orders GROUP BY 1""")
+def q_request_shapes(spark, sf):
+    """Object, list and wrapper payloads all parse to one row per
+    order; rejects carry a reason."""
+    req = sc.requests_from_tables(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf))
+    shape = F.when(F.trim("payload").startswith("["), "list").when(F.col("payload").startswith('{"orders"'), "wrapper").otherwise("object")
+    parsed = sc.parse_requests(req.withColumn("shape", shape))
+    return parsed.join(req.select("request_id", shape.alias("shape")), "request_id").groupBy("shape", "reject_reason").agg(
+        F.count(F.lit(1)).alias("n_orders"))
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    """Request files land in a folder, a Structured Streaming query
+    (availableNow trigger, checkpoint in the shared folder) parses, builds
+    features, scores and writes scores + rejects per micro-batch."""
+    model, thr, _feats, binary = fitted_bundle(spark, sf)
+    base = io.scratch_path(spark, "stream")
+    req = sc.requests_from_tables(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf))
+    req.write.mode("overwrite").json(f"{base}/landing")
+    q = start_stream_scoring(spark, f"{base}/landing", retail.products(spark, sf), model, thr, {"category": PART_TYPES},
+                             binary, f"{base}/out", f"{base}/checkpoint", rename={"payment_method": "priority"})
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out/scores").drop("batch_id")

@@ -20,13 +20,17 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "basketry", extra: dict | None = None) -> SparkSession:
+              app_name: str = "basketry", extra: dict | None = None, driver_memory: str | None = None) -> SparkSession:
+    """Session with the basketry defaults. ``driver_memory`` only matters in
+    local mode (the driver JVM runs the executors)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

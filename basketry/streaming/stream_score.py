@@ -20,24 +20,27 @@ from basketry.plans.scoring import batch_score, parse_requests
 
 
 def score_requests(raw: DataFrame, products: DataFrame, model: PipelineModel, threshold: float, multihot: dict,
-                   binary: list[str]):
-    """Shared batch/stream body: raw payload rows → (scores, rejects)."""
+                   binary: list[str], rename: dict | None = None):
+    """Shared batch/stream body: raw payload rows → (scores, rejects).
+    ``rename`` maps request field names to the model's feature names."""
     parsed = parse_requests(raw)
     rejects = parsed.filter(F.col("reject_reason").isNotNull()).select(
         "request_id", F.col("order.order_id").alias("order_id"), "reject_reason")
     good = parsed.filter(F.col("reject_reason").isNull()).select("order.*")
     feats = nested_order_features(good, products, multihot)
+    for src, dst in (rename or {}).items():
+        feats = feats.withColumnRenamed(src, dst)
     return batch_score(model, feats, threshold, "order_id", binary), rejects
 
 
 def start_stream_scoring(spark: SparkSession, landing: str, products: DataFrame, model: PipelineModel,
                          threshold: float, multihot: dict, binary: list[str], out: str, checkpoint: str,
-                         available_now: bool = True):
+                         available_now: bool = True, rename: dict | None = None):
     """Start the scoring stream; returns the ``StreamingQuery``."""
     src = spark.readStream.schema("request_id long, payload string").json(landing)
 
     def write_batch(batch: DataFrame, batch_id: int):
-        scores, rejects = score_requests(batch, products, model, threshold, multihot, binary)
+        scores, rejects = score_requests(batch, products, model, threshold, multihot, binary, rename)
         # A replayed batch id overwrites only its own partition (idempotent sink).
         for name, frame in (("scores", scores), ("rejects", rejects)):
             frame.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
