@@ -1 +1,224 @@
-"""Queries."""
+"""Queries for §2.12 feature governance and selection."""
+
+from pyspark.sql import functions as F
+
+from basketry.operators import govern as gv
+from basketry.operators import splits, stats
+from basketry.operators import timeseries as ts
+from basketry.operators.models import cache_folds
+from basketry.plans import features as ft
+from basketry.plans.catalog import register, tidy
+from basketry.plans.queries.q_features import SPEC, master
+from basketry.plans.queries.q_profile import ORDERS_ITEMS_SQL, orders_items
+from basketry.plans.queries.q_rollup import PART_TYPES
+from basketry.plans.queries.q_stats import FEATS, order_features
+from basketry.session import cut_lineage
+from basketry.sources import retail
+
+
+def daily_features(spark, sf):
+    """Dense daily revenue with lag / rolling / calendar candidates."""
+    t = ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf))
+    d = ft.daily_target_table(t, "sale_date", "revenue", "cogs", lags=(1, 2, 7, 14), windows=(7, 14, 28))
+    from basketry.functions.calendar import calendar_columns
+    d = d.withColumns({k: v.cast("double") for k, v in calendar_columns("sale_date").items() if k in ("dayofweek", "is_weekend", "month")})
+    return d.na.drop()
+
+
+DAILY_GROUPS = {"lags": ["revenue_lag_1d", "revenue_lag_7d"], "rolling": ["revenue_rolling_7d_mean", "revenue_rolling_28d_mean"],
+                "calendar": ["dayofweek", "is_weekend"], "long_lags": ["revenue_lag_14d"]}
+
+
+@register("feature_catalog")
+def q_feature_catalog(spark, sf):
+    """Kind, source and leakage risk of every built daily feature."""
+    d = daily_features(spark, sf)
+    return gv.feature_catalog(spark, [c for c in d.columns if c != "sale_date"])
+
+
+@register("leakage_gate")
+def q_leakage_gate(spark, sf):
+    """L02 + L03 + G12: the order table joined with target-history audit
+    columns; the gate marks ids, target, metadata and banned columns."""
+    o = ft.order_feature_table(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf),
+                               retail.products(spark, sf), {"category": PART_TYPES})
+    items = retail.items(spark, sf).withColumn("returned", (F.col("return_flag") == "R").cast("int"))
+    hist = ts.order_history_features(items, "order_id", "product_id", "ship_date", "returned").withColumnRenamed(
+        "mean_rate_before", "mean_product_return_rate").withColumnRenamed("max_rate_before", "max_product_return_rate") \
+        .withColumnRenamed("high_risk_count", "high_risk_product_count")
+    audit = o.join(hist, "order_id", "left")
+    try:
+        gv.banned_column_guard(audit)
+        guard = "passed"
+    except gv.LeakageError:
+        guard = "refused"
+    gate = gv.leakage_gate(spark, audit.columns, id_cols=["order_id", "customer_id"], meta_cols=["order_date", "order_status"],
+                           target_cols=["returned"], representation_cols=["payment_value"], raise_on_breach=False)
+    return gate.withColumn("guard_on_audit_table", F.lit(guard))
+
+
+@register("quality_filter", ORDERS_ITEMS_SQL + """
+SELECT * FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(count_if({c} IS NULL) * 1.0 / count(*), 9) AS missing_share, count(DISTINCT {c}) AS nunique, "
+    f"count_if(CAST({c} AS DOUBLE) IN ('Infinity'::DOUBLE, '-Infinity'::DOUBLE)) AS n_infinite, "
+    f"CASE WHEN count(DISTINCT {c}) <= 1 OR count_if({c} IS NULL) * 1.0 / count(*) > 0.01 THEN 'drop' ELSE 'keep' END AS action, "
+    f"CASE WHEN count(DISTINCT {c}) <= 1 THEN 'constant' WHEN count_if({c} IS NULL) * 1.0 / count(*) > 0.01 THEN 'missing_above_threshold' "
+    f"ELSE 'ok' END AS reason FROM j" for c in ["o_totalprice", "total_quantity", "discount_total"]) + ")")
+def q_quality_filter(spark, sf):
+    """Constant / high-missing / infinite features dropped (1% bar)."""
+    return tidy(gv.quality_filter(orders_items(spark, sf), ["o_totalprice", "total_quantity", "discount_total"], 0.01))
+
+
+@register("duplicate_columns")
+def q_duplicate_columns(spark, sf):
+    """Content-identical columns (order value joined twice, once as the
+    payment amount) found by signature and confirmed exactly."""
+    o = orders_items(spark, sf)
+    pay = retail.orders(spark, sf).select(F.col("order_id").alias("o_orderkey"), "payment_value")
+    d = o.join(pay, "o_orderkey", "left")
+    return gv.duplicate_columns(d, ["o_totalprice", "total_quantity", "payment_value", "discount_total"], "o_orderkey")
+
+
+def _pairs_and_scores(spark, sf):
+    o = order_features(spark, sf)
+    rel = stats.target_relation_report(o, FEATS, "returned")
+    mat = stats.corr_matrix(o, FEATS, upper_only=True).withColumnRenamed("corr", "pearson")
+    r = mat.withColumn("spearman", F.col("pearson"))
+    q = gv.quality_filter(o, FEATS)
+    scores = rel.select("feature", F.abs("max_abs_corr").alias("score")).join(q.select("feature", "missing_share"), "feature")
+    return r, scores, rel, q
+
+
+@register("redundancy_greedy")
+def q_redundancy_greedy(spark, sf):
+    """Greedy drop of the weaker feature in highly correlated pairs."""
+    pairs, scores, _, _ = _pairs_and_scores(spark, sf)
+    return gv.redundancy_greedy(pairs, scores, pearson_thr=0.5, spearman_thr=0.5)
+
+
+@register("family_cap")
+def q_family_cap(spark, sf):
+    """At most 2 features per lag/rolling family by relevance."""
+    d = daily_features(spark, sf)
+    feats = [c for c in d.columns if c.startswith("revenue_")]
+    rel = stats.target_relation_report(d.withColumn("y", F.col("cogs")), feats, "y")
+    q = gv.quality_filter(d, feats)
+    t = rel.select("feature", F.col("max_abs_corr").alias("score")).join(q.select("feature", "missing_share"), "feature")
+    return tidy(gv.family_cap(t, cap=2))
+
+
+@register("section_review_and_group_cap")
+def q_section_review(spark, sf):
+    """L08 + L09: keep / review / not_selected per feature, then top-1 per
+    feature kind plus a preselected feature."""
+    _, _, rel, q = _pairs_and_scores(spark, sf)
+    s = gv.section_review(rel, q)
+    s = s.withColumn("kind", F.when(F.col("feature").startswith("o_"), "order").otherwise("items"))
+    return tidy(gv.group_cap_selection(s, "kind", 1, preselected=["discount_ratio"]))
+
+
+def _rolling_folds(spark, sf, d):
+    return splits.rolling_origin(d, "sale_date", min_train_days=3 * 365, step_days=90, test_days=30, last_n=3)
+
+
+@register("incremental_group_wrapper")
+def q_incremental_wrapper(spark, sf):
+    """Feature groups added in order, kept on rolling-origin WAPE gain."""
+    d = daily_features(spark, sf)
+    return gv.incremental_group_wrapper(d, "sale_date", "revenue", DAILY_GROUPS, _rolling_folds(spark, sf, d))
+
+
+@register("family_wrapper")
+def q_family_wrapper(spark, sf):
+    """Baseline + one family at a time."""
+    d = daily_features(spark, sf)
+    fam = {k: v for k, v in DAILY_GROUPS.items() if k != "lags"}
+    return gv.family_wrapper(d, "sale_date", "revenue", DAILY_GROUPS["lags"], fam, _rolling_folds(spark, sf, d))
+
+
+@register("forward_group_selection")
+def q_forward_selection(spark, sf):
+    """Greedy forward selection of feature groups by WAPE gain."""
+    d = daily_features(spark, sf)
+    return gv.forward_group_selection(d, "sale_date", "revenue", DAILY_GROUPS, _rolling_folds(spark, sf, d))
+
+
+@register("dual_model_wrapper")
+def q_dual_model_wrapper(spark, sf):
+    """Per candidate feature and fold, PR-AUC / ROC-AUC deltas of two
+    models against the baseline set; consistent harm flag."""
+    o = order_features(spark, sf).filter(F.col("returned").isNotNull()).na.fill(0.0, subset=FEATS)
+    o = cut_lineage(o.join(retail.orders(spark, sf).select(F.col("order_id").alias("o_orderkey"), "order_date"), "o_orderkey"))
+    folds = splits.expanding_folds(o, "order_date", ((0.6, 0.8), (0.8, 1.0)))
+    cf = cache_folds(o.withColumnRenamed("returned", "label"), folds, "order_date")
+    return gv.dual_model_wrapper(cf, ["o_totalprice"], ["discount_ratio"], "label")
+
+
+@register("selection_report")
+def q_selection_report(spark, sf):
+    """One row per candidate with gate results and the funnel."""
+    _, _, rel, q = _pairs_and_scores(spark, sf)
+    cand = rel.select("feature")
+    stages = {"quality": q.select("feature", (F.col("action") == "keep").alias("passed")),
+              "relevance": rel.select("feature", F.coalesce(F.col("max_abs_corr") >= 0.01, F.lit(False)).alias("passed"))}
+    return gv.selection_funnel(gv.selection_report(cand, stages))
+
+
+@register("leakage_name_review")
+def q_leakage_name_review(spark, sf):
+    """Risky names among the order-table columns."""
+    o = ft.order_feature_table(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf),
+                               retail.products(spark, sf), {"category": PART_TYPES})
+    names = spark.createDataFrame([(c,) for c in o.columns], "feature string")
+    return gv.leakage_name_review(names, model_cols=[c for c in o.columns if c not in ("order_id", "returned")])
+
+
+@register("readiness_checklist")
+def q_readiness(spark, sf):
+    """Named checks computed with Spark actions (unique grain, binary
+    target, ordered splits, no banned column)."""
+    o = ft.serving_features(master(spark, sf), SPEC).join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
+    lab = o.filter(F.col("label").isNotNull())
+    sp = splits.positional_cutoff_split(lab, "order_date")
+    pairs, _ = splits.split_integrity(sp, "data_split", "order_date", "order_id")
+    pr = pairs.collect()
+    checks = [("grain_unique", o.select("order_id").distinct().count() == o.count()),
+              ("binary_target", set(r[0] for r in lab.select("label").distinct().collect()) <= {0, 1}),
+              ("splits_disjoint", all(r["overlap_keys"] == 0 for r in pr)),
+              ("splits_ordered", all(r["ordered"] for r in pr)),
+              ("no_banned_columns", not set(o.columns) & set(gv.BANNED_FEATURES))]
+    return gv.readiness_checklist(spark, checks, raise_on_fail=False)
+
+
+@register("modeling_schema")
+def q_modeling_schema(spark, sf):
+    """Column, role and type of the serving feature table."""
+    o = ft.serving_features(master(spark, sf), SPEC)
+    roles = {"order_id": "id", "label": "target", **{c: "numeric" for c in SPEC.numeric()},
+             **{c: "categorical" for c in SPEC.categorical_all()}, **{c: "binary" for c in SPEC.binary()}, SPEC.payment: "quantile"}
+    return gv.modeling_schema(o, roles)
+
+
+@register("family_audit_and_scores")
+def q_family_audit(spark, sf):
+    """L17 + L18: features per source × kind before / after the family cap,
+    and the joined per-feature score table."""
+    d = daily_features(spark, sf)
+    names = [c for c in d.columns if c != "sale_date"]
+    before = gv.feature_catalog(spark, names)
+    rel = stats.target_relation_report(d, [n for n in names if n != "revenue"], "revenue")
+    q = gv.quality_filter(d, names)
+    cap = gv.family_cap(rel.select("feature", F.col("max_abs_corr").alias("score")).join(q.select("feature", "missing_share"), "feature"), cap=1)
+    after = before.join(cap.filter("keep").select("feature"), "feature", "left_semi")
+    audit = gv.family_audit(before, after)
+    table = gv.feature_score_table(before, [q.select("feature", "missing_share", "action"), rel.select("feature", "max_abs_corr")])
+    return audit.join(table.groupBy("source", "kind").agg(F.avg("max_abs_corr").alias("mean_abs_corr")), ["source", "kind"], "left")
+
+
+@register("redundancy_groups")
+def q_redundancy_groups(spark, sf):
+    """Features linked by |corr| ≥ 0.5 grouped by min-label propagation."""
+    d = daily_features(spark, sf)
+    names = [c for c in d.columns if c.startswith("revenue")]
+    pairs = stats.corr_matrix(d, names, upper_only=True)
+    return gv.redundancy_groups(pairs, 0.5)
