@@ -86,17 +86,20 @@ WRAPPER_KEYS = ["orders", "records", "data"]
 def parse_requests(raw: DataFrame, payload: str = "payload", request_id: str = "request_id") -> DataFrame:
     """Payloads may be one order object, a list of orders, or a wrapper
     {"orders" | "records" | "data": [...]} — all become one row per order,
-    with a ``reject_reason`` (empty request, missing order_id, unparseable)."""
+    with a ``reject_reason`` (empty request, missing order_id, unparseable).
+    The shape is recognised from the text first, so every payload is parsed
+    exactly once."""
     arr_t = T.ArrayType(ORDER_SCHEMA)
     wrap_t = T.StructType([T.StructField(k, arr_t) for k in WRAPPER_KEYS])
     txt = F.trim(F.col(payload))
-    as_list = F.when(txt.startswith("["), F.from_json(txt, arr_t))
-    wrapped = F.when(txt.startswith("{"), F.from_json(txt, wrap_t))
-    single = F.when(txt.startswith("{"), F.from_json(txt, ORDER_SCHEMA))
-    is_wrapper = F.coalesce(*[F.col("_w")[k].isNotNull() for k in WRAPPER_KEYS])
-    orders = F.when(F.col("_l").isNotNull(), F.col("_l")).when(is_wrapper, F.coalesce(*[F.col("_w")[k] for k in WRAPPER_KEYS])) \
-        .when(F.col("_s").isNotNull(), F.array(F.col("_s")))
-    p = raw.select(request_id, as_list.alias("_l"), wrapped.alias("_w"), single.alias("_s"))
+    is_list = txt.startswith("[")
+    is_wrapper = F.regexp_extract(txt, r'^\{\s*"(orders|records|data)"\s*:', 1) != ""
+    is_object = txt.startswith("{") & ~is_wrapper
+    p = raw.select(request_id, F.when(is_list, F.from_json(txt, arr_t)).alias("_l"),
+                   F.when(is_wrapper, F.from_json(txt, wrap_t)).alias("_w"),
+                   F.when(is_object, F.from_json(txt, ORDER_SCHEMA)).alias("_s"))
+    orders = F.coalesce(F.col("_l"), *[F.col("_w")[k] for k in WRAPPER_KEYS],
+                        F.when(F.col("_s").isNotNull(), F.array(F.col("_s"))))
     p = p.select(request_id, orders.alias("_orders"))
     bad_req = p.filter(F.col("_orders").isNull() | (F.size("_orders") == 0)).select(
         request_id, F.lit(None).cast(ORDER_SCHEMA).alias("order"),
