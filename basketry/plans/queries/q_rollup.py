@@ -130,13 +130,26 @@ def _pivot_sql(row_expr, row_alias, pivot_col, values, agg, measure, src, prefix
     return f"SELECT {row_expr} AS {row_alias}, {', '.join(cols)} FROM {src} {where} GROUP BY 1"
 
 
-@register("crosstab_counts", LINES_SQL + _pivot_sql("EXTRACT(year FROM ship_date)", "year", "category", PART_TYPES[:4],
-                                                    "count", None, "lines", "category"))
+TOP4_SQL = """,
+top AS (SELECT category FROM lines WHERE category IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, category LIMIT 4)
+"""
+
+
+@register("crosstab_counts", LINES_SQL + TOP4_SQL + """
+SELECT EXTRACT(year FROM ship_date) AS year, 'category_' || lower(category) AS variable,
+       CAST(count(*) AS DOUBLE) AS value FROM lines WHERE category IN (SELECT category FROM top) GROUP BY 1, 2
+UNION ALL
+SELECT y.year, 'category_' || lower(t.category), 0.0 FROM (SELECT DISTINCT EXTRACT(year FROM ship_date) AS year FROM lines) y, top t
+WHERE NOT EXISTS (SELECT 1 FROM lines l WHERE EXTRACT(year FROM l.ship_date) = y.year AND l.category = t.category)""")
 def q_crosstab_counts(spark, sf):
-    """year × top-4 category line counts (top-k computed from data)."""
+    """year × top-4 category line counts (top-k computed from the data;
+    the wide result is shown in long form so its data-dependent column
+    names can be checked)."""
+    from basketry.operators.topk import melt
     ln = lines(spark, sf)
     top = rollup.top_values(ln, "category", 4)
-    return rollup.crosstab_counts(ln.withColumn("year", F.year("ship_date")), "year", "category", values=top)
+    wide = rollup.crosstab_counts(ln.withColumn("year", F.year("ship_date")), "year", "category", values=top)
+    return melt(wide, "year", [c for c in wide.columns if c != "year"])
 
 
 @register("pivot_sum", with_roles("items") + _pivot_sql("EXTRACT(year FROM ship_date)", "year", "return_flag", RETURN_FLAGS,
@@ -165,13 +178,17 @@ def q_pivot_nunique(spark, sf):
     return rollup.pivot_agg(it, "year", "return_flag", RETURN_FLAGS, "nunique", "order_id", prefix="orders")
 
 
-@register("category_share", LINES_SQL + "SELECT EXTRACT(year FROM ship_date) AS year, " + ", ".join(
-    f"round(sum(CASE WHEN category = '{v}' THEN quantity ELSE 0 END) / nullif(sum(quantity), 0), 9) AS share_{v.lower()}"
-    for v in PART_TYPES[:4]) + " FROM lines GROUP BY 1")
+@register("category_share", LINES_SQL + TOP4_SQL + """,
+yt AS (SELECT EXTRACT(year FROM ship_date) AS year, sum(quantity) AS tot FROM lines GROUP BY 1),
+yc AS (SELECT EXTRACT(year FROM ship_date) AS year, category, sum(quantity) AS q FROM lines GROUP BY 1, 2)
+SELECT yt.year, 'share_' || lower(t.category) AS variable, round(coalesce(yc.q, 0) / nullif(tot, 0), 9) AS value
+FROM yt CROSS JOIN top t LEFT JOIN yc ON yc.year = yt.year AND yc.category = t.category""")
 def q_category_share(spark, sf):
-    """yearly quantity share of the top 4 categories."""
+    """yearly quantity share of the top 4 categories (long form)."""
+    from basketry.operators.topk import melt
     ln = lines(spark, sf).withColumn("year", F.year("ship_date"))
-    return tidy(rollup.category_share(ln, "year", "category", "quantity", rollup.top_values(ln, "category", 4)))
+    wide = rollup.category_share(ln, "year", "category", "quantity", rollup.top_values(ln, "category", 4))
+    return tidy(melt(wide, "year", [c for c in wide.columns if c != "year"]))
 
 
 @register("multihot", LINES_SQL + "SELECT order_id, " + ", ".join(

@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 @pytest.fixture(scope="session")
 def spark():
     from basketry.session import get_spark
-    s = get_spark("local[4]", shuffle_partitions=8, app_name="basketry-tests", driver_memory="6g")
+    s = get_spark("local[8]", shuffle_partitions=8, app_name="basketry-tests", driver_memory="8g")
     yield s
 
 
