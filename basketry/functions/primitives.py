@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,6 +86,30 @@ def exact_quantiles(df: DataFrame, col: str, probs, group_by=(), out: str = "q")
     return df.groupBy(*g).agg(agg) if g else df.agg(agg)
 
 
+def exact_quantiles(df: DataFrame, col: str, probs) -> list:
+    """Exact linear-interpolated quantiles (pandas / DuckDB
+    ``quantile_cont``) of a whole column *without* holding all values in one
+    task: counts per distinct value (partial aggregation), a distributed
+    prefix sum of those counts, then one aggregate picks the values at the
+    needed 0-based positions ⌊h⌋ and ⌈h⌉, h = (n − 1)·p. Returns a Python
+    list (NULL values ignored; ``None`` for an empty column)."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    ps = prefix_sum(counts, "_v", "_n", inclusive=False)
+    n = counts.agg(F.sum("_n")).first()[0]
+    if not n:
+        return [None for _ in probs]
+    hs = [(n - 1) * float(p) for p in probs]
+    pos = sorted({int(math.floor(h)) for h in hs} | {int(math.ceil(h)) for h in hs})
+    at = ps.agg(*[F.max(F.when((F.col("cum__n") <= t) & (F.lit(t) < F.col("cum__n") + F.col("_n")), F.col("_v"))).alias(f"p{t}")
+                  for t in pos]).first()
+    out = []
+    for h in hs:
+        lo, hi = at[f"p{int(math.floor(h))}"], at[f"p{int(math.ceil(h))}"]
+        out.append(lo + (hi - lo) * (h - math.floor(h)))
+    return out
+
+
 def quantile_scalar(df: DataFrame, col: str, probs, approx: bool = False) -> Column:
     """Scalar subquery with the quantile array of a column (one value for
     every row, computed once)."""

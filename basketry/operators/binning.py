@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.primitives import prefix_sum
+from basketry.functions.primitives import exact_quantiles, prefix_sum
 
 
 def cut_fixed(x, edges: list[float], labels: list | None = None, right: bool = True,
@@ -31,11 +31,13 @@ def cut_fixed(x, edges: list[float], labels: list | None = None, right: bool = T
 
 
 def quantile_edges(df: DataFrame, col: str, q: int | None = None, probs=None) -> Column:
-    """J02 edges: exact percentiles at 0, 1/q, …, 1 with duplicates dropped
-    (a scalar-subquery array)."""
+    """J02 edges: exact interpolated percentiles at 0, 1/q, …, 1 with
+    duplicates dropped. Computed with the distributed exact quantile (no
+    task holds all distinct values) and returned as a literal array."""
     probs = probs or [i / q for i in range(q + 1)]
-    arr = F.percentile(F.col(col), F.array(*[F.lit(float(p)) for p in probs]))
-    return df.select(F.array_distinct(arr)).scalar()
+    vals = [v for v in exact_quantiles(df, col, probs) if v is not None]
+    uniq = sorted(set(vals))
+    return F.array(*[F.lit(float(v)) for v in uniq]) if uniq else F.array().cast("array<double>")
 
 
 def bin_by_edges(x, edges: Column, right: bool = True) -> Column:
@@ -83,9 +85,9 @@ def qcut_on_rank(df: DataFrame, col: str, q: int, tiebreak, out: str = "bin", la
 
 def train_fitted_edges(train: DataFrame, col: str, q: int) -> Column:
     """Quantile edges fitted on train only; outer edges → ±inf."""
-    e = quantile_edges(train, col, q)
-    n = F.size(e)
-    return F.concat(F.array(F.lit(float("-inf"))), F.slice(e, 2, n - 2), F.array(F.lit(float("inf"))))
+    vals = [v for v in exact_quantiles(train, col, [i / q for i in range(q + 1)]) if v is not None]
+    inner = sorted(set(vals[1:-1])) if len(vals) > 2 else []
+    return F.array(*[F.lit(float(v)) for v in [float("-inf"), *inner, float("inf")]])
 
 
 def apply_train_bins(df: DataFrame, col: str, edges: Column, out: str = "bin", right: bool = True) -> DataFrame:

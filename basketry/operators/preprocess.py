@@ -26,9 +26,11 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def fit_median(train: DataFrame, cols: list[str]) -> DataFrame:
-    """Exact train medians (pandas ``median``)."""
-    return train.agg(*[F.percentile(_q(c).cast("double"), F.lit(0.5)).alias(c) for c in cols])
+def fit_median(train: DataFrame, cols: list[str]) -> dict:
+    """Exact train medians (pandas ``median``) with the distributed
+    exact quantile — one value per column."""
+    from basketry.functions.primitives import exact_quantiles
+    return {c: exact_quantiles(train, c, [0.5])[0] for c in cols}
 
 
 def _state_row(state) -> dict:
@@ -117,9 +119,9 @@ def apply_one_hot(df: DataFrame, col: str, levels: list, drop_source: bool = Tru
 def train_fitted_edges_values(train: DataFrame, col: str, n_bins: int) -> list[float]:
     """Train quantile edges as driver values (n_bins + 1 numbers), outer
     edges ±inf, duplicates dropped."""
-    probs = [i / n_bins for i in range(n_bins + 1)]
-    e = train.select(F.percentile(_q(col).cast("double"), F.array(*[F.lit(p) for p in probs]))).first()[0]
-    inner = sorted(set(e[1:-1]))
+    from basketry.functions.primitives import exact_quantiles
+    e = exact_quantiles(train, col, [i / n_bins for i in range(n_bins + 1)])
+    inner = sorted(set(v for v in e[1:-1] if v is not None))
     return [float("-inf"), *inner, float("inf")]
 
 
@@ -170,7 +172,7 @@ class Preprocessor:
 
     def fit(self, train: DataFrame) -> "Preprocessor":
         if self.numeric:
-            med = _state_row(fit_median(train, self.numeric))
+            med = fit_median(train, self.numeric)
             self.state["median"] = med
             self.state["scale"] = _state_row(fit_scaler(apply_fill(train, med, self.numeric), self.numeric, self.ddof))
         if self.categorical:

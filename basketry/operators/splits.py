@@ -74,15 +74,18 @@ def expanding_folds(df: DataFrame, date_col: str, fractions=((0.55, 0.70), (0.70
 
 def fold_membership(df: DataFrame, folds: DataFrame, date_col: str) -> DataFrame:
     """Rows × folds they belong to, with ``role`` train / validation. The
-    fold table is tiny (a handful of rows), so it is broadcast; the join is
-    a range condition on the date, not a cross product of rows."""
-    f = F.broadcast(folds)
+    fold table has a handful of rows; its bounds become literal conditions,
+    so each row is tagged with the folds it belongs to and exploded — no
+    join and no row × fold product beyond real memberships."""
     c = F.col(date_col)
-    role = F.when(c < F.col("train_end"), "train").when(
-        (c >= F.col("train_end")) & ((c < F.col("valid_end")) | (F.col("closed_right") & (c == F.col("valid_end")))),
-        "validation")
-    cond = (c < F.col("train_end")) | ((c >= F.col("train_end")) & (c <= F.col("valid_end")))
-    return df.join(f, cond, "inner").withColumn("role", role).filter(F.col("role").isNotNull())
+    tags = []
+    for f in folds.orderBy("fold").collect():
+        te, ve = F.lit(f["train_end"]), F.lit(f["valid_end"])
+        in_valid = (c >= te) & ((c < ve) | (F.lit(bool(f["closed_right"])) & (c == ve)))
+        tags.append(F.when(c < te, F.struct(F.lit(f["fold"]).alias("fold"), F.lit("train").alias("role")))
+                    .when(in_valid, F.struct(F.lit(f["fold"]).alias("fold"), F.lit("validation").alias("role"))))
+    m = df.withColumn("_tags", F.filter(F.array(*tags), lambda t: t.isNotNull()))
+    return m.withColumn("_t", F.explode("_tags")).select("*", "_t.fold", "_t.role").drop("_tags", "_t")
 
 
 def fold_audit(df: DataFrame, folds: DataFrame, date_col: str, target: str | None = None) -> DataFrame:

@@ -46,9 +46,13 @@ def spearman_long(long: DataFrame, keys: list[str]) -> DataFrame:
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """Pairwise-complete Spearman of two columns (one-row frame)."""
-    long = df.select(F.lit(a).alias("feature"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) \
+    long = df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) \
         .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return spearman_long(long, ["feature"])
+    # one pair: global ranks (no constant partition key, which Catalyst
+    # would fold into a keyless join)
+    r = average_rank(average_rank(long, "x", (), "rx"), "y", (), "ry")
+    return r.agg(F.corr("rx", "ry").alias("spearman"), F.count(F.lit(1)).alias("n_pairs")).select(
+        F.lit(a).alias("feature"), "spearman", "n_pairs")
 
 
 def target_relation_report(df: DataFrame, features: list[str], target: str, min_pairs: int = MIN_PAIRS) -> DataFrame:
