@@ -178,3 +178,20 @@ def is_finite(x) -> Column:
 
 def pi() -> Column:
     return F.lit(math.pi)
+
+
+def normalised_key(x) -> Column:
+    """Text key normalisation: trim, drop a trailing '.0…' ("609.0" → "609")."""
+    return F.regexp_replace(F.trim(_c(x).cast("string")), r"\.0+$", "")
+
+
+def nested_item_totals(items) -> dict[str, Column]:
+    """Totals of an ``array<struct<product_id, quantity, unit_price,
+    …>>`` column with higher-order functions (no explode, no shuffle)."""
+    it = _c(items)
+    return {
+        "n_items": F.size(it),
+        "total_quantity": F.aggregate(it, F.lit(0.0), lambda acc, x: acc + F.coalesce(x["quantity"], F.lit(0.0))),
+        "gross": F.aggregate(it, F.lit(0.0), lambda acc, x: acc + F.coalesce(x["quantity"] * x["unit_price"], F.lit(0.0))),
+        "n_products": F.size(F.array_distinct(F.transform(it, lambda x: normalised_key(x["product_id"])))),
+    }

@@ -157,3 +157,19 @@ def q_select_ladder(spark, sf):
     p = F.col("o_totalprice")
     lad = X.select_ladder([(p >= 400000, "xl"), (p >= 200000, "l"), (p >= 100000, "m")], "s")
     return table(spark, sf, "orders").groupBy(lad.alias("size_class")).agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+@register("nested_fields", """
+SELECT l_orderkey AS order_id, count(*) AS n_items, round(sum(l_quantity), 2) AS total_quantity,
+       round(sum(l_quantity * (l_extendedprice / l_quantity)), 4) AS gross, count(DISTINCT l_partkey) AS n_products
+FROM lineitem GROUP BY 1""")
+def q_nested_fields(spark, sf):
+    """Order records with an ``items`` array of structs (built from the
+    tables as JSON), parsed with from_json and reduced with higher-order
+    functions — size, aggregate, transform + array_distinct."""
+    from basketry.functions.expr import nested_item_totals
+    from basketry.plans.scoring import parse_requests, requests_from_tables
+    req = requests_from_tables(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf))
+    o = parse_requests(req).filter(F.col("reject_reason").isNull()).select("order.*")
+    o = o.filter(F.size("items") > 0)
+    return tidy(o.select("order_id", *[v.alias(k) for k, v in nested_item_totals("items").items()]), 4, {"total_quantity": 2})

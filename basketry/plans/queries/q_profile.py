@@ -308,3 +308,16 @@ def q_percentile_outlier_days(spark, sf):
     from basketry.plans.features import daily_sales
     d = daily_sales(retail.items(spark, sf), retail.products(spark, sf))
     return tidy(profile.percentile_outlier_days(d, "sale_date", "revenue", "cogs"))
+
+
+@register("quick_eda")
+def q_quick_eda(spark, sf):
+    """C20: the one-call bundle (schema, missing, duplicates, numeric,
+    categorical, target relation) for the order table; one summary row per
+    report."""
+    from functools import reduce
+    from basketry.plans.queries.q_stats import order_features
+    o = order_features(spark, sf)
+    bundle = profile.quick_eda(o, target="returned", keys=["o_orderkey"], categorical=["o_orderpriority", "o_orderstatus"])
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("report"), "n_rows") for name, df in bundle.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -420,3 +420,32 @@ def q_top_risk_join(spark, sf):
     rev = top_k(ln.groupBy("product_id").agg(F.sum("net").alias("revenue")), "revenue", 30, tiebreak=["product_id"])
     risk = rollup.return_impact(ln, "product_id", "returned", "quantity", "refund", "net").select("product_id", "return_rate", "refund")
     return tidy(rev.join(risk, "product_id", "left"), 4, {"return_rate": 9})
+
+
+@register("yoy_growth_geomean", LINES_SQL + """,
+d AS (SELECT ship_date, sum(net) AS revenue FROM lines GROUP BY 1),
+y AS (SELECT year(ship_date) AS year, sum(revenue) AS total, min(ship_date) AS a, max(ship_date) AS b FROM d GROUP BY 1),
+c AS (SELECT * FROM y WHERE month(a) = 1 AND day(a) = 1 AND month(b) = 12 AND day(b) = 31),
+g AS (SELECT total / lag(total) OVER (ORDER BY year) AS r FROM c)
+SELECT count(r) AS n_growth_years, round(exp(avg(ln(r))), 9) AS geomean_ratio, round(exp(avg(ln(r))) - 1, 9) AS geomean_growth FROM g""")
+def q_yoy_growth(spark, sf):
+    """Π(1 + yoy)^(1/n) over complete calendar years of daily revenue."""
+    d = lines(spark, sf).groupBy("ship_date").agg(F.sum("net").alias("revenue"))
+    return tidy(rollup.yoy_growth_geomean(d, "ship_date", "revenue"))
+
+
+@register("group_apply_aggregates", LINES_SQL + """
+SELECT category, round(sum(CASE WHEN discount_rate IS NOT NULL AND quantity IS NOT NULL AND quantity <> 0 THEN discount_rate * quantity END)
+                        / sum(CASE WHEN discount_rate IS NOT NULL AND quantity IS NOT NULL AND quantity <> 0 THEN quantity END), 9) AS qty_weighted_discount,
+       round(max(net) / sum(net), 9) AS top_line_share, arg_max(order_id, (net, order_id)) AS top_order_id,
+       round(quantile_cont(quantity, 0.5), 9) AS median_quantity FROM lines GROUP BY 1""")
+def q_group_apply(spark, sf):
+    """The reference's ``groupby.apply`` lambdas (weighted mean, share of
+    the largest line, arg-max, median) as built-in aggregates — no group is
+    materialised in one task."""
+    ln = lines(spark, sf)
+    return tidy(ln.groupBy("category").agg(
+        rollup.weighted_mean("discount_rate", "quantity").alias("qty_weighted_discount"),
+        F.try_divide(F.max("net"), F.sum("net")).alias("top_line_share"),
+        F.max_by("order_id", F.struct("net", "order_id")).alias("top_order_id"),
+        F.percentile(F.col("quantity"), F.lit(0.5)).alias("median_quantity")))

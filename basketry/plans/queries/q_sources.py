@@ -133,3 +133,17 @@ def q_fingerprint(spark, sf):
     """Order-insensitive content hash + row count per table (xxhash64 has
     no DuckDB twin, so this one is checked by invariants in the tests)."""
     return io.dataset_fingerprint({t: table(spark, sf, t) for t in ["region", "nation", "customer", "orders"]})
+
+
+@register("clean_column_names", """
+SELECT n_nationkey AS nation_key, n_name AS nation_name, n_regionkey AS region_key FROM nation""")
+def q_clean_column_names(spark, sf):
+    """A CSV whose header carries a BOM, padding and mixed case is read
+    back with trimmed, lower-cased names."""
+    path = io.scratch_path(spark, "dirty_header")
+    n = table(spark, sf, "nation")
+    dirty = n.select(F.col("n_nationkey").alias("﻿ Nation_Key "), F.col("n_name").alias("  Nation_Name"),
+                     F.col("n_regionkey").alias("Region_Key  "))
+    io.csv_sink(dirty, path)
+    back = io.read_csv(spark, path, lower_names=True)
+    return back.select(F.col("nation_key").cast("int"), "nation_name", F.col("region_key").cast("int"))
