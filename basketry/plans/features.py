@@ -76,7 +76,7 @@ def serving_features(master: DataFrame, spec: OrderFeatureSpec, history: DataFra
     categorical, binary and quantile inputs. Banned (target-history)
     columns are refused; a missing required column raises. Item rows are
     reduced to the order in ONE aggregate (sums, distinct products, multi-hot
-    max, order attributes as min — constant per order)."""
+    max, order attributes as min — deterministic first value per order)."""
     banned_column_guard(master)
     need = [spec.order, spec.customer, spec.date, spec.product, spec.qty, spec.unit_price, spec.discount, spec.payment,
             *spec.categorical, *spec.multihot]
@@ -87,6 +87,9 @@ def serving_features(master: DataFrame, spec: OrderFeatureSpec, history: DataFra
     attrs += [spec.cash_col] if spec.cash_col and spec.cash_col not in attrs else []
     mh = [F.max(F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0))).alias(f"{c}_{slugify(v)}")
           for c, vals in spec.multihot.items() for v in vals]
+    # Order attributes are taken as min() per order: deterministic even if a
+    # master table carries conflicting values for one order (grouping by
+    # them would split the order instead).
     o = master.groupBy(spec.order).agg(
         *[F.min(a).alias(a) for a in attrs],
         F.sum(spec.qty).alias("total_quantity"), F.count_distinct(spec.product).alias("unique_product_count"),

@@ -101,12 +101,11 @@ def parse_requests(raw: DataFrame, payload: str = "payload", request_id: str = "
     orders = F.coalesce(F.col("_l"), *[F.col("_w")[k] for k in WRAPPER_KEYS],
                         F.when(F.col("_s").isNotNull(), F.array(F.col("_s"))))
     p = p.select(request_id, orders.alias("_orders"))
-    bad_req = p.filter(F.col("_orders").isNull() | (F.size("_orders") == 0)).select(
-        request_id, F.lit(None).cast(ORDER_SCHEMA).alias("order"),
-        F.when(F.col("_orders").isNull(), "unparseable").otherwise("empty_request").alias("reject_reason"))
-    rows = p.filter(F.size("_orders") > 0).select(request_id, F.explode("_orders").alias("order"))
-    rows = rows.withColumn("reject_reason", F.when(F.col("order.order_id").isNull(), "missing_order_id"))
-    return rows.unionByName(bad_req)
+    # one pass: explode_outer keeps a single NULL row for empty / unparseable requests
+    req_reason = F.when(F.col("_orders").isNull(), "unparseable").when(F.size("_orders") == 0, "empty_request")
+    rows = p.select(request_id, req_reason.alias("_rr"), F.explode_outer("_orders").alias("order"))
+    reason = F.coalesce(F.col("_rr"), F.when(F.col("order.order_id").isNull(), "missing_order_id"))
+    return rows.select(request_id, "order", reason.alias("reject_reason"))
 
 
 def requests_from_tables(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
