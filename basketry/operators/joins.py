@@ -132,10 +132,12 @@ def interval_active(spine: DataFrame, intervals: DataFrame, start: str, end: str
     active count, and mean / sum / max of ``measure``.
 
     count and sum use a sweep (+v at start, −v at end+1, running sum over the
-    day axis), which is linear in the number of intervals; max needs the
-    covered days, so it expands intervals with ``sequence``. Intervals with
-    NULL bounds or start > end are ignored. Never a day × interval cross
-    join."""
+    day axis), linear in the number of intervals. max is not invertible, so
+    it uses a dyadic (segment-tree) cover: each interval emits at most two
+    aligned blocks per level, block maxima are aggregated, and each day
+    takes the max over its ancestor blocks — O(n·log L) rows instead of one
+    row per covered day. Intervals with NULL bounds or start > end are
+    ignored. Never a day × interval cross join."""
     from pyspark.sql import Window
     iv = intervals.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)))
     m = F.col(measure).cast("double") if measure else F.lit(0.0)
@@ -158,12 +160,41 @@ def interval_active(spine: DataFrame, intervals: DataFrame, start: str, end: str
         out = (out.withColumn("active_sum", F.when(F.col("_cnt") > 0, F.col("_sum")).otherwise(F.lit(0.0)))
                .withColumn("active_mean", F.when(F.col("_cnt") > 0, F.col("_sum") / F.col("_cnt"))))
         if with_max:
-            days = v.select(F.explode(F.sequence("_s", "_e")).alias(day_col), "_m")
-            mx = days.groupBy(day_col).agg(F.max("_m").alias("active_max"))
-            out = out.join(mx, day_col, "left")
+            out = out.join(_dyadic_interval_max(spine.select(day_col).distinct(), v, day_col), day_col, "left")
     return out.drop("_sum", "_cnt")
 
 
+DYADIC_LEVELS = 17  # blocks up to 2^16 days (~179 years) — enough for any calendar span
+
+
+def _dyadic_interval_max(days: DataFrame, iv: DataFrame, day_col: str, levels: int = DYADIC_LEVELS) -> DataFrame:
+    """Max of ``_m`` over intervals [_s, _e] covering each day.
+
+    Day numbers d = days since epoch. At level k an aligned block j covers
+    [j·2^k, (j+1)·2^k − 1]. The canonical cover of [s, e] uses, per level,
+    only the first and last blocks fully inside whose parent block is not
+    fully inside; every covered day has exactly one ancestor block in the
+    cover, so max over ancestors = max over covering intervals."""
+    epoch = F.lit("1970-01-01").cast("date")
+    d = iv.filter(F.col("_m").isNotNull()).select(F.datediff("_s", epoch).cast("long").alias("_a"),
+                                                  F.datediff("_e", epoch).cast("long").alias("_b"), "_m")
+    # one row per (interval, level), then at most two candidate blocks
+    lv = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("k"))
+    size = F.expr("shiftleft(CAST(1 AS BIGINT), k)")
+    lv = lv.select("*", F.ceil(F.col("_a") / size).cast("long").alias("_lo"),
+                   (F.floor((F.col("_b") + 1) / size) - 1).cast("long").alias("_hi")).filter(F.col("_lo") <= F.col("_hi"))
+    cand = lv.select("_a", "_b", "_m", "k", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("j"))
+    psize = F.expr("shiftleft(CAST(2 AS BIGINT), k)")
+    parent = F.floor(F.col("j") / 2)
+    p_inside = (parent * psize >= F.col("_a")) & ((parent + 1) * psize - 1 <= F.col("_b"))
+    cover = cand.filter(~p_inside | (F.col("k") == levels - 1))
+    bmax = cover.groupBy("k", "j").agg(F.max("_m").alias("_bm"))
+    dn = F.datediff(F.col(day_col), epoch).cast("long")
+    anc = days.select(day_col, F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("k"))
+    anc = anc.select(day_col, "k", F.floor(dn / F.expr("shiftleft(CAST(1 AS BIGINT), k)")).cast("long").alias("j"))
+    return anc.join(bmax, ["k", "j"], "inner").groupBy(day_col).agg(F.max("_bm").alias("active_max"))
+
+
 def normalise_key(c) -> "F.Column":
     """Key text normalisation: trim, drop a trailing '.0…' ("609.0" → "609")."""
     col = F.col(c) if isinstance(c, str) else c
