@@ -68,6 +68,35 @@ def prefix_sum(df: DataFrame, by: str, values, tiebreak=(), descending: bool = F
     return out.drop("_ps_key", "_ps_bucket", *[f"_ps_off_{v}" for v in values])
 
 
+def top_n_per_group(df: DataFrame, group, order: list, n: int, salt_buckets: int = 16, out: str = "rank_in_group") -> DataFrame:
+    """Top n rows per group by ``order`` (Column list, ties broken by the
+    order itself) without sorting a hot group inside one task: stage 1 keeps
+    the top n inside each (group, salt) slice — a group holding a third of
+    all rows is split across ``salt_buckets`` tasks — stage 2 ranks the
+    ≤ n·salt_buckets survivors per group."""
+    g = _as_list(group)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt_buckets))
+    w1 = Window.partitionBy(*g, "_salt").orderBy(*order)
+    stage1 = df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= n)
+    w2 = Window.partitionBy(*g).orderBy(*order)
+    return stage1.withColumn(out, F.row_number().over(w2)).filter(F.col(out) <= n).drop("_salt", "_r1")
+
+
+def rank_first(df: DataFrame, value: str, tiebreak: str, out: str = "rank") -> DataFrame:
+    """1-based rank by (value, tiebreak) — pandas ``rank(method="first")``
+    with an explicit tiebreak — skew-safe: rank = rows with a smaller value
+    (prefix sum over distinct-value counts) + position of the tiebreak inside
+    the row's own value (a prefix sum partitioned by value, bucketed on the
+    tiebreak, so a value holding a third of all rows is split into buckets).
+    NULL values get NULL."""
+    d = df.filter(F.col(value).isNotNull())
+    counts = d.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
+    below = prefix_sum(counts, value, "_c", inclusive=False).select(value, F.col("cum__c").alias("_below"))
+    within = prefix_sum(d.withColumn("_one", F.lit(1)), tiebreak, "_one", partition_by=[value], inclusive=True)
+    ranked = within.join(below, value, "left").withColumn(out, F.col("_below") + F.col("cum__one")).drop("_one", "cum__one", "_below")
+    return ranked.unionByName(df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("long")))
+
+
 def average_rank(df: DataFrame, value: str, partition_by=(), out: str = "rank") -> DataFrame:
     """Tie-averaged rank of ``value`` (1-based) within ``partition_by``;
     NULL values get a NULL rank and do not count."""

@@ -70,10 +70,11 @@ def qcut(df: DataFrame, col: str, q: int, out: str = "bin", labels: list | None
 
 def qcut_on_rank(df: DataFrame, col: str, q: int, tiebreak, out: str = "bin", labels: list | None = None) -> DataFrame:
     """Qcut over rank(method="first") — near-equal groups even with
-    ties. The rank is a distributed prefix count ordered by (value,
+    ties. The rank is ``rank_first`` (skew-safe: a hot value is split on the
     tiebreak); rank edges are 1 + k/q·(n − 1), so no second percentile pass."""
-    r = prefix_sum(df.withColumn("_one", F.lit(1)), col, "_one", tiebreak=tiebreak).withColumnRenamed("cum__one", "_rank")
-    r = r.drop("_one")
+    from basketry.functions.primitives import rank_first
+    tb = tiebreak[0] if isinstance(tiebreak, (list, tuple)) else tiebreak
+    r = rank_first(df, col, tb, "_rank")
     n = df.filter(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
     edges = F.array(*[F.lit(1.0) + F.lit(k / q) * (n - 1) for k in range(q + 1)])
     r = with_edges(r.withColumn("_rank", F.col("_rank").cast("double")), edges, "_rank", out)

@@ -216,8 +216,10 @@ def categorical_summary(df: DataFrame, cols: list[str], top_n: int = 5) -> DataF
     stats = counts.groupBy("column_name").agg(
         F.count("value").alias("nunique"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("_miss"),
         F.sum("n").alias("_rows"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
-    top = counts.filter(F.col("value").isNotNull()).withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= top_n)
+    from basketry.functions.primitives import top_n_per_group
+    # salted top-n: a high-cardinality column is not ranked inside one task
+    top = top_n_per_group(counts.filter(F.col("value").isNotNull()), "column_name", [F.desc("n"), F.asc("value")], top_n,
+                          out="_rk")
     top = top.groupBy("column_name").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("_rk", F.concat_ws(":", "value", F.col("n").cast("string")).alias("s")))),
         lambda x: x["s"]), ", ").alias("top_values"))

@@ -40,11 +40,12 @@ def top_extremes_union(df: DataFrame, specs: list[tuple]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def per_group_head(df: DataFrame, group, by, n: int, ascending=False, tiebreak=()) -> DataFrame:
-    """First n rows of each group in sort order (window per group)."""
-    g = [group] if isinstance(group, str) else list(group)
-    w = Window.partitionBy(*g).orderBy(*_order(by, ascending), *[F.col(t).asc_nulls_last() for t in tiebreak])
-    return df.withColumn("rank_in_group", F.row_number().over(w)).filter(F.col("rank_in_group") <= n)
+def per_group_head(df: DataFrame, group, by, n: int, ascending=False, tiebreak=(), salt_buckets: int = 16) -> DataFrame:
+    """First n rows of each group in sort order; salted two-stage top-n
+    so a hot group is never sorted inside one task."""
+    from basketry.functions.primitives import top_n_per_group
+    order = [*_order(by, ascending), *[F.col(t).asc_nulls_last() for t in tiebreak]]
+    return top_n_per_group(df, group, order, n, salt_buckets)
 
 
 def ordered_categories(df: DataFrame, col: str, levels: list, fill: dict | None = None) -> DataFrame:
