@@ -36,7 +36,8 @@ def round_binary(c, digits: int):
     pass through unchanged."""
     m = float(10 ** digits)
     finite = ~F.isnan(c) & (F.abs(c) < F.lit(1e15 / m))
-    r = F.signum(c) * F.floor(F.abs(c) * m + F.lit(0.5)).cast("double") / F.lit(m)
+    # + 0.0 turns a rounded -0.0 into 0.0 (noise around zero has either sign)
+    r = F.signum(c) * F.floor(F.abs(c) * m + F.lit(0.5)).cast("double") / F.lit(m) + F.lit(0.0)
     return F.when(c.isNull(), F.lit(None).cast("double")).when(finite, r).otherwise(c.cast("double"))
 
 

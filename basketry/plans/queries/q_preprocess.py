@@ -58,7 +58,7 @@ def q_token_impute(spark, sf):
 
 @register("standard_scale", SPLIT_SQL + """,
 sc AS (SELECT avg(o_totalprice) AS mu, stddev_pop(o_totalprice) AS sd FROM sp WHERE is_train)
-SELECT is_train, round(avg((o_totalprice - mu) / sd), 9) AS mean_scaled, round(stddev_pop((o_totalprice - mu) / sd), 9) AS std_scaled FROM sp, sc GROUP BY 1""")
+SELECT is_train, round(avg((o_totalprice - mu) / sd), 9) + 0.0 AS mean_scaled, round(stddev_pop((o_totalprice - mu) / sd), 9) AS std_scaled FROM sp, sc GROUP BY 1""")
 def q_standard_scale(spark, sf):
     """(x − train mean) / train population std."""
     d = split_frame(spark, sf)
