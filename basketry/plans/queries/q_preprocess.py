@@ -64,7 +64,9 @@ def q_standard_scale(spark, sf):
     d = split_frame(spark, sf)
     st = pp.fit_scaler(d.filter("is_train"), ["o_totalprice"], ddof=0)
     s = pp.apply_scaler(d, st, ["o_totalprice"])
-    return tidy(s.groupBy("is_train").agg(F.avg("o_totalprice").alias("mean_scaled"), F.stddev_pop("o_totalprice").alias("std_scaled")))
+    out = tidy(s.groupBy("is_train").agg(F.avg("o_totalprice").alias("mean_scaled"), F.stddev_pop("o_totalprice").alias("std_scaled")))
+    # the train mean is 0 up to float noise of either sign: + 0.0 drops the sign of a rounded zero
+    return out.withColumn("mean_scaled", F.col("mean_scaled") + F.lit(0.0))
 
 
 @register("one_hot_train_levels", SPLIT_SQL + """
