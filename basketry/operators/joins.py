@@ -127,7 +127,7 @@ def asof_ffill_join(spine: DataFrame, snapshots: DataFrame, date_col: str, value
 
 def interval_active(spine: DataFrame, intervals: DataFrame, start: str, end: str,
                     measure: str | None = None, day_col: str = "date",
-                    with_max: bool = True) -> DataFrame:
+                    with_max: bool = True, decimal_scale: int | None = None) -> DataFrame:
     """For each spine day, the intervals [start, end] covering it:
     active count, and mean / sum / max of ``measure``.
 
@@ -137,28 +137,33 @@ def interval_active(spine: DataFrame, intervals: DataFrame, start: str, end: str
     aligned blocks per level, block maxima are aggregated, and each day
     takes the max over its ancestor blocks — O(n·log L) rows instead of one
     row per covered day. Intervals with NULL bounds or start > end are
-    ignored. Never a day × interval cross join."""
+    ignored. Never a day × interval cross join. With ``decimal_scale`` the
+    sweep runs on exact decimals (money: 2), so adding and removing values
+    over a long calendar accumulates no rounding error."""
     from pyspark.sql import Window
     iv = intervals.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)))
     m = F.col(measure).cast("double") if measure else F.lit(0.0)
     v = iv.select(F.col(start).alias("_s"), F.col(end).alias("_e"), m.alias("_m"))
+    sweep_t = f"decimal(38,{decimal_scale})" if decimal_scale is not None else "double"
+    zero = F.lit(0).cast(sweep_t)
+    mv = F.col("_m").cast(sweep_t)
     deltas = v.select(F.col("_s").alias(day_col), F.lit(1).alias("_dn"),
-                      F.col("_m").alias("_dv"), F.col("_m").isNotNull().cast("int").alias("_dc")).unionByName(
+                      mv.alias("_dv"), F.col("_m").isNotNull().cast("int").alias("_dc")).unionByName(
         v.select(F.date_add("_e", 1).alias(day_col), F.lit(-1).alias("_dn"),
-                 (-F.col("_m")).alias("_dv"), (-(F.col("_m").isNotNull().cast("int"))).alias("_dc")))
+                 (-mv).alias("_dv"), (-(F.col("_m").isNotNull().cast("int"))).alias("_dc")))
     # Pre-aggregated to one row per distinct day before the (small) day-axis window.
-    daily = deltas.groupBy(day_col).agg(F.sum("_dn").alias("_dn"), F.sum(F.coalesce("_dv", F.lit(0.0))).alias("_dv"),
+    daily = deltas.groupBy(day_col).agg(F.sum("_dn").alias("_dn"), F.sum(F.coalesce("_dv", zero)).alias("_dv"),
                                         F.sum("_dc").alias("_dc"))
     both = spine.select(day_col).distinct().join(daily, day_col, "full")
     w = Window.orderBy(day_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = both.select(day_col, F.sum(F.coalesce("_dn", F.lit(0))).over(w).alias("active_count"),
-                      F.sum(F.coalesce("_dv", F.lit(0.0))).over(w).alias("_sum"),
+                      F.sum(F.coalesce("_dv", zero)).over(w).alias("_sum"),
                       F.sum(F.coalesce("_dc", F.lit(0))).over(w).alias("_cnt"))
     out = spine.join(run, day_col, "left").withColumn(
         "active_count", F.coalesce("active_count", F.lit(0)).cast("long"))
     if measure:
-        out = (out.withColumn("active_sum", F.when(F.col("_cnt") > 0, F.col("_sum")).otherwise(F.lit(0.0)))
-               .withColumn("active_mean", F.when(F.col("_cnt") > 0, F.col("_sum") / F.col("_cnt"))))
+        out = (out.withColumn("active_sum", F.when(F.col("_cnt") > 0, F.col("_sum").cast("double")).otherwise(F.lit(0.0)))
+               .withColumn("active_mean", F.when(F.col("_cnt") > 0, F.col("_sum").cast("double") / F.col("_cnt"))))
         if with_max:
             out = out.join(_dyadic_interval_max(spine.select(day_col).distinct(), v, day_col), day_col, "left")
     return out.drop("_sum", "_cnt")

@@ -116,9 +116,10 @@ WITH iv AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS s, max(CAST(l_shipda
             FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderdate, o_totalprice),
 b AS (SELECT min(s) AS a, max(e) AS z FROM iv),
 days AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS d FROM b),
-hit AS (SELECT d, count(iv.o_orderkey) AS c, sum(m) AS sm, max(m) AS mx FROM days LEFT JOIN iv ON d BETWEEN s AND e AND s <= e GROUP BY d)
+hit AS (SELECT d, count(iv.o_orderkey) AS c, CAST(sum(CAST(m AS DECIMAL(38, 2))) AS DOUBLE) AS sm, max(m) AS mx
+        FROM days LEFT JOIN iv ON d BETWEEN s AND e AND s <= e GROUP BY d)
 SELECT CAST(d AS VARCHAR) AS d, c AS active_count, round(CASE WHEN c > 0 THEN sm ELSE 0 END, 2) AS active_sum,
-       round(CASE WHEN c > 0 THEN sm / c END, 2) AS active_mean, round(mx, 2) AS active_max FROM hit""")
+       round(CASE WHEN c > 0 THEN sm / c END, 7) AS active_mean, round(mx, 2) AS active_max FROM hit""")
 def q_interval_active(spark, sf):
     """For each day, the orders in flight [order date, last ship date]:
     count, sum, mean and max of the order value."""
@@ -128,9 +129,9 @@ def q_interval_active(spark, sf):
                                                   F.col("o_totalprice").alias("m"))
     b = iv.agg(F.min("s").alias("a"), F.max("e").alias("z"))
     spine = b.select(F.explode(F.sequence("a", "z")).alias("d"))
-    out = joins.interval_active(spine, iv, "s", "e", "m", day_col="d")
+    out = joins.interval_active(spine, iv, "s", "e", "m", day_col="d", decimal_scale=2)
     return tidy(out.select("d", "active_count", "active_sum", "active_mean", "active_max"),
-                digits_by={"active_sum": 2, "active_mean": 2, "active_max": 2})
+                digits_by={"active_sum": 2, "active_mean": 7, "active_max": 2})
 
 
 @register("lookup_enrich", """
