@@ -124,6 +124,16 @@ def exact_quantiles(df: DataFrame, col: str, probs) -> list:
     list (NULL values ignored; ``None`` for an empty column)."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_n"))
+    # the distinct-value table feeds three small jobs (total, bucket edges,
+    # final pick): persist it once (recomputable from lineage if lost)
+    counts = counts.persist()
+    try:
+        return _pick_quantiles(counts, probs)
+    finally:
+        counts.unpersist()
+
+
+def _pick_quantiles(counts: DataFrame, probs) -> list:
     ps = prefix_sum(counts, "_v", "_n", inclusive=False)
     n = counts.agg(F.sum("_n")).first()[0]
     if not n:

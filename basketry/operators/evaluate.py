@@ -132,14 +132,18 @@ def calibration_curve(df: DataFrame, label: str, score: str, bins: int = 10) ->
 def decile_lift(df: DataFrame, label: str, score: str, q: int = 10) -> DataFrame:
     """Q11: qcut deciles of score (highest decile = 1): n, positives, rate,
     min/max score and lift over the base rate."""
+    from pyspark.sql import Window
+    from basketry.operators.binning import quantile_edges, with_edges
     d = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    base = d.select(F.avg(label)).scalar()
-    b = qcut(d, score, q, "_bin")
-    nb = b.select(F.max("_bin")).scalar()
+    edges = quantile_edges(d, score, q)                      # literal array (fitted once)
+    b = with_edges(d, edges, score, "_bin")
     g = b.groupBy("_bin").agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("positives"), F.avg(label).alias("rate"),
                               F.min(score).alias("min_score"), F.max(score).alias("max_score"))
-    return g.select((nb - F.col("_bin") + 1).alias("decile"), "n", "positives", "rate", "min_score", "max_score",
-                    F.try_divide(F.col("rate"), base).alias("lift"))
+    # ≤ q rows: the base rate and the top bin come from this tiny table
+    whole = Window.partitionBy()
+    base = F.sum("positives").over(whole) / F.sum("n").over(whole)
+    return g.select((F.max("_bin").over(whole) - F.col("_bin") + 1).alias("decile"), "n", "positives", "rate", "min_score",
+                    "max_score", F.try_divide(F.col("rate"), base).alias("lift"))
 
 
 def error_detail(df: DataFrame, date_col: str, y: str, model: str, baseline: str) -> DataFrame:
