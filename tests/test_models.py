@@ -77,3 +77,27 @@ def test_batch_equals_stream_features(spark):
     for c in ["total_quantity", "discount_ratio", "log_payment_value"]:
         diff = j.filter(F.col(f"b.{c}").isNotNull()).select(F.max(F.abs(F.col(f"b.{c}") - F.col(f"n.{c}")))).first()[0]
         assert diff is None or diff < 1e-9, c
+
+
+def test_stream_scores_equal_batch_scores(spark, tmp_path):
+    """R04 = R01: the Structured Streaming scorer gives the same scores as
+    scoring the same nested requests in batch."""
+    from basketry.plans import scoring as sc
+    from basketry.plans.queries.q_rollup import PART_TYPES
+    from basketry.plans.queries.q_scoring import fitted_bundle
+    from basketry.sources import retail
+    from basketry.streaming.stream_score import score_requests, start_stream_scoring
+    sf = "/root/testdata/sf0.001"
+    model, thr, _f, binary = fitted_bundle(spark, sf)
+    req = sc.requests_from_tables(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf))
+    req.write.mode("overwrite").json(str(tmp_path / "landing"))
+    q = start_stream_scoring(spark, str(tmp_path / "landing"), retail.products(spark, sf), model, thr, {"category": PART_TYPES},
+                             binary, str(tmp_path / "out"), str(tmp_path / "ckpt"), rename={"payment_method": "priority"})
+    q.awaitTermination()
+    streamed = spark.read.parquet(str(tmp_path / "out" / "scores")).drop("batch_id")
+    batch, _rej = score_requests(req, retail.products(spark, sf), model, thr, {"category": PART_TYPES}, binary,
+                                 rename={"payment_method": "priority"})
+    j = streamed.alias("s").join(batch.alias("b"), "order_id", "full")
+    assert j.filter(F.col("s.return_probability").isNull() | F.col("b.return_probability").isNull()).count() == 0
+    assert j.select(F.max(F.abs(F.col("s.return_probability") - F.col("b.return_probability")))).first()[0] < 1e-12
+    assert j.filter(F.col("s.prediction") != F.col("b.prediction")).count() == 0
