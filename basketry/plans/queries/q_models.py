@@ -166,3 +166,24 @@ def q_feature_importance(spark, sf):
     d, feats = classification_frame(spark, sf)
     m = md.gbt_classifier(d.filter(F.col("data_split") == "train"), feats, "label", "weight", maxIter=10, maxDepth=3)
     return md.feature_importance(m, feats)
+
+
+@register("forecast_champion_rule")
+def q_forecast_champion(spark, sf):
+    """P12 (forecast): a candidate replaces the reference forecast only with
+    a WAPE gain ≥ 0.003 and a Sunday WAPE that is not worse — ridge vs the
+    same-weekday baseline on the test years."""
+    d = daily_model_frame(spark, sf)
+    ridge = md.ridge_closed_form(d.filter("is_train"), REG_FEATS, "revenue", alpha=10.0).predict(d)
+    test = ridge.filter(~F.col("is_train")).withColumn("is_sunday", F.weekday("sale_date") == 6)
+
+    def wape(pred, cond=F.lit(True)):
+        e = F.when(cond, F.abs(F.col(pred) - F.col("revenue")))
+        return F.try_divide(F.sum(e), F.sum(F.when(cond & F.col(pred).isNotNull(), F.abs("revenue"))))
+    m = test.agg(wape("prediction").alias("candidate_wape"), wape("revenue_lag_7d").alias("reference_wape"),
+                 wape("prediction", F.col("is_sunday")).alias("candidate_sunday_wape"),
+                 wape("revenue_lag_7d", F.col("is_sunday")).alias("reference_sunday_wape"))
+    rule = md.material_gain(F.col("candidate_wape"), F.col("reference_wape"), F.col("candidate_sunday_wape"),
+                            F.col("reference_sunday_wape"))
+    return m.withColumn("switch_to_candidate", rule).withColumn(
+        "champion", F.when(F.col("switch_to_candidate"), F.lit("ridge_alpha_10")).otherwise(F.lit("same_weekday")))
