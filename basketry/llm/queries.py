@@ -6,8 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import secrets
-from basketry.llm.common import documents
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from basketry.llm import bpe, secrets, tokenfile
+from basketry.llm.common import Workspace, documents
+
+VOCABULARY = "byte_bpe_50k.json"
+END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +28,22 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+@register("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write token files of all documents and read every document back."""
+    work = Workspace(spark, "op4")
+    manifest = tokenfile.write(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), END_ID, work)
+    rows = tokenfile.with_starts(tokenfile.read(manifest), manifest)
+    return rows.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op5_bpe_round_trip")
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode and decode every document."""
+    return bpe.digests(bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)))
+
+
 @register("op9_secret_scan")
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and lexed secret spans of every document."""
