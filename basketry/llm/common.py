@@ -4,8 +4,11 @@ intermediate tables in the cluster's shared folder."""
 from __future__ import annotations
 
 import contextlib
+import os
 import re
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +29,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package (as ``--py-files`` would), once per
+    application, so that functions sent to them can import it anywhere."""
+    sc = spark.sparkContext
+    if getattr(sc, "_basketry_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="basketry-"), "basketry_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    sc._basketry_shipped = True
+
+
 def words_of(text: str | None) -> list[str]:
     return WORD.findall(text) if text else []
 
@@ -36,7 +57,8 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[],
     ``rows_per_step`` rows (``columns`` as Python lists, in order); each step
     returns a list of columns for ``schema``. Only one step is held at a time,
     so memory is bounded by the step and the longest text."""
-    out_schema = _arrow_schema(df.sparkSession, schema)
+    ship_package(df.sparkSession)
+    out_schema = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]):
         step = make()
@@ -50,7 +72,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[],
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
+def _arrow_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     return to_arrow_schema(StructType.fromDDL(ddl))

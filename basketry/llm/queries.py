@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, secrets, tokenfile
+from basketry.llm import bpe, quality, secrets, tokenfile, toxicity
 from basketry.llm.common import Workspace, documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -28,6 +28,13 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+@register("op3_quality_rules")
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and line labels of every document."""
+    docs = documents(spark, sf_dir)
+    return quality.judge(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @register("op4_token_files")
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write token files of all documents and read every document back."""
@@ -44,6 +51,21 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)))
 
 
+def held_out():
+    """Rows that no model may learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out())
+    model = toxicity.train(docs, labels, Workspace(spark, "op8"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @register("op9_secret_scan")
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and lexed secret spans of every document."""

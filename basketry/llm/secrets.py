@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import map_rows
+from basketry.llm.common import map_rows, ship_package
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -235,6 +235,7 @@ def redact(df: DataFrame, text_col: str = "text", n_chars_col: str | None = "n_c
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(redact_text)
 
+    ship_package(df.sparkSession)
     out = df.withColumn(text_col, clean(F.col(text_col)))
     if n_chars_col in df.columns:
         out = out.withColumn(n_chars_col, F.length(text_col).cast(df.schema[n_chars_col].dataType))

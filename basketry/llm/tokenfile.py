@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.bpe import PieceCache
-from basketry.llm.common import Workspace, partitions
+from basketry.llm.common import Workspace, partitions, ship_package
 
 # Fixed values of the public seekable zstandard format.
 SKIPPABLE_SEEK, SKIPPABLE_INDEX, SEEKABLE_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
@@ -188,6 +188,7 @@ def write(df: DataFrame, vocabulary: str, end_id: int, work: Workspace,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode all texts, append ``end_id`` to each and write the files below
     ``work``; returns the manifest (``MANIFEST``), itself a written table."""
+    ship_package(df.sparkSession)
     base = f"{work.base}/tokens"
     work._fs.mkdirs(work._path(base))
 
@@ -240,6 +241,7 @@ def read(manifest: DataFrame, wanted: set[int] | None = None) -> DataFrame:
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array(v, t) for v, t in zip(zip(*rows), types)], names=names)
 
+    ship_package(manifest.sparkSession)
     files = manifest.select("file_no", "path").repartition(partitions(manifest.sparkSession), "file_no")
     return files.mapInArrow(run, ROWS)
 
