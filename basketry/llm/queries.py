@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, quality, secrets, tokenfile, toxicity
+from basketry.llm import bpe, mixing, quality, secrets, tokenfile, toxicity
 from basketry.llm.common import Workspace, documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -28,6 +28,13 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+@register("op2_source_mix")
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes from every document."""
+    placed, pieces, _ = mixing.mix(documents(spark, sf_dir), Workspace(spark, "op2"))
+    return mixing.taken_words(placed, pieces).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @register("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and line labels of every document."""
