@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, mixing, quality, secrets, simhash, tokenfile, toxicity
+from basketry.llm import bpe, minhash, mixing, quality, secrets, simhash, tokenfile, toxicity
 from basketry.llm.common import Workspace, documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -58,6 +58,12 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)))
 
 
+@register("op6_near_duplicates")
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash.near_duplicates(documents(spark, sf_dir), Workspace(spark, "op6"))
+
+
 @register("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text."""
