@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, minhash, mixing, quality, secrets, simhash, tokenfile, toxicity
+from basketry.llm import bpe, minhash, mixing, quality, secrets, simhash, suffix, tokenfile, toxicity
 from basketry.llm.common import Workspace, documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -28,6 +28,14 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+@register("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 200-byte strings."""
+    found = suffix.repeated_bytes(documents(spark, sf_dir), Workspace(spark, "op1"))
+    return suffix.remove_repeats(found).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op2_source_mix")
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources takes from every document."""
