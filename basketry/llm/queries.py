@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, minhash, mixing, quality, secrets, simhash, suffix, tokenfile, toxicity
+from basketry.llm import bpe, minhash, mixing, quality, recompress, secrets, simhash, suffix, tokenfile, toxicity
 from basketry.llm.common import Workspace, documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -55,9 +55,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write token files of all documents and read every document back."""
     work = Workspace(spark, "op4")
     manifest = tokenfile.write(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), END_ID, work)
-    rows = tokenfile.with_starts(tokenfile.read(manifest), manifest)
-    return rows.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.crc32("ids").alias("ids_crc32"))
+    return tokenfile.read(manifest).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
 @register("op5_bpe_round_trip")
@@ -97,3 +96,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and lexed secret spans of every document."""
     return secrets.scan_documents(documents(spark, sf_dir))
+
+
+@register("op10_recompression")
+def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 50-word windows of earlier ones."""
+    found = recompress.repeated_words(documents(spark, sf_dir), Workspace(spark, "op10"))
+    return recompress.remove_repeats(found).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
