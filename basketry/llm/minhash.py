@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm import tokens
@@ -214,9 +214,10 @@ def links_of(nodes: DataFrame, docs: DataFrame, work: Workspace, matches: int =
     return units.mapInArrow(merge, "u long, v long")
 
 
-def near_duplicates(df: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text",
-                    matches: int = MATCHES, percent: int = SIMILARITY) -> DataFrame:
-    """One row per row of ``df``: ``id, n_shingles, component_id, kept``."""
+def clustered(df: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text",
+              matches: int = MATCHES, percent: int = SIMILARITY) -> DataFrame:
+    """One row per row of ``df``: ``doc_id, place`` (hash of the text),
+    ``n_shingles`` and ``root``, the component (null for an empty set)."""
     rows = work.save(sketch(df, id_col, text_col), "rows")
     nodes = work.save(
         rows.where(F.col("set_hash").isNotNull()).groupBy("set_hash")
@@ -225,12 +226,36 @@ def near_duplicates(df: DataFrame, work: Workspace, id_col: str = "doc_id", text
     docs = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("place"), F.col(text_col).alias("text"))
     links = work.save(links_of(nodes, docs, work, matches, percent), "links")
     roots = work.save(components(links, work, "roots"), "roots")
-    placed = (rows.select("doc_id", "n_shingles", "set_hash")
+    placed = (rows.select("doc_id", "place", "n_shingles", "set_hash")
               .join(nodes.select("set_hash", "node"), "set_hash", "left").join(roots, "node", "left")
-              .select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root")))
-    placed = work.save(placed, "placed")
+              .select("doc_id", "place", "n_shingles", F.coalesce("root", "node").alias("root")))
+    return work.save(placed, "placed")
+
+
+def near_duplicates(df: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text",
+                    matches: int = MATCHES, percent: int = SIMILARITY) -> DataFrame:
+    """One row per row of ``df``: ``id, n_shingles, component_id, kept``."""
+    placed = clustered(df, work, id_col, text_col, matches, percent)
     names = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("_least"))
     out = placed.join(names, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("_least"))
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def keep_one(df: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text",
+             matches: int = MATCHES, percent: int = SIMILARITY) -> DataFrame:
+    """Rows of ``df``, with all their columns: of every component the one with
+    the least id (null ids last; of equal ids the least hash of the text; of
+    repeated rows any one), and every row with an empty set."""
+    placed = clustered(df, work, id_col, text_col, matches, percent)
+    best = (placed.where("root is not null").groupBy("root")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.col("place"))).alias("b"))
+            .select(F.col("b.doc_id").alias("__near_id"), F.col("b.place").alias("__near_place"), F.lit(True).alias("__near_one")))
+    empty = placed.where("root is null").select(F.col("doc_id").alias("__near_id"), F.col("place").alias("__near_place"),
+                                                F.lit(False).alias("__near_one")).distinct()
+    keyed = df.withColumn("__near_hash", F.xxhash64(text_col))
+    kept = keyed.join(best.unionAll(empty), F.col(id_col).eqNullSafe(F.col("__near_id")) & (F.col("__near_hash") == F.col("__near_place")))
+    turn = Window.partitionBy(id_col, "__near_hash").orderBy("__near_hash")
+    return (kept.withColumn("__near_turn", F.row_number().over(turn)).where(~F.col("__near_one") | (F.col("__near_turn") == 1))
+            .select(*df.columns))

@@ -23,8 +23,10 @@ from operator import eq
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.llm.common import WORD, map_rows, ship_package
 
@@ -227,9 +229,6 @@ def judge(df: DataFrame, crf: Crf, id_col: str = "doc_id", text_col: str = "text
 
 def keep_good(df: DataFrame, crf: Crf, text_col: str = "text", min_content: float = MIN_CONTENT) -> DataFrame:
     """Rows of ``df`` whose text is kept, with all their columns."""
-    import pandas as pd
-    from pyspark.sql import types as T
-
     def good(text):
         lines = read_lines(text)
         n = len(lines.words)

@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -229,8 +230,6 @@ def redact_text(text: str | None) -> str | None:
 def redact(df: DataFrame, text_col: str = "text", n_chars_col: str | None = "n_chars") -> DataFrame:
     """``df`` with secrets replaced in its text (all other columns stay; the
     length column, if there is one, follows the new text)."""
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(redact_text)
