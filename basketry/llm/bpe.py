@@ -7,8 +7,8 @@ Decoding concatenates the vocabulary's byte strings. Encoded ids travel as one
 binary column of little-endian unsigned 32-bit integers.
 
 One pass over Arrow batches, no shuffle. Each Python worker keeps the ids of
-recent pieces in bounded tables (``CHUNK_ENTRIES``, and two generations of
-``WORD_ENTRIES``; dropping old entries only costs time). Null texts encode as
+recent short pieces in bounded tables (``CHUNK_ENTRIES``, and two generations
+of ``WORD_ENTRIES``; dropping old entries only costs time). Null texts encode as
 empty ones, texts are never cut, and repeated rows each get a result.
 """
 
@@ -28,8 +28,9 @@ from basketry.llm.common import map_rows
 
 # Fixed value: the split pattern of this family of vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CHUNK_ENTRIES = 200_000
-WORD_ENTRIES = 300_000
+CHUNK_ENTRIES = 1_000_000
+WORD_ENTRIES = 500_000
+LONGEST_KEPT = 40  # longer pieces are encoded each time, so the tables stay small
 _SPACE_THEN_SPACE = re.compile(r" [\s\x1c-\x1f\x85]")
 
 
@@ -41,73 +42,79 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in keep} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Chunks(dict):
+    """Packed ids of chunks that followed a space (``lead`` a space) or began a
+    text (``lead`` empty); a new chunk is split into pattern matches."""
+
+    def __init__(self, owner: PieceCache, lead: str):
+        super().__init__()
+        self.owner, self.lead = owner, lead
+
+    def __missing__(self, chunk: str) -> bytes:
+        word = self.owner.word
+        if chunk.isalpha():
+            ids = word(self.lead + chunk)
+        elif chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+            ids = word(self.lead + chunk[:-1]) + word(chunk[-1])
+        else:
+            ids = b"".join(map(word, self.owner.split(self.lead + chunk)))
+        if len(chunk) <= LONGEST_KEPT:
+            if len(self) >= CHUNK_ENTRIES:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 class PieceCache:
     """Ids of texts, joined from the ids of their pieces.
 
     Texts in which no space is followed by white space split at spaces: every
-    pattern match then ends before the next space, so `` word`` chunks encode
-    alone. Other texts split by the pattern itself."""
+    pattern match then ends before the next space, so each word with the space
+    before it encodes alone. Other texts split by the pattern itself."""
 
     def __init__(self):
-        self.chunks: dict[str, bytes] = {}
+        self.first, self.rest = _Chunks(self, ""), _Chunks(self, " ")
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.split = regex.compile(PATTERN).findall
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        """Packed ids of pattern matches that are in no table yet."""
+    def encode_word(self, word: str) -> bytes:
+        """Packed ids of a pattern match that is in no table."""
         raise NotImplementedError
 
-    def learn(self, chunks: list[str]) -> None:
-        """Put the ids of all given chunks into ``self.chunks``."""
-        split_chunks = [self.split(c) for c in chunks]
-        if len(self.words) > WORD_ENTRIES:
-            self.older, self.words = self.words, {}
-        words, older = self.words, self.older
-        new = []
-        for w in {w for ws in split_chunks for w in ws}:
-            if w not in words:
-                if w in older:
-                    words[w] = older[w]
-                else:
-                    new.append(w)
-        words.update(zip(new, self.encode_words(new)))
-        known = self.chunks
-        for chunk, ws in zip(chunks, split_chunks):
-            known[chunk] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        parts = [self.pieces(t) for t in texts]
-        known = self.chunks
-        missing = {p for ps in parts for p in ps if p not in known}
-        if missing:
-            if len(known) + len(missing) > CHUNK_ENTRIES:
-                known.clear()
-                missing = {p for ps in parts for p in ps}
-            self.learn(list(missing))
-        return [b"".join([known[p] for p in ps]) for ps in parts]
+    def word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.older.get(word)
+            if ids is None:
+                ids = self.encode_word(word)
+            if len(word) <= LONGEST_KEPT:
+                if len(self.words) >= WORD_ENTRIES:
+                    self.older, self.words = self.words, {}
+                self.words[word] = ids
+        return ids
+
+    def encode_text(self, text: str) -> bytes:
+        if not text:
+            return b""
+        if _SPACE_THEN_SPACE.search(text):
+            return b"".join(map(self.word, self.split(text)))
+        chunks = text.split(" ")
+        head = self.first[chunks[0]] if chunks[0] else b""
+        return head + b"".join(map(self.rest.__getitem__, chunks[1:]))
 
     def encode_marked(self, texts: list[str], added: dict[str, int]) -> list[bytes]:
-        """As ``encode_all``, where added tokens in a text keep their ids."""
+        """Packed ids of each text, where added tokens keep their own ids."""
         if not any(a in t for t in texts for a in added):
-            return self.encode_all(texts)
+            return list(map(self.encode_text, texts))
         cut = re.compile("(" + "|".join(map(re.escape, added)) + ")").split
         out = []
         for t in texts:
             parts = cut(t)
-            ids = self.encode_all(parts[::2])
             marks = [array("I", [added[p]]).tobytes() for p in parts[1::2]] + [b""]
-            out.append(b"".join(x for pair in zip(ids, marks) for x in pair))
+            out.append(b"".join(x for part, mark in zip(parts[::2], marks) for x in (self.encode_text(part), mark)))
         return out
 
-    def pieces(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if _SPACE_THEN_SPACE.search(text):
-            return self.split(text)
-        parts = text.replace(" ", "\0 ").split("\0") if "\0" not in text else self.split(text)
-        return parts if parts[0] else parts[1:]
-
 
 class ByteBPE(PieceCache):
     def __init__(self, path: str):
@@ -120,7 +127,7 @@ class ByteBPE(PieceCache):
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of.update({i: t.encode() for t, i in self.added.items()})
         by_byte = {b: vocab[c] for c, b in letters.items()}
-        self.first = [by_byte[b] for b in range(256)]
+        self.symbol = [by_byte[b] for b in range(256)]
         self.merges = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
@@ -128,7 +135,7 @@ class ByteBPE(PieceCache):
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece: always the lowest-ranked pair next, leftmost first."""
-        ids = [self.first[b] for b in piece]
+        ids = [self.symbol[b] for b in piece]
         n = len(ids)
         if n < 2:
             return ids
@@ -157,8 +164,8 @@ class ByteBPE(PieceCache):
                 heapq.heappush(queue, (m[0], h, ids[h], made, m[1]))
         return [x for x in ids if x >= 0]
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        return [array("I", self.merge(w.encode())).tobytes() for w in words]
+    def encode_word(self, word: str) -> bytes:
+        return array("I", self.merge(word.encode())).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.encode_marked(texts, self.added)

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.bpe import PieceCache
+from basketry.llm.bpe import PieceCache, byte_letters
 from basketry.llm.common import Workspace, partitions, ship_package
 
 # Fixed values of the public seekable zstandard format.
@@ -45,7 +45,7 @@ FRAME_IDS = 65_536
 LEVEL = 3
 
 MANIFEST = "file_no int, path string, n_docs long, n_tokens long, n_bytes long"
-ROWS = "file_no int, doc_no long, doc_id long, file_start long, ids binary"
+ROWS = "file_no int, doc_no long, doc_id long, start long, ids binary"
 
 
 class LibraryEncoder(PieceCache):
@@ -57,13 +57,13 @@ class LibraryEncoder(PieceCache):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenize = self.tokenizer.model.tokenize  # the merges alone; the pattern has already been applied
+        self.letters = {b: letter for letter, b in byte_letters().items()}
         self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in coded]
+    def encode_word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.encode_marked(texts, self.added)
@@ -225,33 +225,29 @@ def write(df: DataFrame, vocabulary: str, end_id: int, work: Workspace,
 
 
 def read(manifest: DataFrame, wanted: set[int] | None = None) -> DataFrame:
-    """Documents of the files (``ROWS``); with ``wanted`` ids only the frames
-    that hold one of them are fetched and decompressed."""
+    """Documents of the files (``ROWS``) with ``start``, the number of ids of
+    all documents before; with ``wanted`` ids only the frames that hold one of
+    them are fetched and decompressed. The manifest has one row per file, so
+    its running sum is small, and it travels with the file names: joining it
+    to the documents would let the planner take them for a small table."""
     def run(batches: Iterator[pa.RecordBatch]):
-        names = ["file_no", "doc_no", "doc_id", "file_start", "ids"]
+        names = ["file_no", "doc_no", "doc_id", "start", "ids"]
         types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
-            for file_no, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for file_no, path, before in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 fs, inner = _filesystem(path)
                 with fs.open_input_file(inner) as stream:
                     reader = FrameReader(stream, stream.size())
                     for k in range(len(reader.frame_docs)):
-                        rows = [(file_no, *r) for r in reader.documents([k], wanted)]
+                        rows = [(file_no, d, i, before + s, ids) for d, i, s, ids in reader.documents([k], wanted)]
                         if rows:
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array(v, t) for v, t in zip(zip(*rows), types)], names=names)
 
     ship_package(manifest.sparkSession)
-    files = manifest.select("file_no", "path").repartition(partitions(manifest.sparkSession), "file_no")
-    return files.mapInArrow(run, ROWS)
-
-
-def with_starts(rows: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Add ``start``, the number of ids of all documents before. The manifest
-    has one row per file, so its running sum is small."""
     w = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
-    before = manifest.select("file_no", F.coalesce(F.sum("n_tokens").over(w), F.lit(0)).alias("before"))
-    return rows.join(before, "file_no").withColumn("start", F.col("before") + F.col("file_start")).drop("before")
+    files = manifest.select("file_no", "path", F.coalesce(F.sum("n_tokens").over(w), F.lit(0)).alias("before"))
+    return files.repartition(partitions(manifest.sparkSession), "file_no").mapInArrow(run, ROWS)
 
 
 def read_stream(data: bytes) -> FrameReader:
