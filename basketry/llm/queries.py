@@ -73,8 +73,11 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and its edited text."""
-    return simhash.compare_with_edits(documents(spark, sf_dir), Workspace(spark, "op7"))
+    """Fingerprints of every document and its edited text; the number of
+    fingerprints within three bits for documents whose id divides by 20."""
+    work = Workspace(spark, "op7")
+    prints = work.save(simhash.compare_with_edits(documents(spark, sf_dir), work), "prints")
+    return simhash.with_neighbours(prints, F.col("doc_id") % 20 == 0, radius=3)
 
 
 def held_out():

@@ -158,6 +158,16 @@ def compare_with_edits(df: DataFrame, work: Workspace, id_col: str = "doc_id", t
                     likeness(F.col("fingerprint"), F.col("_next")).alias("near_next")))
 
 
+def with_neighbours(prints: DataFrame, queries, radius: int = 3) -> DataFrame:
+    """``prints`` (a table with ``fingerprint``) and ``n_within``: for rows where
+    the condition ``queries`` holds, the rows of the whole table within
+    ``radius`` bits of theirs, themselves included; null for other rows."""
+    found = within_radius(prints.where(queries), prints, radius)
+    counts = found.groupBy(F.col("fingerprint").alias("_fp")).agg(F.sum("n_rows").alias("_n"))
+    return (prints.join(counts, prints["fingerprint"] == counts["_fp"], "left")
+            .withColumn("n_within", F.when(queries, F.col("_n"))).drop("_fp", "_n"))
+
+
 def block_table(prints: DataFrame, radius: int, col: str = "fingerprint") -> DataFrame:
     """``col`` once per block of its digits: ``block, key``, and the row."""
     digits = BITS // 4

@@ -123,6 +123,16 @@ def test_within_radius(spark):
     assert got == want
 
 
+def test_neighbour_counts(spark, messy, work):
+    prints = work.save(simhash.compare_with_edits(messy, work), "prints")
+    got = simhash.with_neighbours(prints, F.col("doc_id") % 20 == 0, 3).collect()
+    assert len(got) == prints.count()
+    vals = [int(r.fingerprint, 16) for r in got]
+    for r in got:
+        want = sum((int(r.fingerprint, 16) ^ v).bit_count() <= 3 for v in vals)
+        assert r.n_within == (want if r.doc_id is not None and r.doc_id % 20 == 0 else None)
+
+
 def auc(score, y):
     order = np.argsort(score)
     rank = np.empty(len(score))
