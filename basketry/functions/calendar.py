@@ -6,6 +6,7 @@ from rules (nth weekday, observed shift) — no per-row Python."""
 from __future__ import annotations
 
 import math
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,16 +58,57 @@ VN_HUNG_KINGS = {
 TET_WINDOW = (-2, 4)
 
 
+def _new_moon(k: int) -> int:
+    """Julian day (UTC+7) of the k-th new moon since 1900, mean motion plus the
+    periodic terms of sun and moon."""
+    t = k / 1236.85
+    sin = lambda deg: math.sin(math.radians(deg))
+    day = 2415020.75933 + 29.53058868 * k + (0.0001178 - 0.000000155 * t) * t * t + 0.00033 * sin(166.56 + (132.87 - 0.009173 * t) * t)
+    sun = 359.2242 + 29.10535608 * k - (0.0000333 + 0.00000347 * t) * t * t
+    moon = 306.0253 + 385.81691806 * k + (0.0107306 + 0.00001236 * t) * t * t
+    node = 21.2964 + 390.67050646 * k - (0.0016528 + 0.00000239 * t) * t * t
+    terms = [(0.1734 - 0.000393 * t, sun), (0.0021, 2 * sun), (-0.4068, moon), (0.0161, 2 * moon), (-0.0004, 3 * moon),
+             (0.0104, 2 * node), (-0.0051, sun + moon), (-0.0074, sun - moon), (0.0004, 2 * node + sun),
+             (-0.0004, 2 * node - sun), (-0.0006, 2 * node + moon), (0.0010, 2 * node - moon), (0.0005, 2 * moon + sun)]
+    clock = -0.000278 + (0.000265 + 0.000262 * t) * t
+    return math.floor(day + sum(a * sin(x) for a, x in terms) - clock + 0.5 + 7 / 24)
+
+
+def _sun_sector(day: int) -> int:
+    """Twelfth of the zodiac (0 from the spring equinox) at local midnight."""
+    t = (day - 2451545.5 - 7 / 24) / 36525
+    m = math.radians(357.52910 + (35999.05030 - (0.0001559 + 0.00000048 * t) * t) * t)
+    centre = (1.914600 - (0.004817 + 0.000014 * t) * t) * math.sin(m) + (0.019993 - 0.000101 * t) * math.sin(2 * m) + 0.000290 * math.sin(3 * m)
+    return int((280.46645 + (36000.76983 + 0.0003032 * t) * t + centre) % 360 // 30)
+
+
+def lunar_date(year: int, month: int, day: int) -> str:
+    """Gregorian date of a day of the lunisolar year that begins in ``year``
+    (months 1-10; no leap month): months start at new moons, month 11 holds the
+    winter solstice, and the first month without a change of sun sector is a
+    leap month."""
+    def eleventh(y):
+        k = int((date(y, 12, 31).toordinal() + 1721425 - 2415021) / 29.530588853)
+        return k if _sun_sector(_new_moon(k)) < 9 else k - 1
+
+    a, b = eleventh(year - 1), eleventh(year)
+    index = month + 1  # months after the eleventh
+    if _new_moon(b) - _new_moon(a) > 365:
+        sectors = [_sun_sector(_new_moon(a + i)) for i in range(15)]
+        leap = next(i for i in range(1, 14) if sectors[i] == sectors[i + 1])
+        index += index >= leap
+    return date.fromordinal(_new_moon(a + index) - 1721425 + day - 1).isoformat()
+
+
 def fixed_holiday_table(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """One row per holiday date for the years (fixed days, Tet window,
-    Hung Kings day); a small dimension table."""
+    Hung Kings day); a small dimension table. Years outside the fixed tables
+    get their moving days from the lunisolar calendar."""
     rows = []
     for y in range(first_year, last_year + 1):
         rows += [(f"{y}-{m:02d}-{d:02d}", "fixed") for m, d in VN_FIXED_DAYS]
-        if y in VN_TET_FIRST_DAY:
-            rows.append((VN_TET_FIRST_DAY[y], "tet"))
-        if y in VN_HUNG_KINGS:
-            rows.append((VN_HUNG_KINGS[y], "hung_kings"))
+        rows.append((VN_TET_FIRST_DAY.get(y) or lunar_date(y, 1, 1), "tet"))
+        rows.append((VN_HUNG_KINGS.get(y) or lunar_date(y, 3, 10), "hung_kings"))
     base = spark.createDataFrame(rows, "day string, kind string").select(F.to_date("day").alias("day"), "kind")
     tet = base.filter(F.col("kind") == "tet").select(
         F.explode(F.sequence(F.date_add("day", TET_WINDOW[0]), F.date_add("day", TET_WINDOW[1]))).alias("holiday_date"))

@@ -181,8 +181,12 @@ def pi() -> Column:
 
 
 def normalised_key(x) -> Column:
-    """Text key normalisation: trim, drop a trailing '.0…' ("609.0" → "609")."""
-    return F.regexp_replace(F.trim(_c(x).cast("string")), r"\.0+$", "")
+    """Text key normalisation: trim, drop a trailing '.0…' ("609.0" → "609"),
+    write whole numbers in E notation as digits ("1.2345678E7" → "12345678")."""
+    text = F.trim(_c(x).cast("string"))
+    digits = text.try_cast("decimal(38,0)").cast("string")
+    whole = text.try_cast("decimal(38,10)") == text.try_cast("decimal(38,0)")
+    return F.when(text.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?[eE][+]?[0-9]+$") & whole, digits).otherwise(F.regexp_replace(text, r"\.0+$", ""))
 
 
 def nested_item_totals(items) -> dict[str, Column]:

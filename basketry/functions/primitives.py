@@ -13,12 +13,11 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-PS_BUCKETS = 64
-
+from pyspark.sql import types as T
 
 def _as_list(x) -> list:
     if x is None:
@@ -26,23 +25,52 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, str) else list(x)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join on equal column names where NULL equals NULL; the right side's
+    key columns are dropped."""
+    keys = _as_list(on)
+    renamed = right.withColumnsRenamed({k: f"_ns_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_ns_{k}`")) for k in keys])
+    return left.join(renamed, cond, how).drop(*[f"_ns_{k}" for k in keys])
+
+
+def bucket_key(df: DataFrame, col: str) -> Column:
+    """A double that never decreases along the column's own order, for
+    bucketing only: numbers and times as they are, text by its first bytes."""
+    t, c = df.schema[col].dataType, F.col(f"`{col}`")
+    if isinstance(t, T.StringType):
+        return F.conv(F.rpad(F.substring(F.hex(c.cast("binary")), 1, 12), 12, "0"), 16, 10).cast("double")
+    if isinstance(t, T.BooleanType):
+        return c.cast("int").cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(t, T.TimestampNTZType):
+        return c.cast("timestamp").cast("double")
+    return c.cast("double")
+
+
 def prefix_sum(df: DataFrame, by: str, values, tiebreak=(), descending: bool = False,
-               partition_by=(), inclusive: bool = True, buckets: int = PS_BUCKETS,
+               partition_by=(), inclusive: bool = True, buckets: int | None = None,
                prefix: str = "cum_") -> DataFrame:
     """Add ``{prefix}{v}`` = Σ v over the rows that come before (and, when
     ``inclusive``, including) each row in the order ``by`` (asc/desc, nulls
-    last) then ``tiebreak`` ascending, restarting per ``partition_by``.
-
-    Rows with equal ``by`` always land in the same bucket, so callers that
-    group ties into one row first get exact tie-aware sums."""
+    last) then ``tiebreak`` ascending, restarting per ``partition_by`` (NULL
+    is a partition of its own).
+
+    Rows are ordered by the column's own type; a double made from it only
+    decides the bucket, of which there are as many as shuffle partitions
+    unless ``buckets`` says otherwise. Rows with equal ``by`` always land in
+    the same bucket, so callers that group ties into one row first get exact
+    tie-aware sums."""
     values, tiebreak, part = _as_list(values), _as_list(tiebreak), _as_list(partition_by)
-    key = F.col(by).cast("double") * F.lit(-1.0 if descending else 1.0)
+    buckets = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = bucket_key(df, by) * F.lit(-1.0 if descending else 1.0)
     probs = [i / buckets for i in range(1, buckets)]
     base = df.withColumn("_ps_key", key)
     if part:
         edges = base.groupBy(*part).agg(
             F.percentile_approx("_ps_key", probs, 10000).alias("_ps_edges"))
-        base = base.join(edges, part, "left")
+        base = null_safe_join(base, edges, part)
         edges_col = F.col("_ps_edges")
     else:
         # scalar subquery projected into a column: HOFs may not hold subqueries
@@ -52,7 +80,8 @@ def prefix_sum(df: DataFrame, by: str, values, tiebreak=(), descending: bool = F
         F.aggregate(F.coalesce(edges_col, F.array().cast("array<double>")), F.lit(0),
                     lambda acc, e: acc + F.when(e < F.col("_ps_key"), 1).otherwise(0)))
     base = base.withColumn("_ps_bucket", bucket).drop("_ps_edges")
-    order = [F.col("_ps_key").asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in tiebreak]
+    own = F.col(f"`{by}`")
+    order = [own.desc_nulls_last() if descending else own.asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in tiebreak]
     frame_end = Window.currentRow if inclusive else -1
     w = Window.partitionBy(*part, "_ps_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
     totals = base.groupBy(*part, "_ps_bucket").agg(*[F.sum(v).alias(f"_ps_tot_{v}") for v in values])
@@ -62,7 +91,7 @@ def prefix_sum(df: DataFrame, by: str, values, tiebreak=(), descending: bool = F
         F.coalesce(F.sum(f"_ps_tot_{v}").over(wo), F.lit(0)).alias(f"_ps_off_{v}") for v in values])
     if not part:
         offsets = F.broadcast(offsets)  # bounded by ``buckets`` + 1 rows
-    out = base.join(offsets, [*part, "_ps_bucket"], "left")
+    out = null_safe_join(base, offsets, [*part, "_ps_bucket"])
     for v in values:
         out = out.withColumn(f"{prefix}{v}", F.coalesce(F.sum(v).over(w), F.lit(0)) + F.col(f"_ps_off_{v}"))
     return out.drop("_ps_key", "_ps_bucket", *[f"_ps_off_{v}" for v in values])
@@ -105,14 +134,7 @@ def average_rank(df: DataFrame, value: str, partition_by=(), out: str = "rank")
               .groupBy(*part, value).agg(F.count(F.lit(1)).alias("_ar_n")))
     ranked = prefix_sum(counts, value, "_ar_n", partition_by=part, inclusive=False)
     ranks = ranked.select(*part, value, (F.col("cum__ar_n") + (F.col("_ar_n") + 1) / 2.0).alias(out))
-    return df.join(ranks, [*part, value], "left")
-
-
-def exact_quantiles(df: DataFrame, col: str, probs, group_by=(), out: str = "q") -> DataFrame:
-    """Linear-interpolated exact quantiles (pandas / DuckDB quantile_cont)."""
-    agg = F.percentile(F.col(col), F.array(*[F.lit(float(p)) for p in probs])).alias(out)
-    g = _as_list(group_by)
-    return df.groupBy(*g).agg(agg) if g else df.agg(agg)
+    return null_safe_join(df, ranks, [*part, value])
 
 
 def exact_quantiles(df: DataFrame, col: str, probs) -> list:
@@ -149,12 +171,67 @@ def _pick_quantiles(counts: DataFrame, probs) -> list:
     return out
 
 
-def quantile_scalar(df: DataFrame, col: str, probs, approx: bool = False) -> Column:
-    """Scalar subquery with the quantile array of a column (one value for
-    every row, computed once)."""
-    if approx:
-        return df.select(F.percentile_approx(col, list(probs), 10000)).scalar()
-    return df.select(F.percentile(F.col(col), F.array(*[F.lit(float(p)) for p in probs]))).scalar()
+def group_quantiles(df: DataFrame, cols, probs, keys=()) -> DataFrame:
+    """Exact interpolated quantiles of several columns per group: one row per
+    (``keys``…, ``column_name``) with ``q``, an array in the order of
+    ``probs``. Counts per (group, column, value) with map-side combination,
+    a bucketed prefix sum of those counts, then one aggregate picks the values
+    at the needed positions; no task holds a column's or a group's values.
+    Groups and columns without a value have no row."""
+    keys, probs = _as_list(keys), [float(p) for p in probs]
+    values = df.select(*[F.col(f"`{k}`") for k in keys], F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("_v")) for c in _as_list(cols)])).alias("_r"))
+    part = [*keys, "column_name"]
+    counts = (values.select(*[F.col(f"`{k}`") for k in keys], "_r.column_name", "_r._v").filter(F.col("_v").isNotNull())
+              .groupBy(*part, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    placed = prefix_sum(counts, "_v", "_n", partition_by=part, inclusive=False)
+    placed = null_safe_join(placed, counts.groupBy(*part).agg(F.sum("_n").alias("_all")), part, "inner")
+
+    def at(position):
+        hit = (F.col("cum__n") <= position) & (position < F.col("cum__n") + F.col("_n"))
+        return F.max(F.when(hit, F.col("_v")))
+
+    aggs = []
+    for i, p in enumerate(probs):
+        h = (F.col("_all") - 1) * F.lit(p)
+        aggs += [at(F.floor(h)).alias(f"_lo{i}"), at(F.ceil(h)).alias(f"_hi{i}"), F.max(h - F.floor(h)).alias(f"_w{i}")]
+    picked = placed.groupBy(*part).agg(*aggs)
+    return picked.select(*part, F.array(*[
+        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}") for i in range(len(probs))]).alias("q"))
+
+
+def column_quantiles(df: DataFrame, cols, probs) -> dict[str, list]:
+    """``group_quantiles`` of whole columns, fetched: one short list a column
+    (of ``None`` where a column has no value)."""
+    cols = _as_list(cols)
+    found = {r["column_name"]: list(r["q"]) for r in group_quantiles(df, cols, probs).collect()} if cols else {}
+    return {c: found.get(c, [None] * len(list(probs))) for c in cols}
+
+
+def with_group_quantiles(table: DataFrame, df: DataFrame, keys, spec: dict[str, tuple[str, float]]) -> DataFrame:
+    """``table`` (one row per group of ``keys``) with the quantiles of ``df``
+    that ``spec`` names: ``{new column: (column, probability)}``."""
+    keys = _as_list(keys)
+    cols, probs = sorted({c for c, _ in spec.values()}), sorted({p for _, p in spec.values()})
+    long = group_quantiles(df, cols, probs, keys)
+    wide = long.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("column_name") == c, F.col("q")[probs.index(p)])).alias(name) for name, (c, p) in spec.items()])
+    return null_safe_join(table, wide, keys)
+
+
+def distinct_counts(df: DataFrame, cols) -> DataFrame:
+    """``column_name, nunique`` of non-null values: (column, value) pairs are
+    combined map-side and counted, two shuffles for any number of columns."""
+    def plain(c):
+        t, x = df.schema[c].dataType, F.col(f"`{c}`")
+        if isinstance(t, (T.DoubleType, T.FloatType)):
+            x = x + F.lit(0.0)  # -0.0 and 0.0 are one value
+        return x.cast("string")
+
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), plain(c).alias("_v"))
+                                         for c in _as_list(cols)])).alias("_r")).select("_r.*")
+    return (long.groupBy("column_name", "_v").agg(F.lit(1).alias("_one")).groupBy("column_name")
+            .agg(F.count("_v").alias("nunique")))
 
 
 def unpivot_numeric(df: DataFrame, ids, features, var: str = "feature", val: str = "value") -> DataFrame:

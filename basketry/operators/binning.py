@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.primitives import exact_quantiles, prefix_sum
+from basketry.functions.primitives import exact_quantiles, prefix_sum, with_group_quantiles
 
 
 def cut_fixed(x, edges: list[float], labels: list | None = None, right: bool = True,
@@ -155,6 +155,6 @@ def tenure_group(days, preset: str = "train") -> Column:
 
 def binned_mean(df: DataFrame, x: str, y: str, q: int = 10) -> DataFrame:
     """Quantile-bin x; per bin the median x, mean y and count."""
-    b = qcut(df, x, q, "bin")
-    return b.filter(F.col("bin").isNotNull()).groupBy("bin").agg(
-        F.percentile(F.col(x), F.lit(0.5)).alias("x_median"), F.avg(y).alias("y_mean"), F.count(F.lit(1)).alias("n"))
+    b = qcut(df, x, q, "bin").filter(F.col("bin").isNotNull())
+    rows = b.groupBy("bin").agg(F.avg(y).alias("y_mean"), F.count(F.lit(1)).alias("n"))
+    return with_group_quantiles(rows, b, "bin", {"x_median": (x, 0.5)}).select("bin", "x_median", "y_mean", "n")

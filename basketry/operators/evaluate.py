@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.primitives import prefix_sum
+from basketry.functions.primitives import column_quantiles, prefix_sum
 from basketry.operators.binning import qcut
 
 
@@ -183,7 +183,8 @@ def error_by_value_group(detail: DataFrame, y: str = "y", q: int = 3) -> DataFra
 
 def error_summary_worst(detail: DataFrame, date_col: str, err: str = "abs_error") -> DataFrame:
     """Q16: mean / median / max absolute error and the worst date."""
-    return detail.agg(F.avg(err).alias("mean_abs_error"), F.percentile(F.col(err), F.lit(0.5)).alias("median_abs_error"),
+    median = F.lit(column_quantiles(detail, err, [0.5])[err][0]).cast("double")
+    return detail.agg(F.avg(err).alias("mean_abs_error"), median.alias("median_abs_error"),
                       F.max(err).alias("max_abs_error"), F.max_by(date_col, F.when(F.col(err).isNotNull(), F.struct(F.col(err), F.col(date_col)))).alias("worst_date"))
 
 
@@ -196,7 +197,7 @@ def top_error_context(detail: DataFrame, features: DataFrame, date_col: str, k:
 def probability_diagnostics(df: DataFrame, score: str, threshold: float) -> DataFrame:
     """Q19: min, median, p95, max, positives at 0.5 and positive rate at the
     chosen threshold."""
-    q = F.percentile(F.col(score), F.array(F.lit(0.5), F.lit(0.95)))
+    q = [F.lit(v).cast("double") for v in column_quantiles(df, score, [0.5, 0.95])[score]]
     return df.agg(F.min(score).cast("double").alias("min"), q[0].alias("median"), q[1].alias("p95"),
                   F.max(score).cast("double").alias("max"), F.count_if(F.col(score) >= 0.5).alias("n_pos_at_0_5"),
                   F.avg((F.col(score) >= threshold).cast("double")).alias("positive_rate_at_threshold"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.expr import family_of, select_ladder
+from basketry.functions.primitives import distinct_counts
 from basketry.session import cut_lineage
 
 # Target-history columns that must never reach a model.
@@ -99,13 +100,14 @@ def banned_column_guard(df: DataFrame, banned=BANNED_FEATURES) -> DataFrame:
 
 def quality_filter(df: DataFrame, features: list[str], max_missing: float = 0.5) -> DataFrame:
     """Per feature missing share, distinct count (≤ 1 → constant) and
-    infinite count in one aggregate; action and reason per feature."""
+    infinite count; action and reason per feature."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(features):
         x = F.col(f"`{c}`")
-        aggs += [F.count_if(x.isNull()).alias(f"m{i}"), F.count_distinct(x).alias(f"u{i}"),
+        aggs += [F.count_if(x.isNull()).alias(f"m{i}"),
                  F.count_if(x.cast("double").isin(float("inf"), float("-inf"))).alias(f"f{i}")]
-    one = df.agg(*aggs)
+    distinct = {r["column_name"]: r["nunique"] for r in distinct_counts(df, features).collect()}  # one row a feature
+    one = df.agg(*aggs).withColumns({f"u{i}": F.lit(distinct.get(c, 0)).cast("long") for i, c in enumerate(features)})
     rows = []
     for i, c in enumerate(features):
         miss = F.col(f"m{i}") / F.col("_n")
@@ -136,24 +138,29 @@ def duplicate_columns(df: DataFrame, features: list[str], key: str) -> DataFrame
     return df.sparkSession.createDataFrame(rows, "feature string, duplicate_of string")
 
 
-def redundancy_greedy(pairs: DataFrame, scores: DataFrame, pearson_thr: float = 0.98, spearman_thr: float = 0.90) -> DataFrame:
-    """Walk correlated pairs (strongest first) and drop the weaker
-    feature (lower effect score, then more missing, then name) unless one
-    of the pair is already dropped. Pairs and scores are small tables."""
-    sc = {r["feature"]: (r["score"] or 0.0, r["missing_share"] or 0.0) for r in scores.collect()}
-    hot = pairs.filter((F.abs("pearson") > pearson_thr) | (F.abs("spearman") >= spearman_thr)) \
-        .orderBy(F.desc(F.greatest(F.abs("pearson"), F.abs("spearman"))), "feature_a", "feature_b").collect()
-    dropped: dict = {}
-    for p in hot:
-        a, b = p["feature_a"], p["feature_b"]
+def redundancy_greedy(pairs: DataFrame, scores: DataFrame, threshold: float = 0.90, corr_col: str = "spearman") -> DataFrame:
+    """Walk the pairs with |``corr_col``| of at least ``threshold``,
+    strongest first, and drop the weaker feature unless one of the two is
+    already dropped: the kept one has the higher score (where both have one
+    and they differ), else less missing, else stands first in the pair.
+    Pairs and scores have a row per pair and per feature."""
+    known = {r["feature"]: (r["score"], r["missing_share"]) for r in scores.collect()}
+    hot = (pairs.filter(F.abs(corr_col) >= threshold).select("feature_a", "feature_b", F.abs(corr_col).alias("v"))
+           .orderBy(F.desc("v"), "feature_a", "feature_b").collect())
+    dropped, rows = set(), []
+    for a, b, value in hot:
         if a in dropped or b in dropped:
             continue
-        ka = (sc.get(a, (0, 0))[0], -sc.get(a, (0, 0))[1], a)
-        kb = (sc.get(b, (0, 0))[0], -sc.get(b, (0, 0))[1], b)
-        loser, winner = (b, a) if ka >= kb else (a, b)
-        dropped[loser] = winner
-    rows = [(f, w) for f, w in dropped.items()]
-    return pairs.sparkSession.createDataFrame(rows, "feature string, dropped_for string")
+        (score_a, miss_a), (score_b, miss_b) = (known.get(f, (None, None)) for f in (a, b))
+        miss_a, miss_b = (float("inf") if m is None else m for m in (miss_a, miss_b))
+        if score_a is not None and score_b is not None and score_a != score_b:
+            kept = a if score_a > score_b else b
+        else:
+            kept = a if miss_a <= miss_b else b
+        dropped.add(b if kept == a else a)
+        rows.append((a, b, f"absolute_{corr_col}", float(value), kept, b if kept == a else a))
+    return pairs.sparkSession.createDataFrame(
+        rows, "feature_a string, feature_b string, association_type string, association_value double, kept string, dropped string")
 
 
 def family_cap(table: DataFrame, feature: str = "feature", score: str = "score", missing: str = "missing_share",
@@ -345,20 +352,27 @@ def forward_group_selection(df: DataFrame, date_col: str, target: str, groups: d
     return df.sparkSession.createDataFrame(rows, "step int, feature_group string, wape_before double, wape_after double, gain double, accepted boolean")
 
 
-def redundancy_groups(pairs: DataFrame, threshold: float = 0.9, corr_col: str = "corr", max_iter: int = 50) -> DataFrame:
+def redundancy_groups(pairs: DataFrame, threshold: float = 0.9, corr_col: str = "corr") -> DataFrame:
     """Features linked by |corr| ≥ threshold share a group id (the
-    smallest member name); iterative min-label propagation over the pair
-    edges (a Spark loop, lineage cut each round), representative = group
-    id. Returns (feature, group_id, is_representative)."""
+    smallest member name). Each round a feature takes the least label among
+    its neighbours, then the label of its label (pointer jumping), so a chain
+    of n links settles in about log n rounds; the loop ends at the fixed
+    point, lineage cut each round. Returns (feature, group_id,
+    is_representative)."""
     e = pairs.filter(F.abs(corr_col) >= threshold).select(F.col("feature_a").alias("src"), F.col("feature_b").alias("dst"))
     edges = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     nodes = pairs.select(F.col("feature_a").alias("node")).unionByName(pairs.select(F.col("feature_b").alias("node"))).distinct()
     labels = nodes.withColumn("label", F.col("node"))
-    for _ in range(max_iter):
+    while True:
         prop = edges.join(labels, edges["src"] == labels["node"]).select(F.col("dst").alias("node"), F.col("label").alias("cand"))
         new = labels.join(prop.groupBy("node").agg(F.min("cand").alias("cand")), "node", "left") \
             .select("node", F.least("label", F.coalesce("cand", "label")).alias("label"))
-        new = cut_lineage(new)
+        # hook: the neighbours' best label also reaches the feature that carried the old label
+        hooked = (prop.join(labels, "node").select(F.col("label").alias("node"), F.col("cand"))
+                  .groupBy("node").agg(F.min("cand").alias("hook")))
+        new = new.join(hooked, "node", "left").select("node", F.least("label", F.coalesce("hook", "label")).alias("label"))
+        jump = new.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        new = cut_lineage(new.join(jump, "label", "left").select("node", F.least("label", F.coalesce("far", "label")).alias("label")))
         changed = new.join(labels.withColumnRenamed("label", "old"), "node").filter(F.col("label") != F.col("old")).limit(1).count()
         labels = new
         if changed == 0:

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.expr import normalised_key
 from basketry.operators.rules import assert_unique_key
 
 
@@ -169,20 +170,24 @@ def interval_active(spine: DataFrame, intervals: DataFrame, start: str, end: str
     return out.drop("_sum", "_cnt")
 
 
-DYADIC_LEVELS = 17  # blocks up to 2^16 days (~179 years) — enough for any calendar span
-
-
-def _dyadic_interval_max(days: DataFrame, iv: DataFrame, day_col: str, levels: int = DYADIC_LEVELS) -> DataFrame:
+def _dyadic_interval_max(days: DataFrame, iv: DataFrame, day_col: str) -> DataFrame:
     """Max of ``_m`` over intervals [_s, _e] covering each day.
 
+    Intervals are clipped to the first and last spine day, and the number of
+    levels follows from that span, so open-ended intervals cost no more.
+
     Day numbers d = days since epoch. At level k an aligned block j covers
     [j·2^k, (j+1)·2^k − 1]. The canonical cover of [s, e] uses, per level,
     only the first and last blocks fully inside whose parent block is not
     fully inside; every covered day has exactly one ancestor block in the
     cover, so max over ancestors = max over covering intervals."""
     epoch = F.lit("1970-01-01").cast("date")
-    d = iv.filter(F.col("_m").isNotNull()).select(F.datediff("_s", epoch).cast("long").alias("_a"),
-                                                  F.datediff("_e", epoch).cast("long").alias("_b"), "_m")
+    first, last = days.agg(F.min(F.datediff(day_col, epoch)), F.max(F.datediff(day_col, epoch))).first()
+    first, last = first or 0, last if last is not None else -1
+    levels = max(1, (last - first + 1).bit_length())
+    d = iv.filter(F.col("_m").isNotNull()).select(
+        F.greatest(F.datediff("_s", epoch), F.lit(first)).cast("long").alias("_a"),
+        F.least(F.datediff("_e", epoch), F.lit(last)).cast("long").alias("_b"), "_m").filter(F.col("_a") <= F.col("_b"))
     # one row per (interval, level), then at most two candidate blocks
     lv = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("k"))
     size = F.expr("shiftleft(CAST(1 AS BIGINT), k)")
@@ -200,18 +205,12 @@ def _dyadic_interval_max(days: DataFrame, iv: DataFrame, day_col: str, levels: i
     return anc.join(bmax, ["k", "j"], "inner").groupBy(day_col).agg(F.max("_bm").alias("active_max"))
 
 
-def normalise_key(c) -> "F.Column":
-    """Key text normalisation: trim, drop a trailing '.0…' ("609.0" → "609")."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.trim(col.cast("string")), r"\.0+$", "")
-
-
 def lookup_enrich(items: DataFrame, lookup: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """Fill item attributes from a lookup when absent on the item; the
     key is normalised on both sides first."""
-    lk = lookup.select(normalise_key(key).alias("_lk_key"),
+    lk = lookup.select(normalised_key(key).alias("_lk_key"),
                        *[F.col(c).alias(f"_lk_{c}") for c in cols])
-    base = items.withColumn("_lk_key", normalise_key(key))
+    base = items.withColumn("_lk_key", normalised_key(key))
     j = base.join(lk, "_lk_key", "left")
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(c), F.col(f"_lk_{c}")) if c in items.columns else F.col(f"_lk_{c}"))

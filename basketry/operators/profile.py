@@ -2,10 +2,10 @@
 
 Profiles are one wide aggregate over the table (a single scan, partial
 aggregation per task) followed by an unpivot of the one-row result into a
-long report. Exact distinct counts and exact percentiles are the default
-(they match pandas); ``approx=True`` switches to mergeable sketches
-(HyperLogLog++ ``approx_count_distinct``, ``percentile_approx``) whose
-memory does not grow with the data — the setting for very large tables.
+long report. Distinct counts and percentiles are exact by default (they match
+pandas) and distributed: (column, value) counts with map-side combination, then
+a bucketed prefix sum. ``approx=True`` switches to mergeable sketches
+(HyperLogLog++ ``approx_count_distinct``, ``percentile_approx``).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.expr import select_ladder
-from basketry.functions.primitives import skew_adjusted
+from basketry.functions.primitives import column_quantiles, distinct_counts, group_quantiles, skew_adjusted
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -36,22 +36,24 @@ def _explode_rows(one: DataFrame, rows: list[dict]) -> DataFrame:
     return one.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
-def _ndistinct(c: Column, approx: bool) -> Column:
-    return F.approx_count_distinct(c, 0.01) if approx else F.count_distinct(c)
-
-
 def schema_report(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column: dtype, non_null, missing, missing_pct, nunique and an
     example (the smallest value, deterministic)."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(df.columns):
-        aggs += [F.count(_q(c)).alias(f"nn{i}"), _ndistinct(_q(c), approx).alias(f"nu{i}"),
-                 F.min(_q(c)).cast("string").alias(f"ex{i}")]
+        aggs += [F.count(_q(c)).alias(f"nn{i}"), F.min(_q(c)).cast("string").alias(f"ex{i}")]
+        if approx:
+            aggs.append(F.approx_count_distinct(_q(c), 0.01).alias(f"nu{i}"))
     rows = [{"column_name": F.lit(c), "dtype": F.lit(df.schema[c].dataType.simpleString()),
              "non_null": F.col(f"nn{i}"), "missing": F.col("_n") - F.col(f"nn{i}"),
              "missing_pct": F.try_divide((F.col("_n") - F.col(f"nn{i}")) * 100.0, F.col("_n")),
-             "nunique": F.col(f"nu{i}").cast("long"), "example": F.col(f"ex{i}")} for i, c in enumerate(df.columns)]
-    return _explode_rows(df.agg(*aggs), rows)
+             **({"nunique": F.col(f"nu{i}").cast("long")} if approx else {}), "example": F.col(f"ex{i}")}
+            for i, c in enumerate(df.columns)]
+    out = _explode_rows(df.agg(*aggs), rows)
+    if approx:
+        return out
+    return out.join(distinct_counts(df, df.columns), "column_name", "left").select(
+        "column_name", "dtype", "non_null", "missing", "missing_pct", F.coalesce("nunique", F.lit(0)).cast("long").alias("nunique"), "example")
 
 
 def missing_report(df: DataFrame, only_missing: bool = False) -> DataFrame:
@@ -122,41 +124,48 @@ def duplicate_examples(df: DataFrame, keys: list[str], n: int = 20) -> DataFrame
 PCTS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
 
-def _pct(c: Column, probs, approx: bool) -> Column:
-    if approx:
-        return F.percentile_approx(c.cast("double"), list(probs), 10000)
-    return F.percentile(c.cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
+def _quantiles(df: DataFrame, cols: list[str], probs, approx: bool) -> DataFrame:
+    """``column_name, q``: exact by default, sketched with ``approx``."""
+    if not approx:
+        return group_quantiles(df, cols, probs)
+    one = df.agg(*[F.percentile_approx(_q(c).cast("double"), list(probs), 10000).alias(f"q{i}") for i, c in enumerate(cols)])
+    return _explode_rows(one, [{"column_name": F.lit(c), "q": F.col(f"q{i}")} for i, c in enumerate(cols)])
+
+
+def _fetched(df: DataFrame, cols: list[str], probs, approx: bool) -> dict[str, list]:
+    """A short list per column, for use as literals."""
+    got = {r["column_name"]: r["q"] for r in _quantiles(df, cols, probs, approx).collect()}
+    return {c: list(got.get(c) or [None] * len(list(probs))) for c in cols}
 
 
 def numeric_summary(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
     """Count, mean, std, min, p1/5/25/50/75/95/99, max, missing_pct and
-    bias-adjusted skew per numeric column — one aggregate."""
+    bias-adjusted skew per numeric column: one aggregate for the moments and
+    the distributed quantiles."""
     cols = cols or numeric_columns(df)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         x = _q(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mu{i}"), F.stddev_samp(x).alias(f"sd{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), _pct(x, PCTS, approx).alias(f"p{i}"),
-                 skew_adjusted(c).alias(f"sk{i}")]
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), skew_adjusted(c).alias(f"sk{i}")]
     rows = []
     for i, c in enumerate(cols):
         r = {"column_name": F.lit(c), "count": F.col(f"n{i}"), "mean": F.col(f"mu{i}"), "std": F.col(f"sd{i}"),
-             "min": F.col(f"lo{i}")}
-        for j, p in enumerate(PCTS):
-            r[f"p{int(p * 100):02d}"] = F.col(f"p{i}")[j]
-        r.update({"max": F.col(f"hi{i}"), "missing_pct": (F.col("_n") - F.col(f"n{i}")) * 100.0 / F.col("_n"),
-                  "skew": F.col(f"sk{i}")})
+             "min": F.col(f"lo{i}"), "max": F.col(f"hi{i}"),
+             "missing_pct": (F.col("_n") - F.col(f"n{i}")) * 100.0 / F.col("_n"), "skew": F.col(f"sk{i}")}
         rows.append(r)
-    return _explode_rows(df.agg(*aggs), rows)
+    out = _explode_rows(df.agg(*aggs), rows).join(_quantiles(df, cols, PCTS, approx), "column_name", "left")
+    return out.select("column_name", "count", "mean", "std", "min",
+                      *[F.col("q")[j].alias(f"p{int(p * 100):02d}") for j, p in enumerate(PCTS)], "max", "missing_pct", "skew")
 
 
 def iqr_outlier_report(df: DataFrame, cols: list[str] | None = None, k: float = 1.5, approx: bool = False) -> DataFrame:
     """q1, q3, iqr, bounds at k·iqr, outlier count and pct of all rows.
-    Pass 1 (quartiles, one aggregate) is a scalar subquery; pass 2 counts
-    against those bounds — both scan all columns at once."""
+    Pass 1 fits the quartiles of all columns at once; pass 2 counts against
+    them as literals."""
     cols = cols or numeric_columns(df)
-    qs = df.agg(*[_pct(_q(c), [0.25, 0.75], approx).alias(f"q{i}") for i, c in enumerate(cols)])
-    qcols = {i: qs.select(f"q{i}").scalar() for i in range(len(cols))}
+    fitted = _fetched(df, cols, [0.25, 0.75], approx)
+    qcols = {i: [F.lit(v).cast("double") for v in fitted[c]] for i, c in enumerate(cols)}
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         q1, q3 = qcols[i][0], qcols[i][1]
@@ -181,10 +190,10 @@ def outlier_tail_profile(tables: dict[str, DataFrame], k: float = 1.5, approx: b
         cols = numeric_columns(df)
         if not cols:
             continue
-        qs = df.agg(*[_pct(_q(c), probs, approx).alias(f"q{i}") for i, c in enumerate(cols)])
+        fitted = _fetched(df, cols, probs, approx)
         aggs = []
         for i, c in enumerate(cols):
-            q = qs.select(f"q{i}").scalar()
+            q = F.array(*[F.lit(v).cast("double") for v in fitted[c]])
             lo, hi = q[1] - k * (q[3] - q[1]), q[3] + k * (q[3] - q[1])
             aggs += [F.count_if(_q(c) < lo).alias(f"l{i}"), F.count_if(_q(c) > hi).alias(f"h{i}"), q.alias(f"q{i}")]
         rows = [{"table_name": F.lit(name), "column_name": F.lit(c), "q01": F.col(f"q{i}")[0], "q25": F.col(f"q{i}")[1],
@@ -197,7 +206,7 @@ def outlier_tail_profile(tables: dict[str, DataFrame], k: float = 1.5, approx: b
 def outlier_business_context(lines: DataFrame, price: str, cost: str, key: str, top_n: int = 50) -> DataFrame:
     """Lines above the p99 price labelled by a cost / margin / markup
     rule; top ``top_n`` by price."""
-    p99 = lines.select(F.percentile(F.col(price), F.lit(0.99))).scalar()
+    p99 = F.lit(column_quantiles(lines, price, [0.99])[price][0]).cast("double")
     hi = lines.filter(F.col(price) > p99)
     margin = F.try_divide(F.col(price) - F.col(cost), F.col(price))
     label = select_ladder([(F.col(cost).isNull(), "no_cost_reference"), (F.col(price) < F.col(cost), "below_cost"),
@@ -276,11 +285,10 @@ def feature_view_type(df: DataFrame, cols: list[str]) -> DataFrame:
     """C17: binary (≤ 2 levels), low_cardinality (≤ 12), continuous
     (numeric), other."""
     num = set(numeric_columns(df))
-    one = df.agg(*[F.count_distinct(_q(c)).alias(f"u{i}") for i, c in enumerate(cols)])
-    rows = [{"column_name": F.lit(c), "nunique": F.col(f"u{i}"),
-             "view_type": select_ladder([(F.col(f"u{i}") <= 2, "binary"), (F.col(f"u{i}") <= 12, "low_cardinality")],
-                                        "continuous" if c in num else "other")} for i, c in enumerate(cols)]
-    return _explode_rows(one, rows)
+    u = distinct_counts(df, cols)
+    return u.select("column_name", "nunique", select_ladder(
+        [(F.col("nunique") <= 2, "binary"), (F.col("nunique") <= 12, "low_cardinality"),
+         (F.col("column_name").isin(sorted(num)), "continuous")], "other").alias("view_type"))
 
 
 def date_continuity(df: DataFrame, date_col: str) -> DataFrame:
@@ -351,7 +359,7 @@ def promo_usage_summary(lines: DataFrame, promo_cols: list[str], discount: str)
 def percentile_outlier_days(daily: DataFrame, date_col: str, revenue: str, cogs: str) -> DataFrame:
     """Days with revenue ≤ p1 or ≥ p99, cogs > revenue, or negative
     margin; first matching reason; count and share of all days per reason."""
-    q = daily.select(F.percentile(F.col(revenue), F.array(F.lit(0.01), F.lit(0.99)))).scalar()
+    q = [F.lit(v).cast("double") for v in column_quantiles(daily, revenue, [0.01, 0.99])[revenue]]
     reason = select_ladder([(F.col(revenue) <= q[0], "revenue_le_p01"), (F.col(revenue) >= q[1], "revenue_ge_p99"),
                             (F.col(cogs) > F.col(revenue), "cogs_gt_revenue"),
                             (F.try_divide(F.col(revenue) - F.col(cogs), F.col(revenue)) < 0, "negative_margin")], None)

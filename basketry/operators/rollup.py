@@ -8,12 +8,11 @@ Pivots always take an explicit value list so no extra distinct job runs.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.expr import clip, slugify
+from basketry.functions.primitives import column_quantiles, group_quantiles, null_safe_join, with_group_quantiles
 
 
 def _k(x) -> list[str]:
@@ -75,7 +74,7 @@ def kpi_overview(lines: DataFrame, order_values: DataFrame, revenue: str, gross:
                   F.count_distinct(order_col).alias("orders"), F.count_distinct(customer_col).alias("customers"),
                   F.count_distinct(product_col).alias("products"),
                   (F.sum(F.col(revenue) - F.col(cost)) if cost else F.lit(None)).alias("profit"))
-    med = order_values.select(F.percentile(F.col(order_value), F.lit(0.5))).scalar()
+    med = F.lit(column_quantiles(order_values, order_value, [0.5])[order_value][0]).cast("double")
     kpis = [("total_revenue", F.col("revenue")), ("total_gross", F.col("gross")),
             ("total_units", F.col("units")), ("n_orders", F.col("orders")),
             ("n_customers", F.col("customers")), ("n_products", F.col("products")),
@@ -141,11 +140,20 @@ def top_values(df: DataFrame, col: str, k: int) -> list:
     return [r[0] for r in rows]
 
 
+def levels(df: DataFrame, col: str) -> list:
+    """All non-null values of a column in order, to name pivot columns: the
+    caller pivots on columns whose values are few by meaning (flags, types)."""
+    return sorted(r[0] for r in df.filter(F.col(col).isNotNull()).select(col).distinct().collect())
+
+
 def crosstab_counts(df: DataFrame, row_key, col: str, values: list | None = None, top_k: int | None = None,
                     prefix: str | None = None) -> DataFrame:
     """row_key × category count columns for an explicit (or top-k)
-    value list, slugged names ``{prefix}_{slug}``, missing → 0."""
-    values = values if values is not None else top_values(df, col, top_k or 10)
+    value list, slugged names ``{prefix}_{slug}``, missing → 0. One of the two
+    must be given: a column per value needs a chosen list."""
+    if values is None and top_k is None:
+        raise ValueError("crosstab_counts needs values or top_k")
+    values = values if values is not None else top_values(df, col, top_k)
     prefix = prefix or col
     aggs = [F.count_if(F.col(col) == F.lit(v)).alias(f"{prefix}_{slugify(v)}") for v in values]
     return df.groupBy(*_k(row_key)).agg(*aggs)
@@ -257,8 +265,8 @@ def channel_growth_recent(df: DataFrame, channel: str, period: str, value: str,
 def quadrant_summary(df: DataFrame, a: str, b: str, key: str | None = None) -> DataFrame:
     """above/below the median of two measures → 2×2 summary with row
     counts and means."""
-    ma = df.select(F.percentile(F.col(a), F.lit(0.5))).scalar()
-    mb = df.select(F.percentile(F.col(b), F.lit(0.5))).scalar()
+    fitted = column_quantiles(df, [a, b], [0.5])
+    ma, mb = (F.lit(fitted[c][0]).cast("double") for c in (a, b))
     q = df.select((F.col(a) >= ma).alias(f"high_{a}"), (F.col(b) >= mb).alias(f"high_{b}"), a, b)
     return q.groupBy(f"high_{a}", f"high_{b}").agg(F.count(F.lit(1)).alias("n_rows"),
                                                      F.avg(a).alias(f"mean_{a}"), F.avg(b).alias(f"mean_{b}"))
@@ -295,11 +303,11 @@ def return_impact(df: DataFrame, keys, returned: str, qty: str, refund: str, rev
 
 def delivery_vs_return(df: DataFrame, returned: str, days: str, rating: str | None = None) -> DataFrame:
     """mean / median delivery days (and mean rating) by returned flag."""
-    aggs = [F.count(F.lit(1)).alias("n_rows"), F.avg(days).alias("mean_days"),
-            F.percentile(F.col(days), F.lit(0.5)).alias("median_days")]
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.avg(days).alias("mean_days")]
     if rating:
         aggs.append(F.avg(rating).alias("mean_rating"))
-    return df.groupBy(returned).agg(*aggs)
+    out = with_group_quantiles(df.groupBy(returned).agg(*aggs), df, returned, {"median_days": (days, 0.5)})
+    return out.select(returned, "n_rows", "mean_days", "median_days", *(["mean_rating"] if rating else []))
 
 
 def yoy_growth_geomean(df: DataFrame, date_col: str, value: str, complete_only: bool = True) -> DataFrame:
@@ -334,16 +342,15 @@ def histogram_data(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, col: str, keys=(), k: float = 1.5) -> DataFrame:
     """q1, median, q3, whiskers at k·IQR clipped to the data, outlier
-    count, per group (no keys: quartiles come from one scalar subquery)."""
-    keys = _k(keys)
-    qs = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    count, per group (no keys: the whole table's quartiles as literals)."""
+    keys, probs = _k(keys), [0.25, 0.5, 0.75]
     if keys:
-        q = df.groupBy(*keys).agg(qs.alias("_q"))
-        j = df.select(*keys, col).join(q, keys, "inner")
+        q = group_quantiles(df, col, probs, keys).select(*keys, F.col("q").alias("_q"))
+        j = null_safe_join(df.select(*keys, col), q, keys)
         qcol = F.col("_q")
     else:
         j = df.select(col)
-        qcol = df.select(qs).scalar()
+        qcol = F.array(*[F.lit(v).cast("double") for v in column_quantiles(df, col, probs)[col]])
     j = j.withColumn("q1", qcol[0]).withColumn("median", qcol[1]).withColumn("q3", qcol[2])
     j = j.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo, hi = F.col("q1") - k * F.col("iqr"), F.col("q3") + k * F.col("iqr")
@@ -368,13 +375,15 @@ def category_counts(df: DataFrame, col: str, top_n: int | None = None) -> DataFr
 def group_target_agg(df: DataFrame, key: str, target: str, agg: str = "mean", top_k: int | None = None) -> DataFrame:
     """any aggregate of the target per group, optionally only over the
     top-k most frequent groups (semi join against a k-row table)."""
-    fn = {"mean": F.avg, "sum": F.sum, "median": lambda c: F.percentile(F.col(c), F.lit(0.5)),
-          "max": F.max, "min": F.min, "count": F.count}[agg]
     src = df
     if top_k:
         top = (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
                .orderBy(F.desc("_n"), F.asc(key)).limit(top_k).select(key))
         src = df.join(F.broadcast(top), key, "left_semi")  # k rows
+    if agg == "median":
+        rows = src.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+        return with_group_quantiles(rows, src, key, {f"median_{target}": (target, 0.5)}).select(key, f"median_{target}", "n_rows")
+    fn = {"mean": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[agg]
     return src.groupBy(key).agg(fn(target).alias(f"{agg}_{target}"), F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -396,19 +405,17 @@ def daily_agg(df: DataFrame, date_col: str, aggs: dict[str, Column], out_date: s
 
 def flag_vs_noflag(df: DataFrame, flag: str, measures: list[str]) -> DataFrame:
     """F32: mean and median of measures for flagged vs unflagged rows."""
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for m in measures:
-        aggs += [F.avg(m).alias(f"mean_{m}"), F.percentile(F.col(m), F.lit(0.5)).alias(f"median_{m}")]
-    return df.groupBy(flag).agg(*aggs)
+    rows = df.groupBy(flag).agg(F.count(F.lit(1)).alias("n_rows"), *[F.avg(m).alias(f"mean_{m}") for m in measures])
+    out = with_group_quantiles(rows, df, flag, {f"median_{m}": (m, 0.5) for m in measures})
+    return out.select(flag, "n_rows", *[c for m in measures for c in (f"mean_{m}", f"median_{m}")])
 
 
 def distribution_by_group(df: DataFrame, keys, value: str) -> DataFrame:
     """count, mean, median, sample std, min, max per group."""
-    return df.groupBy(*_k(keys)).agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), F.percentile(F.col(value), F.lit(0.5)).alias("median"),
-        F.stddev_samp(value).alias("std"), F.min(value).cast("double").alias("min"),
+    rows = df.groupBy(*_k(keys)).agg(
+        F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).cast("double").alias("min"),
         F.max(value).cast("double").alias("max"))
+    return with_group_quantiles(rows, df, _k(keys), {"median": (value, 0.5)}).select(
+        *_k(keys), "n", "mean", "median", "std", "min", "max")
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

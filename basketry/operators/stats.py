@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.expr import relation_label
-from basketry.functions.primitives import average_rank, unpivot_numeric
+from basketry.functions.primitives import null_safe_join, prefix_sum, unpivot_numeric, with_group_quantiles
 
 MIN_PAIRS = 30
 
@@ -38,21 +38,45 @@ def _pairs_long(df: DataFrame, features: list[str], target: str, group_by=()) ->
 
 def spearman_long(long: DataFrame, keys: list[str]) -> DataFrame:
     """Spearman per ``keys`` on a long (keys…, x, y) frame: tie-averaged
-    ranks of x and y inside each key group, then Pearson of the ranks."""
-    r = average_rank(long, "x", keys, "rx")
-    r = average_rank(r, "y", keys, "ry")
-    return r.groupBy(*keys).agg(F.corr("rx", "ry").alias("spearman"), F.count(F.lit(1)).alias("n_pairs"))
+    ranks of x and y inside each key group, then Pearson of the ranks.
+
+    Rows are first reduced to (keys, x, y) cells with counts (map-side
+    combined); ranks come from the distinct values and are joined to cells,
+    never to rows. Ranks have the known mean (n + 1) / 2, so the sums are of
+    deviations."""
+    cells = long.groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).alias("_c"))
+
+    def ranks(col, out):
+        counts = cells.groupBy(*keys, col).agg(F.sum("_c").alias("_n"))
+        placed = prefix_sum(counts, col, "_n", partition_by=keys, inclusive=False)
+        return placed.select(*keys, col, (F.col("cum__n") + (F.col("_n") + 1) / 2.0).alias(out))
+
+    total = cells.groupBy(*keys).agg(F.sum("_c").alias("n_pairs"))
+    r = null_safe_join(null_safe_join(cells, ranks("x", "_rx"), [*keys, "x"]), ranks("y", "_ry"), [*keys, "y"])
+    r = null_safe_join(r, total, keys) if keys else r.withColumn("n_pairs", total.select("n_pairs").scalar())
+    dx, dy = F.col("_rx") - (F.col("n_pairs") + 1) / 2.0, F.col("_ry") - (F.col("n_pairs") + 1) / 2.0
+    c = F.col("_c")
+    g = r.groupBy(*keys).agg(F.sum(c * dx * dy).alias("_xy"), F.sum(c * dx * dx).alias("_xx"),
+                             F.sum(c * dy * dy).alias("_yy"), F.max("n_pairs").alias("n_pairs"))
+    rho = F.when((F.col("_xx") > 0) & (F.col("_yy") > 0), F.col("_xy") / F.sqrt(F.col("_xx") * F.col("_yy")))
+    return g.select(*keys, rho.alias("spearman"), F.coalesce("n_pairs", F.lit(0)).cast("long").alias("n_pairs"))
+
+
+def spearman_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Pairwise-complete Spearman of every two columns: ``feature_a,
+    feature_b, spearman, n_pairs``."""
+    both = [F.when(F.col(f"`{a}`").isNotNull() & F.col(f"`{b}`").isNotNull(), F.struct(
+        F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"`{a}`").cast("double").alias("x"),
+        F.col(f"`{b}`").cast("double").alias("y"))) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    long = df.select(F.explode(F.array(*both)).alias("_p")).filter(F.col("_p").isNotNull()).select("_p.*")
+    return spearman_long(long, ["feature_a", "feature_b"])
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """Pairwise-complete Spearman of two columns (one-row frame)."""
     long = df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) \
         .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    # one pair: global ranks (no constant partition key, which Catalyst
-    # would fold into a keyless join)
-    r = average_rank(average_rank(long, "x", (), "rx"), "y", (), "ry")
-    return r.agg(F.corr("rx", "ry").alias("spearman"), F.count(F.lit(1)).alias("n_pairs")).select(
-        F.lit(a).alias("feature"), "spearman", "n_pairs")
+    return spearman_long(long, []).select(F.lit(a).alias("feature"), "spearman", "n_pairs")
 
 
 def target_relation_report(df: DataFrame, features: list[str], target: str, min_pairs: int = MIN_PAIRS) -> DataFrame:
@@ -129,14 +153,19 @@ def contingency_stats(df: DataFrame, a: str, b: str, group_by=()) -> DataFrame:
     cb = cells.groupBy(*g, "_b").agg(F.sum("o").alias("cb"))
     j = cells.join(ra, [*g, "_a"]).join(cb, [*g, "_b"])
     return j.groupBy(*g).agg(F.sum("o").alias("n"), F.sum(F.col("o") * F.col("o") / (F.col("ra") * F.col("cb"))).alias("_s"),
-                             F.count_distinct("_a").alias("r"), F.count_distinct("_b").alias("k")) \
-        .withColumn("chi2", F.col("n") * (F.col("_s") - 1.0)).drop("_s")
+                             F.count_distinct("_a").alias("r"), F.count_distinct("_b").alias("k"),
+                             F.max(F.struct(F.col("o").alias("o"), (F.col("ra") * F.col("cb")).alias("m"))).alias("_cell")) \
+        .withColumn("chi2", F.col("n") * (F.col("_s") - 1.0)) \
+        .withColumn("deviation", F.abs(F.col("_cell.o") - F.col("_cell.m") / F.col("n"))).drop("_s", "_cell")
 
 
 def cramers_v(df: DataFrame, a: str, b: str, group_by=()) -> DataFrame:
     """Bias-corrected Cramér's V (no Yates); 0 for fewer than two
     levels on a side or n ≤ 1."""
-    c = contingency_stats(df, a, b, group_by)
+    return _cramers_from(contingency_stats(df, a, b, group_by)).drop("deviation")
+
+
+def _cramers_from(c: DataFrame) -> DataFrame:
     n, r, k = F.col("n").cast("double"), F.col("r").cast("double"), F.col("k").cast("double")
     phi2 = F.col("chi2") / n
     phi2c = F.greatest(F.lit(0.0), phi2 - (k - 1) * (r - 1) / (n - 1))
@@ -182,70 +211,113 @@ def chi2_sf(x: float, dof: int) -> float:
 
 
 def chi2_test(df: DataFrame, a: str, b: str, yates_2x2: bool = True) -> dict:
-    """χ² independence test; Yates correction on 2×2 tables. The
-    contingency is aggregated on Spark; the p-value of the one statistic is
-    computed on the driver."""
-    d = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    cells = d.groupBy(F.col(a).cast("string").alias("_a"), F.col(b).cast("string").alias("_b")).agg(F.count(F.lit(1)).alias("o"))
-    ra = cells.groupBy("_a").agg(F.sum("o").alias("ra"))
-    cb = cells.groupBy("_b").agg(F.sum("o").alias("cb"))
-    # Expected counts for every (row, col) pair: rows × cols is the small
-    # contingency shape (levels, not data rows).
-    ra_rows, cb_rows = ra.collect(), cb.collect()
-    if len(ra_rows) > 10000 or len(cb_rows) > 10000:
-        raise ValueError("too many levels for a contingency test")
-    obs = {(r["_a"], r["_b"]): r["o"] for r in cells.collect()}
-    total = sum(r["ra"] for r in ra_rows)
-    stat = 0.0
-    yates = yates_2x2 and len(ra_rows) == 2 and len(cb_rows) == 2
-    for r in ra_rows:
-        for c in cb_rows:
-            e = r["ra"] * c["cb"] / total
-            o = obs.get((r["_a"], c["_b"]), 0)
-            diff = abs(o - e)
-            if yates:
-                diff = max(0.0, diff - 0.5)
-            stat += diff * diff / e
-    dof = (len(ra_rows) - 1) * (len(cb_rows) - 1)
-    return {"chi2": stat, "dof": dof, "p_value": chi2_sf(stat, dof) if dof > 0 else 1.0, "n": total, "yates": yates}
+    """χ² independence test; Yates correction on 2×2 tables. Statistic,
+    shape and correction are Spark aggregates; one row reaches the driver,
+    where the p-value is computed."""
+    row = chi2_table(df, a, b, (), yates_2x2).first()
+    n, r, k = (row["n"] or 0), row["r"], row["k"]
+    dof = max(0, (r - 1) * (k - 1))
+    stat = row["chi2"] if row["chi2"] is not None else 0.0
+    return {"chi2": stat, "dof": dof, "p_value": chi2_sf(stat, dof) if dof > 0 else 1.0, "n": n, "yates": bool(row["yates"])}
+
+
+def chi2_table(df: DataFrame, a: str, b: str, group_by=(), yates_2x2: bool = True) -> DataFrame:
+    """χ² per group with shape (r × k), ``yates`` and the corrected statistic:
+    in a 2×2 table all four deviations are equal, so the correction scales the
+    statistic by ((d − ½) / d)²."""
+    c = contingency_stats(df, a, b, group_by)
+    yates = (F.col("r") == 2) & (F.col("k") == 2) & F.lit(yates_2x2)
+    d = F.col("deviation")
+    scale = F.when(yates & (d > 0), F.pow(F.greatest(F.lit(0.0), d - 0.5) / d, F.lit(2.0))).otherwise(F.lit(1.0))
+    return c.withColumn("chi2_raw", F.col("chi2")).withColumn("chi2", F.col("chi2") * scale).withColumn("yates", F.coalesce(yates, F.lit(False)))
+
+
+def t_two_sided(t: float, dof: float) -> float:
+    """P(|T| > t) of Student's t: the regularised incomplete beta function
+    I(dof / (dof + t²); dof / 2, ½), by its continued fraction."""
+    if t is None or t != t:
+        return float("nan")
+    x, a, b = dof / (dof + t * t), dof / 2.0, 0.5
+
+    def fraction(x, a, b):
+        tiny = 1e-300
+        c, d = 1.0, 1.0 - (a + b) * x / (a + 1)
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        h = d
+        for m in range(1, 10_000):
+            for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+                d = 1.0 + num * d
+                c = 1.0 + num / c
+                d = 1.0 / (d if abs(d) > tiny else tiny)
+                c = c if abs(c) > tiny else tiny
+                h *= d * c
+            if abs(d * c - 1) < 1e-15:
+                break
+        return h
+
+    if x >= 1.0:
+        return 1.0
+    if x <= 0.0:
+        return 0.0
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+    return front * fraction(x, a, b) / a if x < (a + 1) / (a + b + 2) else 1.0 - front * fraction(1 - x, b, a) / b
+
+
+def biserial_moments(df: DataFrame, numeric: list[str], label: str) -> DataFrame:
+    """``feature, n, r, n_values`` of every numeric feature against a binary
+    label, in one pass over the long form."""
+    long = _pairs_long(df, numeric, label)
+    cells = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("r"), F.min("x").alias("_a"), F.max("x").alias("_z"))
+    return cells.select("feature", "n", "r", (F.col("_a") < F.col("_z")).alias("varies"))
+
+
+def _biserial(row, min_pairs: int) -> tuple[float, float]:
+    """(r, p) of a moments row; 0 and 1 below the guard."""
+    if row is None or row["n"] <= min_pairs or not row["varies"]:
+        return 0.0, 1.0
+    r = float("nan") if row["r"] is None else float(row["r"])
+    return r, (0.0 if abs(r) >= 1 else t_two_sided(r * math.sqrt((row["n"] - 2) / (1 - r * r)), row["n"] - 2))
 
 
 def point_biserial(df: DataFrame, x: str, label: str, min_pairs: int = MIN_PAIRS) -> DataFrame:
-    """Correlation of a numeric feature with a binary label; p-value by
-    the t statistic with a normal tail (documented approximation)."""
-    both = F.col(x).isNotNull() & F.col(label).isNotNull()
-    g = df.agg(F.corr(F.when(both, F.col(x)).cast("double"), F.when(both, F.col(label)).cast("double")).alias("r"),
-               F.count_if(both).alias("n"), F.count_distinct(F.when(both, F.col(x))).alias("_u"))
-    ok = (F.col("n") > min_pairs) & (F.col("_u") > 1)
-    r = F.when(ok, F.col("r")).otherwise(F.lit(0.0))
-    t = r * F.sqrt((F.col("n") - 2) / F.greatest(F.lit(1e-300), 1 - r * r))
-    p = F.when(ok, F.lit(2.0) * (F.lit(1.0) - _norm_cdf(F.abs(t)))).otherwise(F.lit(1.0))
-    return g.select(F.lit(x).alias("feature"), "n", r.alias("r"), p.alias("p_value"))
-
-
-def _norm_cdf(z: Column) -> Column:
-    """Φ(z) via the Abramowitz–Stegun 7.1.26 erf approximation (|err| <
-    1.5e-7), as a column expression."""
-    x = z / F.lit(math.sqrt(2.0))
-    t = 1.0 / (1.0 + 0.3275911 * F.abs(x))
-    poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
-    erf = F.signum(x) * (1.0 - poly * F.exp(-x * x))
-    return 0.5 * (1.0 + erf)
-
-
-def relevance_ranking(df: DataFrame, numeric: list[str], categorical: list[str], label: str) -> DataFrame:
-    """Effect size per feature — |point-biserial r| for numeric,
-    Cramér's V for categorical — sorted descending."""
-    parts = [point_biserial(df, f, label).select("feature", F.lit("point_biserial_r").alias("metric"),
-                                                 F.abs("r").alias("effect_size")) for f in numeric]
-    parts += [cramers_v(df, c, label).select(F.lit(c).alias("feature"), F.lit("cramers_v").alias("metric"),
-                                             F.col("cramers_v").alias("effect_size")) for c in categorical]
-    return reduce(DataFrame.unionByName, parts)
+    """Correlation of a numeric feature with a binary label and its
+    p-value (t distribution, n − 2 degrees of freedom). One row of moments
+    reaches the driver."""
+    row = biserial_moments(df, [x], label).first()
+    r, p = _biserial(row, min_pairs)
+    return df.sparkSession.createDataFrame([(x, row["n"] if row else 0, r, p)], "feature string, n long, r double, p_value double")
+
+
+def relevance_ranking(df: DataFrame, numeric: list[str], categorical: list[str], label: str,
+                      min_pairs: int = MIN_PAIRS) -> DataFrame:
+    """Per feature metric, score, effect size and p-value — point-biserial
+    r for numeric features, Cramér's V with the χ² test for categorical ones —
+    by effect size descending. One pass each over the numeric and categorical
+    long forms; a row per feature reaches the driver for its p-value."""
+    rows = []
+    if numeric:
+        moments = {m["feature"]: m for m in biserial_moments(df, numeric, label).collect()}
+        for f in numeric:
+            r, p = _biserial(moments.get(f), min_pairs)
+            rows.append((f, "point_biserial_r", r, abs(r), p))
+    if categorical:
+        long = df.select(F.col(label).alias("_label"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("_level")) for c in categorical])).alias("_r"))
+        table = chi2_table(long.select("_label", "_r.*"), "_level", "_label", ["feature"])
+        found = {c["feature"]: c for c in _cramers_from(table.withColumn("_chi2", F.col("chi2")).withColumn("chi2", F.col("chi2_raw"))).collect()}
+        for f in categorical:
+            c = found.get(f)
+            two = c is not None and c["r"] > 1 and c["k"] > 1
+            v = float(c["cramers_v"]) if two else 0.0
+            rows.append((f, "cramers_v", v, v, chi2_sf(c["_chi2"], (c["r"] - 1) * (c["k"] - 1)) if two else 1.0))
+    rows.sort(key=lambda r: (-r[3], r[0]))
+    return df.sparkSession.createDataFrame(
+        [(i + 1, *r) for i, r in enumerate(rows)], "place int, feature string, metric string, score double, effect_size double, p_value double")
 
 
 def distribution_by_label(df: DataFrame, score: str, label: str) -> DataFrame:
     """Score quantiles 5/25/50/75/95, min, max, n per label."""
-    q = F.percentile(F.col(score), F.array(*[F.lit(p) for p in (0.05, 0.25, 0.5, 0.75, 0.95)]))
     g = df.groupBy(label).agg(F.count(score).alias("n"), F.min(score).cast("double").alias("min"),
-                              F.max(score).cast("double").alias("max"), q.alias("_q"))
-    return g.select(label, "n", "min", *[F.col("_q")[i].alias(f"p{p:02d}") for i, p in enumerate((5, 25, 50, 75, 95))], "max")
+                              F.max(score).cast("double").alias("max"))
+    spec = {f"p{p:02d}": (score, p / 100) for p in (5, 25, 50, 75, 95)}
+    return with_group_quantiles(g, df, label, spec).select(label, "n", "min", *spec, "max")

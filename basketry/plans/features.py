@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.calendar import calendar_columns
-from basketry.functions.expr import clip, flag, ieq, log1p_clip, slugify
+from basketry.functions.expr import clip, flag, ieq, log1p_clip, normalised_key, slugify
 from basketry.operators.binning import tenure_group
 from basketry.operators.govern import banned_column_guard
-from basketry.operators.joins import left_join_chain, lookup_enrich, normalise_key
+from basketry.operators.joins import left_join_chain, lookup_enrich
 from basketry.operators.rules import join_rowcount_check
 from basketry.operators.timeseries import feature_name_compiler, lag_features, rolling_mean_past, densify
 
@@ -178,7 +178,7 @@ def nested_order_features(orders: DataFrame, products: DataFrame, multihot: dict
     disc = F.aggregate("items", F.lit(0.0), lambda acc, x: acc + coalesce_nonneg(x["discount_amount"]))
     o = o.select("*", gross.alias("_gross"), disc.alias("_disc"),
                  F.aggregate("items", F.lit(0.0), lambda acc, x: acc + q(x)).alias("total_quantity"),
-                 F.size(F.array_distinct(F.transform("items", lambda x: normalise_key(x["product_id"])))).alias("unique_product_count"))
+                 F.size(F.array_distinct(F.transform("items", lambda x: normalised_key(x["product_id"])))).alias("unique_product_count"))
     pay = F.coalesce(F.col("_pay"), F.greatest(F.col("_gross") - F.col("_disc"), F.lit(0.0)))
     ratio = clip(F.when(F.col("_gross") > 0, F.col("_disc") / F.col("_gross")).otherwise(F.lit(0.0)), 0.0, 1.0)
     start = F.least("first_order_date", "order_date")

@@ -5,13 +5,16 @@ from pyspark.sql import functions as F
 from basketry.operators import timeseries as ts
 from basketry.plans import features as ft
 from basketry.plans.catalog import register, table, tidy
-from basketry.plans.queries.q_rollup import PART_TYPES
+from basketry.plans.queries.q_rollup import PART_TYPES, category_levels
 from basketry.plans.queries.q_timeseries import DENSE_SQL, dense_daily
 from basketry.sources import io, retail
 from basketry.sources.retail import with_roles
 
-SPEC = ft.OrderFeatureSpec(cash_col="priority", cash_value="1-urgent", categorical=["priority", "segment"],
-                           multihot={"category": PART_TYPES})
+def spec(spark, sf) -> ft.OrderFeatureSpec:
+    return ft.OrderFeatureSpec(cash_col="priority", cash_value="1-urgent", categorical=["priority", "segment"],
+                               multihot=category_levels(spark, sf))
+
+
 STATUS = "CASE order_status WHEN 'F' THEN 'delivered' WHEN 'P' THEN 'returned' ELSE 'processing' END"
 
 
@@ -51,14 +54,14 @@ SELECT order_id, CASE order_status WHEN 'returned' THEN 1 WHEN 'delivered' THEN
 def q_serving_features(spark, sf):
     """Master (order × item fan-out) → one row per order with label,
     numeric, categorical, binary, multi-hot and quantile inputs."""
-    return tidy(ft.serving_features(master(spark, sf), SPEC), 9, {"total_quantity": 2, "payment_value": 2})
+    return tidy(ft.serving_features(master(spark, sf), spec(spark, sf)), 9, {"total_quantity": 2, "payment_value": 2})
 
 
 @register("order_feature_table")
 def q_order_feature_table(spark, sf):
     """Labelled-order training table from pre-aggregated blocks."""
     t = ft.order_feature_table(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf),
-                               retail.products(spark, sf), {"category": PART_TYPES})
+                               retail.products(spark, sf), category_levels(spark, sf))
     return tidy(t, 9)
 
 
@@ -69,7 +72,7 @@ def q_nested_order_features(spark, sf):
     from basketry.plans.scoring import parse_requests, requests_from_tables
     req = requests_from_tables(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf))
     parsed = parse_requests(req).filter(F.col("reject_reason").isNull()).select("order.*")
-    return tidy(ft.nested_order_features(parsed, retail.products(spark, sf), {"category": PART_TYPES}, cash_value="1-urgent"), 9)
+    return tidy(ft.nested_order_features(parsed, retail.products(spark, sf), category_levels(spark, sf), cash_value="1-urgent"), 9)
 
 
 @register("daily_target_table", DENSE_SQL + """

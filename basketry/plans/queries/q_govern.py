@@ -8,9 +8,9 @@ from basketry.operators import timeseries as ts
 from basketry.operators.models import cache_folds
 from basketry.plans import features as ft
 from basketry.plans.catalog import register, tidy
-from basketry.plans.queries.q_features import SPEC, master
+from basketry.plans.queries.q_features import master, spec
 from basketry.plans.queries.q_profile import ORDERS_ITEMS_SQL, orders_items
-from basketry.plans.queries.q_rollup import PART_TYPES
+from basketry.plans.queries.q_rollup import category_levels
 from basketry.plans.queries.q_stats import FEATS, order_features
 from basketry.session import cut_lineage
 from basketry.sources import retail
@@ -41,7 +41,7 @@ def q_leakage_gate(spark, sf):
     """L02 + L03 + G12: the order table joined with target-history audit
     columns; the gate marks ids, target, metadata and banned columns."""
     o = ft.order_feature_table(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf),
-                               retail.products(spark, sf), {"category": PART_TYPES})
+                               retail.products(spark, sf), category_levels(spark, sf))
     items = retail.items(spark, sf).withColumn("returned", (F.col("return_flag") == "R").cast("int"))
     hist = ts.order_history_features(items, "order_id", "product_id", "ship_date", "returned").withColumnRenamed(
         "mean_rate_before", "mean_product_return_rate").withColumnRenamed("max_rate_before", "max_product_return_rate") \
@@ -83,7 +83,8 @@ def _pairs_and_scores(spark, sf):
     o = order_features(spark, sf)
     rel = stats.target_relation_report(o, FEATS, "returned")
     mat = stats.corr_matrix(o, FEATS, upper_only=True).withColumnRenamed("corr", "pearson")
-    r = mat.withColumn("spearman", F.col("pearson"))
+    rank = stats.spearman_pairs(o, FEATS).select("feature_a", "feature_b", "spearman")
+    r = mat.join(rank, ["feature_a", "feature_b"])
     q = gv.quality_filter(o, FEATS)
     scores = rel.select("feature", F.abs("max_abs_corr").alias("score")).join(q.select("feature", "missing_share"), "feature")
     return r, scores, rel, q
@@ -93,7 +94,7 @@ def _pairs_and_scores(spark, sf):
 def q_redundancy_greedy(spark, sf):
     """Greedy drop of the weaker feature in highly correlated pairs."""
     pairs, scores, _, _ = _pairs_and_scores(spark, sf)
-    return gv.redundancy_greedy(pairs, scores, pearson_thr=0.5, spearman_thr=0.5)
+    return tidy(gv.redundancy_greedy(pairs, scores, threshold=0.5))
 
 
 @register("family_cap")
@@ -168,7 +169,7 @@ def q_selection_report(spark, sf):
 def q_leakage_name_review(spark, sf):
     """Risky names among the order-table columns."""
     o = ft.order_feature_table(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf),
-                               retail.products(spark, sf), {"category": PART_TYPES})
+                               retail.products(spark, sf), category_levels(spark, sf))
     names = spark.createDataFrame([(c,) for c in o.columns], "feature string")
     return gv.leakage_name_review(names, model_cols=[c for c in o.columns if c not in ("order_id", "returned")])
 
@@ -177,7 +178,8 @@ def q_leakage_name_review(spark, sf):
 def q_readiness(spark, sf):
     """Named checks computed with Spark actions (unique grain, binary
     target, ordered splits, no banned column)."""
-    o = ft.serving_features(master(spark, sf), SPEC).join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
+    sp = spec(spark, sf)
+    o = ft.serving_features(master(spark, sf), sp).join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
     lab = o.filter(F.col("label").isNotNull())
     sp = splits.positional_cutoff_split(lab, "order_date")
     pairs, _ = splits.split_integrity(sp, "data_split", "order_date", "order_id")
@@ -193,9 +195,10 @@ def q_readiness(spark, sf):
 @register("modeling_schema")
 def q_modeling_schema(spark, sf):
     """Column, role and type of the serving feature table."""
-    o = ft.serving_features(master(spark, sf), SPEC)
-    roles = {"order_id": "id", "label": "target", **{c: "numeric" for c in SPEC.numeric()},
-             **{c: "categorical" for c in SPEC.categorical_all()}, **{c: "binary" for c in SPEC.binary()}, SPEC.payment: "quantile"}
+    sp = spec(spark, sf)
+    o = ft.serving_features(master(spark, sf), sp)
+    roles = {"order_id": "id", "label": "target", **{c: "numeric" for c in sp.numeric()},
+             **{c: "categorical" for c in sp.categorical_all()}, **{c: "binary" for c in sp.binary()}, sp.payment: "quantile"}
     return gv.modeling_schema(o, roles)
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from basketry.functions.expr import normalised_key
 from basketry.operators import joins
 from basketry.plans.catalog import register, table, tidy
 from basketry.sources import retail
@@ -148,7 +149,7 @@ def q_lookup_enrich(spark, sf):
     lk = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("product_key"),
                                          F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
     out = joins.lookup_enrich(items, lk, "product_key", ["category", "brand"])
-    return out.withColumn("product_key", joins.normalise_key("product_key"))
+    return out.withColumn("product_key", normalised_key("product_key"))
 
 
 @register("date_offset_join", with_roles("orders") + """,

@@ -9,7 +9,7 @@ from basketry.operators import splits
 from basketry.operators.preprocess import Preprocessor, class_weight
 from basketry.plans import features as ft
 from basketry.plans.catalog import register, tidy
-from basketry.plans.queries.q_features import SPEC, master
+from basketry.plans.queries.q_features import master, spec
 from basketry.plans.queries.q_timeseries import DENSE_SQL, dense_daily
 from basketry.session import cut_lineage
 from basketry.sources import retail
@@ -84,12 +84,13 @@ NUMERIC = ["customer_tenure_days", "total_quantity", "unique_product_count", "di
 def classification_frame(spark, sf):
     """Labelled order features + date + positional split, preprocessed
     (fit on train) into model columns."""
-    feats = ft.serving_features(master(spark, sf), SPEC).filter(F.col("label").isNotNull())
+    sp = spec(spark, sf)
+    feats = ft.serving_features(master(spark, sf), sp).filter(F.col("label").isNotNull())
     feats = feats.join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
     # Lineage cut before the fit/apply steps: every later statistic scans
     # the checkpointed feature table instead of re-running the joins.
     sp = cut_lineage(splits.positional_cutoff_split(feats, "order_date"))
-    pre = Preprocessor(numeric=NUMERIC, binary=SPEC.binary(), categorical=SPEC.categorical_all())
+    pre = Preprocessor(numeric=NUMERIC, binary=sp.binary(), categorical=sp.categorical_all())
     pre.fit(sp.filter(F.col("data_split") == "train"))
     out = pre.transform(sp, keep=["order_id", "order_date", "data_split", "label"])
     return class_weight(out, "label"), pre.output_columns()

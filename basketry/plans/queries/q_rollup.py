@@ -7,12 +7,17 @@ from basketry.plans.catalog import register, table, tidy
 from basketry.sources import retail
 from basketry.sources.retail import with_roles
 
-# The category domains of the test tables used as pivot lists.
+# Levels of the test tables, for naming columns in the oracle SQL only; queries fit theirs on the data
 PART_TYPES = ["MEDIUM", "STANDARD", "LARGE", "PROMO", "SMALL", "ECONOMY"]
 RETURN_FLAGS = ["A", "N", "R"]
 STATUSES = ["F", "O", "P"]
 
 
+def category_levels(spark, sf) -> dict[str, list]:
+    """Product categories, fitted on the product table."""
+    return {"category": rollup.levels(retail.products(spark, sf), "category")}
+
+
 def lines(spark, sf):
     """Item lines with product attributes, net revenue, cost and returned flag."""
     it = retail.items(spark, sf)
@@ -157,7 +162,7 @@ def q_crosstab_counts(spark, sf):
 def q_pivot_sum(spark, sf):
     """year × return flag summed quantity."""
     it = retail.items(spark, sf).withColumn("year", F.year("ship_date"))
-    return tidy(rollup.pivot_agg(it, "year", "return_flag", RETURN_FLAGS, "sum", "quantity", prefix="qty"), 2)
+    return tidy(rollup.pivot_agg(it, "year", "return_flag", rollup.levels(it, "return_flag"), "sum", "quantity", prefix="qty"), 2)
 
 
 @register("pivot_mean", """
@@ -167,7 +172,7 @@ def q_pivot_mean(spark, sf):
     """segment × status mean order value."""
     o = table(spark, sf, "orders").join(table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"),
                                         "o_custkey")
-    return tidy(rollup.pivot_agg(o, "c_mktsegment", "o_orderstatus", STATUSES, "avg", "o_totalprice", prefix="price"), 4)
+    return tidy(rollup.pivot_agg(o, "c_mktsegment", "o_orderstatus", rollup.levels(o, "o_orderstatus"), "avg", "o_totalprice", prefix="price"), 4)
 
 
 @register("pivot_nunique", with_roles("items") + _pivot_sql("EXTRACT(year FROM ship_date)", "year", "return_flag",
@@ -175,7 +180,7 @@ def q_pivot_mean(spark, sf):
 def q_pivot_nunique(spark, sf):
     """year × return flag distinct orders."""
     it = retail.items(spark, sf).withColumn("year", F.year("ship_date"))
-    return rollup.pivot_agg(it, "year", "return_flag", RETURN_FLAGS, "nunique", "order_id", prefix="orders")
+    return rollup.pivot_agg(it, "year", "return_flag", rollup.levels(it, "return_flag"), "nunique", "order_id", prefix="orders")
 
 
 @register("category_share", LINES_SQL + TOP4_SQL + """,
@@ -197,7 +202,8 @@ def q_category_share(spark, sf):
     + " FROM lines GROUP BY 1")
 def q_multihot(spark, sf):
     """per order 0/1 flag per category and return-flag level."""
-    return rollup.multihot(lines(spark, sf), "order_id", {"category": PART_TYPES, "return_flag": RETURN_FLAGS})
+    d = lines(spark, sf)
+    return rollup.multihot(d, "order_id", {c: rollup.levels(d, c) for c in ("category", "return_flag")})
 
 
 @register("order_rollup", with_roles("items") + """

@@ -6,9 +6,9 @@ from basketry.operators import evaluate as ev
 from basketry.plans import features as ft
 from basketry.plans import scoring as sc
 from basketry.plans.catalog import register
-from basketry.plans.queries.q_features import SPEC, master
+from basketry.plans.queries.q_features import master, spec
 from basketry.plans.queries.q_models import NUMERIC
-from basketry.plans.queries.q_rollup import PART_TYPES
+from basketry.plans.queries.q_rollup import category_levels
 from basketry.session import cut_lineage
 from basketry.sources import io, retail
 from basketry.streaming.stream_score import start_stream_scoring
@@ -21,11 +21,12 @@ def fitted_bundle(spark, sf):
     train; threshold = max-F1 policy on validation (stored with the model)."""
     from basketry.operators.preprocess import class_weight
     from basketry.operators.splits import positional_cutoff_split
-    feats = ft.serving_features(master(spark, sf), SPEC)
+    sp = spec(spark, sf)
+    feats = ft.serving_features(master(spark, sf), sp)
     lab = feats.filter(F.col("label").isNotNull()).join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
     sp = cut_lineage(positional_cutoff_split(lab, "order_date"))
     train = class_weight(sp.filter(F.col("data_split") == "train"), "label")
-    binary = SPEC.binary()
+    binary = sp.binary()
     model = sc.fit_scoring_pipeline(train, NUMERIC, CATEG, binary, "label", "weight", maxIter=50, regParam=0.01)
     val = sc.batch_score(model, sp.filter(F.col("data_split") == "validation"), 0.5, binary=binary).join(
         sp.select("order_id", "label"), "order_id")
@@ -82,7 +83,7 @@ def q_stream_score(spark, sf):
     base = io.scratch_path(spark, "stream")
     req = sc.requests_from_tables(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf))
     req.write.mode("overwrite").json(f"{base}/landing")
-    q = start_stream_scoring(spark, f"{base}/landing", retail.products(spark, sf), model, thr, {"category": PART_TYPES},
+    q = start_stream_scoring(spark, f"{base}/landing", retail.products(spark, sf), model, thr, category_levels(spark, sf),
                              binary, f"{base}/out", f"{base}/checkpoint", rename={"payment_method": "priority"})
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out/scores").drop("batch_id")

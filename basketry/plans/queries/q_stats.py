@@ -141,26 +141,41 @@ def q_cramers_v(spark, sf):
     return tidy(v.select(F.lit("o_orderpriority").alias("feature"), "n", "r", "k", "chi2", "cramers_v"), 9, {"chi2": 6})
 
 
-@register("chi2_test")
+def _chi2_sql(col):
+    """χ² statistic, shape and n of ``col`` × returned, every expected cell."""
+    return f"""d AS (SELECT CAST({col} AS VARCHAR) AS a, returned AS b FROM of WHERE {col} IS NOT NULL AND returned IS NOT NULL),
+ra AS (SELECT a, count(*) AS ra FROM d GROUP BY 1), cb AS (SELECT b, count(*) AS cb FROM d GROUP BY 1),
+o AS (SELECT a, b, count(*) AS o FROM d GROUP BY 1, 2), nn AS (SELECT count(*) AS n FROM d),
+e AS (SELECT ra * cb * 1.0 / n AS e, coalesce(o, 0) AS o FROM ra, cb, nn LEFT JOIN o ON o.a = ra.a AND o.b = cb.b),
+x AS (SELECT sum((o - e) * (o - e) / e) AS chi2, (SELECT count(*) FROM ra) AS r, (SELECT count(*) FROM cb) AS k, (SELECT n FROM nn) AS n FROM e)"""
+
+
+def _t_tail_sql(source):
+    """Two-sided t tail of every row of ``source`` (feature, n, r): one less
+    twice Simpson's integral of the density from 0 to t."""
+    return f"""tv AS (SELECT feature, n, r, n - 2.0 AS nu, abs(r) * sqrt((n - 2) / (1 - r * r)) AS t FROM {source}),
+si AS (SELECT feature, n, r, nu, t, i, t * i / 4000.0 AS u, CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w
+       FROM tv, range(4001) q(i)),
+tp AS (SELECT feature, n, r, 1 - 2 * max(t) / 4000 / 3 * sum(w * exp(lgamma((nu + 1) / 2) - lgamma(nu / 2) - 0.5 * ln(nu * pi())
+              - (nu + 1) / 2 * ln(1 + u * u / nu))) AS p_value FROM si GROUP BY feature, n, r)"""
+
+
+@register("chi2_test", ORDER_FEATS_SQL + ", " + _chi2_sql("o_orderstatus") + """
+SELECT round(chi2, 6) AS chi2, CAST((r - 1) * (k - 1) AS INTEGER) AS dof, round(exp(-chi2 / 2), 9) AS p_value, n, false AS yates FROM x""")
 def q_chi2_test(spark, sf):
     """χ² test (Yates on 2×2) of status vs returned; the statistic comes
     from Spark aggregates, the p-value from the χ² tail on the driver."""
     res = stats.chi2_test(order_features(spark, sf), "o_orderstatus", "returned")
-    return spark.createDataFrame([(float(res["chi2"]), int(res["dof"]), float(res["p_value"]), int(res["n"]), bool(res["yates"]))],
-                                 "chi2 double, dof int, p_value double, n long, yates boolean")
+    return tidy(spark.createDataFrame([(float(res["chi2"]), int(res["dof"]), float(res["p_value"]), int(res["n"]), bool(res["yates"]))],
+                                      "chi2 double, dof int, p_value double, n long, yates boolean"), 9, {"chi2": 6})
 
 
 @register("point_biserial", ORDER_FEATS_SQL + """,
-g AS (SELECT corr(discount_ratio, returned) AS r0, count_if(discount_ratio IS NOT NULL AND returned IS NOT NULL) AS n,
-             count(DISTINCT CASE WHEN returned IS NOT NULL THEN discount_ratio END) AS u FROM of),
-h AS (SELECT n, CASE WHEN n > 30 AND u > 1 THEN r0 ELSE 0.0 END AS r, n > 30 AND u > 1 AS ok FROM g),
-t AS (SELECT *, abs(r * sqrt((n - 2) / greatest(1e-300, 1 - r * r))) / sqrt(2.0) AS z FROM h),
-e AS (SELECT *, 1.0 / (1.0 + 0.3275911 * z) AS tt FROM t)
-SELECT 'discount_ratio' AS feature, n, round(r, 9) AS r,
-       round(CASE WHEN ok THEN 2.0 * (1.0 - 0.5 * (1.0 + (1.0 - tt * (0.254829592 + tt * (-0.284496736 + tt * (1.421413741
-             + tt * (-1.453152027 + tt * 1.061405429)))) * exp(-z * z)))) ELSE 1.0 END, 6) AS p_value FROM e""")
+g AS (SELECT 'discount_ratio' AS feature, corr(discount_ratio, returned) AS r, count_if(discount_ratio IS NOT NULL AND returned IS NOT NULL) AS n
+      FROM of), """ + _t_tail_sql("g") + """
+SELECT feature, n, round(r, 9) AS r, round(p_value, 6) AS p_value FROM tp""")
 def q_point_biserial(spark, sf):
-    """Point-biserial r and its (normal-tail) p-value."""
+    """Point-biserial r and its t-distribution p-value."""
     return tidy(stats.point_biserial(order_features(spark, sf), "discount_ratio", "returned"), 9, {"p_value": 6})
 
 
@@ -175,9 +190,26 @@ def q_distribution_by_label(spark, sf):
     return tidy(stats.distribution_by_label(li, "l_discount", "label"))
 
 
-@register("relevance_ranking")
+def _cramer_rows(col, tail):
+    return f"""SELECT '{col}' AS feature, 'cramers_v' AS metric, v AS score, v AS effect_size, {tail} AS p_value FROM (
+    SELECT chi2, CASE WHEN least(k - (k - 1) * (k - 1) / (n - 1.0), r - (r - 1) * (r - 1) / (n - 1.0)) - 1 <= 0 THEN 0.0
+                ELSE sqrt(greatest(0.0, chi2 / n - (k - 1) * (r - 1) / (n - 1.0))
+                          / (least(k - (k - 1) * (k - 1) / (n - 1.0), r - (r - 1) * (r - 1) / (n - 1.0)) - 1)) END AS v
+    FROM ({ORDER_FEATS_SQL}, {_chi2_sql(col)} SELECT * FROM x))"""
+
+
+@register("relevance_ranking", ORDER_FEATS_SQL + """,
+g AS (SELECT 'o_totalprice' AS feature, corr(o_totalprice, returned) AS r, count_if(o_totalprice IS NOT NULL AND returned IS NOT NULL) AS n FROM of
+      UNION ALL SELECT 'discount_ratio', corr(discount_ratio, returned), count_if(discount_ratio IS NOT NULL AND returned IS NOT NULL) FROM of),
+""" + _t_tail_sql("g") + """,
+al AS (SELECT feature, 'point_biserial_r' AS metric, r AS score, abs(r) AS effect_size, p_value FROM tp
+       UNION ALL SELECT * FROM (""" + _cramer_rows("o_orderpriority", "exp(-chi2 / 2) * (1 + chi2 / 2)") + """)
+       UNION ALL SELECT * FROM (""" + _cramer_rows("o_orderstatus", "exp(-chi2 / 2)") + """))
+SELECT CAST(row_number() OVER (ORDER BY effect_size DESC, feature) AS INTEGER) AS place, feature, metric, round(score, 8) AS score,
+       round(effect_size, 8) AS effect_size, round(p_value, 6) AS p_value FROM al""")
 def q_relevance_ranking(spark, sf):
     """Effect sizes of numeric (point-biserial) and categorical
-    (Cramér's V) features on the returned label."""
+    (Cramér's V) features on the returned label, with p-values, best first."""
     o = order_features(spark, sf)
-    return stats.relevance_ranking(o, ["o_totalprice", "discount_ratio"], ["o_orderpriority", "o_orderstatus"], "returned")
+    r = stats.relevance_ranking(o, ["o_totalprice", "discount_ratio"], ["o_orderpriority", "o_orderstatus"], "returned")
+    return tidy(r, 8, {"p_value": 6})

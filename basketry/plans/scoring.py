@@ -85,21 +85,23 @@ WRAPPER_KEYS = ["orders", "records", "data"]
 
 def parse_requests(raw: DataFrame, payload: str = "payload", request_id: str = "request_id") -> DataFrame:
     """Payloads may be one order object, a list of orders, or a wrapper
-    {"orders" | "records" | "data": [...]} — all become one row per order,
-    with a ``reject_reason`` (empty request, missing order_id, unparseable).
-    The shape is recognised from the text first, so every payload is parsed
-    exactly once."""
+    with a list under "orders", "records" or "data" (the first of these that
+    holds a list, wherever it stands in the object) — all become one row per
+    order, with a ``reject_reason`` (empty request, missing order_id,
+    unparseable). An object whose wrapper key holds no list is one order."""
     arr_t = T.ArrayType(ORDER_SCHEMA)
-    wrap_t = T.StructType([T.StructField(k, arr_t) for k in WRAPPER_KEYS])
     txt = F.trim(F.col(payload))
-    is_list = txt.startswith("[")
-    is_wrapper = F.regexp_extract(txt, r'^\{\s*"(orders|records|data)"\s*:', 1) != ""
-    is_object = txt.startswith("{") & ~is_wrapper
-    p = raw.select(request_id, F.when(is_list, F.from_json(txt, arr_t)).alias("_l"),
-                   F.when(is_wrapper, F.from_json(txt, wrap_t)).alias("_w"),
-                   F.when(is_object, F.from_json(txt, ORDER_SCHEMA)).alias("_s"))
-    orders = F.coalesce(F.col("_l"), *[F.col("_w")[k] for k in WRAPPER_KEYS],
-                        F.when(F.col("_s").isNotNull(), F.array(F.col("_s"))))
+    parsed = F.try_parse_json(txt)
+
+    def holds_list(k):
+        return F.coalesce(F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{k}", "variant")).startswith("ARRAY"), F.lit(False))
+
+    p = raw.select(request_id, txt.alias("_t"), parsed.alias("_v"))
+    is_object = F.col("_t").startswith("{") & F.col("_v").isNotNull()
+    listed = F.coalesce(F.when(F.col("_t").startswith("["), F.col("_t")),
+                        *[F.when(is_object & holds_list(k), F.get_json_object("_t", f"$.{k}")) for k in WRAPPER_KEYS])
+    p = p.select(request_id, "_t", listed.alias("_l"), is_object.alias("_o"))
+    orders = F.when(F.col("_l").isNotNull(), F.from_json("_l", arr_t)).when(F.col("_o"), F.array(F.from_json("_t", ORDER_SCHEMA)))
     p = p.select(request_id, orders.alias("_orders"))
     # one pass: explode_outer keeps a single NULL row for empty / unparseable requests
     req_reason = F.when(F.col("_orders").isNull(), "unparseable").when(F.size("_orders") == 0, "empty_request")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,13 +43,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
-    unset (local tests) fall back to a fresh scratch folder."""
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for checkpoints and intermediate tables: what
+    ``spark.checkpoint.dir`` names, else the folder the application has set.
+    Only a local master gets a scratch folder of its own (deleted when the
+    session ends); on a cluster an unset folder is an error, because executors
+    could not read each other's files."""
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        path = sc.getCheckpointDir()  # set by the application, or here before
+        if path:
+            return path
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="basketry-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
