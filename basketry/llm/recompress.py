@@ -10,7 +10,7 @@ symbol carries the stretch of words that settles it: inside two equal texts,
 symbols whose stretch lies inside are equal.
 
 Every window of ``WINDOW`` words takes as anchor the least-named symbol of the
-highest round whose stretch lies inside the window (in round 0 every word is
+highest level whose stretch lies inside the window (at the lowest every word is
 its own stretch, so there always is one). Equal windows so take equal anchors;
 Spark groups the symbols and their windows over the corpus, compares whole
 window stretches, and ends with exact word windows (``basketry.llm.repeats``).
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from basketry.llm import repeats, tokens
 from basketry.llm.common import Workspace, map_rows, ship_package
 
-WINDOW, ROUNDS = 50, 5
+WINDOW, ROUNDS = 50, 4
 BLOCKS = (8, 1)              # windows a row in later rounds
 SEGMENT = 1 << 16            # words looked at together
 _LOW = np.uint64((1 << 20) - 1)
@@ -100,26 +100,27 @@ def merge_pairs(s: Symbols, begins: np.ndarray, ends: np.ndarray, turn: int) ->
 
 
 def parse(names: np.ndarray, text: np.ndarray, begins: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS) -> list[Symbols]:
-    """The symbols after each round, round 0 first."""
+    """The words, then the symbols after each merging of runs and of pairs."""
     at = np.arange(len(names), dtype=np.int64)
     now = Symbols(names, at, at, at + 1, text)
     out = [now]
     for turn in range(1, rounds + 1):
-        now = merge_pairs(merge_runs(now, begins, ends), begins, ends, turn)
-        out.append(now)
+        runs = merge_runs(now, begins, ends)
+        now = merge_pairs(runs, begins, ends, turn)
+        out += [runs, now]
     return out
 
 
 def anchors(levels: list[Symbols], begins: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, ...]:
-    """(anchor word, first window, last window, symbol name, round) of the runs
-    of windows that take the same anchor."""
+    """(anchor word, first window, last window, stretch start, stretch end,
+    level) of the runs of windows that take the same anchor."""
     n = int(ends[-1]) if len(ends) else 0
     inside = np.zeros(n + 1, dtype=np.int64)
     enough = ends - begins >= window
     np.add.at(inside, begins[enough], 1)
     np.add.at(inside, ends[enough] - window + 1, -1)
     todo = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
-    starts, place, name, level = [], [], [], []
+    starts, place, lo, hi, level = [], [], [], [], []
     for turn in range(len(levels) - 1, -1, -1):
         s = levels[turn]
         if not len(todo) or not len(s):
@@ -142,19 +143,21 @@ def anchors(levels: list[Symbols], begins: np.ndarray, ends: np.ndarray, window:
             pick = (best & _LOW).astype(np.int64)
             starts.append(w)
             place.append(s.at[pick])
-            name.append(s.name[pick])
+            lo.append(s.lo[pick])
+            hi.append(s.hi[pick])
             level.append(np.full(len(w), turn))
         todo = todo[~has]
     if not starts:
-        return (np.zeros(0, dtype=np.int64),) * 3 + (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+        return (np.zeros(0, dtype=np.int64),) * 6
     starts = np.concatenate(starts)
     order = np.argsort(starts, kind="stable")
-    starts, place, name, level = starts[order], np.concatenate(place)[order], np.concatenate(name)[order], np.concatenate(level)[order]
+    starts, place, level = starts[order], np.concatenate(place)[order], np.concatenate(level)[order]
+    lo, hi = np.concatenate(lo)[order], np.concatenate(hi)[order]
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (place[1:] != place[:-1]) | (level[1:] != level[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [len(starts)]]) - 1
-    return place[first], starts[first], starts[last], name[first], level[first]
+    return place[first], starts[first], starts[last], lo[first], hi[first], level[first]
 
 
 def buffer_rows(pieces, owners, ranks, offsets) -> pa.RecordBatch:
@@ -163,9 +166,20 @@ def buffer_rows(pieces, owners, ranks, offsets) -> pa.RecordBatch:
     ends = np.cumsum([len(p) for p in pieces])
     begins = np.concatenate([[0], ends[:-1]])
     text = np.repeat(np.arange(len(pieces)), np.diff(np.concatenate([[0], ends])))
-    at, first, last, symbol, level = anchors(parse(names, text, begins, ends), begins, ends)
+    at, first, last, from_, to, level = anchors(parse(names, text, begins, ends), begins, ends)
+    # windows of one word throughout are equal: a stretch of them is one row
+    change = np.concatenate([np.flatnonzero((names[1:] != names[:-1]) | (text[1:] != text[:-1])) + 1, [len(names)]])
+    run_end = change[np.searchsorted(change, first, side="right")]
+    flat = run_end >= first + WINDOW
+    head = np.ones(len(first), dtype=bool)
+    head[1:] = ~(flat[1:] & flat[:-1] & (first[1:] == last[:-1] + 1) & (at[1:] - first[1:] == at[:-1] - first[:-1]))
+    tail = np.where(flat, run_end - WINDOW - first, 0)[head]
+    flat, at, first, last, from_, to, level = (v[head] for v in (flat, at, first, last, from_, to, level))
+    last = np.where(flat, first, last)
     lo, hi = at - last, at - first
-    core = tokens.mix(symbol + level.astype(np.uint64) * tokens._M2)
+    # the core is the anchor's whole stretch: all its windows contain it
+    stretch = tokens.range_names(tokens.running(names), from_, to)
+    core = tokens.mix(stretch + (level * 1024 + at - from_).astype(np.uint64) * tokens._M2)
     view, digest = memoryview(names).cast("B"), xxhash.xxh3_64_intdigest
     hull = [digest(view[8 * s:8 * e], seed) for s, e, seed in
             zip(first.tolist(), (last + WINDOW).tolist(), (1 + lo * 1024 + hi).tolist())]
@@ -173,8 +187,8 @@ def buffer_rows(pieces, owners, ranks, offsets) -> pa.RecordBatch:
     place = at - begins[piece] + np.array(offsets, dtype=np.int64)[piece]
     return pa.RecordBatch.from_arrays(
         [pa.array(core.view(np.int64)), pa.array(repeats.signed(hull)), pa.array(np.array(owners, dtype=np.int64)[piece]),
-         pa.array(np.array(ranks, dtype=np.int64)[piece]), pa.array(place), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
-        names=["core", "hull", "doc", "rank", "at", "lo", "hi"])
+         pa.array(np.array(ranks, dtype=np.int64)[piece]), pa.array(place), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(tail.astype(np.int32))],
+        names=["core", "hull", "doc", "rank", "at", "lo", "hi", "tail"])
 
 
 def rows_of(docs: list[int], ranks: list[int], data: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -215,9 +229,14 @@ def _cut(text):
     return lambda s, e: b" ".join(own[s:e])
 
 
-def _units(context: bytes) -> tuple[bytes, int]:
-    """A stretch of words as the bytes of their names, eight a word."""
-    return tokens.words([context])[0].tobytes(), 8
+def _units(contexts: list[bytes]) -> tuple[list[bytes], int]:
+    """Stretches of words as the bytes of their names, eight a word."""
+    out = []
+    for a, z in tokens.buffers(contexts):
+        names, _, _, bounds = tokens.words(contexts[a:z])
+        raw, cuts = names.tobytes(), (8 * bounds).tolist()
+        out += [raw[s:e] for s, e in zip(cuts, cuts[1:])]
+    return out, 8
 
 
 def repeated_words(df: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

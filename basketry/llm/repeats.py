@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import Workspace, ship_package
 
-#: a row of the first round; ``at`` is the anchor's place in its document.
-FIRST = "core long, hull long, doc long, rank long, at long, lo int, hi int"
+#: a row of the first round; ``at`` is the anchor's place in its document, and
+#: ``tail`` the number of equal windows that follow a row's only one.
+FIRST = "core long, hull long, doc long, rank long, at long, lo int, hi int, tail int"
 LATER = FIRST + ", rep long"
 
 
@@ -56,22 +57,22 @@ def rank_round(rows: DataFrame, work: Workspace, name: str, before_only: bool) -
         ((F.col("rank") == F.col("least")) if before_only else
          (F.struct("doc", "at", "lo") == F.col("witness"))).alias("stays")), f"{name}-found")
     work.drop(f"{name}-classes")
-    return found.where("repeats").select("doc", "at", "lo", "hi"), found.where("several and stays").drop("several", "repeats", "stays")
+    return found.where("repeats").select("doc", "at", "lo", "hi", "tail"), found.where("several and stays").drop("several", "repeats", "stays")
 
 
-def split_blocks(reps: DataFrame, window: int, block: int, units: Callable[[bytes], tuple[np.ndarray, int]]) -> DataFrame:
+def split_blocks(reps: DataFrame, window: int, block: int, units: Callable[[list[bytes]], tuple[list[bytes], int]]) -> DataFrame:
     """Rows of the next round: every row of ``reps`` (``rep, doc, rank, at, lo,
     hi`` and ``context``, the bytes of its hull) in canonical blocks of
-    ``block`` distances. ``units`` reads a context as (array, bytes a unit)."""
+    ``block`` distances. ``units`` reads contexts as (unit strings, bytes a unit)."""
     def run(batches: Iterator[pa.RecordBatch]):
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
-                rep, doc, rank, at, lo, hi, clo, chi, context = (part.column(i).to_pylist() for i in range(9))
+                rep, doc, rank, at, lo, hi, tail, chi, context = (part.column(i).to_pylist() for i in range(9))
                 core, hull, src, los, his = [], [], [], [], []
-                for r in range(part.num_rows):
-                    data, size = units(context[r])
+                strings, size = units(context)
+                for r, data in enumerate(strings):
                     base = chi[r]  # the context begins at distance chi before the anchor
                     for b in range(lo[r] // block, hi[r] // block + 1):
                         x0, x1 = max(lo[r], b * block), min(hi[r], b * block + block - 1)
@@ -84,16 +85,16 @@ def split_blocks(reps: DataFrame, window: int, block: int, units: Callable[[byte
                 pick = lambda v, t: pa.array([v[i] for i in src], t)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(core)), pa.array(signed(hull)), pick(doc, pa.int64()), pick(rank, pa.int64()),
-                     pick(at, pa.int64()), pa.array(los, pa.int32()), pa.array(his, pa.int32()), pick(rep, pa.int64())],
-                    names=["core", "hull", "doc", "rank", "at", "lo", "hi", "rep"])
+                     pick(at, pa.int64()), pa.array(los, pa.int32()), pa.array(his, pa.int32()), pick(tail, pa.int32()), pick(rep, pa.int64())],
+                    names=["core", "hull", "doc", "rank", "at", "lo", "hi", "tail", "rep"])
 
     ship_package(reps.sparkSession)
-    return reps.select("rep", "doc", "rank", "at", "lo", "hi", "clo", "chi", "context").mapInArrow(run, LATER)
+    return reps.select("rep", "doc", "rank", "at", "lo", "hi", "tail", "chi", "context").mapInArrow(run, LATER)
 
 
 def repeated_spans(rows: DataFrame, texts: DataFrame, work: Workspace, window: int, blocks: tuple[int, ...],
                    before_only: bool, cut: Callable[[str], Callable[[int, int], bytes]],
-                   units: Callable[[bytes], tuple[np.ndarray, int]]) -> DataFrame:
+                   units: Callable[[list[bytes]], tuple[list[bytes], int]]) -> DataFrame:
     """``doc, start, stop``: stretches of ``doc`` that windows which repeat
     cover (they may overlap). ``rows`` are first-round rows, ``texts`` has
     ``doc, text``; ``cut(text)(start, stop)`` gives the bytes of a stretch."""
@@ -103,29 +104,29 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, work: Workspace, window: i
     marks = [marked]
 
     # the stretches of what is left, fetched from each text once
-    wanted = left.groupBy("doc").agg(F.collect_list(F.struct("rank", "at", "lo", "hi")).alias("rows"))
+    wanted = left.groupBy("doc").agg(F.collect_list(F.struct("rank", "at", "lo", "hi", "tail")).alias("rows"))
     fetch_from = texts.join(wanted, "doc").select("doc", "text", "rows")
 
     def fetch(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
-                out = [[] for _ in range(6)]
+                out = [[] for _ in range(7)]
                 part = batch.slice(start, 256)
                 for doc, text, own in zip(*(part.column(i).to_pylist() for i in range(3))):
                     stretch = cut(text)
                     for w in own:
-                        row = (doc, w["rank"], w["at"], w["lo"], w["hi"],
+                        row = (doc, w["rank"], w["at"], w["lo"], w["hi"], w["tail"],
                                stretch(w["at"] - w["hi"], w["at"] - w["lo"] + window))
                         for col, v in zip(out, row):
                             col.append(v)
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)],
-                                                 names=["doc", "rank", "at", "lo", "hi", "context"])
+                                                 names=["doc", "rank", "at", "lo", "hi", "tail", "context"])
 
-    reps = work.save(fetch_from.mapInArrow(fetch, "doc long, rank long, at long, lo int, hi int, context binary")
+    reps = work.save(fetch_from.mapInArrow(fetch, "doc long, rank long, at long, lo int, hi int, tail int, context binary")
                      .withColumn("rep", F.monotonically_increasing_id()), "contexts")
-    own = reps.withColumnsRenamed({"lo": "clo", "hi": "chi"}).select("rep", "clo", "chi", "context")
-    now = reps.withColumn("clo", F.col("lo")).withColumn("chi", F.col("hi"))
+    own = reps.withColumnRenamed("hi", "chi").select("rep", "chi", "context")
+    now = reps.withColumn("chi", F.col("hi"))
     for k, block in enumerate(blocks, 1):
         rows = work.save(split_blocks(now, window, block, units), f"round-{k}")
         marked, left = rank_round(rows, work, f"round-{k}", before_only)
@@ -135,7 +136,7 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, work: Workspace, window: i
     spans = marks[0]
     for m in marks[1:]:
         spans = spans.unionAll(m)
-    return spans.select("doc", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + window).alias("stop"))
+    return spans.select("doc", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + F.col("tail") + window).alias("stop"))
 
 
 def merged_runs(starts: list[int], stops: list[int]) -> list[tuple[int, int]]:

@@ -111,8 +111,8 @@ def buffer_rows(pieces: list[bytes], owners: list[int], offsets: list[int]) -> p
     place = at - begin[piece] + np.array(offsets, dtype=np.int64)[piece]
     return pa.RecordBatch.from_arrays(
         [pa.array(core.view(np.int64)), pa.array(repeats.signed(hull)), pa.array(doc), pa.array(np.zeros(len(doc), dtype=np.int64)),
-         pa.array(place), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
-        names=["core", "hull", "doc", "rank", "at", "lo", "hi"])
+         pa.array(place), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(np.zeros(len(doc), dtype=np.int32))],
+        names=["core", "hull", "doc", "rank", "at", "lo", "hi", "tail"])
 
 
 def _cut(text):

@@ -43,14 +43,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def running(data: np.ndarray) -> np.ndarray:
-    """Running sum whose differences, scaled by ``scale``, name byte ranges."""
+    """Running sum whose differences name ranges of bytes, or of word names."""
     out = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _DOWN.upto(len(data)), out=out[1:])
     return out
 
 
 def range_names(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Names of byte ranges of the buffer behind ``sums``."""
+    """Names of ranges of the buffer behind ``sums``."""
     raw = (sums[ends] - sums[starts]) * _UP.upto(len(sums))[starts]
     return mix(raw + (ends - starts).astype(np.uint64) * _M1)
 
