@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import Workspace, map_rows
+from basketry.llm.common import Workspace, map_rows, released_shuffles
 
 BITS = 20
 TRAIN_DOCS, SHARDS, EPOCHS = 24_000, 4, 3
@@ -126,12 +126,13 @@ def train(documents: DataFrame, labels: DataFrame, work: Workspace, id_col: str
             live = np.flatnonzero(n)
             return pd.DataFrame({"coord": live, "z": z[live], "n": n[live]})
 
-        merged = (rows.groupBy("shard").applyInPandas(shard_pass, "coord long, z double, n double")
-                  .groupBy("coord").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toPandas())
-        state.unpersist()
-        merged = merged.sort_values("coord")
-        index = merged["coord"].to_numpy(np.int64)
-        z0, n0 = merged["z"].to_numpy(float) / SHARDS, merged["n"].to_numpy(float) / SHARDS
+        with released_shuffles(spark):
+            merged = (rows.groupBy("shard").applyInPandas(shard_pass, "coord long, z double, n double")
+                      .groupBy("coord").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow())
+        state.destroy()
+        index, z0, n0 = (merged[c].to_numpy() for c in ("coord", "z", "n"))
+        order = np.argsort(index)
+        index, z0, n0 = index[order], z0[order] / SHARDS, n0[order] / SHARDS
     w = weights(z0, n0)
     live = np.flatnonzero(w)
     work.drop("train")
