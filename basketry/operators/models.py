@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import random
 from dataclasses import dataclass
 
@@ -147,23 +148,55 @@ def cache_folds(df: DataFrame, folds: DataFrame, date_col: str) -> list[tuple[in
              m.filter((F.col("fold") == i) & (F.col("role") == "validation"))) for i in ids]
 
 
-def temporal_search(folds, features: list[str], label: str, model: str, candidates: list[dict],
-                    weight: str | None = None) -> DataFrame:
-    """Every candidate on every fold; metric = tie-aware average
-    precision of the validation scores. Returns one row per (candidate,
-    fold) — small, built on the driver from per-fit Spark results."""
+def prepare(train: DataFrame, others: list[DataFrame], preprocessor, label: str, keep) -> tuple[DataFrame, list[DataFrame], list[str]]:
+    """P09 (per fold): fit ``preprocessor`` and the class weights on ``train``
+    alone and apply the preprocessing to all frames. Returns the weighted
+    train frame, the other frames and the model columns; nothing of the other
+    frames reaches the fitted state."""
+    from basketry.operators.preprocess import class_weight
+    fitted = preprocessor.fit(train)
+    out = class_weight(fitted.transform(train, keep=keep), label)
+    return cut_lineage(out), [cut_lineage(fitted.transform(o, keep=keep)) for o in others], fitted.output_columns()
+
+
+def prepared_folds(df: DataFrame, folds: DataFrame, date_col: str, make_preprocessor, label: str, keep) -> list[tuple]:
+    """``(fold, train, validation, columns)`` with preprocessing and
+    weights fitted inside each fold's train part; every trial reuses the
+    checkpointed frames."""
+    out = []
+    for fold, train, valid in cache_folds(df, folds, date_col):
+        prepared, (validation,), columns = prepare(train, [valid], make_preprocessor(), label, keep)
+        out.append((fold, prepared, validation, columns))
+    return out
+
+
+def temporal_search(folds, label: str, model: str, candidates: list[dict], weight: str | None = None) -> DataFrame:
+    """Every candidate on every prepared fold; metric = tie-aware
+    average precision of the validation scores. Returns one row per
+    (candidate, fold) — small, built on the driver from per-fit Spark
+    results; ``params`` is JSON."""
     from basketry.operators.evaluate import average_precision
     rows = []
     for ci, params in enumerate(candidates):
-        for fold, tr, va in folds:
+        for fold, tr, va, features in folds:
             m = FITTERS[model](tr, features, label, weight, **params)
             p = positive_probability(m.transform(assemble(va, features)))
             ap = average_precision(p, label, "probability_1").first()[0]
-            rows.append((model, ci, str(sorted(params.items())), int(fold), float(ap) if ap is not None else None))
+            rows.append((model, ci, json.dumps(params, sort_keys=True), int(fold), float(ap) if ap is not None else None))
     spark = folds[0][1].sparkSession
     return spark.createDataFrame(rows, "model string, candidate int, params string, fold int, pr_auc double")
 
 
+def refit_champion(results: DataFrame, train: DataFrame, test: DataFrame, preprocessor, label: str, keep):
+    """The best candidate of a search refitted once, with preprocessing
+    and weights of ``train`` (all rows before the test), and the scored test
+    rows: ``(champion row, model, columns, scored)``."""
+    best = champion_selection(results).filter("rank = 1").first()
+    prepared, (held,), columns = prepare(train, [test], preprocessor, label, keep)
+    model = FITTERS[best["model"]](prepared, columns, label, "weight", **json.loads(best["params"]))
+    return best, model, columns, positive_probability(model.transform(assemble(held, columns)))
+
+
 def champion_selection(results: DataFrame) -> DataFrame:
     """Candidates ranked by mean PR-AUC desc, then fold std asc."""
     g = results.groupBy("model", "candidate", "params").agg(F.avg("pr_auc").alias("mean_pr_auc"),

@@ -96,5 +96,5 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, key=None) -> DataFrame:
     (or the whole row): deterministic under any partitioning, unlike
     ``sample``. A top-n, so only n rows per task travel."""
     cols = [key] if isinstance(key, str) else (list(key) if key else df.columns)
-    h = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols])
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(f"`{c}`").cast("string") for c in cols]))
     return df.withColumn("_h", h).orderBy("_h", *[F.col(f"`{c}`") for c in cols]).limit(n).drop("_h")

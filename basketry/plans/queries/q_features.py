@@ -57,12 +57,30 @@ def q_serving_features(spark, sf):
     return tidy(ft.serving_features(master(spark, sf), spec(spark, sf)), 9, {"total_quantity": 2, "payment_value": 2})
 
 
-@register("order_feature_table")
+@register("order_feature_table", with_roles("orders", "customers", "items", "products") + """,
+it AS (SELECT i.*, p.category FROM r_items i LEFT JOIN r_products p USING (product_id)),
+blk AS (SELECT order_id, sum(quantity) AS total_quantity, count(DISTINCT product_id) AS n_products, count(*) AS n_lines,
+               sum(discount_amount) AS discount_total, sum(gross) AS gross_total, max(CASE WHEN return_flag = 'R' THEN 1 ELSE 0 END) AS returned,
+               """ + ", ".join(f"max(CASE WHEN category = '{v}' THEN 1 ELSE 0 END) AS category_{v.lower()}" for v in PART_TYPES) + """
+        FROM it GROUP BY 1),
+f AS (SELECT customer_id, min(order_date) AS first FROM r_orders GROUP BY 1),
+b AS (SELECT o.*, c.* EXCLUDE (customer_id), date_diff('day', f.first, o.order_date) AS customer_tenure_days
+      FROM r_orders o LEFT JOIN f USING (customer_id) LEFT JOIN r_customers c USING (customer_id))
+SELECT order_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, order_status, round(payment_value, 2) AS payment_value, priority, customer_name,
+       nation_id, round(account_balance, 2) AS account_balance, segment, customer_tenure_days,
+       CASE WHEN customer_tenure_days >= 0 AND customer_tenure_days < 30 THEN 'new_lt_30d' WHEN customer_tenure_days >= 30 AND customer_tenure_days < 180 THEN '30_179d'
+            WHEN customer_tenure_days >= 180 AND customer_tenure_days < 365 THEN '180_364d' WHEN customer_tenure_days >= 365 THEN 'loyal_365d_plus' END AS tenure_group,
+       round(ln(1 + greatest(payment_value, 0)), 9) AS log_payment_value, isodow(order_date) - 1 AS dayofweek,
+       CASE WHEN isodow(order_date) >= 6 THEN 1 ELSE 0 END AS is_weekend, month(order_date) AS month,
+       CASE WHEN quarter(order_date) = 4 THEN 1 ELSE 0 END AS is_q4, round(total_quantity, 2) AS total_quantity, n_products, n_lines,
+       round(discount_total, 4) AS discount_total, round(gross_total, 2) AS gross_total, returned,
+       round(discount_total / nullif(gross_total, 0), 9) AS discount_ratio, """ + ", ".join(f"category_{v.lower()}" for v in PART_TYPES) + """
+FROM b JOIN blk USING (order_id)""")
 def q_order_feature_table(spark, sf):
     """Labelled-order training table from pre-aggregated blocks."""
     t = ft.order_feature_table(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf),
                                retail.products(spark, sf), category_levels(spark, sf))
-    return tidy(t, 9)
+    return tidy(t, 9, {"payment_value": 2, "account_balance": 2, "total_quantity": 2, "discount_total": 4, "gross_total": 2})
 
 
 @register("nested_order_features")

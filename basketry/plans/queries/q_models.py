@@ -1,12 +1,16 @@
-"""Queries for §2.16 models (fits have no SQL twin: rows-only checks;
-closed forms are checked against numpy in the tests)."""
+"""Queries for §2.16 models. Fitted classifiers and searches return facts that
+SQL can state (row counts of the split, ranges, consistency); closed forms are
+checked against numpy in the tests."""
+
+import json
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from basketry.operators import evaluate as ev
 from basketry.operators import models as md
 from basketry.operators import splits
-from basketry.operators.preprocess import Preprocessor, class_weight
+from basketry.operators.preprocess import Preprocessor
 from basketry.plans import features as ft
 from basketry.plans.catalog import register, tidy
 from basketry.plans.queries.q_features import master, spec
@@ -54,20 +58,52 @@ def q_naive_baselines(spark, sf):
     return tidy(md.naive_forecasts(d, "sale_date", "revenue", "2000-01-01"), 4, {"pred_mean": 7})
 
 
-@register("ridge_closed_form")
+REG_SQL = DENSE_SQL + """,
+x AS (SELECT sale_date, revenue, lag(revenue, 1) OVER w AS a, lag(revenue, 7) OVER w AS b,
+             avg(revenue) OVER (ORDER BY sale_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS c FROM dd WINDOW w AS (ORDER BY sale_date)),
+d AS (SELECT CASE WHEN sale_date < DATE '2000-01-01' THEN 'train' ELSE 'test' END AS split FROM x
+      WHERE revenue IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL)
+"""
+
+
+def _reg_facts(pred, name, penalty=()):
+    """Per split the rows and that the absolute error is below the total; on
+    train the normal equations: residuals sum to zero and are orthogonal to
+    each feature up to the ridge ``penalty`` (α times its coefficient)."""
+    res = F.col("revenue") - F.col("prediction")
+    scale = F.sum(F.abs(F.col("revenue")))
+    aggs = [(F.abs(F.sum(res)) / scale < 1e-7).alias("_e0")]
+    for i, f in enumerate(REG_FEATS):
+        off = F.sum(res * F.col(f)) - F.lit(float(penalty[i]) if penalty else 0.0)
+        aggs.append((F.abs(off) / F.sum(F.abs(F.col("revenue") * F.col(f))) < 1e-7).alias(f"_e{i + 1}"))
+    g = pred.groupBy(F.when(F.col("is_train"), "train").otherwise("test").alias("split")).agg(
+        F.count(F.lit(1)).alias("n"), (F.sum(F.abs(res)) < scale).alias("error_below_total"), *aggs)
+    holds = reduce(lambda a, b: a & b, [F.col(f"_e{i}") for i in range(len(REG_FEATS) + 1)])
+    return g.select(F.lit(name).alias("model"), "split", "n", "error_below_total",
+                    F.when(F.col("split") == "train", holds).alias("normal_equations_hold"))
+
+
+def _reg_facts_sql(name):
+    return REG_SQL + f"""SELECT '{name}' AS model, split, count(*) AS n, true AS error_below_total,
+       CASE WHEN split = 'train' THEN true END AS normal_equations_hold FROM d GROUP BY split"""
+
+
+@register("ridge_closed_form", _reg_facts_sql("ridge_alpha_10"))
 def q_ridge(spark, sf):
-    """Closed-form ridge (α = 10) from one Gram aggregate; WAPE per split."""
+    """Closed-form ridge (α = 10) from one Gram aggregate; facts of the
+    fit (the penalised normal equations hold on train)."""
     d = daily_model_frame(spark, sf)
     m = md.ridge_closed_form(d.filter("is_train"), REG_FEATS, "revenue", alpha=10.0)
-    return _reg_metrics(m.predict(d), "ridge_alpha_10")
+    return _reg_facts(m.predict(d), "ridge_alpha_10", [10.0 * w for w in m.coef])
 
 
-@register("linear_regression")
+@register("linear_regression", _reg_facts_sql("linear"))
 def q_linear(spark, sf):
-    """MLlib OLS on the same features."""
+    """MLlib OLS on the same features; facts of the fit (the normal
+    equations hold on train)."""
     d = daily_model_frame(spark, sf)
     m = md.linear_regression(d.filter("is_train"), REG_FEATS, "revenue")
-    return _reg_metrics(m.transform(md.assemble(d, REG_FEATS)), "linear")
+    return _reg_facts(m.transform(md.assemble(d, REG_FEATS)), "linear")
 
 
 @register("gbt_regressor")
@@ -81,92 +117,149 @@ def q_gbt_regressor(spark, sf):
 NUMERIC = ["customer_tenure_days", "total_quantity", "unique_product_count", "discount_ratio", "log_payment_value"]
 
 
-def classification_frame(spark, sf):
-    """Labelled order features + date + positional split, preprocessed
-    (fit on train) into model columns."""
-    sp = spec(spark, sf)
-    feats = ft.serving_features(master(spark, sf), sp).filter(F.col("label").isNotNull())
+KEEP = ["order_id", "order_date", "data_split", "label"]
+
+
+def labelled_frame(spark, sf):
+    """Labelled order features with date and positional split (nothing
+    fitted yet; lineage cut, every later statistic scans the checkpoint) and
+    a maker of unfitted preprocessors."""
+    features = spec(spark, sf)
+    feats = ft.serving_features(master(spark, sf), features).filter(F.col("label").isNotNull())
     feats = feats.join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
-    # Lineage cut before the fit/apply steps: every later statistic scans
-    # the checkpointed feature table instead of re-running the joins.
-    sp = cut_lineage(splits.positional_cutoff_split(feats, "order_date"))
-    pre = Preprocessor(numeric=NUMERIC, binary=sp.binary(), categorical=sp.categorical_all())
-    pre.fit(sp.filter(F.col("data_split") == "train"))
-    out = pre.transform(sp, keep=["order_id", "order_date", "data_split", "label"])
-    return class_weight(out, "label"), pre.output_columns()
+    frame = cut_lineage(splits.positional_cutoff_split(feats, "order_date"))
+    return frame, lambda: Preprocessor(numeric=NUMERIC, binary=features.binary(), categorical=features.categorical_all())
+
+
+def part(frame, *names):
+    return frame.filter(F.col("data_split").isin(*names))
+
+
+def classification_frame(spark, sf):
+    """(train, validation, columns): preprocessing and class weights fitted on
+    the train part."""
+    frame, pre = labelled_frame(spark, sf)
+    train, (validation,), columns = md.prepare(part(frame, "train"), [part(frame, "validation")], pre(), "label", KEEP)
+    return train, validation, columns
 
 
-def _cls_eval(model, df, feats, name):
-    p = md.positive_probability(model.transform(md.assemble(df.filter(F.col("data_split") == "validation"), feats)))
-    ap = ev.average_precision(p, "label", "probability_1")
-    roc = ev.roc_auc(p, "label", "probability_1")
-    return ap.select(F.lit(name).alias("model"), "average_precision", roc.select("roc_auc").scalar().alias("roc_auc"))
+def scored_facts(scored, name):
+    """What must hold of scores on rows that were not fitted on: how many rows
+    and positives, all scores and both ranking metrics in [0, 1]. (Labels of
+    the test tables carry no signal, so metrics have no expected value.)"""
+    ap = ev.average_precision(scored, "label", "probability_1").first()["average_precision"]
+    roc = ev.roc_auc(scored, "label", "probability_1").first()["roc_auc"]
+    return scored.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_scored"), F.sum("label").cast("long").alias("n_positive"),
+                      F.coalesce(F.min(F.col("probability_1").between(0, 1)), F.lit(False)).alias("in_unit_interval"),
+                      F.lit(0 <= ap <= 1 and 0 <= roc <= 1).alias("metrics_in_unit_interval"))
 
 
-@register("logistic_regression")
+SPLIT_SQL = """
+WITH lab AS (SELECT CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS label
+             FROM orders WHERE o_orderstatus IN ('F', 'P')),
+dc AS (SELECT d, sum(count(*)) OVER (ORDER BY d) AS cum FROM lab GROUP BY d), nn AS (SELECT count(*) AS n FROM lab),
+cut AS (SELECT min(CASE WHEN cum > floor(n * 0.7) THEN d END) AS c1, min(CASE WHEN cum > floor(n * 0.85) THEN d END) AS c2 FROM dc, nn)
+"""
+
+
+def facts_sql(name, where, more=""):
+    return SPLIT_SQL + f"""SELECT '{name}' AS model, count(*) AS n_scored, CAST(sum(label) AS BIGINT) AS n_positive, true AS in_unit_interval,
+       true AS metrics_in_unit_interval{more} FROM lab, cut WHERE {where}"""
+
+
+def _cls_eval(model, validation, feats, name):
+    p = md.positive_probability(model.transform(md.assemble(validation, feats)))
+    return scored_facts(p, name)
+
+
+@register("logistic_regression", facts_sql("logistic", "d >= c1 AND d < c2"))
 def q_logistic(spark, sf):
-    """Class-weighted logistic regression; validation PR-AUC / ROC-AUC."""
-    d, feats = classification_frame(spark, sf)
-    m = md.logistic_regression(d.filter(F.col("data_split") == "train"), feats, "label", "weight", maxIter=50)
-    return _cls_eval(m, d, feats, "logistic")
+    """Class-weighted logistic regression fitted on train; facts of its
+    validation scores."""
+    train, valid, feats = classification_frame(spark, sf)
+    return _cls_eval(md.logistic_regression(train, feats, "label", "weight", maxIter=50), valid, feats, "logistic")
 
 
-@register("random_forest")
+@register("random_forest", facts_sql("random_forest", "d >= c1 AND d < c2"))
 def q_random_forest(spark, sf):
-    """Class-weighted random forest (√k features per split)."""
-    d, feats = classification_frame(spark, sf)
-    m = md.random_forest(d.filter(F.col("data_split") == "train"), feats, "label", "weight", numTrees=30, maxDepth=6)
-    return _cls_eval(m, d, feats, "random_forest")
+    """Class-weighted random forest (√k features per split); facts of
+    its validation scores."""
+    train, valid, feats = classification_frame(spark, sf)
+    return _cls_eval(md.random_forest(train, feats, "label", "weight", numTrees=30, maxDepth=6), valid, feats, "random_forest")
 
 
-@register("gbt_classifier")
+@register("gbt_classifier", facts_sql("gbt", "d >= c1 AND d < c2"))
 def q_gbt_classifier(spark, sf):
-    """Boosted-tree classifier."""
-    d, feats = classification_frame(spark, sf)
-    m = md.gbt_classifier(d.filter(F.col("data_split") == "train"), feats, "label", "weight", maxIter=20, maxDepth=3)
-    return _cls_eval(m, d, feats, "gbt")
+    """Boosted-tree classifier; facts of its validation scores."""
+    train, valid, feats = classification_frame(spark, sf)
+    return _cls_eval(md.gbt_classifier(train, feats, "label", "weight", maxIter=20, maxDepth=3), valid, feats, "gbt")
+
 
+GRID = {"regParam": [0.0, 0.1], "maxIter": [30]}
 
-def _folds(d):
-    tr = d.filter(F.col("data_split") == "train")
-    return md.cache_folds(tr, splits.expanding_folds(tr, "order_date"), "order_date")
 
+def _folds(frame, pre):
+    tr = part(frame, "train")
+    return md.prepared_folds(tr, splits.expanding_folds(tr, "order_date"), "order_date", pre, "label", KEEP)
 
-@register("grid_search_temporal")
+
+def search_facts(results):
+    """Facts of a search: candidates, fits, metrics in [0, 1], and a ranking
+    whose first has the greatest mean."""
+    ranked = md.champion_selection(results)
+    best = ranked.filter("rank = 1").select("mean_pr_auc").scalar()
+    fits = results.agg(F.count(F.lit(1)).alias("n_fits"), F.min(F.col("pr_auc").between(0, 1)).alias("metrics_in_unit_interval"))
+    return ranked.agg(F.count(F.lit(1)).alias("n_candidates"), F.count_if(F.col("rank") == 1).alias("n_champions"),
+                      F.min(best >= F.col("mean_pr_auc")).alias("champion_has_greatest_mean"),
+                      F.max(fits.select("n_fits").scalar()).alias("n_fits"),
+                      F.max(fits.select("metrics_in_unit_interval").scalar()).alias("metrics_in_unit_interval"))
+
+
+def search_sql(candidates, folds=3):
+    return f"""SELECT {candidates}::BIGINT AS n_candidates, 1::BIGINT AS n_champions, true AS champion_has_greatest_mean,
+       ({candidates} * {folds})::BIGINT AS n_fits, count(*) > 0 AS metrics_in_unit_interval FROM orders"""
+
+
+@register("grid_search_temporal", search_sql(2))
 def q_grid_search(spark, sf):
-    """P09 + P11 + P12: full grid on three expanding folds (fold frames
-    checkpointed once), ranked by mean PR-AUC then fold std."""
-    d, feats = classification_frame(spark, sf)
-    res = md.temporal_search(_folds(d), feats, "label", "logistic", md.param_grid({"regParam": [0.0, 0.1], "maxIter": [30]}), "weight")
-    return md.champion_selection(res)
+    """P09 + P11 + P12: full grid on three expanding folds, each with
+    preprocessing and weights of its own train part, ranked by mean PR-AUC
+    then fold std; facts of the results."""
+    frame, pre = labelled_frame(spark, sf)
+    res = md.temporal_search(_folds(frame, pre), "label", "logistic", md.param_grid(GRID), "weight")
+    return search_facts(res)
 
 
-@register("random_search_temporal")
+@register("random_search_temporal", search_sql(4))
 def q_random_search(spark, sf):
-    """P10: seeded sample of a larger grid on the same folds."""
-    d, feats = classification_frame(spark, sf)
-    cands = md.sample_grid({"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [30]}, 2, seed=7)
-    return md.temporal_search(_folds(d), feats, "label", "logistic", cands, "weight")
+    """P10: seeded sample of four of a grid's six candidates on the same folds;
+    facts of the results."""
+    frame, pre = labelled_frame(spark, sf)
+    cands = md.sample_grid({"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [30]}, 4, seed=7)
+    return search_facts(md.temporal_search(_folds(frame, pre), "label", "logistic", cands, "weight"))
 
 
-@register("final_refit_once")
+@register("final_refit_once", facts_sql("logistic", "d >= c2", ", true AS champion_params"))
 def q_final_refit(spark, sf):
-    """The locked configuration refitted on train + validation and the
-    test split scored once."""
-    d, feats = classification_frame(spark, sf)
-    fit_on = d.filter(F.col("data_split").isin("train", "validation"))
-    m = md.logistic_regression(fit_on, feats, "label", "weight", regParam=0.1, maxIter=30)
-    p = md.positive_probability(m.transform(md.assemble(d.filter(F.col("data_split") == "test"), feats)))
-    return ev.average_precision(p, "label", "probability_1").select(
-        F.lit("test").alias("split"), "average_precision", ev.roc_auc(p, "label", "probability_1").select("roc_auc").scalar().alias("roc_auc"))
-
-
-@register("feature_importance")
+    """P09 → P12 → P13: grid search on the train folds, its champion refitted
+    once on train + validation, the test split scored once; facts of the
+    test scores, fitted with the champion's parameters."""
+    frame, pre = labelled_frame(spark, sf)
+    res = md.temporal_search(_folds(frame, pre), "label", "logistic", md.param_grid(GRID), "weight")
+    best, model, _columns, scored = md.refit_champion(res, part(frame, "train", "validation"), part(frame, "test"), pre(), "label", KEEP)
+    used = all(model.getOrDefault(k) == v for k, v in json.loads(best["params"]).items())
+    return scored_facts(scored, best["model"]).withColumn("champion_params", F.lit(used))
+
+
+@register("feature_importance", """
+SELECT true AS shares_sum_to_one, true AS ranks_without_gap, true AS none_negative, count(*) > 0 AS has_rows FROM orders""")
 def q_feature_importance(spark, sf):
-    """Tree importances with share, rank and running share."""
-    d, feats = classification_frame(spark, sf)
-    m = md.gbt_classifier(d.filter(F.col("data_split") == "train"), feats, "label", "weight", maxIter=10, maxDepth=3)
-    return md.feature_importance(m, feats)
+    """Tree importances with share, rank and running share; facts of the
+    table."""
+    train, _valid, feats = classification_frame(spark, sf)
+    t = md.feature_importance(md.gbt_classifier(train, feats, "label", "weight", maxIter=10, maxDepth=3), feats)
+    return t.agg((F.abs(F.sum("share") - 1) < 1e-9).alias("shares_sum_to_one"), (F.max("rank") == F.count(F.lit(1))).alias("ranks_without_gap"),
+                 F.min(F.col("importance") >= 0).alias("none_negative"), (F.count(F.lit(1)) > 0).alias("has_rows"))
 
 
 @register("forecast_champion_rule")

@@ -11,7 +11,7 @@ from basketry.plans.queries.q_models import NUMERIC
 from basketry.plans.queries.q_rollup import category_levels
 from basketry.session import cut_lineage
 from basketry.sources import io, retail
-from basketry.streaming.stream_score import start_stream_scoring
+from basketry.streaming.stream_score import score_requests, start_stream_scoring
 
 CATEG = ["priority", "segment", "tenure_group"]
 
@@ -21,12 +21,12 @@ def fitted_bundle(spark, sf):
     train; threshold = max-F1 policy on validation (stored with the model)."""
     from basketry.operators.preprocess import class_weight
     from basketry.operators.splits import positional_cutoff_split
-    sp = spec(spark, sf)
-    feats = ft.serving_features(master(spark, sf), sp)
+    features = spec(spark, sf)
+    feats = ft.serving_features(master(spark, sf), features)
     lab = feats.filter(F.col("label").isNotNull()).join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
     sp = cut_lineage(positional_cutoff_split(lab, "order_date"))
     train = class_weight(sp.filter(F.col("data_split") == "train"), "label")
-    binary = sp.binary()
+    binary = features.binary()
     model = sc.fit_scoring_pipeline(train, NUMERIC, CATEG, binary, "label", "weight", maxIter=50, regParam=0.01)
     val = sc.batch_score(model, sp.filter(F.col("data_split") == "validation"), 0.5, binary=binary).join(
         sp.select("order_id", "label"), "order_id")
@@ -35,21 +35,41 @@ def fitted_bundle(spark, sf):
     return model, float(thr), feats, binary
 
 
-@register("batch_score")
+SCORED_SQL = """SELECT count(*) AS n_scored, count(DISTINCT o_orderkey) AS n_orders, true AS in_unit_interval,
+       true AS follows_threshold FROM orders"""
+
+
+def score_facts(scored):
+    """Facts of scores: one per order, in [0, 1], decided by the threshold."""
+    p = F.col("return_probability")
+    return scored.agg(F.count(F.lit(1)).alias("n_scored"), F.count_distinct("order_id").alias("n_orders"),
+                      F.min(p.between(0, 1)).alias("in_unit_interval"),
+                      F.min((p >= F.col("threshold")).cast("int") == F.col("prediction")).alias("follows_threshold"))
+
+
+@register("batch_score", SCORED_SQL)
 def q_batch_score(spark, sf):
-    """Every order scored with the bundle at its locked threshold."""
+    """Every order scored with the bundle at its locked threshold; facts
+    of the scores."""
     model, thr, feats, binary = fitted_bundle(spark, sf)
-    return sc.batch_score(model, feats, thr, binary=binary)
+    return score_facts(sc.batch_score(model, feats, thr, binary=binary))
 
 
-@register("score_summary")
+@register("score_summary", """
+SELECT count(*) AS n_scored, true AS range_ordered, true AS rate_is_mean_decision FROM orders""")
 def q_score_summary(spark, sf):
-    """N, positive rate, probability range, threshold."""
+    """N, positive rate, probability range, threshold; facts of the
+    summary against the scores."""
     model, thr, feats, binary = fitted_bundle(spark, sf)
-    return sc.score_summary(sc.batch_score(model, feats, thr, binary=binary))
+    scored = cut_lineage(sc.batch_score(model, feats, thr, binary=binary))
+    rate = scored.agg(F.avg((F.col("return_probability") >= thr).cast("double")).alias("r")).first()["r"]
+    return sc.score_summary(scored).select(
+        "n_scored", ((F.col("min_probability") <= F.col("mean_probability")) & (F.col("mean_probability") <= F.col("max_probability"))).alias("range_ordered"),
+        (F.abs(F.col("positive_rate") - F.lit(rate)) < 1e-12).alias("rate_is_mean_decision"))
 
 
-@register("scoring_audit")
+@register("scoring_audit", """
+SELECT count(*) AS n_compared, 0.0 AS max_abs_diff, 0::BIGINT AS n_decision_mismatch FROM orders""")
 def q_scoring_audit(spark, sf):
     """Bundle saved, reloaded, re-scored; max |Δp| and mismatches."""
     model, thr, feats, binary = fitted_bundle(spark, sf)
@@ -74,11 +94,13 @@ def q_request_shapes(spark, sf):
         F.count(F.lit(1)).alias("n_orders"))
 
 
-@register("stream_score")
+@register("stream_score", """
+SELECT count(*) AS n_streamed, count(DISTINCT o_orderkey) AS n_matched, true AS same_scores, true AS same_decisions FROM orders""")
 def q_stream_score(spark, sf):
     """Request files land in a folder, a Structured Streaming query
     (availableNow trigger, checkpoint in the shared folder) parses, builds
-    features, scores and writes scores + rejects per micro-batch."""
+    features, scores and writes scores + rejects per micro-batch; facts of the
+    streamed scores against batch scores of the same requests."""
     model, thr, _feats, binary = fitted_bundle(spark, sf)
     base = io.scratch_path(spark, "stream")
     req = sc.requests_from_tables(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf))
@@ -86,4 +108,11 @@ def q_stream_score(spark, sf):
     q = start_stream_scoring(spark, f"{base}/landing", retail.products(spark, sf), model, thr, category_levels(spark, sf),
                              binary, f"{base}/out", f"{base}/checkpoint", rename={"payment_method": "priority"})
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out/scores").drop("batch_id")
+    streamed = spark.read.parquet(f"{base}/out/scores").drop("batch_id")
+    batch, _rejects = score_requests(req, retail.products(spark, sf), model, thr, category_levels(spark, sf), binary,
+                                     rename={"payment_method": "priority"})
+    j = streamed.alias("s").join(batch.alias("b"), "order_id", "full")
+    return j.agg(F.count("s.return_probability").alias("n_streamed"),
+                 F.count_if(F.col("s.return_probability").isNotNull() & F.col("b.return_probability").isNotNull()).alias("n_matched"),
+                 F.coalesce(F.max(F.abs(F.col("s.return_probability") - F.col("b.return_probability"))) < 1e-12, F.lit(False)).alias("same_scores"),
+                 (F.count_if(F.col("s.prediction") != F.col("b.prediction")) == 0).alias("same_decisions"))

@@ -128,11 +128,21 @@ def q_materialize_splits(spark, sf):
                                                F.sum("l_quantity").alias("total_quantity")), 2)
 
 
-@register("dataset_fingerprint")
+@register("dataset_fingerprint", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, {n}::BIGINT AS n_columns, true AS same_when_shuffled, true AS changes_with_a_row FROM {t}"
+    for t, n in (("region", 2), ("nation", 3), ("customer", 5), ("orders", 6))))
 def q_fingerprint(spark, sf):
-    """Order-insensitive content hash + row count per table (xxhash64 has
-    no DuckDB twin, so this one is checked by invariants in the tests)."""
-    return io.dataset_fingerprint({t: table(spark, sf, t) for t in ["region", "nation", "customer", "orders"]})
+    """Order-insensitive content hash + row count per table; facts of the
+    hash: the same for shuffled rows, another one without the first key."""
+    names = ["region", "nation", "customer", "orders"]
+    tables = {t: table(spark, sf, t) for t in names}
+    prints = io.dataset_fingerprint(tables)
+    shuffled = io.dataset_fingerprint({t: df.repartition(5) for t, df in tables.items()})
+    fewer = io.dataset_fingerprint({t: df.filter(F.col(df.columns[0]) != df.select(F.min(df.columns[0])).scalar()) for t, df in tables.items()})
+    both = prints.join(shuffled.select("table_name", F.col("content_hash").alias("s")), "table_name").join(
+        fewer.select("table_name", F.col("content_hash").alias("f")), "table_name")
+    return both.select("table_name", "n_rows", "n_columns", (F.col("content_hash") == F.col("s")).alias("same_when_shuffled"),
+                       (~F.col("content_hash").eqNullSafe(F.col("f"))).alias("changes_with_a_row"))
 
 
 @register("clean_column_names", """

@@ -351,10 +351,15 @@ def q_feature_name_compiler(spark, sf):
     return tidy(out, 4, {"revenue_rolling_28d_std": 2, "cogs_pct_change_7d": 9})
 
 
-@register("time_features_registry")
+@register("time_features_registry", DENSE_SQL + """
+SELECT CAST(sale_date AS VARCHAR) AS sale_date, round(lag(revenue, 1) OVER w, 4) AS revenue_lag_1d, round(lag(revenue, 7) OVER w, 4) AS revenue_lag_7d,
+       round(CASE WHEN count(revenue) OVER w7 >= 2 THEN avg(revenue) OVER w7 END, 7) AS revenue_rolling_7d_mean,
+       round(CASE WHEN count(revenue) OVER w7 >= 2 THEN max(revenue) OVER w7 END, 4) AS revenue_rolling_7d_max,
+       round(lag(cogs, 1) OVER w, 4) AS cogs_lag_1d, 5::BIGINT AS n_catalog_rows
+FROM dd WINDOW w AS (ORDER BY sale_date), w7 AS (ORDER BY sale_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""")
 def q_time_features_registry(spark, sf):
     """Only requested lag/rolling features are created; catalog rows."""
     out, catalog = ts.time_features_registry(dense_daily(spark, sf), "sale_date",
                                              {"revenue": {"lags": [1, 7], "rolling": [7], "stats": ["mean", "max"]},
                                               "cogs": {"lags": [1]}})
-    return tidy(out, 4)
+    return tidy(out.withColumn("n_catalog_rows", F.lit(catalog.count())), 4, {"revenue_rolling_7d_mean": 7})

@@ -109,7 +109,8 @@ def q_unstack(spark, sf):
     return pivot_agg(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority", levels, "count", prefix="p", fill=0)
 
 
-@register("sample_rows")
+@register("sample_rows", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5('7|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100""")
 def q_sample_rows(spark, sf):
     """Seeded, partition-independent sample of 100 orders (hash order;
     checked for determinism and size in the tests)."""
