@@ -58,12 +58,12 @@ def test_one_hot_unknown_is_all_zero(spark):
 def test_batch_equals_stream_features(spark):
     """M02 (master table) and M03 (nested requests) give the same features."""
     from basketry.plans import features as ft
-    from basketry.plans.queries.q_features import SPEC, master
+    from basketry.plans.queries.q_features import master, spec
     from basketry.plans.queries.q_rollup import PART_TYPES
     from basketry.plans.scoring import parse_requests, requests_from_tables
     from basketry.sources import retail
     sf = "/root/testdata/sf0.001"
-    batch = ft.serving_features(master(spark, sf), SPEC)
+    batch = ft.serving_features(master(spark, sf), spec(spark, sf))
     req = requests_from_tables(retail.orders(spark, sf), retail.items(spark, sf), retail.customers(spark, sf))
     nested = ft.nested_order_features(parse_requests(req).filter("reject_reason IS NULL").select("order.*"),
                                       retail.products(spark, sf), {"category": PART_TYPES}, cash_value="1-urgent")
