@@ -24,12 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import map_rows
+from basketry.llm.common import map_rows, when_leaving
 
 # Fixed value: the split pattern of this family of vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CHUNK_ENTRIES = 1_000_000
-WORD_ENTRIES = 500_000
+CHUNK_ENTRIES, WORD_ENTRIES = 300_000, 200_000
 LONGEST_KEPT = 40  # longer pieces are encoded each time, so the tables stay small
 _SPACE_THEN_SPACE = re.compile(r" [\s\x1c-\x1f\x85]")
 
@@ -59,7 +58,7 @@ class _Chunks(dict):
         else:
             ids = b"".join(map(word, self.owner.split(self.lead + chunk)))
         if len(chunk) <= LONGEST_KEPT:
-            if len(self) >= CHUNK_ENTRIES:
+            if len(self) >= self.owner.chunk_entries:
                 self.clear()
             self[chunk] = ids
         return ids
@@ -72,7 +71,8 @@ class PieceCache:
     pattern match then ends before the next space, so each word with the space
     before it encodes alone. Other texts split by the pattern itself."""
 
-    def __init__(self):
+    def __init__(self, chunk_entries: int = CHUNK_ENTRIES, word_entries: int = WORD_ENTRIES):
+        self.chunk_entries, self.word_entries = chunk_entries, word_entries
         self.first, self.rest = _Chunks(self, ""), _Chunks(self, " ")
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -89,7 +89,7 @@ class PieceCache:
             if ids is None:
                 ids = self.encode_word(word)
             if len(word) <= LONGEST_KEPT:
-                if len(self.words) >= WORD_ENTRIES:
+                if len(self.words) >= self.word_entries:
                     self.older, self.words = self.words, {}
                 self.words[word] = ids
         return ids
@@ -170,6 +170,10 @@ class ByteBPE(PieceCache):
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.encode_marked(texts, self.added)
 
+    def forget(self) -> None:
+        for table in (self.first, self.rest, self.words, self.older):
+            table.clear()
+
     def decode(self, packed: bytes) -> str:
         ids = array("I")
         ids.frombytes(packed)
@@ -178,8 +182,11 @@ class ByteBPE(PieceCache):
 
 @lru_cache(maxsize=2)
 def load(path: str) -> ByteBPE:
-    """The vocabulary, read once per Python worker."""
-    return ByteBPE(path)
+    """The vocabulary, read once per Python worker; its tables go when the
+    worker turns to another operator."""
+    bpe = ByteBPE(path)
+    when_leaving("bpe", bpe.forget)
+    return bpe
 
 
 def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,7 +196,7 @@ def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
         return lambda ids, texts: [ids, bpe.encode([t or "" for t in texts])]
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return map_rows(df, [id_col, text_col], f"{id_col} {id_type}, ids binary", make, rows_per_step=256)
+    return map_rows(df, [id_col, text_col], f"{id_col} {id_type}, ids binary", make, rows_per_step=256, tables="bpe")
 
 
 def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -199,7 +206,7 @@ def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str
         return lambda ids, packed: [ids, [bpe.decode(p or b"") for p in packed]]
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return map_rows(df, [id_col, ids_col], f"{id_col} {id_type}, text string", make, rows_per_step=256)
+    return map_rows(df, [id_col, ids_col], f"{id_col} {id_type}, text string", make, rows_per_step=256, tables="bpe")
 
 
 def round_trip(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,7 +220,7 @@ def round_trip(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
         return step
 
     id_type = df.schema[id_col].dataType.simpleString()
-    return map_rows(df, [id_col, text_col], f"{id_col} {id_type}, ids binary, decoded string", make, rows_per_step=256)
+    return map_rows(df, [id_col, text_col], f"{id_col} {id_type}, ids binary, decoded string", make, rows_per_step=256, tables="bpe")
 
 
 def digests(coded: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -22,6 +22,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -31,7 +32,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package (as ``--py-files`` would), once per
-    application, so that functions sent to them can import it anywhere."""
+    application, so that functions sent to them can import it anywhere. Arrow
+    batches of texts are bounded by bytes, since rows say little about size
+    (a session that sets its own bound keeps it)."""
+    if spark.conf.get(BATCH_CONF, None) in (None, "67108864b", "64MB"):
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
     sc = spark.sparkContext
     if getattr(sc, "_basketry_shipped", False):
         return
@@ -51,8 +56,23 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text) if text else []
 
 
+_LEAVING: dict[str, Callable[[], None]] = {}
+
+
+def when_leaving(tables: str, forget: Callable[[], None]) -> None:
+    """Have this Python worker call ``forget`` before it runs a step that does
+    not use ``tables``: workers outlive operators, their memory should not."""
+    _LEAVING[tables] = forget
+
+
+def leave_others(tables: str | None = None) -> None:
+    for name, forget in _LEAVING.items():
+        if name != tables:
+            forget()
+
+
 def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable],
-             rows_per_step: int = 512) -> DataFrame:
+             rows_per_step: int = 512, tables: str | None = None) -> DataFrame:
     """Run ``make()`` once per task and its result on steps of at most
     ``rows_per_step`` rows (``columns`` as Python lists, in order); each step
     returns a list of columns for ``schema``. Only one step is held at a time,
@@ -61,6 +81,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[],
     out_schema = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]):
+        leave_others(tables)
         step = make()
         for batch in batches:
             for lo in range(0, batch.num_rows, rows_per_step):

@@ -53,7 +53,7 @@ class LibraryEncoder(PieceCache):
     while it stays in the worker's bounded tables."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(chunk_entries=1_000_000, word_entries=500_000)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
