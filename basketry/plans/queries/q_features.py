@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import timeseries as ts
 from basketry.plans import features as ft
-from basketry.plans.catalog import register, table, tidy
+from basketry.plans.catalog import ORACLES, register, table, tidy
 from basketry.plans.queries.q_rollup import PART_TYPES, category_levels
 from basketry.plans.queries.q_timeseries import DENSE_SQL, dense_daily
 from basketry.sources import io, retail
@@ -139,13 +139,15 @@ def q_daily_model_all_sources(spark, sf):
     return tidy(out, 4)
 
 
-@register("recreate_selected_features")
+@register("recreate_selected_features", "SELECT * FROM (" + ORACLES["feature_name_compiler"] + """) WHERE revenue_lag_1d IS NOT NULL
+  AND revenue_lag_7d IS NOT NULL AND revenue_rolling_7d_mean IS NOT NULL AND revenue_rolling_28d_std IS NOT NULL
+  AND cogs_pct_change_7d IS NOT NULL AND revenue_diff_1d IS NOT NULL""")
 def q_recreate_selected(spark, sf):
     """Saved feature list rebuilt, contract kept, incomplete rows dropped."""
     from basketry.plans.queries.q_timeseries import FEATURE_NAMES
     t = ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf))
     kept, _unknown, _report = ft.recreate_selected_features(t, "sale_date", FEATURE_NAMES)
-    return tidy(kept, 4)
+    return tidy(kept, 4, {"revenue_rolling_28d_std": 2, "cogs_pct_change_7d": 9})
 
 
 @register("target_driver_table", DENSE_SQL + """,

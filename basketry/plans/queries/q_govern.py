@@ -11,6 +11,7 @@ from basketry.plans.catalog import register, tidy
 from basketry.plans.queries.q_features import master, spec
 from basketry.plans.queries.q_profile import ORDERS_ITEMS_SQL, orders_items
 from basketry.plans.queries.q_rollup import category_levels
+from basketry.plans.queries.q_timeseries import DENSE_SQL
 from basketry.plans.queries.q_stats import FEATS, LONG_SQL, order_features
 from basketry.session import cut_lineage
 from basketry.sources import retail
@@ -271,7 +272,20 @@ def q_family_audit(spark, sf):
     return audit.join(table.groupBy("source", "kind").agg(F.avg("max_abs_corr").alias("mean_abs_corr")), ["source", "kind"], "left")
 
 
-@register("redundancy_groups")
+REV_NAMES = ["revenue", *[f"revenue_lag_{k}d" for k in (1, 2, 7, 14)], *[f"revenue_rolling_{w}d_mean" for w in (7, 14, 28)]]
+
+
+@register("redundancy_groups", DENSE_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+x AS (SELECT revenue, cogs, """ + ", ".join(f"lag(revenue, {k}) OVER w AS revenue_lag_{k}d" for k in (1, 2, 7, 14)) + ", " + ", ".join(
+    f"avg(revenue) OVER (ORDER BY sale_date ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING) AS revenue_rolling_{w}d_mean" for w in (7, 14, 28)) + """
+      FROM dd WINDOW w AS (ORDER BY sale_date)),
+f AS (SELECT * FROM x WHERE cogs IS NOT NULL AND """ + " AND ".join(f"{n} IS NOT NULL" for n in REV_NAMES) + """),
+pr AS (""" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) AS v FROM f"
+                                for i, a in enumerate(REV_NAMES) for b in REV_NAMES[i + 1:]) + """),
+ed AS (SELECT a, b FROM pr WHERE v >= 0.5 UNION ALL SELECT b, a FROM pr WHERE v >= 0.5),
+nd AS (SELECT DISTINCT a AS n FROM pr UNION SELECT DISTINCT b FROM pr),
+rc AS (SELECT n, n AS m FROM nd UNION SELECT rc.n, ed.b FROM rc JOIN ed ON ed.a = rc.m)
+SELECT n AS feature, min(m) AS group_id, n = min(m) AS is_representative FROM rc GROUP BY n""")
 def q_redundancy_groups(spark, sf):
     """Features linked by |corr| ≥ 0.5 grouped by min-label propagation."""
     d = daily_features(spark, sf)

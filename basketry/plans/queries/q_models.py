@@ -32,14 +32,25 @@ def _reg_metrics(pred, name):
                                  "prediction", ["split"]).withColumn("model", F.lit(name))
 
 
-@register("seasonal_trend_forecast")
+@register("seasonal_trend_forecast", DENSE_SQL + """,
+h AS (SELECT sale_date, revenue FROM daily WHERE sale_date < DATE '2001-01-01'),
+fs AS (SELECT min(sale_date) AS a, max(sale_date) AS z FROM daily WHERE sale_date >= DATE '2001-01-01'),
+fu AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS d FROM fs),
+y AS (SELECT year(sale_date) AS yr, sum(revenue) AS total, min(sale_date) AS a, max(sale_date) AS b FROM h GROUP BY 1),
+cy AS (SELECT * FROM y WHERE month(a) = 1 AND day(a) = 1 AND month(b) = 12 AND day(b) = 31),
+g AS (SELECT total / lag(total) OVER (ORDER BY yr) AS r FROM cy), gr AS (SELECT coalesce(exp(avg(ln(r))), 1.0) AS growth FROM g),
+lv AS (SELECT max(year(sale_date)) AS ly FROM h), le AS (SELECT avg(revenue) AS level FROM h, lv WHERE year(sale_date) = ly),
+nm AS (SELECT sale_date, revenue / avg(revenue) OVER (PARTITION BY year(sale_date)) AS f FROM h),
+pr AS (SELECT month(sale_date) AS m, day(sale_date) AS dd_, avg(f) AS f FROM nm GROUP BY 1, 2)
+SELECT CAST(d AS VARCHAR) AS sale_date, round(level * pow(growth, year(d) - ly) * coalesce(f, 1.0), 2) AS forecast
+FROM fu LEFT JOIN pr ON m = month(d) AND dd_ = day(d), gr, lv, le""")
 def q_seasonal_trend(spark, sf):
     """Level × growth^(years ahead) × seasonal factor for the year after
     the history."""
     t = ft.daily_sales(retail.items(spark, sf), retail.products(spark, sf))
     hist = t.filter(F.col("sale_date") < F.lit("2001-01-01").cast("date"))
     fut = ts_spine(t.filter(F.col("sale_date") >= F.lit("2001-01-01").cast("date")))
-    return md.seasonal_trend_forecast(hist, "sale_date", "revenue", fut, "sale_date")
+    return tidy(md.seasonal_trend_forecast(hist, "sale_date", "revenue", fut, "sale_date"), 2)
 
 
 def ts_spine(df):

@@ -310,14 +310,30 @@ def q_percentile_outlier_days(spark, sf):
     return tidy(profile.percentile_outlier_days(d, "sale_date", "revenue", "cogs"))
 
 
-@register("quick_eda")
+def _quick_eda_sql():
+    from basketry.plans.queries.q_stats import ORDER_FEATS_SQL
+    cols = ["o_orderkey", "o_orderpriority", "o_orderstatus", "year", "o_totalprice", "n_lines", "total_quantity", "discount_ratio", "returned"]
+    num = [c for c in cols if c not in ("o_orderpriority", "o_orderstatus")]
+    add = " + ".join
+    parts = {"schema": (9, add(f"count(DISTINCT {c})" for c in cols)), "missing": (9, add(f"count_if({c} IS NULL)" for c in cols)),
+             "duplicates": (1, "count(*) - count(DISTINCT o_orderkey)"), "numeric": (len(num), add(f"count({c})" for c in num)),
+             "categorical": (2, "count(DISTINCT o_orderpriority) + count(DISTINCT o_orderstatus)"),
+             "target_relation": (len(num) - 1, add(f"count_if({c} IS NOT NULL AND returned IS NOT NULL)" for c in num if c != "returned"))}
+    return ORDER_FEATS_SQL + " UNION ALL ".join(
+        f"SELECT '{k}' AS report, {n}::BIGINT AS n_rows, CAST({v} AS BIGINT) AS total FROM of" for k, (n, v) in parts.items())
+
+
+@register("quick_eda", _quick_eda_sql())
 def q_quick_eda(spark, sf):
     """C20: the one-call bundle (schema, missing, duplicates, numeric,
-    categorical, target relation) for the order table; one summary row per
-    report."""
+    categorical, target relation) for the order table: per report its rows and
+    the total of its counts."""
     from functools import reduce
     from basketry.plans.queries.q_stats import order_features
     o = order_features(spark, sf)
     bundle = profile.quick_eda(o, target="returned", keys=["o_orderkey"], categorical=["o_orderpriority", "o_orderstatus"])
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("report"), "n_rows") for name, df in bundle.items()]
+    counts = {"schema": "nunique", "missing": "missing", "duplicates": "duplicate_key_rows", "numeric": "count",
+              "categorical": "nunique", "target_relation": "n_pairs"}
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(counts[name]).cast("long").alias("total"))
+             .select(F.lit(name).alias("report"), "n_rows", "total") for name, df in bundle.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
