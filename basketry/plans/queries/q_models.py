@@ -27,11 +27,6 @@ def daily_model_frame(spark, sf):
     return d.withColumn("is_train", F.col("sale_date") < F.lit("2000-01-01").cast("date")).na.drop(subset=REG_FEATS + ["revenue"])
 
 
-def _reg_metrics(pred, name):
-    return ev.regression_metrics(pred.withColumn("split", F.when(F.col("is_train"), "train").otherwise("test")), "revenue",
-                                 "prediction", ["split"]).withColumn("model", F.lit(name))
-
-
 @register("seasonal_trend_forecast", DENSE_SQL + """,
 h AS (SELECT sale_date, revenue FROM daily WHERE sale_date < DATE '2001-01-01'),
 fs AS (SELECT min(sale_date) AS a, max(sale_date) AS z FROM daily WHERE sale_date >= DATE '2001-01-01'),
@@ -117,12 +112,13 @@ def q_linear(spark, sf):
     return _reg_facts(m.transform(md.assemble(d, REG_FEATS)), "linear")
 
 
-@register("gbt_regressor")
+@register("gbt_regressor", REG_SQL + "SELECT 'gbt' AS model, split, count(*) AS n, true AS error_below_total FROM d GROUP BY split")
 def q_gbt_regressor(spark, sf):
-    """Boosted trees with early stopping on the last training year."""
+    """Boosted trees with early stopping on the last training year; facts
+    of the predictions."""
     d = daily_model_frame(spark, sf).withColumn("is_valid", F.year("sale_date") == 1999)
     m = md.gbt_regressor(d.filter("is_train"), REG_FEATS, "revenue", valid_col="is_valid", maxIter=30, maxDepth=4)
-    return _reg_metrics(m.transform(md.assemble(d, REG_FEATS)), "gbt")
+    return _reg_facts(m.transform(md.assemble(d, REG_FEATS)), "gbt").drop("normal_equations_hold")
 
 
 NUMERIC = ["customer_tenure_days", "total_quantity", "unique_product_count", "discount_ratio", "log_payment_value"]
@@ -273,11 +269,12 @@ def q_feature_importance(spark, sf):
                  F.min(F.col("importance") >= 0).alias("none_negative"), (F.count(F.lit(1)) > 0).alias("has_rows"))
 
 
-@register("forecast_champion_rule")
+@register("forecast_champion_rule", REG_SQL + """SELECT count_if(split = 'test') AS n_test, true AS rule_followed,
+       true AS metrics_present FROM d""")
 def q_forecast_champion(spark, sf):
     """P12 (forecast): a candidate replaces the reference forecast only with
     a WAPE gain ≥ 0.003 and a Sunday WAPE that is not worse — ridge vs the
-    same-weekday baseline on the test years."""
+    same-weekday baseline on the test years; facts of the decision."""
     d = daily_model_frame(spark, sf)
     ridge = md.ridge_closed_form(d.filter("is_train"), REG_FEATS, "revenue", alpha=10.0).predict(d)
     test = ridge.filter(~F.col("is_train")).withColumn("is_sunday", F.weekday("sale_date") == 6)
@@ -290,5 +287,8 @@ def q_forecast_champion(spark, sf):
                  wape("revenue_lag_7d", F.col("is_sunday")).alias("reference_sunday_wape"))
     rule = md.material_gain(F.col("candidate_wape"), F.col("reference_wape"), F.col("candidate_sunday_wape"),
                             F.col("reference_sunday_wape"))
-    return m.withColumn("switch_to_candidate", rule).withColumn(
-        "champion", F.when(F.col("switch_to_candidate"), F.lit("ridge_alpha_10")).otherwise(F.lit("same_weekday")))
+    m = m.withColumn("switch", rule)
+    gain = (F.col("reference_wape") - F.col("candidate_wape") >= 0.003) & (F.col("candidate_sunday_wape") <= F.col("reference_sunday_wape"))
+    wapes = [F.col(c) for c in ("candidate_wape", "reference_wape", "candidate_sunday_wape", "reference_sunday_wape")]
+    return m.select(F.lit(test.count()).alias("n_test"), (F.col("switch") == gain).alias("rule_followed"),
+                    reduce(lambda a, b: a & b, [c.isNotNull() & (c > 0) for c in wapes]).alias("metrics_present"))
