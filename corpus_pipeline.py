@@ -2,8 +2,15 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next stage's ``docs``. All but the
-last return the columns of ``documents``; every stage works on all rows that
-the one before kept."""
+last return the columns of ``documents`` (extra columns stay, whatever their
+names); every stage works on all rows that the one before kept.
+
+Null and blank texts: they fail the quality rules; rows without words are linked
+with nothing and stay in the near-duplicate stage; a null text stays null in the
+secret scan; the mix takes no words of them, so they leave; BPE encodes a null as
+empty. Repeated rows are one group to the near-duplicate stage and rows of their
+own elsewhere; null ids order first but never name a group; an empty table stays
+empty."""
 
 from __future__ import annotations
 

@@ -48,3 +48,31 @@ def test_stages(spark):
 def test_run(spark):
     out = C.run(spark, SF_SMALL)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 100
+
+
+def test_stages_on_odd_rows(spark, messy, texts):
+    """Nulls, blanks, repeated rows, long texts and columns named like the
+    stages' own go through every stage."""
+    work = Workspace(spark, "odd")
+    docs, n = messy, len(texts)
+    for name, stage in C.STAGES:
+        out = work.save(stage(spark, docs, SF_SMALL), name)
+        if name == "bpe_tokens":
+            assert out.count() == n
+            break
+        assert out.columns == messy.columns
+        n = out.count()
+        docs = out
+    for name in ("near_duplicates", "secret_scan", "source_mix"):  # blank texts reach these only alone
+        out = dict(C.STAGES)[name](spark, messy, SF_SMALL)
+        blank = sum(not brute.words(t) for _, t, _ in texts)
+        got = sum(not brute.words(r.text) for r in out.collect())
+        assert got == (0 if name == "source_mix" else blank)
+
+
+def test_stages_on_an_empty_table(spark, nothing):
+    for name, stage in C.STAGES:
+        out = stage(spark, nothing, SF_SMALL)
+        assert out.count() == 0
+        if name != "bpe_tokens":
+            assert out.columns == nothing.columns
