@@ -54,7 +54,8 @@ SELECT order_id, CASE order_status WHEN 'returned' THEN 1 WHEN 'delivered' THEN
 def q_serving_features(spark, sf):
     """Master (order × item fan-out) → one row per order with label,
     numeric, categorical, binary, multi-hot and quantile inputs."""
-    return tidy(ft.serving_features(master(spark, sf), spec(spark, sf)), 9, {"total_quantity": 2, "payment_value": 2})
+    history = retail.orders(spark, sf).select("customer_id", "order_date")  # first dates need no second master
+    return tidy(ft.serving_features(master(spark, sf), spec(spark, sf), history), 9, {"total_quantity": 2, "payment_value": 2})
 
 
 @register("order_feature_table", with_roles("orders", "customers", "items", "products") + """,
