@@ -286,7 +286,7 @@ def selection_funnel(report: DataFrame) -> DataFrame:
     return report.groupBy("decision", "failed_stage").agg(F.count(F.lit(1)).alias("n_features"))
 
 
-HISTORY_TOKENS = r"(lag|rolling|prior|past|before|history|prev)"
+HISTORY_TOKENS = r"(lag|rolling|prior|past|before|history|prev|diff|pct_change)"
 TARGET_TOKENS = r"(return|revenue|cogs|label|target)"
 META_TOKENS = r"(_id$|^id$|date|split|timestamp)"
 

@@ -78,7 +78,7 @@ def missing_level(pct_col: str = "missing_pct") -> Column:
 def missing_decision(report: DataFrame, rules: DataFrame) -> DataFrame:
     """Join per-column business rules (column_name, rule) to the
     missing report; unknown columns with missing values → ``flag``."""
-    j = report.join(F.broadcast(rules), "column_name", "left")  # rule table is a fixed short list
+    j = report.join(rules, "column_name", "left")
     return j.withColumn("decision", F.when(F.col("missing") == 0, "no_action").otherwise(
         F.coalesce(F.col("rule"), F.lit("flag"))))
 

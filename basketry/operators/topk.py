@@ -54,7 +54,7 @@ def ordered_categories(df: DataFrame, col: str, levels: list, fill: dict | None
     spark = df.sparkSession
     order = spark.createDataFrame([(v, i) for i, v in enumerate(levels)], f"{col} string, level_order int")
     src = df.withColumn(col, F.col(col).cast("string"))
-    out = F.broadcast(order).join(src, col, "full")  # level table is fixed and tiny
+    out = order.join(src, col, "full")
     if fill:
         out = out.na.fill(fill)
     return out.withColumn("level_order", F.coalesce("level_order", F.lit(len(levels))))

@@ -119,15 +119,15 @@ def serving_features(master: DataFrame, spec: OrderFeatureSpec, history: DataFra
 
 def order_feature_table(orders: DataFrame, items: DataFrame, customers: DataFrame, products: DataFrame,
                         multihot: dict, label_col: str = "returned", date_col: str = "order_date") -> DataFrame:
-    """One row per labelled order: item block (F14 + label), multi-hot
-    block, customer block, payment and calendar blocks — each block is
-    aggregated to the order first, then left-joined on order_id; multi-hot
-    NULL → 0. The target-history block (G12) is audit-only and not here."""
-    from basketry.operators.rollup import multihot as mh_block, order_item_summary
+    """One row per labelled order: item block (F14 + label + multi-hot, one
+    aggregate to the order), customer block, payment and calendar blocks,
+    joined on order_id. The target-history block (G12) is audit-only and not here."""
+    from basketry.operators.rollup import order_item_summary
     it = items.join(products.select("product_id", *multihot.keys()), "product_id", "left")
     blk_items = order_item_summary(it, "order_id", "product_id", "quantity", "gross", "discount_amount",
-                                   extra=[F.max((F.col("return_flag") == "R").cast("int")).alias(label_col)])
-    blk_mh = mh_block(it, "order_id", multihot)
+                                   extra=[F.max((F.col("return_flag") == "R").cast("int")).alias(label_col),
+                                          *[F.max(F.when(F.col(c) == F.lit(v), 1).otherwise(0)).alias(f"{c}_{slugify(v)}")
+                                            for c, vals in multihot.items() for v in vals]])
     first = orders.groupBy("customer_id").agg(F.min(date_col).alias("_first"))
     base = orders.join(first, "customer_id", "left").join(customers, "customer_id", "left")
     base = base.withColumn("customer_tenure_days", F.datediff(date_col, "_first")).drop("_first")
@@ -135,9 +135,7 @@ def order_feature_table(orders: DataFrame, items: DataFrame, customers: DataFram
     base = base.withColumn("log_payment_value", log1p_clip("payment_value"))
     base = base.withColumns({k: v for k, v in calendar_columns(date_col).items() if k in ("dayofweek", "month", "is_weekend")})
     base = base.withColumn("is_q4", flag(F.quarter(date_col) == 4))
-    out = base.join(blk_items, "order_id", "inner").join(blk_mh, "order_id", "left")
-    mh_cols = [c for c in blk_mh.columns if c != "order_id"]
-    return out.na.fill(0, subset=mh_cols).filter(F.col(label_col).isNotNull())
+    return base.join(blk_items, "order_id", "inner").filter(F.col(label_col).isNotNull())
 
 
 # Nested order request (one JSON object per order).

@@ -127,3 +127,24 @@ def test_checkpoint_folder_of_the_application_stays(spark):
     before = spark.sparkContext.getCheckpointDir()
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir() == before and first
+
+
+def test_history_names_are_not_suspect(spark):
+    names = spark.createDataFrame([("revenue_diff_7d",), ("revenue_pct_change_7d",), ("revenue",), ("target",)], "feature string")
+    got = {r.feature: r.target_like_no_history for r in govern.leakage_name_review(names).collect()}
+    assert got == {"revenue_diff_7d": False, "revenue_pct_change_7d": False, "revenue": True, "target": True}
+
+
+def test_fold_state_ignores_validation_rows(spark):
+    from basketry.operators.models import prepare
+    from basketry.operators.preprocess import Preprocessor
+    rows = [(i, float(i), "ab"[i % 2], i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, x double, c string, label int")
+    train, valid = df.filter("id < 30"), df.filter("id >= 30")
+    other = valid.withColumn("x", F.col("x") * 1000).withColumn("c", F.lit("z"))
+    states = []
+    for v in (valid, other):
+        pre = Preprocessor(numeric=["x"], categorical=["c"])
+        out, _, columns = prepare(train, [v], pre, "label", ["id", "label"])
+        states.append((pre.state, columns, sorted(map(tuple, out.collect()))))
+    assert states[0] == states[1]
