@@ -101,6 +101,8 @@ def count_and_confirm(sigs: np.ndarray, sets: list[np.ndarray], side: np.ndarray
     n = len(sets)
     left = np.flatnonzero(side == 0)
     right = np.flatnonzero(side == 1)
+    if not len(left):
+        return []
     one_side = not len(right)
     if one_side:
         right = left
@@ -181,9 +183,9 @@ def links_of(nodes: DataFrame, docs: DataFrame, work: Workspace, matches: int =
     units = units.repartition(partitions(docs.sparkSession), *order).sortWithinPartitions(*order, "side", "node")
 
     def merge(batches: Iterator[pa.RecordBatch]):
-        def flush(unit):
-            if len(unit) < 2:
-                return None
+        def flush(key, unit):
+            if len(unit) < 2 or (key[1] < key[2] and len({u[3] for u in unit}) < 2):
+                return None  # pairs inside one block belong to its own unit
             found = count_and_confirm(np.array([u[1] for u in unit]), [np.frombuffer(u[2], dtype=np.uint64) for u in unit],
                                       np.array([u[3] for u in unit]), matches, percent)
             if not found:
@@ -201,13 +203,13 @@ def links_of(nodes: DataFrame, docs: DataFrame, work: Workspace, matches: int =
             for r in range(batch.num_rows):
                 key = (cols[0][r], cols[1][r], cols[2][r])
                 if key != now:
-                    if (out := flush(unit)) is not None:
+                    if (out := flush(now, unit)) is not None:
                         yield out
                     now, unit, seen = key, [], set()
                 if node[r] not in seen:  # a repeated row gives its node's text twice
                     seen.add(node[r])
                     unit.append((node[r], width[first[r]], shingles[r].as_py(), sides[r]))
-        if (out := flush(unit)) is not None:
+        if (out := flush(now, unit)) is not None:
             yield out
 
     ship_package(docs.sparkSession)

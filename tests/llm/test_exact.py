@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from basketry.llm import bpe, minhash, quality, recompress, secrets, suffix, tokenfile
 from tests.llm import brute
+from tests.llm.conftest import frame
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -113,6 +114,20 @@ def test_bounded_units_agree_with_all_pairs():
     assert parts(one) == parts(cut)
 
 
+def test_long_near_copies_leave_blocks_empty(spark, monkeypatch):
+    """Groups of few but long texts have more blocks than nodes in some, so
+    units with an empty side are met."""
+    from basketry.llm.common import Workspace
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 200)
+    rows = []
+    for g in range(12):
+        words = [f"w{g}x{k}" for k in range(250)]
+        for c in range(2 + g % 3):
+            rows.append((10 * g + c, " ".join(words[:-1] + [f"end{c}"]), "s"))
+    got = minhash.near_duplicates(frame(spark, rows), Workspace(spark, "long"))
+    assert ordered(map(tuple, got.collect())) == ordered(brute.near_duplicates(rows))
+
+
 def test_secret_base(messy, texts):
     got = secrets.scan_documents(messy)
     want = [(i, *brute.secrets(t)) for i, t, _ in texts]
