@@ -18,8 +18,9 @@
    links that span what it found connected, so copies never become all pairs.
 5. Components of the links; every document gets the least id of its component.
 
-At similarity 0.75 the chance that a link has fewer than 32 of 64 agreements
-is about one in a million. Nulls and texts without words have empty sets and
+At similarity 0.75 the chance that a link has fewer than 26 of 64 agreements
+is 1.3e-9 (binomial tail; 28 would give 2.5e-8, 32 4.6e-6), and such a link is
+only lost if no other path joins its ends. Nulls and texts without words have empty sets and
 are linked with nothing; a null id is never a component's name; repeated rows
 are members of the same node; an empty table gives an empty result.
 """
@@ -38,7 +39,7 @@ from basketry.llm import tokens
 from basketry.llm.common import Workspace, map_rows, partitions, ship_package
 from basketry.llm.components import components
 
-SHINGLE, COORDS, MATCHES = 5, 64, 32
+SHINGLE, COORDS, MATCHES = 5, 64, 26
 SIMILARITY = 75                      # percent
 BLOCK_NODES, BLOCK_SHINGLES = 64, 64_000
 _FACTORS = tokens.mix(np.arange(1, COORDS + 1, dtype=np.uint64)) | np.uint64(1)

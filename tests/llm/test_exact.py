@@ -128,6 +128,35 @@ def test_long_near_copies_leave_blocks_empty(spark, monkeypatch):
     assert ordered(map(tuple, got.collect())) == ordered(brute.near_duplicates(rows))
 
 
+def test_pair_at_the_threshold_with_few_agreements(spark):
+    """Two texts of similarity 0.75 exactly whose own ends hold the least
+    value of so many coordinates that fewer than half of them agree."""
+    from basketry.llm.common import Workspace
+    rnd = np.random.default_rng(3)
+    common = [f"c{k}" for k in range(28)]  # 24 shingles; each end adds 4
+
+    def sketches(tails):
+        return np.array([minhash.signature(x) for x in minhash.shingle_sets([" ".join(common + t) for t in tails])])
+
+    def away(target, least):
+        """An end, word by word, with few agreements (at least ``least``)."""
+        end = []
+        for _ in range(4):
+            tails = [end + [f"e{x}"] for x in rnd.integers(0, 1 << 40, 2000)]
+            agree = (sketches(tails) == target).sum(axis=1)
+            end = tails[int(np.argmin(np.where(agree < least, 99, agree)))]
+        return end
+
+    first = away(sketches([[]])[0], 0)
+    second = away(sketches([first])[0], 27)
+    assert 26 <= (sketches([first]) == sketches([second])).sum() < 32
+    rows = [(1, " ".join(common + first), "s"), (2, " ".join(common + second), "s")]
+    got = minhash.near_duplicates(frame(spark, rows), Workspace(spark, "few"))
+    want = brute.near_duplicates(rows)
+    assert [w[2] for w in want] == [1, 1]
+    assert rows_of(got, "doc_id", "n_shingles", "component_id", "kept") == ordered(want)
+
+
 def test_secret_base(messy, texts):
     got = secrets.scan_documents(messy)
     want = [(i, *brute.secrets(t)) for i, t, _ in texts]
