@@ -42,6 +42,8 @@ NAME_WEIGHTS = {
     "signing": 1.0, "encryption": 1.0, "client": 0.5, "session": 0.5, "cookie": 1.0, "salt": 1.0, "license": 0.5,
 }
 SCORE_NEEDED = 4.0
+_PHRASE = re.compile(rb"(?i)passw(or)?d|passphrase|pwd")  # names whose values may have spaces
+_BUILT = 512
 _NAME_BYTES = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-$")
 _OPERATOR = re.compile(rb"[=:]")
 _QUOTED = re.compile(rb'"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\'|`((?:[^`\\\n]|\\.)*)`')
@@ -94,28 +96,39 @@ def _name_before(data: bytes, at: int) -> bytes:
     return data[start:end].strip(b"-.$")
 
 
-def _operands(data: bytes, at: int) -> tuple[list[tuple[int, int]], bytes, int]:
-    """Literals of the expression at ``at`` (spans inside quotes, joined by
-    ``+`` or adjacency), or the bare word there; with the end offset."""
-    spans, bare = [], b""
+class _Operand(NamedTuple):
+    start: int
+    end: int
+    quoted: bool
+
+
+def _operands(data: bytes, at: int) -> tuple[list[_Operand], int]:
+    """Operands of the expression at ``at``: literals (inside their quotes) and
+    bare words, joined by ``+``; a literal may also follow without one. With
+    the end offset of the first operand, or of the literals that ``+`` joins to
+    a first literal: what comes later is read again for pairs of its own."""
+    out: list[_Operand] = []
+    plus, plain, stop = True, True, at
     while True:
         while at < len(data) and data[at] in b" \t":
             at += 1
         if m := _QUOTED.match(data, at):
             g = m.lastindex
-            spans.append((m.start(g), m.end(g)))
+            out.append(_Operand(m.start(g), m.end(g), True))
             at = m.end()
-        elif not spans and (m := _BARE.match(data, at)):
-            return [(m.start(), m.end())], m.group(), m.end()  # a bare word may name a constant
+        elif plus and (m := _BARE.match(data, at)) and (word := m.group().rstrip(b"+") if _QUOTED.match(data, m.end()) else m.group()):
+            out.append(_Operand(at, at + len(word), False))  # a bare word may name a constant
+            at += len(word)
         else:
-            return spans, bare, at
-        nxt = at
-        while nxt < len(data) and data[nxt] in b" \t":
-            nxt += 1
-        if nxt < len(data) and data[nxt] == 0x2B:  # "a" + "b"
-            at = nxt + 1
-        else:
-            return spans, bare, at
+            return out, stop
+        if plain and (len(out) == 1 or plus and out[-1].quoted):
+            stop = at
+        plain = plain and plus and out[-1].quoted
+        while at < len(data) and data[at] in b" \t":
+            at += 1
+        plus = at < len(data) and data[at] == 0x2B
+        if plus:
+            at += 1
 
 
 def name_score(name: bytes) -> float:
@@ -124,20 +137,40 @@ def name_score(name: bytes) -> float:
     return sum(NAME_WEIGHTS.get(p, 0.0) for p in joined)
 
 
-def literal_score(value: bytes) -> float:
-    """Length, character classes and entropy speak for a secret; prose,
-    placeholders and templates against it."""
-    if len(value) < 6 or _PLACEHOLDER.match(value) or b" " in value or value[:1] in b"<{$":
+def literal_score(value: bytes, name: bytes = b"") -> float:
+    """Length, character classes and entropy speak for a secret; placeholders
+    and templates against it, and so does prose, unless the name says that
+    the value may be a phrase."""
+    if len(value) < 6 or _PLACEHOLDER.match(value) or value[:1] in b"<{$":
+        return -10.0
+    if b" " in value and not _PHRASE.search(name):
         return -10.0
     n = len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum(bool(re.search(p, value)) for p in (rb"[a-z]", rb"[A-Z]", rb"[0-9]", rb"[^A-Za-z0-9]"))
-    return 0.5 * (classes - 1) + 0.5 * max(0.0, entropy - 2.0) + (0.5 if n >= 12 else 0.0)
+    classes = sum(bool(re.search(p, value)) for p in (rb"[a-z]", rb"[A-Z]", rb"[0-9]", rb"[^A-Za-z0-9 ]"))
+    return 0.5 * (max(classes, 1) - 1) + 0.5 * max(0.0, entropy - 2.0) + (0.5 if n >= 12 else 0.0)
+
+
+class _Constant:
+    """What a name holds: its value and, as a graph that other constants may
+    share, the spans of the literals it is made of."""
+
+    def __init__(self, spans: list[tuple[int, int]], parts: list["_Constant"], value: bytes):
+        self.spans, self.parts, self.value, self.found = spans, parts, value, False
+
+    def report(self, found: set[tuple[int, int]]) -> None:
+        todo = [self]
+        while todo:
+            one = todo.pop()
+            if not one.found:
+                one.found = True
+                found.update(one.spans)
+                todo += one.parts
 
 
 def lexed_spans(data: bytes) -> list[tuple[int, int]]:
     """Byte spans of literals that reach a sensitive name."""
-    constants: dict[bytes, tuple[list[tuple[int, int]], bytes]] = {}
+    constants: dict[bytes, _Constant] = {}
     found = set()
     end = 0
     for m in _OPERATOR.finditer(data):
@@ -150,18 +183,31 @@ def lexed_spans(data: bytes) -> list[tuple[int, int]]:
         after = m.end()
         while after < len(data) and data[after] in b"=:>~":
             after += 1
-        spans, bare, stop = _operands(data, after)
-        if not spans:
+        operands, stop = _operands(data, after)
+        if not operands:
             continue
-        if bare and _IDENT.match(bare) and bare in constants:
-            spans, value = constants[bare]
-        else:
-            value = b"".join(data[a:b] for a, b in spans)
-            end = stop
-        constants[name] = (spans, value)
+        end = stop
+        spans, parts, pieces, words = [], [], [], []
+        for s, e, quoted in operands:
+            piece = data[s:e]
+            if quoted:
+                spans.append((s, e))
+            elif _IDENT.match(piece) and piece in constants:
+                parts.append(constants[piece])
+                piece = constants[piece].value
+            else:
+                words.append(_Constant([(s, e)], [], piece))  # no known name: a literal of its own
+                continue
+            pieces.append(piece)
+        if pieces:
+            value = b"".join(pieces)
+            # values built from names may double with each line: their start speaks for them
+            words.append(_Constant(spans, parts, value[:_BUILT] if parts and len(pieces) > 1 else value))
+        constants[name] = words[-1]
         score = name_score(name)
-        if score > 0 and score + literal_score(value) >= SCORE_NEEDED:
-            found.update(spans)
+        for one in words if score > 0 else ():
+            if score + literal_score(one.value, name) >= SCORE_NEEDED:
+                one.report(found)
     return sorted(found)
 
 

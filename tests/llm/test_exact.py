@@ -173,6 +173,34 @@ def test_secret_lexer_follows_constants():
     assert secrets.redact_text(None) is None and secrets.redact_text("") == ""
 
 
+def lexed(text):
+    return [text[s.start:s.end] for s in secrets.scan_text(text) if s.kind == "lexed"]
+
+
+def test_secret_lexer_joins_names_and_adjacent_literals():
+    assert lexed('api_secret = prefix + "q8Jd72hsKKd0Zx81"') == ["q8Jd72hsKKd0Zx81"]
+    assert lexed('api_secret = prefix+"q8Jd72hsKKd0Zx81"') == ["q8Jd72hsKKd0Zx81"]
+    assert lexed("p = 'Zx81-kkQ9'\nauth_token = p + '-vv20-TTea'") == ["Zx81-kkQ9", "-vv20-TTea"]
+    assert lexed("p = 'TTea'\nauth_token = 'Zx81-kkQ9-' + p") == ["TTea", "Zx81-kkQ9-"]
+    assert lexed("auth_token = 'Zx81-' 'kkQ9-' 'vv20'") == ["Zx81-", "kkQ9-", "vv20"]
+    assert lexed("auth_token = f'Zx81-kkQ9-vv20'") == ["Zx81-kkQ9-vv20"]
+    # what stood alone before, and pairs inside a literal that follows, are still found
+    assert lexed("clientCredential: q8Jd72hsKKd0 'note'") == ["q8Jd72hsKKd0"]
+    assert lexed("note: see 'clientCredential = Zx81-kkQ9-vv20'") == ["Zx81-kkQ9-vv20"]
+
+
+def test_secret_lexer_scores_phrases():
+    assert lexed('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
+    assert lexed('{"db_password": "p@ss w0rd"}') == ["p@ss w0rd"]
+    assert lexed('auth_token = "correct horse battery staple"') == []
+
+
+def test_secret_lexer_bounds_built_values():
+    assert lexed("a = 'Zx81-kkQ9'\n" + "a = a + a\n" * 300 + "auth_token = a") == ["Zx81-kkQ9"]
+    steps = "".join(f"a = a + 'k{i}'\n" for i in range(3000))
+    assert len(lexed("a = 'Zx81-kkQ9'\n" + steps + "auth_token = a\nauth_token = a")) == 3001
+
+
 def test_redact_keeps_rows_and_columns(messy, texts, nothing):
     out = secrets.redact(messy)
     assert out.columns == messy.columns and out.count() == len(texts)
