@@ -103,17 +103,22 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, work: Workspace, window: i
     work.drop("round-0")
     marks = [marked]
 
-    # the stretches of what is left, fetched from each text once
-    wanted = left.groupBy("doc").agg(F.collect_list(F.struct("rank", "at", "lo", "hi", "tail")).alias("rows"))
+    # the stretches of what is left, each fetched once from a text; equal rows
+    # are one doc: their witnesses are one stretch, and a task that meets several
+    # of them in turn (the join sorts by doc) reads the first
+    wanted = left.groupBy("doc").agg(F.collect_set(F.struct("rank", "at", "lo", "hi", "tail")).alias("rows"))
     fetch_from = texts.join(wanted, "doc").select("doc", "text", "rows")
 
     def fetch(batches: Iterator[pa.RecordBatch]):
+        before = None
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 out = [[] for _ in range(7)]
                 part = batch.slice(start, 256)
                 for doc, text, own in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    stretch = cut(text)
+                    if doc == before:
+                        continue
+                    before, stretch = doc, cut(text)
                     for w in own:
                         row = (doc, w["rank"], w["at"], w["lo"], w["hi"], w["tail"],
                                stretch(w["at"] - w["hi"], w["at"] - w["lo"] + window))

@@ -51,6 +51,39 @@ def test_word_window_dedup_of_nothing(nothing, work):
     assert recompress.remove_repeats(recompress.repeated_words(nothing, work)).count() == 0
 
 
+@pytest.mark.parametrize("operator", ["bytes", "words"])
+def test_equal_rows_fetch_their_stretches_once(spark, operator):
+    """Equal rows (null ids, one text) whose passage has other surroundings
+    elsewhere: contexts grow with the rows, not with their square."""
+    from basketry.llm.common import Workspace
+
+    class Counting(Workspace):
+        copies = 0
+
+        def save(self, df, name, partition_by=()):
+            out = super().save(df, name, partition_by)
+            if name == "contexts":
+                self.copies = out.groupBy("doc", "at", "lo", "hi").count().agg(F.max("count")).first()[0]
+            return out
+
+    def words(tag, n):
+        return " ".join(f"{tag}{k * 7919 % 1009}" for k in range(n))
+
+    passage, n = words("p", 120), 30
+    text = words("a", 40) + " " + passage + " " + words("b", 40)
+    rows = [(None, text, "s")] * n + [(i, f"{words(f'c{i}', 40)} {passage} {words(f'd{i}', 40)}", "s") for i in range(3)]
+    work = Counting(spark, "equal")
+    if operator == "bytes":
+        found = suffix.remove_repeats(suffix.repeated_bytes(frame(spark, rows), work)).withColumn("sha", F.sha2("kept", 256))
+        got, want = rows_of(found, "doc_id", "n_bytes", "n_removed", "n_spans", "sha"), brute.substring_dedup(rows)
+    else:
+        found = recompress.remove_repeats(recompress.repeated_words(frame(spark, rows), work)).withColumn(
+            "sha", F.sha2(F.col("kept").cast("binary"), 256))
+        got, want = rows_of(found, "doc_id", "n_words", "n_removed", "sha"), brute.word_window_dedup(rows)
+    assert got == ordered(want)
+    assert 1 <= work.copies <= n
+
+
 def test_recompression_is_consistent():
     """Equal stretches get equal symbols where their settling stretch is inside."""
     rng = np.random.default_rng(3)
