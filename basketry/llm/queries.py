@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, minhash, mixing, quality, recompress, secrets, simhash, suffix, tokenfile, toxicity
+from basketry.llm import (bpe, chat, fim, minhash, mixing, quality, recompress, secrets, simhash, suffix, tokenfile, toxicity,
+                          trie)
 from basketry.llm.common import Workspace, documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -107,3 +108,29 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = recompress.repeated_words(documents(spark, sf_dir), Workspace(spark, "op10"))
     return recompress.remove_repeats(found).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op11_prefix_trie")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations."""
+    return trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), Workspace(spark, "op11"))
+
+
+@register("op12_chat_format")
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back from its format."""
+    work = Workspace(spark, "op12")
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    messages = work.save(chat.as_messages(turns.unionByName(chat.probe(spark))), "messages")
+    formatted = work.save(chat.format_paths(messages, work), "formatted")
+    work.drop("messages", "paths-0")
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chat.read_back(formatted).select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length("masked").cast("long").alias("loss_chars"), F.sha2(F.col("masked").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+
+
+@register("op13_fill_in_middle")
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle example of every document, and its text rebuilt."""
+    return fim.restored(fim.examples(documents(spark, sf_dir)))
