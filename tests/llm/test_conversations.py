@@ -40,9 +40,9 @@ def messy_turns():
         add(c, rnd.randint(0, 4), base[:rnd.randint(1, 30)])
     for c in range(60, 75):
         add(c, 0, base[:7])
-    long = add(80, 2600)
-    add(81, 1, long[:2600])
-    add(83, 0, long[:1500])
+    long = add(80, 560)
+    add(81, 1, long[:560])
+    add(83, 0, long[:530])
     rows += [(91, 0, "user", "one"), (92, None, None, None), (92, 5, "user", "two"), (93, 1, None, "x"), (94, -3, "assistant", None)]
     rows += [(96, 7, "user", "same")] * 3 + [(-7, 0, "user", "below"), (-6, 0, "user", "zero"), (7_000_000_001, 0, "user", "far")]
     return rows
