@@ -49,6 +49,15 @@ def bucket_key(df: DataFrame, col: str) -> Column:
     return c.cast("double")
 
 
+def edges_below(edges: Column, key: Column, at_most: int) -> Column:
+    """How many of the (sorted, at most ``at_most``) edges are below ``key``, by
+    halving steps: a row looks at about log2 of the edges."""
+    steps = [1 << i for i in reversed(range(max(1, at_most.bit_length())))]
+    n = F.size(edges)
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0),
+                       lambda at, step: F.when((at + step <= n) & (F.try_element_at(edges, F.least(at + step, n)) < key), at + step).otherwise(at))
+
+
 def prefix_sum(df: DataFrame, by: str, values, tiebreak=(), descending: bool = False,
                partition_by=(), inclusive: bool = True, buckets: int | None = None,
                prefix: str = "cum_") -> DataFrame:
@@ -77,8 +86,7 @@ def prefix_sum(df: DataFrame, by: str, values, tiebreak=(), descending: bool = F
         base = base.withColumn("_ps_edges", base.select(F.percentile_approx("_ps_key", probs, 10000)).scalar())
         edges_col = F.col("_ps_edges")
     bucket = F.when(F.col("_ps_key").isNull(), F.lit(buckets)).otherwise(
-        F.aggregate(F.coalesce(edges_col, F.array().cast("array<double>")), F.lit(0),
-                    lambda acc, e: acc + F.when(e < F.col("_ps_key"), 1).otherwise(0)))
+        edges_below(F.coalesce(edges_col, F.array().cast("array<double>")), F.col("_ps_key"), buckets))
     base = base.withColumn("_ps_bucket", bucket).drop("_ps_edges")
     own = F.col(f"`{by}`")
     order = [own.desc_nulls_last() if descending else own.asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in tiebreak]
@@ -114,16 +122,27 @@ def top_n_per_group(df: DataFrame, group, order: list, n: int, salt_buckets: int
 def rank_first(df: DataFrame, value: str, tiebreak: str, out: str = "rank") -> DataFrame:
     """1-based rank by (value, tiebreak) — pandas ``rank(method="first")``
     with an explicit tiebreak — skew-safe: rank = rows with a smaller value
-    (prefix sum over distinct-value counts) + position of the tiebreak inside
-    the row's own value (a prefix sum partitioned by value, bucketed on the
-    tiebreak, so a value holding a third of all rows is split into buckets).
-    NULL values get NULL."""
+    (prefix sum over distinct-value counts) + rows of the same value in earlier
+    buckets of the tiebreak + place inside the bucket. One set of tiebreak edges
+    serves all values, so a value holding a third of all rows is split into
+    buckets and a rare value costs nothing extra. NULL values get NULL."""
     d = df.filter(F.col(value).isNotNull())
-    counts = d.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
-    below = prefix_sum(counts, value, "_c", inclusive=False).select(value, F.col("cum__c").alias("_below"))
-    within = prefix_sum(d.withColumn("_one", F.lit(1)), tiebreak, "_one", partition_by=[value], inclusive=True)
-    ranked = within.join(below, value, "left").withColumn(out, F.col("_below") + F.col("cum__one")).drop("_one", "cum__one", "_below")
-    return ranked.unionByName(df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("long")))
+    buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = bucket_key(d, tiebreak)
+    edges = d.select(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], 10000)).scalar()
+    d = d.withColumn("_rf_edges", edges).withColumn("_rf_key", key).withColumn(
+        "_rf_bucket", F.when(F.col("_rf_key").isNull(), F.lit(buckets)).otherwise(
+            edges_below(F.coalesce("_rf_edges", F.array().cast("array<double>")), F.col("_rf_key"), buckets))).drop("_rf_edges", "_rf_key")
+    counts = d.groupBy(value, "_rf_bucket").agg(F.count(F.lit(1)).alias("_rf_n"))
+    earlier = Window.partitionBy(value).orderBy("_rf_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_rf_same", F.coalesce(F.sum("_rf_n").over(earlier), F.lit(0)))
+    per_value = counts.groupBy(value).agg(F.sum("_rf_n").alias("_rf_all"))
+    below = prefix_sum(per_value, value, "_rf_all", inclusive=False).select(value, F.col("cum__rf_all").alias("_rf_below"))
+    place = F.row_number().over(Window.partitionBy(value, "_rf_bucket").orderBy(F.col(f"`{tiebreak}`").asc_nulls_last()))
+    ranked = (d.withColumn("_rf_place", place).join(offsets.join(below, value).drop("_rf_n"), [value, "_rf_bucket"])
+              .withColumn(out, F.col("_rf_below") + F.col("_rf_same") + F.col("_rf_place"))
+              .drop("_rf_bucket", "_rf_place", "_rf_same", "_rf_below"))
+    return ranked.select(*df.columns, out).unionByName(df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("long")))
 
 
 def average_rank(df: DataFrame, value: str, partition_by=(), out: str = "rank") -> DataFrame:
@@ -234,6 +253,17 @@ def distinct_counts(df: DataFrame, cols) -> DataFrame:
             .agg(F.count("_v").alias("nunique")))
 
 
+def group_distinct_counts(df: DataFrame, keys, counted: dict[str, str]) -> DataFrame:
+    """Per group of ``keys`` the distinct non-null values of several columns
+    (``{new column: column}``): (group, column, value) rows combined map-side and
+    counted, whatever the number of columns."""
+    keys = _as_list(keys)
+    long = df.select(*[F.col(f"`{k}`") for k in keys], F.explode(F.array(*[
+        F.struct(F.lit(n).alias("_name"), F.col(f"`{c}`").cast("string").alias("_v")) for n, c in counted.items()])).alias("_r"))
+    pairs = long.select(*[F.col(f"`{k}`") for k in keys], "_r.*").groupBy(*keys, "_name", "_v").agg(F.lit(1).alias("_one"))
+    return pairs.groupBy(*keys).agg(*[F.count(F.when(F.col("_name") == n, F.col("_v"))).alias(n) for n in counted])
+
+
 def unpivot_numeric(df: DataFrame, ids, features, var: str = "feature", val: str = "value") -> DataFrame:
     """Long form (ids…, feature, value) with values cast to double."""
     ids = _as_list(ids)

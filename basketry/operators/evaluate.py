@@ -80,6 +80,23 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     return u.select(F.try_divide(F.col("u"), F.col("P") * F.col("N")).alias("roc_auc"))
 
 
+def ranking_metrics(df: DataFrame, label: str, score: str, group_by=()) -> DataFrame:
+    """Q04 + Q05 of every group at once (trials and folds of a search): rows,
+    positives, AP and ROC-AUC from one running sum over each group's distinct scores."""
+    keys = [group_by] if isinstance(group_by, str) else list(group_by)
+    d = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+    g = d.groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+    ps = prefix_sum(g, "score", ["pos", "neg"], descending=True, inclusive=True, partition_by=keys)
+    prec = F.try_divide(F.col("cum_pos") * 1.0, F.col("cum_pos") + F.col("cum_neg"))
+    n_pos, n_neg = F.sum("pos").cast("double"), F.sum("neg").cast("double")
+    # negatives at or above a score count as lost, half of those tied are given back
+    lost = F.sum(F.col("pos") * (F.col("cum_neg") - 0.5 * F.col("neg")))
+    return ps.groupBy(*keys).agg(F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum("pos").alias("n_positive"),
+                                 F.try_divide(F.sum(F.col("pos") * prec), n_pos).alias("pr_auc"),
+                                 (F.lit(1.0) - F.try_divide(lost, n_pos * n_neg)).alias("roc_auc"))
+
+
 def threshold_metrics(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
     """Q06: precision, recall, F1, balanced accuracy at a threshold; zero
     division → 0."""

@@ -128,14 +128,11 @@ def duplicate_columns(df: DataFrame, features: list[str], key: str) -> DataFrame
     groups: dict = {}
     for c in features:
         groups.setdefault(sig[c], []).append(c)
-    rows = []
-    for cols in groups.values():
-        keep = cols[0]
-        for other in cols[1:]:
-            diff = df.select(F.count_if(~F.col(f"`{keep}`").eqNullSafe(F.col(f"`{other}`")))).first()[0]
-            if diff == 0:
-                rows.append((other, keep))
-    return df.sparkSession.createDataFrame(rows, "feature string, duplicate_of string")
+    suspects = [(other, cols[0]) for cols in groups.values() for other in cols[1:]]
+    if suspects:
+        differ = df.agg(*[F.count_if(~F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))).alias(f"d{i}") for i, (a, b) in enumerate(suspects)]).first()
+        suspects = [pair for i, pair in enumerate(suspects) if differ[f"d{i}"] == 0]
+    return df.sparkSession.createDataFrame(suspects, "feature string, duplicate_of string")
 
 
 def redundancy_greedy(pairs: DataFrame, scores: DataFrame, threshold: float = 0.90, corr_col: str = "spearman") -> DataFrame:
@@ -193,81 +190,109 @@ def group_cap_selection(relations: DataFrame, group_col: str, cap: int, preselec
     return r.withColumn("selected", sel).withColumn("reason", reason)
 
 
-def rolling_wape(df: DataFrame, date_col: str, target: str, features: list[str], folds: DataFrame,
-                 alpha: float = 10.0) -> float:
-    """Mean WAPE of closed-form ridge over rolling-origin folds (N04 × P03)."""
-    from basketry.operators.models import ridge_closed_form
-    wapes = []
-    for f in folds.collect():
-        tr = df.filter(F.col(date_col) < F.lit(f["origin"]))
-        te = df.filter(F.col(date_col).between(F.lit(f["origin"]), F.lit(f["test_end"])))
-        cols = features or []
-        if cols:
-            m = ridge_closed_form(tr, cols, target, alpha)
-            p = m.predict(te.na.drop(subset=cols))
-        else:
-            mean = tr.select(F.avg(target)).first()[0]
-            p = te.withColumn("prediction", F.lit(mean))
-        r = p.agg(F.sum(F.abs(F.col("prediction") - F.col(target))).alias("e"), F.sum(F.abs(target)).alias("y")).first()
-        if r["y"]:
-            wapes.append(r["e"] / r["y"])
-    return sum(wapes) / len(wapes) if wapes else float("nan")
-
-
 def incremental_group_wrapper(df: DataFrame, date_col: str, target: str, groups: dict[str, list[str]],
-                              folds: DataFrame, min_gain: float = 0.001, base: list[str] | None = None) -> DataFrame:
+                              folds: DataFrame, min_gain: float = 0.001, base: list[str] | None = None,
+                              lookahead: int = 5) -> DataFrame:
     """Add feature groups in order; keep a group when it lowers the
-    rolling-origin WAPE by more than ``min_gain``."""
-    df = cut_lineage(df)
-    kept = list(base or [])
-    cur = rolling_wape(df, date_col, target, kept, folds)
-    rows = []
-    for name, cols in groups.items():
-        w = rolling_wape(df, date_col, target, kept + cols, folds)
-        gain = cur - w
+    rolling-origin WAPE by more than ``min_gain``. Fits come from one Gram table,
+    on the rows that have all features; a scan scores what the next ``lookahead``
+    groups can lead to, whichever of them are kept."""
+    from basketry.operators.batchfit import SubsetTrials
+    names, kept = list(groups), list(base or [])
+    trials = SubsetTrials(cut_lineage(df), date_col, target, kept + [c for cols in groups.values() for c in cols], folds)
+    known, rows, taken = trials.wape({"": kept}), [], ""
+    cur = known[""]
+    for i, name in enumerate(names):
+        key = f"{taken}|{i}"
+        if key not in known:
+            known |= trials.wape(_continuations(groups, names, i, taken, kept, lookahead))
+        gain = cur - known[key]
         keep = gain > min_gain
-        rows.append((name, float(cur), float(w), float(gain), bool(keep)))
+        rows.append((name, float(cur), float(known[key]), float(gain), bool(keep)))
         if keep:
-            kept += cols
-            cur = w
+            kept, cur, taken = kept + groups[name], known[key], key
     return df.sparkSession.createDataFrame(rows, "feature_group string, wape_before double, wape_with double, gain double, kept boolean")
 
 
+def _continuations(groups, names, start, taken, kept, lookahead) -> dict[str, list[str]]:
+    """Feature subsets that the next groups can lead to, named by the groups taken."""
+    states, out = [(taken, kept)], {}
+    for i in range(start, min(len(names), start + lookahead)):
+        more = [(f"{t}|{i}", k + groups[names[i]]) for t, k in states]
+        out |= dict(more)
+        states += more
+    return out
+
+
 def family_wrapper(df: DataFrame, date_col: str, target: str, base: list[str], families: dict[str, list[str]],
                    folds: DataFrame, min_gain: float = 0.0005) -> DataFrame:
-    """Baseline + one family at a time; keep families with gain above
-    ``min_gain``."""
-    df = cut_lineage(df)
-    b = rolling_wape(df, date_col, target, base, folds)
-    rows = []
-    for name, cols in families.items():
-        w = rolling_wape(df, date_col, target, base + cols, folds)
-        rows.append((name, float(b), float(w), float(b - w), bool(b - w > min_gain)))
+    """Baseline + one family at a time, all scored in one scan; keep
+    families with gain above ``min_gain``."""
+    from basketry.operators.batchfit import SubsetTrials
+    trials = SubsetTrials(cut_lineage(df), date_col, target, base + [c for cols in families.values() for c in cols], folds)
+    found = trials.wape({"base": base} | {f"+{n}": base + cols for n, cols in families.items()})
+    b = found["base"]
+    rows = [(n, float(b), float(found[f"+{n}"]), float(b - found[f"+{n}"]), bool(b - found[f"+{n}"] > min_gain)) for n in families]
     return df.sparkSession.createDataFrame(rows, "family string, baseline_wape double, wape_with double, gain double, kept boolean")
 
 
-def dual_model_wrapper(folds, base: list[str], candidates: list[str], label: str) -> DataFrame:
-    """Per candidate feature and fold, PR-AUC and ROC-AUC deltas of two
-    models (logistic, boosted trees) against the baseline feature set;
-    ``consistent_harm`` = both models, every fold negative, mean ≤ −0.001."""
-    from basketry.operators.evaluate import average_precision, roc_auc
-    from basketry.operators.models import assemble, gbt_classifier, logistic_regression, positive_probability
-    fitters = {"logistic": lambda d, f: logistic_regression(d, f, label, maxIter=50),
-               "gbt": lambda d, f: gbt_classifier(d, f, label, maxIter=10, maxDepth=3)}
-    rows = []
-    for fold, tr, va in folds:
-        for mname, fit in fitters.items():
-            def score(feats):
-                p = positive_probability(fit(tr, feats).transform(assemble(va, feats)))
-                return average_precision(p, label, "probability_1").first()[0], roc_auc(p, label, "probability_1").first()[0]
-            b_ap, b_roc = score(base)
-            for c in candidates:
-                ap, roc = score(base + [c])
-                rows.append((c, mname, int(fold), float(ap - b_ap), float(roc - b_roc)))
+def dual_model_wrapper(folds, base: list[str], candidates: list[str], label: str, weight: str | None = None,
+                       max_parallel: int = 4) -> DataFrame:
+    """Per model (logistic, boosted trees), candidate and fold the PR-AUC and
+    ROC-AUC of the baseline features and of the baseline with the candidate.
+    ``folds`` are ``(fold, train, validation)`` with all features and the weight.
+    All logistic fits are made together, the boosted ones ``max_parallel`` at a time."""
+    from basketry.operators.batchfit import batch_logistic, batch_scores, long_folds, run_trials
+    from basketry.operators.evaluate import ranking_metrics
+    from basketry.operators.models import assemble, gbt_classifier, positive_probability
+    columns = list(dict.fromkeys([*base, *candidates]))
+    sets = [base] + [list(dict.fromkeys([*base, c])) for c in candidates]
+    prepared = [(fold, train, valid, columns) for fold, train, valid, *_ in folds]
+    rows, by_fold = long_folds(prepared, label, weight)
+    valid, _ = long_folds(prepared, label, None, role="validation")
+    fits = batch_logistic(rows, by_fold, [{"features": s} for s in sets])
+    scored = ranking_metrics(batch_scores(valid, fits), "label", "score", ["candidate", "fold"])
+    found = {("logistic", r["candidate"], r["fold"]): (r["pr_auc"], r["roc_auc"]) for r in scored.collect()}
+
+    def boosted(features, train, valid):
+        def run():
+            model = gbt_classifier(train, features, label, weight, maxIter=10, maxDepth=3)
+            r = ranking_metrics(positive_probability(model.transform(assemble(valid, features))), label, "probability_1").first()
+            return r["pr_auc"], r["roc_auc"]
+        return run
+
     spark = folds[0][1].sparkSession
-    d = spark.createDataFrame(rows, "feature string, model string, fold int, pr_auc_delta double, roc_auc_delta double")
-    s = d.groupBy("feature").agg(F.avg("pr_auc_delta").alias("mean_pr_auc_delta"), F.max("pr_auc_delta").alias("_mx"))
-    return s.withColumn("consistent_harm", (F.col("_mx") < 0) & (F.col("mean_pr_auc_delta") <= -0.001)).drop("_mx")
+    found |= run_trials(spark, {("gbt", i, int(fold)): boosted(s, train, valid) for i, s in enumerate(sets) for fold, train, valid, _ in prepared}, max_parallel)
+    out = []
+    for model in ("logistic", "gbt"):
+        for i, c in enumerate(candidates, start=1):
+            for fold, *_ in prepared:
+                (ap, roc), (ap0, roc0) = found[model, i, int(fold)], found[model, 0, int(fold)]
+                out.append((model, c, int(fold), ap, ap0, ap - ap0, roc, roc0, roc - roc0))
+    return spark.createDataFrame(out, "model string, feature string, fold int, pr_auc double, baseline_pr_auc double, delta_pr_auc double, "
+                                      "roc_auc double, baseline_roc_auc double, delta_roc_auc double")
+
+
+def wrapper_summary(deltas: DataFrame, max_mean_delta: float = -0.001) -> DataFrame:
+    """L12 per model and feature: mean, least and greatest PR-AUC delta, folds that
+    lose, the same for ROC-AUC. A model finds consistent harm when its mean delta is at
+    most ``max_mean_delta`` and every fold loses."""
+    d = F.col("delta_pr_auc")
+    s = deltas.groupBy("model", "feature").agg(
+        F.count(F.lit(1)).alias("n_folds"), F.avg(d).alias("mean_delta_pr_auc"), F.count_if(d < 0).alias("negative_pr_folds"),
+        F.min(d).alias("min_delta_pr_auc"), F.max(d).alias("max_delta_pr_auc"), F.avg("delta_roc_auc").alias("mean_delta_roc_auc"),
+        F.count_if(F.col("delta_roc_auc") < 0).alias("negative_roc_folds"))
+    return s.withColumn("model_consistent_harm", (F.col("mean_delta_pr_auc") <= max_mean_delta) & (F.col("negative_pr_folds") == F.col("n_folds")))
+
+
+def wrapper_consensus(summary: DataFrame, models=("logistic", "gbt")) -> DataFrame:
+    """L12 decision per feature: dropped only if every model by itself finds
+    consistent harm (a model without a row finds none)."""
+    harm = [F.coalesce(F.bool_or(F.when(F.col("model") == m, F.col("model_consistent_harm"))), F.lit(False)).alias(f"{m}_harm") for m in models]
+    out = summary.groupBy("feature").agg(*harm)
+    both = reduce(lambda a, b: a & b, [F.col(f"{m}_harm") for m in models])
+    return out.withColumn("consistent_harm_consensus", both).withColumn(
+        "decision", F.when(F.col("consistent_harm_consensus"), "DROP_CONSISTENT_HARM").otherwise("KEEP_OR_WATCH"))
 
 
 def selection_report(candidates: DataFrame, stages: dict[str, DataFrame], feature: str = "feature") -> DataFrame:
@@ -334,21 +359,25 @@ def feature_score_table(base: DataFrame, tables: list[DataFrame], feature: str =
 
 def forward_group_selection(df: DataFrame, date_col: str, target: str, groups: dict[str, list[str]],
                             folds: DataFrame, base: list[str] | None = None, min_gain: float = 0.0) -> DataFrame:
-    """Greedy forward selection — at each step try every remaining
-    group, keep the best mean-WAPE gain, stop when nothing gains."""
-    df = cut_lineage(df)
+    """Greedy forward selection - at each step every remaining group is
+    tried (all in one scan, fits from one Gram table), the best mean-WAPE gain is
+    kept, and it stops when nothing gains."""
+    from basketry.operators.batchfit import SubsetTrials
     kept, remaining, step, rows = list(base or []), dict(groups), 0, []
-    cur = rolling_wape(df, date_col, target, kept, folds)
+    trials = SubsetTrials(cut_lineage(df), date_col, target, kept + [c for cols in groups.values() for c in cols], folds)
+    cur = None
     while remaining:
         step += 1
-        trials = {g: rolling_wape(df, date_col, target, kept + cols, folds) for g, cols in remaining.items()}
-        best = min(trials, key=lambda g: (trials[g], g))
-        gain = cur - trials[best]
-        rows.append((step, best, float(cur), float(trials[best]), float(gain), bool(gain > min_gain)))
-        if gain <= min_gain:
+        tried = trials.wape(({} if cur is not None else {"": kept}) | {f"+{g}": kept + cols for g, cols in remaining.items()})
+        cur = tried.pop("") if cur is None else cur
+        best = min(remaining, key=lambda g: (tried[f"+{g}"], g))
+        after = tried[f"+{best}"]
+        gain = cur - after
+        rows.append((step, best, float(cur), float(after), float(gain), bool(gain > min_gain)))
+        if not gain > min_gain:
             break
         kept += remaining.pop(best)
-        cur = trials[best]
+        cur = after
     return df.sparkSession.createDataFrame(rows, "step int, feature_group string, wape_before double, wape_after double, gain double, accepted boolean")
 
 

@@ -5,7 +5,8 @@
   solved on the driver. Predictions are a column expression (no UDF).
 * Trees and logistic regression are MLlib estimators (distributed fits).
 * Temporal search: every (parameter set, fold) fit is an independent Spark
-  job; fold frames are checkpointed once and reused by every trial.
+  job, a bounded number of them at a time; logistic candidates are fitted
+  together; fold frames are checkpointed once and reused by every trial.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import random
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.session import cut_lineage
@@ -90,6 +91,78 @@ def gbt_regressor(df: DataFrame, features: list[str], label: str, valid_col: str
     return est.fit(assemble(df, features))
 
 
+@dataclass
+class StoppedFit:
+    """A boosted fit whose number of trees was chosen on held-out days."""
+    model: object
+    features: list[str]
+    best_trees: int
+    curve: list[float]
+    n_core: int
+    n_eval: int
+
+
+def gbt_early_stopping(train: DataFrame, date_col: str, features: list[str], label: str, tail: float = 0.15,
+                       patience: int = 50, max_trees: int = 100, **params) -> StoppedFit:
+    """Fit on the first days, take the error after every tree on the last
+    ``tail`` of the training days, keep the number of trees before the first
+    ``patience`` trees without a gain, and refit all training rows with it.
+    ``evaluateEachIteration`` gives the mean absolute error, which is WAPE up to the
+    constant mean of the held-out values."""
+    from basketry.operators.splits import positional_cutoff_split
+    marked = cut_lineage(positional_cutoff_split(train, date_col, (1.0 - tail, 1.0), out="_part"))
+    core, held = marked.filter("_part = 'train'"), marked.filter("_part <> 'train'")
+    n_core, n_eval = core.count(), held.count()
+    curve = []
+    if n_core and n_eval:
+        full = gbt_regressor(core, features, label, maxIter=max_trees, **params)
+        curve = list(full.evaluateEachIteration(assemble(held, features), "absolute"))
+    best = best_iteration(curve, patience) if curve else max_trees  # too few days to hold any out
+    return StoppedFit(gbt_regressor(marked, features, label, maxIter=best, **params), features, best, curve, n_core, n_eval)
+
+
+def best_iteration(curve: list[float], patience: int) -> int:
+    """1-based place of the least value before ``patience`` rounds without a new one."""
+    best = 0
+    for i, value in enumerate(curve):
+        if value < curve[best]:
+            best = i
+        if i - best >= patience:
+            break
+    return best + 1
+
+
+def forecast_candidates(train: DataFrame, valid: DataFrame, date_col: str, label: str, candidates: dict[str, dict],
+                        max_parallel: int = 4) -> DataFrame:
+    """P05 + P12: every configuration (``features``, ``early_stopping`` and fit
+    parameters) fitted, with early stopping where it says so, and scored on
+    ``valid``. One row per candidate: trees, evaluation rows, WAPE and Sunday WAPE."""
+    from basketry.operators.batchfit import run_trials
+    spark = train.sparkSession
+
+    def trial(spec):
+        params = {k: v for k, v in spec.items() if k not in ("features", "early_stopping", "max_trees", "patience")}
+
+        def run():
+            if spec.get("early_stopping"):
+                fit = gbt_early_stopping(train, date_col, spec["features"], label, max_trees=spec["max_trees"],
+                                         patience=spec.get("patience", 50), **params)
+                model, n_eval, stopped = fit.model, fit.n_eval, fit.best_trees
+            else:
+                model, n_eval, stopped = gbt_regressor(train, spec["features"], label, maxIter=spec["max_trees"], **params), 0, spec["max_trees"]
+            e, y = F.abs(F.col("prediction") - F.col(label)), F.abs(F.col(label))
+            sunday = F.weekday(date_col) == 6
+            r = model.transform(assemble(valid, spec["features"])).agg(
+                F.count(F.lit(1)).alias("n"), F.try_divide(F.sum(e), F.sum(y)).alias("wape"),
+                F.try_divide(F.sum(F.when(sunday, e)), F.sum(F.when(sunday, y))).alias("sunday_wape")).first()
+            return stopped, model.getNumTrees, n_eval, r["n"], r["wape"], r["sunday_wape"]
+        return run
+
+    done = run_trials(spark, {name: trial(spec) for name, spec in candidates.items()}, max_parallel)
+    return spark.createDataFrame([(name, *done[name]) for name in candidates],
+                                 "candidate string, chosen_trees int, model_trees int, n_eval long, n_valid long, wape double, sunday_wape double")
+
+
 def logistic_regression(df: DataFrame, features: list[str], label: str, weight: str | None = None, **params):
     """(class-weighted) logistic regression."""
     from pyspark.ml.classification import LogisticRegression
@@ -170,20 +243,41 @@ def prepared_folds(df: DataFrame, folds: DataFrame, date_col: str, make_preproce
     return out
 
 
-def temporal_search(folds, label: str, model: str, candidates: list[dict], weight: str | None = None) -> DataFrame:
+def _batchable(model: str, candidates: list[dict]) -> bool:
+    """Logistic candidates that differ in their ridge penalty only."""
+    return model == "logistic" and all(set(c) <= {"regParam", "maxIter", "tol", "elasticNetParam"} and not c.get("elasticNetParam") for c in candidates)
+
+
+def temporal_search(folds, label: str, model: str, candidates: list[dict], weight: str | None = None, max_parallel: int = 4) -> DataFrame:
     """Every candidate on every prepared fold; metric = tie-aware
-    average precision of the validation scores. Returns one row per
-    (candidate, fold) — small, built on the driver from per-fit Spark
-    results; ``params`` is JSON."""
-    from basketry.operators.evaluate import average_precision
-    rows = []
-    for ci, params in enumerate(candidates):
-        for fold, tr, va, features in folds:
-            m = FITTERS[model](tr, features, label, weight, **params)
-            p = positive_probability(m.transform(assemble(va, features)))
-            ap = average_precision(p, label, "probability_1").first()[0]
-            rows.append((model, ci, json.dumps(params, sort_keys=True), int(fold), float(ap) if ap is not None else None))
+    average precision of the validation scores. One row per (candidate, fold);
+    ``params`` is JSON. Ridge-penalised logistic candidates are fitted together
+    (one scan per Newton step) and scored in one pass; other fits are jobs of their
+    own, ``max_parallel`` at a time."""
+    from basketry.operators.batchfit import batch_logistic, batch_scores, long_folds, run_trials
+    from basketry.operators.evaluate import ranking_metrics
     spark = folds[0][1].sparkSession
+    named = [json.dumps(c, sort_keys=True) for c in candidates]
+    found = {}
+    plain = [i for i, c in enumerate(candidates) if _batchable(model, [c])]
+    if plain:
+        rows, columns = long_folds(folds, label, weight)
+        valid, _ = long_folds(folds, label, None, role="validation")
+        fits = batch_logistic(rows, columns, [candidates[i] for i in plain])
+        metrics = ranking_metrics(batch_scores(valid, fits), "label", "score", ["candidate", "fold"])
+        found = {(plain[r["candidate"]], r["fold"]): r["pr_auc"] for r in metrics.collect()}  # one row per trial
+
+    def trial(params, train, valid, features):
+        def run():
+            m = FITTERS[model](train, features, label, weight, **params)
+            scored = positive_probability(m.transform(assemble(valid, features)))
+            return ranking_metrics(scored.filter(F.col(label).isNotNull()), label, "probability_1").first()["pr_auc"]
+        return run
+
+    rest = {(ci, int(fold)): trial(candidates[ci], tr, va, features) for ci in range(len(candidates)) if ci not in plain
+            for fold, tr, va, features in folds}
+    found |= run_trials(spark, rest, max_parallel)
+    rows = [(model, ci, named[ci], int(fold), found.get((ci, int(fold)))) for ci in range(len(candidates)) for fold, *_ in folds]
     return spark.createDataFrame(rows, "model string, candidate int, params string, fold int, pr_auc double")
 
 
@@ -213,10 +307,8 @@ def material_gain(new_wape: Column, ref_wape: Column, new_sunday: Column, ref_su
     return ((ref_wape - new_wape) >= min_gain) & (new_sunday <= ref_sunday)
 
 
-def feature_importance(model, features: list[str]) -> DataFrame:
+def feature_importance(spark: SparkSession, model, features: list[str]) -> DataFrame:
     """Tree importances or |coefficients| with share and rank."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
     if hasattr(model, "featureImportances"):
         vals = model.featureImportances.toArray().tolist()
         kind = "importance"
@@ -245,6 +337,12 @@ def seasonal_trend_forecast(history: DataFrame, date_col: str, value: str, futur
     return f.select(future_date, F.round(pred, 2).alias("forecast"))
 
 
+def constant_prior(train: DataFrame, label: str, df: DataFrame, out: str = "probability_1") -> DataFrame:
+    """P02 (classification): every row gets the train part's positive rate."""
+    rate = train.filter(F.col(label).isNotNull()).select(F.avg(F.col(label).cast("double"))).first()[0]
+    return df.withColumn(out, F.lit(rate))
+
+
 def naive_forecasts(df: DataFrame, date_col: str, y: str, train_end) -> DataFrame:
     """Train-mean, yesterday and same-weekday-last-week forecasts (the
     daily table is one row per day, so its window is small)."""

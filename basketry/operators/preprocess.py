@@ -12,15 +12,15 @@ state as parquet.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.operators.binning import train_fitted_edges, with_edges
 
-MAX_LEVELS = 1000  # guard for one-hot level lists brought to the driver
-
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
@@ -101,12 +101,45 @@ def apply_scaler(df: DataFrame, state, cols: list[str]) -> DataFrame:
     return df.withColumns({c: (_q(c).cast("double") - F.lit(row[f"{c}__mean"])) / F.lit(row[f"{c}__std"]) for c in cols})
 
 
+def fit_level_table(train: DataFrame, cols: list[str]) -> DataFrame:
+    """``column_name, level, level_id``: the train levels of every column
+    with ids from 0 in text order. A table: any number of levels, none on the driver."""
+    from basketry.functions.primitives import prefix_sum
+    from basketry.session import cut_lineage
+    long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), _q(c).cast("string").alias("level")) for c in cols])).alias("r"))
+    levels = long.select("r.*").filter(F.col("level").isNotNull()).distinct().withColumn("_one", F.lit(1).cast("long"))
+    ranked = prefix_sum(levels, "level", "_one", partition_by=["column_name"], inclusive=False)
+    return cut_lineage(ranked.select("column_name", "level", F.col("cum__one").cast("long").alias("level_id")))
+
+
+def level_counts(table: DataFrame) -> dict[str, int]:
+    """Levels per column (one number a column)."""
+    return {r["column_name"]: r["n"] for r in table.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def apply_level_vectors(df: DataFrame, cols: list[str], table: DataFrame, suffix: str = "_vec") -> DataFrame:
+    """A sparse 0/1 vector per column; unseen levels and NULL are all zeros.
+    Rows are joined to the level table by their text (a table of few levels is
+    broadcast at run time, one of many is shuffled and its hot levels split)."""
+    from pyspark.ml.feature import OneHotEncoder
+    counts = level_counts(table)
+    out = df
+    for c in cols:
+        n = counts.get(c, 0)
+        ids = table.filter(F.col("column_name") == c).select(F.col("level").alias("_level"), F.col("level_id").alias("_level_id"))
+        out = out.withColumn("_level", _q(c).cast("string")).join(ids, "_level", "left")
+        out = out.withColumn(f"{c}_id", F.coalesce("_level_id", F.lit(n)).cast("double")).drop("_level", "_level_id")
+        # the encoder only has to know how many levels there are; id n stands for "none of them"
+        sizes = df.sparkSession.range(1).select(F.lit(float(max(n, 1) - 1)).alias(f"{c}_id"))
+        encoder = OneHotEncoder(inputCol=f"{c}_id", outputCol=f"{c}{suffix}", handleInvalid="keep", dropLast=True).fit(sizes)
+        out = encoder.transform(out).drop(f"{c}_id")
+    return out
+
+
 def fit_levels(train: DataFrame, col: str) -> list:
-    """Sorted train categories (bounded list for column naming)."""
-    rows = train.filter(_q(col).isNotNull()).select(_q(col).cast("string").alias("v")).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{col}: more than {MAX_LEVELS} levels; hash or bucket it instead of one-hot")
-    return sorted(r["v"] for r in rows)
+    """Sorted train levels by name, for outputs that have a column per level
+    (their schema holds the names; ``apply_level_vectors`` needs no names)."""
+    return sorted(r["v"] for r in train.filter(_q(col).isNotNull()).select(_q(col).cast("string").alias("v")).distinct().collect())
 
 
 def apply_one_hot(df: DataFrame, col: str, levels: list, drop_source: bool = True) -> DataFrame:
@@ -160,7 +193,11 @@ def class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
 class Preprocessor:
     """Per column group: numeric → median impute + scale, binary →
     0-fill, categorical → mode impute + one-hot, quantile → train-fitted
-    bins + one-hot; other columns dropped. ``fit`` touches train only."""
+    bins + one-hot; other columns dropped. ``fit`` touches train only.
+
+    ``assemble`` gives one (sparse) vector a row and works from the level table,
+    whatever the number of levels; ``transform`` gives a column per level and so
+    needs their names."""
 
     numeric: list[str] = field(default_factory=list)
     binary: list[str] = field(default_factory=list)
@@ -169,6 +206,7 @@ class Preprocessor:
     n_bins: int = 4
     ddof: int = 0
     state: dict = field(default_factory=dict)
+    level_table: DataFrame | None = field(default=None, compare=False, repr=False)
 
     def fit(self, train: DataFrame) -> "Preprocessor":
         if self.numeric:
@@ -177,11 +215,20 @@ class Preprocessor:
             self.state["scale"] = _state_row(fit_scaler(apply_fill(train, med, self.numeric), self.numeric, self.ddof))
         if self.categorical:
             self.state["mode"] = _state_row(fit_mode(train, self.categorical))
-            self.state["levels"] = {c: fit_levels(train, c) for c in self.categorical}
+            self.level_table = fit_level_table(train, self.categorical)
         self.state["edges"] = {c: train_fitted_edges_values(train, c, self.n_bins) for c in self.quantile}
         return self
 
-    def transform(self, df: DataFrame, keep=()) -> DataFrame:
+    def levels(self, col: str) -> list[str]:
+        """Names of a column's levels, fetched when a wide output asks for them."""
+        known = self.state.setdefault("levels", {})
+        if col not in known:
+            rows = self.level_table.filter(F.col("column_name") == col).select("level").collect()
+            known[col] = sorted(r["level"] for r in rows)
+        return known[col]
+
+    def _filled(self, df: DataFrame) -> DataFrame:
+        """All steps but the one-hot of categorical columns."""
         out = df
         if self.numeric:
             out = apply_scaler(apply_fill(out, self.state["median"], self.numeric), self.state["scale"], self.numeric)
@@ -189,49 +236,101 @@ class Preprocessor:
             out = apply_constant(out, self.binary, 0)
         if self.categorical:
             out = apply_fill(out, self.state["mode"], self.categorical)
-            for c in self.categorical:
-                out = apply_one_hot(out, c, self.state["levels"][c])
         for c in self.quantile:
             edges = F.array(*[F.lit(float(e)) for e in self.state["edges"][c]])
             b = with_edges(out, edges, c, "_kb", right=False)
             out = b.withColumns({f"{c}_bin_{i}": F.coalesce((F.col("_kb") == i).cast("int"), F.lit(0))
                                  for i in range(self.n_bins)}).drop("_kb")
+        return out
+
+    def transform(self, df: DataFrame, keep=()) -> DataFrame:
+        out = self._filled(df)
+        for c in self.categorical:
+            out = apply_one_hot(out, c, self.levels(c))
         return out.select(*keep, *self.output_columns())
 
+    def _bins(self) -> list[str]:
+        return [f"{c}_bin_{i}" for c in self.quantile for i in range(self.n_bins)]
+
     def output_columns(self) -> list[str]:
-        cols = list(self.numeric) + list(self.binary)
-        for c in self.categorical:
-            cols += [f"{c}_{lv}" for lv in self.state["levels"][c]]
-        for c in self.quantile:
-            cols += [f"{c}_bin_{i}" for i in range(self.n_bins)]
-        return cols
+        one_hot = [f"{c}_{lv}" for c in self.categorical for lv in self.levels(c)]
+        return [*self.numeric, *self.binary, *one_hot, *self._bins()]
 
     def assemble(self, df: DataFrame, keep=(), out: str = "features") -> DataFrame:
         from pyspark.ml.feature import VectorAssembler
-        t = self.transform(df, keep)
-        return VectorAssembler(inputCols=self.output_columns(), outputCol=out, handleInvalid="keep").transform(t)
+        t = self._filled(df)
+        if self.categorical:
+            t = apply_level_vectors(t, self.categorical, self.level_table)
+        inputs = [*self.numeric, *self.binary, *[f"{c}_vec" for c in self.categorical], *self._bins()]
+        return VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep").transform(t).select(*keep, out)
 
     def save(self, spark: SparkSession, path: str):
-        """Persist fitted state (small frames) as parquet + level lists."""
+        """Persist the fitted state: numbers as one JSON row, levels as a table."""
         import json
         meta = {"numeric": self.numeric, "binary": self.binary, "categorical": self.categorical, "quantile": self.quantile,
-                "n_bins": self.n_bins, "ddof": self.ddof, "levels": self.state.get("levels", {}),
-                "median": self.state.get("median"), "scale": self.state.get("scale"), "mode": self.state.get("mode"),
-                "edges": self.state.get("edges")}
+                "n_bins": self.n_bins, "ddof": self.ddof, "median": self.state.get("median"), "scale": self.state.get("scale"),
+                "mode": self.state.get("mode"), "edges": self.state.get("edges")}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
+        if self.categorical:
+            self.level_table.write.mode("overwrite").parquet(f"{path}/levels")
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Preprocessor":
+        import json
+        meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
+        own = {k: meta[k] for k in ("numeric", "binary", "categorical", "quantile", "n_bins", "ddof")}
+        state = {k: meta[k] for k in ("median", "scale", "mode", "edges") if meta[k] is not None}
+        return cls(**own, state=state, level_table=spark.read.parquet(f"{path}/levels") if own["categorical"] else None)
 
-def pca_95(train: DataFrame, df: DataFrame, input_col: str = "features", var: float = 0.95):
-    """PCA on (scaled) train features, k = smallest count reaching
-    ``var`` explained variance; projects ``df``."""
-    from pyspark.ml.feature import PCA
-    n = len(train.select(input_col).first()[0])
-    full = PCA(k=n, inputCol=input_col, outputCol="_pca").fit(train)
-    cum, k = 0.0, n
-    for i, v in enumerate(full.explainedVariance.toArray(), start=1):
-        cum += v
-        if cum >= var:
-            k = i
-            break
-    model = PCA(k=k, inputCol=input_col, outputCol="pca_features").fit(train)
-    return model.transform(df), k
+
+@dataclass
+class PrincipalComponents:
+    """Centred projection onto the leading eigenvectors of the train covariance."""
+    columns: list[str]
+    mean: list[float]
+    components: list[list[float]]   # one row per component
+    explained: list[float]          # shares of the whole variance
+
+    def project(self, df: DataFrame, prefix: str = "pc") -> DataFrame:
+        out = {}
+        for i, row in enumerate(self.components, start=1):
+            terms = [(_q(c).cast("double") - F.lit(m)) * F.lit(v) for c, m, v in zip(self.columns, self.mean, row)]
+            out[f"{prefix}{i}"] = reduce(lambda a, b: a + b, terms)
+        return df.withColumns(out)
+
+
+def principal_components(train: DataFrame, columns: list[str], var: float = 0.95) -> PrincipalComponents:
+    """One scan sums products of the columns (rows with a NULL are left out),
+    the small covariance is decomposed once, and the fewest components that reach ``var``
+    of the variance are kept from that same result. The sign of a component is fixed: the
+    first of its greatest loadings is positive, so refits of equal data agree."""
+    from basketry.operators.batchfit import _matrix, task_sums
+    k = len(columns)
+    x = F.array(F.lit(1.0), *[_q(c).cast("double") for c in columns])
+    rows = train.na.drop(subset=columns).select(x.alias("x"))
+
+    def add(state, batch):
+        m = _matrix(batch.column(0))
+        state += m.T @ m
+
+    sums = task_sums(rows, lambda: np.zeros((k + 1, k + 1)), add, lambda s: {"": s})
+    if not sums:
+        raise ValueError("no train row has all columns")
+    m = sums[""].reshape(k + 1, k + 1)
+    n, mean = m[0, 0], m[0, 1:] / m[0, 0]
+    values, vectors = np.linalg.eigh(m[1:, 1:] / n - np.outer(mean, mean))
+    order = np.argsort(-values, kind="stable")
+    values, vectors = np.maximum(values[order], 0.0), vectors[:, order].T
+    share = values / values.sum() if values.sum() else np.full(k, 1.0 / k)
+    keep = min(k, int(np.searchsorted(np.cumsum(share), var - 1e-12)) + 1)
+    fixed = []
+    for row in vectors[:keep]:
+        lead = int(np.argmax(np.abs(row) >= np.abs(row).max() * (1 - 1e-9)))
+        fixed.append((row if row[lead] >= 0 else -row).tolist())
+    return PrincipalComponents(list(columns), mean.tolist(), fixed, share[:keep].tolist())
+
+
+def pca_95(train: DataFrame, df: DataFrame, columns: list[str], var: float = 0.95):
+    """``(df with pc1.., fitted components)``, fitted on (scaled) train columns."""
+    fitted = principal_components(train, columns, var)
+    return fitted.project(df), fitted

@@ -92,11 +92,13 @@ def missing_pattern(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def duplicate_report(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Duplicate rows (rows beyond the first) over the full row and
     over key columns. Struct comparison treats NULL = NULL like pandas."""
-    full = F.struct(*[_q(c) for c in df.columns])
-    aggs = [F.count(F.lit(1)).alias("n_rows"), (F.count(F.lit(1)) - F.count_distinct(full)).alias("duplicate_full_rows")]
-    if keys:
-        aggs.append((F.count(F.lit(1)) - F.count_distinct(F.struct(*[_q(k) for k in keys]))).alias("duplicate_key_rows"))
-    return df.agg(*aggs)
+    whole = df.groupBy(*[_q(c).alias(f"_{i}") for i, c in enumerate(df.columns)]).agg(F.count(F.lit(1)).alias("_n"))
+    if not keys:
+        return whole.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_full_rows"))
+    # rows are counted once per distinct row, distinct rows once per key: nothing is multiplied
+    per_key = whole.groupBy(*[f"_{df.columns.index(k)}" for k in keys]).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_full"))
+    return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("_n") - F.col("_full")), F.lit(0)).alias("duplicate_full_rows"),
+                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_key_rows"))
 
 
 def key_uniqueness(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
@@ -238,14 +240,11 @@ def categorical_summary(df: DataFrame, cols: list[str], top_n: int = 5) -> DataF
 
 def date_range_report(df: DataFrame, cols: list[str]) -> DataFrame:
     """C14: min, max, missing and unique dates per date column."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, c in enumerate(cols):
-        d = F.to_date(_q(c))
-        aggs += [F.min(d).alias(f"a{i}"), F.max(d).alias(f"b{i}"), F.count_if(d.isNull()).alias(f"m{i}"),
-                 F.count_distinct(d).alias(f"u{i}")]
-    rows = [{"column_name": F.lit(c), "min_date": F.col(f"a{i}"), "max_date": F.col(f"b{i}"), "missing": F.col(f"m{i}"),
-             "unique_dates": F.col(f"u{i}")} for i, c in enumerate(cols)]
-    return _explode_rows(df.agg(*aggs), rows)
+    days = df.select(*[F.to_date(_q(c)).alias(c) for c in cols])
+    aggs = [f(_q(c)).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("a", F.min), ("b", F.max), ("m", lambda x: F.count_if(x.isNull())))]
+    rows = [{"column_name": F.lit(c), "min_date": F.col(f"a{i}"), "max_date": F.col(f"b{i}"), "missing": F.col(f"m{i}")} for i, c in enumerate(cols)]
+    unique = distinct_counts(days, cols).select("column_name", F.col("nunique").alias("unique_dates"))
+    return _explode_rows(days.agg(*aggs), rows).join(unique, "column_name", "left").na.fill(0, subset=["unique_dates"])
 
 
 def numeric_value_check(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.expr import clip, slugify
-from basketry.functions.primitives import column_quantiles, group_quantiles, null_safe_join, with_group_quantiles
+from basketry.functions.primitives import column_quantiles, group_distinct_counts, group_quantiles, null_safe_join, with_group_quantiles
 
 
 def _k(x) -> list[str]:
@@ -70,10 +70,12 @@ def kpi_overview(lines: DataFrame, order_values: DataFrame, revenue: str, gross:
     """KPIs in long form (kpi, value): revenue, gross, units, orders,
     customers, products, AOV, median order value, revenue per customer,
     margin. ``order_values`` has one row per order."""
+    # distinct keys come from (column, value) counts: no line is multiplied inside the sums
+    keys = {"orders": order_col, "customers": customer_col, "products": product_col}
+    counts = group_distinct_counts(lines, [], keys).select(F.struct(*keys).alias("c")).scalar()
     a = lines.agg(F.sum(revenue).alias("revenue"), F.sum(gross).alias("gross"), F.sum(units).alias("units"),
-                  F.count_distinct(order_col).alias("orders"), F.count_distinct(customer_col).alias("customers"),
-                  F.count_distinct(product_col).alias("products"),
                   (F.sum(F.col(revenue) - F.col(cost)) if cost else F.lit(None)).alias("profit"))
+    a = a.withColumn("_c", counts).select("*", "_c.*")
     med = F.lit(column_quantiles(order_values, order_value, [0.5])[order_value][0]).cast("double")
     kpis = [("total_revenue", F.col("revenue")), ("total_gross", F.col("gross")),
             ("total_units", F.col("units")), ("n_orders", F.col("orders")),

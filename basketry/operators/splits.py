@@ -112,25 +112,32 @@ def rolling_origin(df: DataFrame, date_col: str, min_train_days: int = 3 * 365,
                     F.date_add("origin", test_days - 1).alias("test_end"))
 
 
+SPLITS = ("train", "validation", "test")
+
+
 def split_integrity(df: DataFrame, split_col: str, date_col: str, key: str) -> DataFrame:
-    """Per split pair key overlap (must be 0), date ordering
-    (max of earlier < min of later) and dense dates per split."""
-    order = {"train": 0, "validation": 1, "test": 2}
+    """Per split pair key overlap (must be 0), date ordering (max of
+    earlier < min of later) and dense dates per split. Every key carries one bit per
+    split it appears in; overlaps and date bounds come from that one aggregate."""
     s = df.groupBy(split_col).agg(F.min(date_col).alias("d_min"), F.max(date_col).alias("d_max"),
                                   F.count_distinct(date_col).alias("n_dates"))
     s = s.withColumn("dense", F.datediff("d_max", "d_min") + 1 == F.col("n_dates"))
-    names = list(order)
-    parts = []
-    for i, a in enumerate(names):
-        for b in names[i + 1:]:
-            ka = df.filter(F.col(split_col) == a).select(key)
-            kb = df.filter(F.col(split_col) == b).select(key)
-            ov = ka.intersect(kb).select(F.count(F.lit(1))).scalar()
-            amax = s.filter(F.col(split_col) == a).select(F.max("d_max")).scalar()
-            bmin = s.filter(F.col(split_col) == b).select(F.min("d_min")).scalar()
-            parts.append(df.sparkSession.range(1).select(
-                F.lit(f"{a}|{b}").alias("pair"), ov.alias("overlap_keys"), (amax < bmin).alias("ordered")))
-    return reduce(DataFrame.unionByName, parts), s
+    here = [F.col(split_col) == name for name in SPLITS]
+    bit = sum((F.when(c, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(here)), F.lit(0))
+    bounds = [f(F.when(c, F.col(date_col))).alias(f"{n}{i}") for i, c in enumerate(here) for n, f in (("a", F.min), ("z", F.max))]
+    per_key = df.groupBy(key).agg(F.bit_or(bit).alias("_bits"), *bounds)
+    known = F.col(key).isNotNull()
+
+    def both(i, j):
+        pair = (1 << i) | (1 << j)
+        return F.count_if(known & (F.col("_bits").bitwiseAND(F.lit(pair)) == pair))
+
+    pairs = [(i, j) for i in range(len(SPLITS)) for j in range(i + 1, len(SPLITS))]
+    one = per_key.agg(*[both(i, j).alias(f"n{i}{j}") for i, j in pairs],
+                      *[f(f"{n}{i}").alias(f"{n}{i}") for i in range(len(SPLITS)) for n, f in (("a", F.min), ("z", F.max))])
+    rows = [F.struct(F.lit(f"{SPLITS[i]}|{SPLITS[j]}").alias("pair"), F.col(f"n{i}{j}").alias("overlap_keys"),
+                     (F.col(f"z{i}") < F.col(f"a{j}")).alias("ordered")) for i, j in pairs]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*"), s
 
 
 def holdout_tail(df: DataFrame, date_col: str, fraction: float = 0.15, out: str = "is_holdout") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.calendar import calendar_columns
-from basketry.functions.primitives import prefix_sum
+from basketry.functions.primitives import prefix_sum, top_n_per_group
 
 
 def _w(keys, date_col):
@@ -216,9 +216,10 @@ def rank_within_group(df: DataFrame, groups, score: str, name: str, cap: int | N
     """Rank by |score| desc within group, name tie-break (method
     ``first``), optional cap."""
     g = [groups] if isinstance(groups, str) else list(groups)
-    w = Window.partitionBy(*g).orderBy(F.desc(F.abs(score)), F.asc(name))
-    r = df.withColumn(out, F.row_number().over(w))
-    return r.filter(F.col(out) <= cap) if cap else r
+    order = [F.desc(F.abs(score)), F.asc(name)]
+    if cap:
+        return top_n_per_group(df, g, order, cap, out=out)
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*g).orderBy(*order)))
 
 
 def recent_period_presence(df: DataFrame, feature: str, period: str, value: str, n_recent: int = 2) -> DataFrame:

@@ -215,21 +215,6 @@ def daily_candidate_table(target: DataFrame, sources: dict[str, DataFrame], date
     return out, join_rowcount_check(target, out)
 
 
-def daily_model_all_sources(target: DataFrame, date_col: str, known_now: dict[str, DataFrame],
-                            lag_only: dict[str, DataFrame], lag: int = 1) -> DataFrame:
-    """Sources known on the day (calendar, promotions) join as is;
-    sources only known after the day (orders, traffic, returns…) join
-    shifted by ``lag`` days — the known-now vs lag-only rule."""
-    out = densify(target, date_col)
-    for name, src in known_now.items():
-        out = out.join(src, date_col, "left")
-    for name, src in lag_only.items():
-        vals = [c for c in src.columns if c != date_col]
-        shifted = src.select(F.date_add(date_col, lag).alias(date_col), *[F.col(c).alias(f"{c}_lag_{lag}d") for c in vals])
-        out = out.join(shifted, date_col, "left")
-    return out
-
-
 def recreate_selected_features(daily: DataFrame, date_col: str, names: list[str], rule: str = "full"):
     """Rebuild a saved feature list from clean daily data (G29), keep
     only the contract (B18) and drop incomplete rows (B19). Returns

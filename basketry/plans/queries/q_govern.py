@@ -6,9 +6,11 @@ from basketry.operators import govern as gv
 from basketry.operators import splits, stats
 from basketry.operators import timeseries as ts
 from basketry.operators.models import cache_folds
+from basketry.operators.preprocess import class_weight
 from basketry.plans import features as ft
 from basketry.plans.catalog import register, tidy
 from basketry.plans.queries.q_features import master, spec
+from basketry.plans.queries.q_models import _fold_ap_sql
 from basketry.plans.queries.q_profile import ORDERS_ITEMS_SQL, orders_items
 from basketry.plans.queries.q_rollup import category_levels
 from basketry.plans.queries.q_timeseries import DENSE_SQL
@@ -137,7 +139,36 @@ def q_redundancy_greedy(spark, sf):
     return tidy(gv.redundancy_greedy(pairs, scores, threshold=0.5))
 
 
-@register("family_cap")
+LAG_DAYS, MEAN_DAYS = (1, 2, 7, 14), (7, 14, 28)
+DAILY_NUMBERS = ["revenue", "cogs", "profit", "margin", *[f"revenue_lag_{k}d" for k in LAG_DAYS], *[f"revenue_rolling_{w}d_mean" for w in MEAN_DAYS],
+                 "dayofweek", "is_weekend", "month"]
+# the complete days of ``daily_features``
+DAILY_FEATS_SQL = DENSE_SQL + """,
+dx AS (SELECT sale_date, revenue, cogs, revenue - cogs AS profit, CASE WHEN revenue = 0 THEN 0.0 ELSE (revenue - cogs) / revenue END AS margin,
+       """ + ", ".join([f"lag(revenue, {k}) OVER w AS revenue_lag_{k}d" for k in LAG_DAYS] + [
+    f"avg(revenue) OVER (ORDER BY sale_date ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS revenue_rolling_{n}d_mean" for n in MEAN_DAYS]) + """,
+       CAST(isodow(sale_date) - 1 AS DOUBLE) AS dayofweek, CAST(isodow(sale_date) >= 6 AS DOUBLE) AS is_weekend, CAST(month(sale_date) AS DOUBLE) AS month
+       FROM dd WINDOW w AS (ORDER BY sale_date)),
+df AS (SELECT * FROM dx WHERE """ + " AND ".join(f"{c} IS NOT NULL" for c in DAILY_NUMBERS) + ")"
+
+
+def _strength_sql(features, target):
+    """``max_abs_corr`` of each feature with the target: the greater of the linear and
+    the tie-averaged rank correlation, from 30 rows on and where the feature varies."""
+    long = " UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x, CAST({target} AS DOUBLE) AS y FROM df" for f in features)
+    rank = "(2 * rank() OVER (PARTITION BY feature ORDER BY {0}) + count(*) OVER (PARTITION BY feature, {0}) - 1) / 2.0 AS r{0}"
+    return f"""lo AS ({long}), lr AS (SELECT *, {rank.format("x")}, {rank.format("y")} FROM lo),
+st AS (SELECT feature, CASE WHEN count(*) >= 30 AND stddev_samp(x) > 0 THEN greatest(abs(corr(x, y)), abs(corr(rx, ry))) END AS strength FROM lr GROUP BY 1)"""
+
+
+CAP_NAMES = [c for c in DAILY_NUMBERS if c.startswith("revenue_")]
+FAMILY_SQL = "regexp_replace(feature, '(_lag_[0-9]+d|_rolling_[0-9]+d_mean)$', '')"
+
+
+@register("family_cap", DAILY_FEATS_SQL + ", " + _strength_sql(CAP_NAMES, "cogs") + f""",
+r AS (SELECT feature, strength, 0.0 AS missing_share, {FAMILY_SQL} AS family FROM st),
+k AS (SELECT *, row_number() OVER (PARTITION BY family ORDER BY strength DESC NULLS LAST, missing_share, feature) AS family_rank FROM r)
+SELECT feature, round(strength, 9) AS score, missing_share, family, family_rank, family_rank <= 2 AS keep FROM k""")
 def q_family_cap(spark, sf):
     """At most 2 features per lag/rolling family by relevance."""
     d = daily_features(spark, sf)
@@ -192,15 +223,87 @@ def q_forward_selection(spark, sf):
     return gv.forward_group_selection(d, "sale_date", "revenue", DAILY_GROUPS, _rolling_folds(spark, sf, d))
 
 
+TWO = {"lag_week": ["revenue_lag_7d"], "rolling_month": ["revenue_rolling_28d_mean"]}
+# ridge (penalty 10, free intercept) on none, either or both of two features, by centred
+# sums per fold; mean WAPE of the test days
+TWO_SQL = DAILY_FEATS_SQL + """,
+o AS (SELECT origin, row_number() OVER (ORDER BY origin DESC) AS back FROM (SELECT CAST(unnest(generate_series(a + 1095, z - 29, INTERVAL 90 DAY)) AS DATE) AS origin
+      FROM (SELECT min(sale_date) AS a, max(sale_date) AS z FROM df))),
+v AS (SELECT sale_date, revenue_lag_7d AS a, revenue_rolling_28d_mean AS b, revenue AS y FROM df),
+m AS (SELECT origin, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM o JOIN v ON sale_date < origin WHERE back <= 3 GROUP BY 1),
+g AS (SELECT origin, ma, mb, my, sum((a - ma) * (a - ma)) + 10 AS aa, sum((b - mb) * (b - mb)) + 10 AS bb, sum((a - ma) * (b - mb)) AS ab,
+             sum((a - ma) * (y - my)) AS ay, sum((b - mb) * (y - my)) AS by_ FROM m JOIN v ON sale_date < origin GROUP BY ALL),
+w AS (SELECT origin, sum(abs(y)) AS s, sum(abs(y - my)) AS e0, sum(abs(y - my - ay / aa * (a - ma))) AS ea, sum(abs(y - my - by_ / bb * (b - mb))) AS eb,
+             sum(abs(y - my - (bb * ay - ab * by_) / (aa * bb - ab * ab) * (a - ma) - (aa * by_ - ab * ay) / (aa * bb - ab * ab) * (b - mb))) AS eab
+      FROM g JOIN v ON sale_date BETWEEN origin AND origin + 29 GROUP BY 1),
+q AS (SELECT avg(e0 / s) AS w0, avg(ea / s) AS wa, avg(eb / s) AS wb, avg(eab / s) AS wab FROM w WHERE s > 0)
+"""
+
+
+@register("incremental_two_groups", TWO_SQL + """, s1 AS (SELECT *, w0 - wa > 0.001 AS k1 FROM q),
+s2 AS (SELECT *, CASE WHEN k1 THEN wa ELSE w0 END AS cur, CASE WHEN k1 THEN wab ELSE wb END AS nxt FROM s1)
+SELECT 'lag_week' AS feature_group, round(w0, 7) AS wape_before, round(wa, 7) AS wape_with, round(w0 - wa, 7) AS gain, k1 AS kept FROM s2
+UNION ALL SELECT 'rolling_month', round(cur, 7), round(nxt, 7), round(cur - nxt, 7), cur - nxt > 0.001 FROM s2""")
+def q_incremental_two_groups(spark, sf):
+    """Two groups of one feature each, from the fold Gram table."""
+    d = daily_features(spark, sf)
+    return tidy(gv.incremental_group_wrapper(d, "sale_date", "revenue", TWO, _rolling_folds(spark, sf, d)), 7)
+
+
+@register("family_two_groups", TWO_SQL + """
+SELECT 'lag_week' AS family, round(w0, 7) AS baseline_wape, round(wa, 7) AS wape_with, round(w0 - wa, 7) AS gain, w0 - wa > 0.0005 AS kept FROM q
+UNION ALL SELECT 'rolling_month', round(w0, 7), round(wb, 7), round(w0 - wb, 7), w0 - wb > 0.0005 FROM q""")
+def q_family_two_groups(spark, sf):
+    """Either of two families against the mean alone."""
+    d = daily_features(spark, sf)
+    return tidy(gv.family_wrapper(d, "sale_date", "revenue", [], TWO, _rolling_folds(spark, sf, d)), 7)
+
+
+@register("forward_two_groups", TWO_SQL + """, s1 AS (SELECT *, CASE WHEN wa <= wb THEN 'lag_week' ELSE 'rolling_month' END AS best, least(wa, wb) AS w1 FROM q)
+SELECT 1 AS step, best AS feature_group, round(w0, 7) AS wape_before, round(w1, 7) AS wape_after, round(w0 - w1, 7) AS gain, w0 - w1 > 0 AS accepted FROM s1
+UNION ALL SELECT 2, CASE best WHEN 'lag_week' THEN 'rolling_month' ELSE 'lag_week' END, round(w1, 7), round(wab, 7), round(w1 - wab, 7), w1 - wab > 0 FROM s1 WHERE w0 - w1 > 0""")
+def q_forward_two_groups(spark, sf):
+    """Greedy steps over two groups of one feature each."""
+    d = daily_features(spark, sf)
+    return tidy(gv.forward_group_selection(d, "sale_date", "revenue", TWO, _rolling_folds(spark, sf, d)), 7)
+
+
+WRAPPER_BASE, WRAPPER_FOLDS = ["is_cash"], ((0.40, 0.60), (0.60, 0.80), (0.80, 1.00))
+
+
+def _wrapper_folds(spark, sf, planted):
+    """Labelled train orders with all candidates in three expanding folds, weights
+    fitted per fold; missing numbers are 0 as in the training table."""
+    o = order_features(spark, sf).filter(F.col("returned").isNotNull()).na.fill(0.0, subset=FEATS)
+    when = retail.orders(spark, sf).select(F.col("order_id").alias("o_orderkey"), "order_date", (F.col("priority") == "1-URGENT").cast("int").alias("is_cash"))
+    o = o.join(when, "o_orderkey").withColumnRenamed("returned", "label")
+    if planted:
+        o = o.withColumns({"answer": F.col("label").cast("double"), "constant": F.lit(1.0), "same_as_base": F.col("is_cash").cast("double")})
+    o = cut_lineage(o)
+    folds = splits.expanding_folds(o, "order_date", WRAPPER_FOLDS)
+    return [(f, class_weight(tr, "label"), va) for f, tr, va in cache_folds(o, folds, "order_date")]
+
+
 @register("dual_model_wrapper")
 def q_dual_model_wrapper(spark, sf):
-    """Per candidate feature and fold, PR-AUC / ROC-AUC deltas of two
-    models against the baseline set; consistent harm flag."""
-    o = order_features(spark, sf).filter(F.col("returned").isNotNull()).na.fill(0.0, subset=FEATS)
-    o = cut_lineage(o.join(retail.orders(spark, sf).select(F.col("order_id").alias("o_orderkey"), "order_date"), "o_orderkey"))
-    folds = splits.expanding_folds(o, "order_date", ((0.6, 0.8), (0.8, 1.0)))
-    cf = cache_folds(o.withColumnRenamed("returned", "label"), folds, "order_date")
-    return gv.dual_model_wrapper(cf, ["o_totalprice"], ["discount_ratio"], "label")
+    """Every candidate feature over three folds: per model the deltas against
+    the baseline, and the decision that both models have to agree on."""
+    deltas = gv.dual_model_wrapper(_wrapper_folds(spark, sf, False), WRAPPER_BASE, FEATS, "label", "weight")
+    summary = gv.wrapper_summary(deltas)
+    return tidy(summary.join(gv.wrapper_consensus(summary).select("feature", "decision"), "feature"))
+
+
+@register("dual_model_planted", """
+WITH sp AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS label,
+            max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS is_cash FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2),
+""" + _fold_ap_sql(WRAPPER_FOLDS, "true") + """
+SELECT m AS model, f AS feature, fold, round(ap, 9) AS baseline_pr_auc, round(CASE WHEN f = 'answer' THEN 1 ELSE ap END, 9) AS pr_auc,
+       CASE WHEN f = 'answer' THEN 1.0 END AS roc_auc FROM ap, (VALUES ('logistic'), ('gbt')) t(m), (VALUES ('answer'), ('constant'), ('same_as_base')) u(f)""")
+def q_dual_model_planted(spark, sf):
+    """Planted candidates: the label itself ranks perfectly, a constant and a
+    copy of the baseline change nothing; the baseline's AP follows from counts."""
+    deltas = gv.dual_model_wrapper(_wrapper_folds(spark, sf, True), WRAPPER_BASE, ["answer", "constant", "same_as_base"], "label", "weight")
+    return tidy(deltas.select("model", "feature", "fold", "baseline_pr_auc", "pr_auc", F.when(F.col("feature") == "answer", F.col("roc_auc")).alias("roc_auc")))
 
 
 @register("selection_report", REL_SQL + """,
@@ -256,7 +359,21 @@ def q_modeling_schema(spark, sf):
     return gv.modeling_schema(o, roles)
 
 
-@register("family_audit_and_scores")
+AUDIT_NAMES = [c for c in DAILY_NUMBERS if c != "revenue"]
+
+
+def _audit_rows_sql():
+    """Source and kind of the daily features, written out."""
+    rows = [("revenue", "lag", [f"revenue_lag_{k}d" for k in LAG_DAYS]), ("revenue", "rolling", [f"revenue_rolling_{w}d_mean" for w in MEAN_DAYS]),
+            *[(c, "aggregate", [c]) for c in ("revenue", "cogs", "profit", "margin")], *[(c, "calendar", [c]) for c in ("dayofweek", "is_weekend", "month")]]
+    return ", ".join(f"('{source}', '{kind}', '{n}')" for source, kind, names in rows for n in names)
+
+
+@register("family_audit_and_scores", DAILY_FEATS_SQL + ", " + _strength_sql(AUDIT_NAMES, "revenue") + f""",
+ca AS (SELECT * FROM (VALUES {_audit_rows_sql()}) t(source, kind, feature)),
+ra AS (SELECT feature, row_number() OVER (PARTITION BY {FAMILY_SQL} ORDER BY strength DESC NULLS LAST, feature) AS family_rank FROM st)
+SELECT source, kind, count(*) AS n_before, count(*) FILTER (family_rank = 1) AS n_after, round(avg(strength), 9) AS mean_abs_corr
+FROM ca LEFT JOIN ra USING (feature) LEFT JOIN st USING (feature) GROUP BY 1, 2""")
 def q_family_audit(spark, sf):
     """L17 + L18: features per source × kind before / after the family cap,
     and the joined per-feature score table."""
@@ -269,7 +386,7 @@ def q_family_audit(spark, sf):
     after = before.join(cap.filter("keep").select("feature"), "feature", "left_semi")
     audit = gv.family_audit(before, after)
     table = gv.feature_score_table(before, [q.select("feature", "missing_share", "action"), rel.select("feature", "max_abs_corr")])
-    return audit.join(table.groupBy("source", "kind").agg(F.avg("max_abs_corr").alias("mean_abs_corr")), ["source", "kind"], "left")
+    return tidy(audit.join(table.groupBy("source", "kind").agg(F.avg("max_abs_corr").alias("mean_abs_corr")), ["source", "kind"], "left"))
 
 
 REV_NAMES = ["revenue", *[f"revenue_lag_{k}d" for k in (1, 2, 7, 14)], *[f"revenue_rolling_{w}d_mean" for w in (7, 14, 28)]]

@@ -7,10 +7,11 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from basketry.operators import batchfit as bf
 from basketry.operators import evaluate as ev
 from basketry.operators import models as md
 from basketry.operators import splits
-from basketry.operators.preprocess import Preprocessor
+from basketry.operators.preprocess import Preprocessor, class_weight
 from basketry.plans import features as ft
 from basketry.plans.catalog import register, tidy
 from basketry.plans.queries.q_features import master, spec
@@ -264,7 +265,7 @@ def q_feature_importance(spark, sf):
     """Tree importances with share, rank and running share; facts of the
     table."""
     train, _valid, feats = classification_frame(spark, sf)
-    t = md.feature_importance(md.gbt_classifier(train, feats, "label", "weight", maxIter=10, maxDepth=3), feats)
+    t = md.feature_importance(spark, md.gbt_classifier(train, feats, "label", "weight", maxIter=10, maxDepth=3), feats)
     return t.agg((F.abs(F.sum("share") - 1) < 1e-9).alias("shares_sum_to_one"), (F.max("rank") == F.count(F.lit(1))).alias("ranks_without_gap"),
                  F.min(F.col("importance") >= 0).alias("none_negative"), (F.count(F.lit(1)) > 0).alias("has_rows"))
 
@@ -292,3 +293,169 @@ def q_forecast_champion(spark, sf):
     wapes = [F.col(c) for c in ("candidate_wape", "reference_wape", "candidate_sunday_wape", "reference_sunday_wape")]
     return m.select(F.lit(test.count()).alias("n_test"), (F.col("switch") == gain).alias("rule_followed"),
                     reduce(lambda a, b: a & b, [c.isNotNull() & (c > 0) for c in wapes]).alias("metrics_present"))
+
+
+# ---- fits whose result SQL can state: one 0/1 feature has a closed form, a rule
+# ---- of two 0/1 features is learned without error
+
+BIN_SQL = """
+WITH lab AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS label,
+             CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_cash, CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS is_large
+             FROM orders WHERE o_orderstatus IN ('F', 'P')),
+dc AS (SELECT d, sum(count(*)) OVER (ORDER BY d) AS cum FROM lab GROUP BY d), nn AS (SELECT count(*) AS n FROM lab),
+cut AS (SELECT min(CASE WHEN cum > floor(n * 0.7) THEN d END) AS c1, min(CASE WHEN cum > floor(n * 0.85) THEN d END) AS c2 FROM dc, nn),
+sp AS (SELECT lab.*, CASE WHEN d < c1 THEN 'train' WHEN d < c2 THEN 'validation' ELSE 'test' END AS split FROM lab, cut)
+"""
+
+
+def _closed_form_sql(where):
+    """Coefficients of a balanced-weight logistic fit on is_cash: log odds per value."""
+    return f"""ct AS (SELECT sum(label) AS p, count(*) - sum(label) AS q, sum(label * is_cash) AS p1, sum((1 - label) * is_cash) AS q1, count(*) AS n FROM sp WHERE {where}),
+cf AS (SELECT n, ln(((p - p1) / (q - q1)) * (q / p)) AS b0, ln((p1 / q1) * (q / p)) AS b1 FROM ct)"""
+
+
+def binary_frame(spark, sf):
+    """Labelled orders with two 0/1 features and the positional split."""
+    o = retail.orders(spark, sf).filter(F.col("order_status").isin("F", "P"))
+    d = o.select("order_id", "order_date", (F.col("order_status") == "P").cast("int").alias("label"),
+                 (F.col("priority") == "1-URGENT").cast("int").alias("is_cash"), (F.col("payment_value") > 150000).cast("int").alias("is_large"))
+    return cut_lineage(splits.positional_cutoff_split(d, "order_date"))
+
+
+@register("logistic_closed_form", BIN_SQL + ", " + _closed_form_sql("split = 'train'") + """
+SELECT f AS fit, n AS n_train, round(b0, 5) AS intercept, round(b1 - b0, 5) AS coefficient FROM cf, (VALUES ('mllib'), ('batch')) t(f)""")
+def q_logistic_closed_form(spark, sf):
+    """The class-weighted fit on one 0/1 feature, by MLlib and by the batch
+    of Newton steps: its coefficients are log odds."""
+    train = class_weight(part(binary_frame(spark, sf), "train"), "label")
+    one = md.logistic_regression(train, ["is_cash"], "label", "weight", maxIter=200, tol=1e-14)
+    rows, columns = bf.long_folds([(0, train, train, ["is_cash"])], "label", "weight")
+    two = bf.batch_logistic(rows, columns, [{"regParam": 0.0}])[0, 0]
+    n = train.count()
+    fits = [("mllib", n, float(one.intercept), float(one.coefficients[0])), ("batch", n, two.intercept, float(two.coefficients[0]))]
+    return tidy(spark.createDataFrame(fits, "fit string, n_train long, intercept double, coefficient double"), 5)
+
+
+@register("planted_rule_trees", BIN_SQL + """
+SELECT m AS model, count_if(is_cash * is_large = 1) AS tp, 0::BIGINT AS fp, 0::BIGINT AS fn, count_if(is_cash * is_large = 0) AS tn
+FROM sp, (VALUES ('random_forest'), ('gbt')) t(m) WHERE split = 'validation' GROUP BY 1""")
+def q_planted_rule_trees(spark, sf):
+    """P07 + P08: a planted label (urgent and large) is learned without error:
+    confusion on the validation rows."""
+    frame = binary_frame(spark, sf).withColumn("label", F.col("is_cash") * F.col("is_large"))
+    train, valid = class_weight(part(frame, "train"), "label"), part(frame, "validation")
+    feats = ["is_cash", "is_large"]
+    fitted = bf.run_trials(spark, {"random_forest": lambda: md.random_forest(train, feats, "label", "weight", numTrees=20, maxDepth=4),
+                                   "gbt": lambda: md.gbt_classifier(train, feats, "label", "weight", maxIter=10, maxDepth=3)})
+    out = []
+    for name, model in fitted.items():
+        p = md.positive_probability(model.transform(md.assemble(valid, feats)))
+        out.append(ev.threshold_metrics(p, "label", "probability_1", 0.5).select(F.lit(name).alias("model"), "tp", "fp", "fn", "tn"))
+    return out[0].unionByName(out[1])
+
+
+@register("planted_importance", """
+SELECT * FROM (VALUES ('is_large', 1.0, 1.0), ('is_cash', 0.0, 0.0), ('noise', 0.0, 0.0)) t(feature, importance, share)""")
+def q_planted_importance(spark, sf):
+    """Where one feature is the label, it has all of the importance."""
+    frame = part(binary_frame(spark, sf), "train").withColumn("label", F.col("is_large")).withColumn(
+        "noise", F.pmod(F.xxhash64("order_id"), F.lit(1000)).cast("double"))
+    model = md.gbt_classifier(frame, ["is_cash", "is_large", "noise"], "label", maxIter=5, maxDepth=3)
+    return tidy(md.feature_importance(spark, model, ["is_cash", "is_large", "noise"]).select("feature", "importance", "share"), 9)
+
+
+def _fold_ap_sql(fractions=((0.55, 0.70), (0.70, 0.85), (0.85, 1.00)), rows="split = 'train'"):
+    """Average precision per fold of scores with two values: the value with the
+    greater train rate comes first."""
+    values = ", ".join(f"({i}, CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), {str(i == len(fractions)).lower()})" for i, (a, b) in enumerate(fractions, start=1))
+    return f"""fo AS (SELECT * FROM (VALUES {values}) t(fold, a, b, closed)),
+dts AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT d FROM sp WHERE {rows})),
+fb AS (SELECT fold, closed, max(CASE WHEN i = least(CAST(floor(n * a) AS BIGINT), n - 1) THEN d END) AS te,
+              max(CASE WHEN i = least(CAST(floor(n * b) AS BIGINT), n - 1) THEN d END) AS ve FROM fo, dts GROUP BY ALL),
+tr AS (SELECT fold, avg(label) FILTER (is_cash = 1) > avg(label) FILTER (is_cash = 0) AS one_first FROM sp JOIN fb ON d < te WHERE {rows} GROUP BY 1),
+va AS (SELECT fold, sum(label) AS p, count(*) AS n, sum(label * is_cash) AS p1, sum(is_cash) AS n1 FROM sp JOIN fb ON d >= te AND (d < ve OR closed AND d = ve)
+       WHERE {rows} GROUP BY 1),
+hi AS (SELECT fold, p, n, CASE WHEN one_first THEN p1 ELSE p - p1 END AS ph, CASE WHEN one_first THEN n1 ELSE n - n1 END AS nh FROM va JOIN tr USING (fold)),
+ap AS (SELECT fold, (CASE WHEN nh > 0 THEN ph * (ph / nh) ELSE 0 END + (p - ph) * (p / n)) / p AS ap FROM hi)"""
+
+
+def _binary_folds(frame):
+    train = part(frame, "train")
+    folds = md.cache_folds(train, splits.expanding_folds(train, "order_date"), "order_date")
+    return [(f, class_weight(tr, "label"), va, ["is_cash"]) for f, tr, va in folds]
+
+
+@register("search_binary", BIN_SQL + ", " + _fold_ap_sql() + """
+SELECT s AS search, c AS candidate, fold, round(ap, 9) AS pr_auc, c = 0 AS champion FROM ap, (VALUES ('grid', 0), ('grid', 1), ('grid', 2), ('sample', 0), ('sample', 1)) t(s, c)""")
+def q_search_binary(spark, sf):
+    """P09 + P10 + P11 + P12: a grid of three penalties (fitted together) and a
+    sample of two boosted settings (jobs of their own) on three folds and one 0/1
+    feature: every AP follows from counts; equal candidates rank in their order."""
+    folds = _binary_folds(binary_frame(spark, sf))
+    grid = md.param_grid({"regParam": [0.0, 0.01, 0.1]})
+    sample = md.sample_grid({"maxIter": [1, 2], "maxDepth": [1, 2]}, 2, seed=3)
+    out = []
+    for name, model, candidates in (("grid", "logistic", grid), ("sample", "gbt", sample)):
+        res = md.temporal_search(folds, "label", model, candidates, "weight")
+        best = md.champion_selection(res).filter("rank = 1").first()["candidate"]
+        out.append(res.select(F.lit(name).alias("search"), "candidate", "fold", "pr_auc", (F.col("candidate") == best).alias("champion")))
+    return tidy(out[0].unionByName(out[1]), 9)
+
+
+@register("final_refit_binary", BIN_SQL + ", " + _closed_form_sql("split <> 'test'") + """,
+te AS (SELECT sum(label) AS p, count(*) AS nt, sum(label * is_cash) AS p1, sum(is_cash) AS n1 FROM sp WHERE split = 'test'),
+hi AS (SELECT p, nt, CASE WHEN b1 > b0 THEN p1 ELSE p - p1 END AS ph, CASE WHEN b1 > b0 THEN n1 ELSE nt - n1 END AS nh FROM te, cf)
+SELECT 0 AS candidate, round(b0, 4) AS intercept, round(b1 - b0, 4) AS coefficient, nt AS n_test,
+       round((CASE WHEN nh > 0 THEN ph * (ph / nh) ELSE 0 END + (p - ph) * (p / nt)) / p, 9) AS test_pr_auc FROM cf, hi""")
+def q_final_refit_binary(spark, sf):
+    """The champion refitted once on train and validation: closed-form
+    coefficients, and the AP of the one scoring of the test rows."""
+    frame = binary_frame(spark, sf)
+    grid = [{"regParam": r, "maxIter": 200, "tol": 1e-12} for r in (0.0, 0.1)]
+    res = md.temporal_search(_binary_folds(frame), "label", "logistic", grid, "weight")
+    best, model, _columns, scored = md.refit_champion(res, part(frame, "train", "validation"), part(frame, "test"),
+                                                      Preprocessor(binary=["is_cash"]), "label", ["order_id", "label"])
+    ap = ev.ranking_metrics(scored, "label", "probability_1")
+    return tidy(ap.select(F.lit(best["candidate"]).alias("candidate"), F.lit(float(model.intercept)).alias("intercept"),
+                          F.lit(float(model.coefficients[0])).alias("coefficient"), F.col("n").alias("n_test"), F.col("pr_auc").alias("test_pr_auc")),
+                4, {"test_pr_auc": 9})
+
+
+@register("constant_prior_baseline", BIN_SQL + """
+SELECT (SELECT count(*) FROM sp WHERE split = 'test') AS n, round((SELECT avg(label) FROM sp WHERE split = 'train'), 9) AS prior,
+       round((SELECT avg(label) FROM sp WHERE split = 'test'), 9) AS pr_auc, 0.5 AS roc_auc""")
+def q_constant_prior(spark, sf):
+    """P02 (classification): the train rate for every test row: its AP is the test
+    rate and its ROC-AUC one half."""
+    frame = binary_frame(spark, sf)
+    scored = cut_lineage(md.constant_prior(part(frame, "train"), "label", part(frame, "test")))
+    prior = scored.agg(F.max("probability_1")).first()[0]
+    return tidy(ev.ranking_metrics(scored, "label", "probability_1").select("n", F.lit(prior).alias("prior"), "pr_auc", "roc_auc"))
+
+
+FORECAST_CANDIDATES = {
+    "reference": {"features": REG_FEATS, "early_stopping": False, "max_trees": 10, "stepSize": 0.1, "maxDepth": 4},
+    "regularized": {"features": REG_FEATS, "early_stopping": True, "max_trees": 20, "stepSize": 0.1, "maxDepth": 4, "minInstancesPerNode": 20},
+    "strong": {"features": REG_FEATS, "early_stopping": True, "max_trees": 20, "stepSize": 0.1, "maxDepth": 2, "minInstancesPerNode": 50},
+    "slow": {"features": REG_FEATS, "early_stopping": True, "max_trees": 30, "stepSize": 0.05, "maxDepth": 4, "minInstancesPerNode": 20},
+    "slow_calendar": {"features": [*REG_FEATS, "is_sunday", "is_monday", "dow_sin", "dow_cos"], "early_stopping": True, "max_trees": 30,
+                      "stepSize": 0.05, "maxDepth": 4, "minInstancesPerNode": 20},
+}
+
+
+@register("forecast_candidates", REG_SQL.replace("SELECT CASE WHEN", "SELECT sale_date, CASE WHEN") + """,
+dc AS (SELECT sale_date, row_number() OVER (ORDER BY sale_date) AS cum, count(*) OVER () AS n FROM d WHERE split = 'train'),
+cut AS (SELECT min(CASE WHEN cum > floor(n * CAST(0.85 AS DOUBLE)) THEN sale_date END) AS c FROM dc)
+SELECT c AS candidate, CASE WHEN c = 'reference' THEN 0 ELSE (SELECT count(*) FROM dc, cut WHERE sale_date >= cut.c) END AS n_eval,
+       (SELECT count(*) FROM d WHERE split = 'test') AS n_valid, true AS refit_has_chosen_trees
+FROM (VALUES ('reference'), ('regularized'), ('strong'), ('slow'), ('slow_calendar')) t(c)""")
+def q_forecast_candidates(spark, sf):
+    """Five configurations, four with early stopping on the last 15% of the
+    training days and a refit of all of them; rows held out and the refit's trees."""
+    from basketry.functions.calendar import cyclic_encoding
+    d = daily_model_frame(spark, sf)
+    day = F.weekday("sale_date")
+    d = d.withColumns({"is_sunday": (day == 6).cast("int"), "is_monday": (day == 0).cast("int"), **cyclic_encoding(day, 7, "dow")})
+    d = cut_lineage(d)
+    r = md.forecast_candidates(d.filter("is_train"), d.filter(~F.col("is_train")), "sale_date", "revenue", FORECAST_CANDIDATES)
+    return r.select("candidate", "n_eval", "n_valid", (F.col("chosen_trees") == F.col("model_trees")).alias("refit_has_chosen_trees"))

@@ -1,5 +1,6 @@
 """Queries for §2.15 preprocessing (fit on train, apply anywhere)."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from basketry.operators import preprocess as pp
@@ -112,23 +113,61 @@ def q_class_weight(spark, sf):
     return tidy(w.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")))
 
 
-@register("preprocess_pipeline")
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@register("preprocess_pipeline", SPLIT_SQL + """,
+m AS (SELECT quantile_cont(o_totalprice, 0.5) AS m0, quantile_cont(total_quantity, 0.5) AS m1, quantile_cont(discount_total, [0.25, 0.5, 0.75]) AS e
+      FROM sp WHERE is_train),
+f AS (SELECT is_train, coalesce(o_totalprice, m0) AS x0, coalesce(total_quantity, m1) AS x1, o_orderpriority AS p,
+             CASE WHEN discount_total IS NOT NULL THEN len(list_filter(list_distinct(e), lambda v: v <= discount_total)) END AS k FROM sp, m),
+c AS (SELECT avg(x0) AS a0, stddev_pop(x0) AS s0, avg(x1) AS a1, stddev_pop(x1) AS s1 FROM f WHERE is_train)
+SELECT is_train, round(sum((x0 - a0) / s0), 4) + 0.0 AS o_totalprice, round(sum((x1 - a1) / s1), 4) + 0.0 AS total_quantity,
+       """ + ", ".join(f"count_if(p = '{v}') AS \"o_orderpriority_{v}\"" for v in PRIORITIES) + ", " + ", ".join(
+    f"count_if(k = {i}) AS discount_total_bin_{i}" for i in range(4)) + " FROM f, c GROUP BY 1")
 def q_preprocess_pipeline(spark, sf):
     """Per-group chains fitted once on train, applied to all rows."""
     d = split_frame(spark, sf)
     p = pp.Preprocessor(numeric=["o_totalprice", "total_quantity"], categorical=["o_orderpriority"], quantile=["discount_total"])
     p.fit(d.filter("is_train"))
     out = p.transform(d, keep=["o_orderkey", "is_train"])
-    return tidy(out.groupBy("is_train").agg(*[F.sum(f"`{c}`").alias(c) for c in p.output_columns()]), 6)
-
-
-@register("pca_95")
+    sums = tidy(out.groupBy("is_train").agg(*[F.sum(f"`{c}`").alias(c) for c in p.output_columns()]), 4)
+    return sums.withColumns({c: F.col(c) + F.lit(0.0) for c in p.numeric})  # a sum near 0 has no sign
+
+
+@register("level_vectors", SPLIT_SQL + """,
+lv AS (SELECT DISTINCT o_totalprice FROM sp WHERE is_train AND o_totalprice IS NOT NULL),
+x AS (SELECT is_train, o_totalprice IN (SELECT o_totalprice FROM sp WHERE is_train) AS hit FROM sp)
+SELECT is_train, count(*) AS n_rows, (SELECT count(*) FROM lv) AS n_levels, count_if(hit) AS n_ones FROM x GROUP BY 1""")
+def q_level_vectors(spark, sf):
+    """Sparse vectors over a column with a level for almost every row (the
+    order value as text), from the fitted level table."""
+    from pyspark.ml.stat import Summarizer
+    d = split_frame(spark, sf).select("is_train", F.col("o_totalprice").cast("string").alias("price_text"))
+    levels = pp.fit_level_table(d.filter("is_train"), ["price_text"])
+    out = pp.apply_level_vectors(d, ["price_text"], levels)
+    n = pp.level_counts(levels)["price_text"]
+    hits = out.groupBy("is_train").agg(F.count(F.lit(1)).alias("n_rows"), Summarizer.numNonZeros(F.col("price_text_vec")).alias("_ones"))
+    total = F.aggregate(vector_to_array("_ones"), F.lit(0.0), lambda a, x: a + x)
+    return hits.select("is_train", "n_rows", F.lit(n).cast("long").alias("n_levels"), total.cast("long").alias("n_ones"))
+
+
+@register("pca_95", SPLIT_SQL + """,
+t AS (SELECT avg(o_totalprice) AS a0, stddev_pop(o_totalprice) AS s0, avg(coalesce(total_quantity, m)) AS a1, stddev_pop(coalesce(total_quantity, m)) AS s1,
+             corr(o_totalprice, coalesce(total_quantity, m)) AS r, max(m) AS m
+      FROM sp, (SELECT quantile_cont(total_quantity, 0.5) AS m FROM sp WHERE is_train) WHERE is_train),
+z AS (SELECT o_orderkey, is_train, (o_totalprice - a0) / s0 AS x, (coalesce(total_quantity, m) - a1) / s1 AS y, r FROM sp, t)
+SELECT o_orderkey, is_train, CASE WHEN (1 + abs(r)) / 2 >= 0.95 THEN 1 ELSE 2 END AS n_components,
+       round((x + sign(r) * y) / sqrt(2), 6) + 0.0 AS pc1, round((x - sign(r) * y) / sqrt(2), 6) + 0.0 AS pc2, round((1 + abs(r)) / 2, 9) AS explained_1 FROM z""")
 def q_pca(spark, sf):
-    """PCA keeping 95% of train variance on scaled numeric features."""
-    d = split_frame(spark, sf).withColumn("disc", F.coalesce("discount_total", F.lit(0.0)))
-    p = pp.Preprocessor(numeric=["o_totalprice", "total_quantity", "disc"])
+    """Principal components of two scaled columns, fitted on train: their
+    values per order (both, for the check), how many reach 95% and the first's share."""
+    d = split_frame(spark, sf)
+    p = pp.Preprocessor(numeric=["o_totalprice", "total_quantity"])
     p.fit(d.filter("is_train"))
-    a = p.assemble(d, keep=["o_orderkey", "is_train"])
-    out, k = pp.pca_95(a.filter("is_train"), a)
-    from pyspark.ml.functions import vector_to_array
-    return out.select("o_orderkey", "is_train", F.size(vector_to_array("pca_features")).alias("n_components"))
+    scaled = p.transform(d, keep=["o_orderkey", "is_train"])
+    kept = pp.principal_components(scaled.filter("is_train"), p.numeric)
+    both, _ = pp.pca_95(scaled.filter("is_train"), scaled, p.numeric, var=1.0)
+    out = tidy(both.select("o_orderkey", "is_train", F.lit(len(kept.components)).alias("n_components"), "pc1", "pc2",
+                           F.lit(kept.explained[0]).alias("explained_1")), 6, {"explained_1": 9})
+    return out.withColumns({c: F.col(c) + F.lit(0.0) for c in ("pc1", "pc2")})

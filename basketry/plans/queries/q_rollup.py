@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from basketry.functions.primitives import group_distinct_counts, with_group_quantiles
 from basketry.operators import rollup
 from basketry.plans.catalog import register, table, tidy
 from basketry.sources import retail
@@ -240,10 +241,8 @@ SELECT CAST(ship_date AS VARCHAR) AS ship_date, count(DISTINCT order_id) AS n_or
        count(DISTINCT supplier_id) AS n_suppliers FROM r_items GROUP BY 1""")
 def q_distinct_daily_counts(spark, sf):
     """F16: distinct orders / products / suppliers per day."""
-    it = retail.items(spark, sf)
-    return tidy(rollup.daily_agg(it, "ship_date", {"n_orders": F.count_distinct("order_id"),
-                                                   "n_products": F.count_distinct("product_id"),
-                                                   "n_suppliers": F.count_distinct("supplier_id")}, "ship_date"))
+    return tidy(group_distinct_counts(retail.items(spark, sf), "ship_date",
+                                      {"n_orders": "order_id", "n_products": "product_id", "n_suppliers": "supplier_id"}))
 
 
 @register("group_target_rate", LINES_SQL + """
@@ -450,8 +449,8 @@ def q_group_apply(spark, sf):
     the largest line, arg-max, median) as built-in aggregates — no group is
     materialised in one task."""
     ln = lines(spark, sf)
-    return tidy(ln.groupBy("category").agg(
+    groups = ln.groupBy("category").agg(
         rollup.weighted_mean("discount_rate", "quantity").alias("qty_weighted_discount"),
         F.try_divide(F.max("net"), F.sum("net")).alias("top_line_share"),
-        F.max_by("order_id", F.struct("net", "order_id")).alias("top_order_id"),
-        F.percentile(F.col("quantity"), F.lit(0.5)).alias("median_quantity")))
+        F.max_by("order_id", F.struct("net", "order_id")).alias("top_order_id"))
+    return tidy(with_group_quantiles(groups, ln, "category", {"median_quantity": ("quantity", 0.5)}))

@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from basketry.operators import evaluate as ev
+from basketry.operators.preprocess import class_weight
 from basketry.plans import features as ft
 from basketry.plans import scoring as sc
-from basketry.plans.catalog import register
+from basketry.plans.catalog import register, tidy
 from basketry.plans.queries.q_features import master, spec
-from basketry.plans.queries.q_models import NUMERIC
+from basketry.plans.queries.q_models import BIN_SQL, NUMERIC, _closed_form_sql, binary_frame
 from basketry.plans.queries.q_rollup import category_levels
 from basketry.session import cut_lineage
 from basketry.sources import io, retail
@@ -68,6 +69,41 @@ def q_score_summary(spark, sf):
         (F.abs(F.col("positive_rate") - F.lit(rate)) < 1e-12).alias("rate_is_mean_decision"))
 
 
+ONE_FEATURE_SQL = BIN_SQL + ", " + _closed_form_sql("split = 'train'") + """,
+sc AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_cash FROM orders),
+pr AS (SELECT is_cash, 1 / (1 + exp(-CASE WHEN is_cash = 1 THEN b1 ELSE b0 END)) AS p FROM sc, cf)"""
+
+
+def _one_feature_scores(spark, sf):
+    """Scores of every order under a saved and reloaded bundle on one 0/1 feature."""
+    frame = binary_frame(spark, sf)
+    model = sc.fit_scoring_pipeline(class_weight(frame.filter("data_split = 'train'"), "label"), [], [], ["is_cash"], "label", "weight",
+                                    maxIter=200, tol=1e-14, regParam=0.0)
+    path = io.scratch_path(spark, "binary-bundle")
+    sc.save_bundle(model, spark, path, 0.5, ["is_cash"], {})
+    model, meta = sc.load_bundle(spark, path)
+    orders = retail.orders(spark, sf).select("order_id", (F.col("priority") == "1-URGENT").cast("int").alias("is_cash"))
+    return sc.batch_score(model, orders, meta["threshold"], binary=["is_cash"]).join(orders, "order_id")
+
+
+@register("batch_score_closed_form", ONE_FEATURE_SQL + """
+SELECT is_cash, count(*) AS n, round(min(p), 5) AS p_min, round(max(p), 5) AS p_max, max(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END) AS prediction FROM pr GROUP BY 1""")
+def q_batch_score_closed_form(spark, sf):
+    """Probabilities and decisions of all orders per value of the one feature,
+    as the closed form of the fit gives them."""
+    s = _one_feature_scores(spark, sf)
+    return tidy(s.groupBy("is_cash").agg(F.count(F.lit(1)).alias("n"), F.min("return_probability").alias("p_min"),
+                                         F.max("return_probability").alias("p_max"), F.max("prediction").alias("prediction")), 5)
+
+
+@register("score_summary_closed_form", ONE_FEATURE_SQL + """
+SELECT count(*) AS n_scored, round(avg(CASE WHEN p >= 0.5 THEN 1.0 ELSE 0.0 END), 5) AS positive_rate, round(min(p), 5) AS min_probability,
+       round(max(p), 5) AS max_probability, round(avg(p), 5) AS mean_probability, 0.5 AS threshold FROM pr""")
+def q_score_summary_closed_form(spark, sf):
+    """The summary of the same scores."""
+    return tidy(sc.score_summary(_one_feature_scores(spark, sf)), 5)
+
+
 @register("scoring_audit", """
 SELECT count(*) AS n_compared, 0.0 AS max_abs_diff, 0::BIGINT AS n_decision_mismatch FROM orders""")
 def q_scoring_audit(spark, sf):

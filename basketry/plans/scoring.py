@@ -19,18 +19,20 @@ def fit_scoring_pipeline(train: DataFrame, numeric: list[str], categorical: list
     one-hot with an unknown slot (categorical), assembler, weighted logistic
     regression. Fit touches train only; the bundle is a ``PipelineModel``."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+    from basketry.operators.imputer import MedianImputer
     stages = []
-    imp_out = [f"{c}__imp" for c in numeric]
-    stages.append(Imputer(inputCols=numeric, outputCols=imp_out, strategy="median", relativeError=0.0))
-    stages.append(VectorAssembler(inputCols=imp_out, outputCol="_num", handleInvalid="keep"))
-    stages.append(StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True))
+    if numeric:
+        imp_out = [f"{c}__imp" for c in numeric]
+        stages.append(MedianImputer(inputCols=numeric, outputCols=imp_out))
+        stages.append(VectorAssembler(inputCols=imp_out, outputCol="_num", handleInvalid="keep"))
+        stages.append(StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True))
     idx = [f"{c}__idx" for c in categorical]
     ohe = [f"{c}__ohe" for c in categorical]
     if categorical:
         stages.append(StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep", dropLast=True))
-    stages.append(VectorAssembler(inputCols=["_num_s", *ohe, *binary], outputCol="features", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=[*(["_num_s"] if numeric else []), *ohe, *binary], outputCol="features", handleInvalid="keep"))
     lr = LogisticRegression(featuresCol="features", labelCol=label, **lr_params)
     if weight:
         lr = lr.setWeightCol(weight)

@@ -23,7 +23,12 @@ def score_requests(raw: DataFrame, products: DataFrame, model: PipelineModel, th
                    binary: list[str], rename: dict | None = None):
     """Shared batch/stream body: raw payload rows → (scores, rejects).
     ``rename`` maps request field names to the model's feature names."""
-    parsed = parse_requests(raw)
+    return score_parsed(parse_requests(raw), products, model, threshold, multihot, binary, rename)
+
+
+def score_parsed(parsed: DataFrame, products: DataFrame, model: PipelineModel, threshold: float, multihot: dict,
+                 binary: list[str], rename: dict | None = None):
+    """(scores, rejects) of parsed requests."""
     rejects = parsed.filter(F.col("reject_reason").isNotNull()).select(
         "request_id", F.col("order.order_id").alias("order_id"), "reject_reason")
     good = parsed.filter(F.col("reject_reason").isNull()).select("order.*")
@@ -40,11 +45,15 @@ def start_stream_scoring(spark: SparkSession, landing: str, products: DataFrame,
     src = spark.readStream.schema("request_id long, payload string").json(landing)
 
     def write_batch(batch: DataFrame, batch_id: int):
-        scores, rejects = score_requests(batch, products, model, threshold, multihot, binary, rename)
-        # A replayed batch id overwrites only its own partition (idempotent sink).
-        for name, frame in (("scores", scores), ("rejects", rejects)):
-            frame.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/{name}")
+        parsed = parse_requests(batch).persist()  # both sinks read one parse
+        try:
+            scores, rejects = score_parsed(parsed, products, model, threshold, multihot, binary, rename)
+            # A replayed batch id overwrites only its own partition (idempotent sink).
+            for name, frame in (("scores", scores), ("rejects", rejects)):
+                frame.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
+                    .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/{name}")
+        finally:
+            parsed.unpersist()
 
     w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
