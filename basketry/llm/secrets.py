@@ -8,8 +8,11 @@ to earlier names), propagates constants from name to name, and scores each
 literal by how sensitive the names are that it reaches.
 
 Work is one pass over the UTF-8 bytes of each text inside Arrow batches; no
-shuffle, no state between documents. Null texts count as empty; spans are
-code-point offsets with exclusive ends. Repeated rows each get a result.
+shuffle, no state between documents; spans of both kinds are merged in their
+order, so a long dump of assignments costs in proportion to its size. Null texts
+count as empty; spans are code-point offsets with exclusive ends. Repeated rows
+each get a result; an empty table gives an empty one; other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
@@ -211,14 +214,26 @@ def lexed_spans(data: bytes) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def outside(found: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Spans of ``found`` that no base span covers, in one merge: both are sorted
+    by start, so the furthest end of the base spans begun so far decides."""
+    out, at, furthest = [], 0, -1
+    for s, e in found:
+        while at < len(base) and base[at][0] <= s:
+            furthest = max(furthest, base[at][1])
+            at += 1
+        if e > furthest:
+            out.append((s, e))
+    return out
+
+
 def scan_text(text: str | None) -> list[Span]:
     """All spans of a text, by start, then kind in the order of ``KINDS``."""
     if not text:
         return []
     data = text.encode("utf-8", "surrogatepass")
     base = base_spans(data)
-    taken = [(s, e) for s, e, _ in base]
-    extra = [(s, e, 3) for s, e in lexed_spans(data) if not any(a <= s and e <= b for a, b in taken)]
+    extra = [(s, e, 3) for s, e in outside(lexed_spans(data), base)]
     spans = sorted(base + extra, key=lambda s: (s[0], s[2]))
     if not spans:
         return []
