@@ -8,13 +8,17 @@ lines decides whether the document stays.
 
 The CRF is fitted on at most ``TRAIN_DOCS`` labelled documents (those with the
 smallest hash of their id, so the choice does not depend on partitioning);
-lines take their document's label. Features are computed in Spark tasks, the
-bounded sample is fitted by gradient ascent on the driver and its few weights
-travel with the scoring function. Without labels of both classes the weights
-``PRIOR`` are used. Scoring is one pass without shuffle.
+lines take their document's label, and sequences joined from documents of both
+labels teach the transitions between the states. Features are computed in Spark
+tasks (of at most ``TRAIN_LINES`` lines a document, evenly spread segments of a longer
+one), the bounded sample is fitted by gradient ascent on the driver and its few
+weights travel with the scoring function. Without labels of both classes the weights
+``PRIOR`` are used. Scoring is one pass without shuffle over all lines of all texts.
 
 Null and empty texts have no words: all counts are zero and the base rule
-rejects them. Repeated rows each get a result.
+rejects them. Repeated rows each get a result; an empty table gives an empty one;
+very long texts are labelled line by line in memory in proportion to the text;
+other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from basketry.llm.common import WORD, map_rows, ship_package
 
 SYMBOLS = "#*$%&|<>"  # fixed value
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
-TRAIN_DOCS, SEGMENT, STEPS = 2_000, 64, 200
+TRAIN_DOCS, TRAIN_LINES, SEGMENT, STEPS = 2_000, 1_024, 64, 200
 MIN_CONTENT = 0.5
 
 FEATURES = ("bias", "bars", "symbols", "capitals", "shouting", "word_repeats", "line_repeat", "few_words", "sentence_end")
@@ -131,18 +135,34 @@ def viterbi(crf: Crf, features: np.ndarray) -> np.ndarray:
     return np.array(path[::-1])
 
 
+def joined(documents: list[tuple[np.ndarray, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sequences with a boundary: the end of each document, up to half a segment,
+    followed by the beginning of one of the other label, in turn."""
+    by = [[x for x, y in documents if y == s and len(x)] for s in (0, 1)]
+    half, out = SEGMENT // 2, []
+    for i in range(max(map(len, by)) if all(by) else 0):
+        pair = [by[s][i % len(by[s])] for s in (0, 1)]
+        for a, b in ((0, 1), (1, 0)):
+            head, tail = pair[a][-half:], pair[b][:half]
+            out.append((np.concatenate([head, tail]), np.repeat([a, b], [len(head), len(tail)])))
+    return out
+
+
 def fit(documents: list[tuple[np.ndarray, int]]) -> Crf:
-    """Maximum likelihood (with a small L2 penalty) of line states, all lines
-    of a document in its state; long documents train as several segments."""
+    """Maximum likelihood (with a small L2 penalty) of line states: documents
+    whose lines all have their label, and joined ones that show the way from one
+    state to the other; each of the three kinds weighs a third. Long documents
+    train as several segments."""
     if len({y for _, y in documents}) < 2:
         return PRIOR
-    parts = [(x[i:i + SEGMENT], y) for x, y in documents for i in range(0, len(x), SEGMENT)]
+    parts = [(x[i:i + SEGMENT], np.full(len(x[i:i + SEGMENT]), y), y) for x, y in documents for i in range(0, len(x), SEGMENT)]
+    parts += [(x, states, 2) for x, states in joined(documents)]
     n, k = len(parts), len(FEATURES)
-    xs, on = np.zeros((n, SEGMENT, k)), np.zeros((n, SEGMENT), dtype=bool)
-    for i, (x, _) in enumerate(parts):
-        xs[i, :len(x)], on[i, :len(x)] = x, True
-    y = np.array([p[1] for p in parts])
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+    xs, on, y = np.zeros((n, SEGMENT, k)), np.zeros((n, SEGMENT), dtype=bool), np.zeros((n, SEGMENT), dtype=int)
+    for i, (x, states, _) in enumerate(parts):
+        xs[i, :len(x)], on[i, :len(x)], y[i, :len(x)] = x, True, states
+    kind = np.array([p[2] for p in parts])
+    weight = (1.0 / 3) / np.maximum(1, np.bincount(kind, minlength=3))[kind]
     emit, move, first = (p.copy() for p in PRIOR)
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (emit, move, first)]
     for step in range(1, STEPS + 1):
@@ -159,7 +179,7 @@ def fit(documents: list[tuple[np.ndarray, int]]) -> Crf:
         total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
         prob = np.exp(alpha + beta - total[:, None, None]) * on[:, :, None]
         gold = np.zeros_like(prob)
-        gold[np.arange(n), :, y] = on
+        gold[np.arange(n)[:, None], np.arange(SEGMENT), y] = on
         diff = (gold - prob) * weight[:, None, None]
         g_emit = np.einsum("nts,ntk->sk", diff, xs)
         g_first = diff[:, 0].sum(axis=0)
@@ -167,8 +187,7 @@ def fit(documents: list[tuple[np.ndarray, int]]) -> Crf:
         pair = alpha[:, :-1, :, None] + move + (score[:, 1:] + beta[:, 1:])[:, :, None, :] - total[:, None, None, None]
         expected = (np.exp(np.where(both[:, :, None, None], pair, -np.inf)) * weight[:, None, None, None]).sum(axis=(0, 1))
         seen = np.zeros((2, 2))
-        for s in (0, 1):
-            seen[s, s] = (both.sum(axis=1) * weight)[y == s].sum()
+        np.add.at(seen, (y[:, :-1][both], y[:, 1:][both]), np.broadcast_to(weight[:, None], both.shape)[both])
         grads = (g_emit - 1e-3 * emit, (seen - expected) / SEGMENT - 1e-3 * move, g_first - 1e-3 * first)
         for p, g, (m, v) in zip((emit, move, first), grads, moments):
             m += 0.1 * (g - m)
@@ -177,6 +196,14 @@ def fit(documents: list[tuple[np.ndarray, int]]) -> Crf:
     return Crf(emit, move, first)
 
 
+def some_segments(features: np.ndarray) -> np.ndarray:
+    """All lines of a training document, or evenly spread segments of a very long one."""
+    if len(features) <= TRAIN_LINES:
+        return features
+    starts = np.linspace(0, len(features) - SEGMENT, TRAIN_LINES // SEGMENT).astype(int)
+    return np.concatenate([features[s:s + SEGMENT] for s in starts])
+
+
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_docs: int = TRAIN_DOCS) -> Crf:
     """Fit on at most ``max_docs`` labelled documents; the chosen ids are a
@@ -188,8 +215,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     def make():
         def step(ys, docs):
-            feats = [np.array(read_lines(t).features, dtype="<f4").tobytes() for t in docs]
-            return [ys, feats]
+            return [ys, [some_segments(np.array(read_lines(t).features, dtype="<f4")).tobytes() for t in docs]]
         return step
 
     rows = map_rows(texts, ["_label", text_col], "label int, features binary", make).collect()
