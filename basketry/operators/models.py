@@ -292,11 +292,12 @@ def refit_champion(results: DataFrame, train: DataFrame, test: DataFrame, prepro
 
 
 def champion_selection(results: DataFrame) -> DataFrame:
-    """Candidates ranked by mean PR-AUC desc, then fold std asc."""
+    """Candidates ranked by mean PR-AUC desc, then fold std asc. Both are
+    compared to 12 digits, so equal candidates tie whatever the order of the sums."""
     g = results.groupBy("model", "candidate", "params").agg(F.avg("pr_auc").alias("mean_pr_auc"),
                                                              F.stddev_samp("pr_auc").alias("std_pr_auc"),
                                                              F.count("pr_auc").alias("n_folds"))
-    w = Window.orderBy(F.desc("mean_pr_auc"), F.asc("std_pr_auc"), F.asc("model"), F.asc("candidate"))
+    w = Window.orderBy(F.desc(F.round("mean_pr_auc", 12)), F.asc(F.round("std_pr_auc", 12)), F.asc("model"), F.asc("candidate"))
     return g.withColumn("rank", F.row_number().over(w))
 
 
