@@ -4,6 +4,7 @@ intermediate tables in the cluster's shared folder."""
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import os
 import re
 import tempfile
@@ -66,9 +67,14 @@ def when_leaving(tables: str, forget: Callable[[], None]) -> None:
 
 
 def leave_others(tables: str | None = None) -> None:
+    """Drop the tables of other operators and give freed memory back to the
+    system, which allocators otherwise keep for the life of the worker."""
     for name, forget in _LEAVING.items():
         if name != tables:
             forget()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only the GNU C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable],
