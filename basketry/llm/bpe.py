@@ -28,7 +28,7 @@ from basketry.llm.common import map_rows, when_leaving
 
 # Fixed value: the split pattern of this family of vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CHUNK_ENTRIES, WORD_ENTRIES = 300_000, 200_000
+CHUNK_ENTRIES, WORD_ENTRIES = 200_000, 130_000
 LONGEST_KEPT = 40  # longer pieces are encoded each time, so the tables stay small
 _SPACE_THEN_SPACE = re.compile(r" [\s\x1c-\x1f\x85]")
 
