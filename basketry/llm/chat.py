@@ -8,7 +8,10 @@
    joins and n rows, and texts take no part.
 3. Rank: a path's score is the mean of its messages'; a tree's paths are ranked by
    score, then by their leaf, and the first ``paths_per_tree`` are formatted.
-4. Format: every turn is ``<|im_start|>role<|im_sep|>text<|im_end|>``. Control
+4. Trees: the texts of a tree move once, to the task of their tree, where paths
+   pick them up and are put together. A tree whose paths could hold more than
+   ``TREE_BYTES`` has its messages spread by message, then by path, instead.
+5. Format: every turn is ``<|im_start|>role<|im_sep|>text<|im_end|>``. Control
    strings inside a role or text get a backslash behind their first character (one
    more if they have some already), so no mark can come from a text and each is
    undone exactly. ``loss`` holds per turn where the turn starts and which code
@@ -25,10 +28,12 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import Workspace
+from basketry.llm.common import Workspace, co_partitioned
 
 # Marks of the template, and strings that no text may hold raw.
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -39,6 +44,7 @@ PROBE_ID, PROBE_TEXT = -1, "</s>[INST] ok [/INST]"
 
 TURNS_PER_PART = 512
 LEAF_BUCKETS = 64
+TREE_BYTES, MESSAGE_BYTES = 8 << 20, 64  # of all paths of a tree in one task; of a message besides its texts
 # any control string (or one with the other opening bracket), with any number of backslashes behind its first character
 _TAIL = r"\\*(?:" + "|".join(re.escape(c[1:]) for c in CONTROL) + ")"
 _RAW, _ESCAPED = rf"([<\[])({_TAIL})", rf"([<\[])\\({_TAIL})"
@@ -136,16 +142,60 @@ def format_paths(messages: DataFrame, work: Workspace, paths_per_tree: int | Non
     leaf): ``tree, leaf, rank, formatted`` and ``loss``, per turn ``(start,
     loss_start, loss_end)`` in code points of ``formatted``, ends exclusive
     (start and end are equal where nothing is under the mask). ``messages`` holds
-    each message once (``one_per_message``)."""
+    each message once (``one_per_message``); the result is a written table."""
     paths = leaf_paths(messages, work)
     if paths_per_tree is None:
         paths = paths.withColumn("rank", F.lit(None).cast("int"))
     else:
         paths = paths.join(work.save(best_leaves(paths, messages, paths_per_tree), "best"), ["key", "leaf"])
-    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    said = messages.select(_key(), "node", (role == trained).alias("under"),
-                           F.concat(F.lit(START), escape(role), F.lit(SEP)).alias("opening"), escape(text).alias("body"))
-    turns = paths.join(said, ["key", "node"])
+    said = messages.select(_key(), "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    return _write(said, paths, lambda rows: rows.repartition("key"), lambda rows: rows, work, trained)
+
+
+def format_conversations(turns: DataFrame, work: Workspace, trained: str = TRAINED, conv: str = "conv_id", turn: str = "turn",
+                         role: str = "role", text: str = "text") -> DataFrame:
+    """What ``format_paths`` makes of ``as_messages(turns)``. Paths only need the
+    places of rows, so they come from rows without their texts, and the texts are
+    numbered in the task of their tree."""
+    rows = turns.select(F.struct(F.col(conv).alias("tree")).alias("key"), F.col(turn).alias("turn"),
+                        F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+    places = as_messages(rows.select("key.tree", "turn", F.lit("").alias("role"), F.lit("").alias("text")), conv="tree")
+    paths = leaf_paths(work.save(places.select("tree", "node", "parent"), "places"), work).withColumn("rank", F.lit(None).cast("int"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.asc_nulls_first("turn"), "role", "text"))
+
+    def in_one_task(some: DataFrame) -> DataFrame:
+        return some.select("key", place.cast("long").alias("node"), "role", "text")
+
+    def in_parts(some: DataFrame) -> DataFrame:
+        return as_messages(some.select("key.tree", "turn", "role", "text"), conv="tree").select(_key(), "node", "role", "text")
+
+    return _write(rows, paths, in_one_task, in_parts, work, trained)
+
+
+def _write(rows: DataFrame, paths: DataFrame, in_one_task: Callable[[DataFrame], DataFrame],
+           in_parts: Callable[[DataFrame], DataFrame], work: Workspace, trained: str) -> DataFrame:
+    """``paths`` formatted with the messages that ``in_one_task`` makes of ``rows``
+    (by ``key``), or ``in_parts`` where a tree's paths could hold more than ``TREE_BYTES``."""
+    room = F.sum(F.octet_length("role") + F.octet_length("text") + F.lit(MESSAGE_BYTES).cast("long"))
+    leaves = paths.where("above = 0").groupBy("key").agg(F.count(F.lit(1)).alias("leaves"))
+    large = work.save(rows.groupBy("key").agg(room.alias("room")).join(leaves, "key", "left")
+                      .where(F.col("room") * F.coalesce("leaves", F.lit(1)) > TREE_BYTES).select("key"), "large")
+    if large.isEmpty():
+        made = _put_together(in_one_task(rows), paths, trained)
+    else:
+        small, big = (_put_together(make(rows.join(large, "key", how)), paths.join(large, "key", how), trained)
+                      for make, how in ((in_one_task, "left_anti"), (in_parts, "left_semi")))
+        made = small.unionByName(big)
+    with co_partitioned(work.spark):  # a tree's texts stay where they are when its paths join them
+        formatted = work.save(made, "formatted")
+    work.drop("large", "places", "best", "paths-0")
+    return formatted
+
+
+def _put_together(messages: DataFrame, paths: DataFrame, trained: str) -> DataFrame:
+    said = messages.select("key", "node", (F.col("role") == trained).alias("under"),
+                           F.concat(F.lit(START), escape(F.col("role")), F.lit(SEP)).alias("opening"), escape(F.col("text")).alias("body"))
+    turns = said.join(paths, ["key", "node"])
     size = F.length("opening") + F.length("body") + len(END)
     in_order = Window.partitionBy("key", "leaf").orderBy(F.desc("above")).rowsBetween(Window.unboundedPreceding, -1)
     placed = turns.withColumn("start", F.coalesce(F.sum(size.cast("long")).over(in_order), F.lit(0)).cast("long"))

@@ -25,6 +25,7 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+CO_PARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,17 +140,27 @@ class Workspace:
 
 
 @contextlib.contextmanager
-def released_shuffles(spark: SparkSession):
-    """Spark deletes the shuffle files of each execution inside when it ends."""
-    before = spark.conf.get(CLEANUP_CONF, None)
-    spark.conf.set(CLEANUP_CONF, "true")
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(CLEANUP_CONF)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(CLEANUP_CONF, before)
+            spark.conf.set(name, before)
+
+
+def released_shuffles(spark: SparkSession):
+    """Spark deletes the shuffle files of each execution inside when it ends."""
+    return _setting(spark, CLEANUP_CONF, "true")
+
+
+def co_partitioned(spark: SparkSession):
+    """A side that is hashed by some of the join keys already is not shuffled
+    again by all of them; the other side comes to it."""
+    return _setting(spark, CO_PARTITION_CONF, "false")
 
 
 def partitions(spark: SparkSession) -> int:

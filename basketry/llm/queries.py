@@ -121,9 +121,7 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted and read back from its format."""
     work = Workspace(spark, "op12")
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    messages = work.save(chat.as_messages(turns.unionByName(chat.probe(spark))), "messages")
-    formatted = work.save(chat.format_paths(messages, work), "formatted")
-    work.drop("messages", "paths-0")
+    formatted = chat.format_conversations(turns.unionByName(chat.probe(spark)), work)
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return chat.read_back(formatted).select(
         F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),

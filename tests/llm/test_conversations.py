@@ -117,6 +117,37 @@ def test_chat_against_brute_force(spark, work, turns):
             assert [m == "" for m in masked] == [s == "" for s in said]
 
 
+@pytest.mark.parametrize("room", [0, 3_000])
+def test_trees_in_one_task_and_in_parts(spark, work, turns, room, monkeypatch):
+    monkeypatch.setattr(chat, "TREE_BYTES", room)
+    both = turns_frame(spark, turns).select("conv_id", "turn", "role", "text").unionByName(chat.probe(spark))
+    read = chat.read_back(chat.format_conversations(both.repartition(5, "text"), work)).collect()
+    got = [(r.tree, len(r.turns), brute.sha("".join(f"{t.role}\n{t.text}\n" for t in r.turns)), len(r.masked), brute.sha(r.masked)) for r in read]
+    assert Counter(got) == Counter(brute.chat(turns))
+    rows = [(1, 1, None, "user", "root", 0.0), *[(1, k, 1, "assistant", f"reply {k}", float(k)) for k in range(2, 40)],
+            *[(2, k, k - 1, "user", "x" * 50, None) for k in range(1, 60)], (None, 1, None, "user", "alone", 0.0)]
+    trees = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
+    made = chat.read_back(chat.format_paths(trees, chat.Workspace(spark, "trees"), paths_per_tree=30)).collect()
+    assert {(r.tree, r.rank): tuple(t.text for t in r.turns) for r in made} == {
+        **{(1, k): ("root", f"reply {40 - k}") for k in range(1, 31)}, (2, 1): ("x" * 50,) * 59, (None, 1): ("alone",)}
+
+
+def test_texts_of_small_trees_move_once(spark, work, turns, monkeypatch):
+    plans = []
+    real = chat.Workspace.save
+
+    def noting(self, df, name, *more):
+        if name == "formatted":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(self, df, name, *more)
+
+    monkeypatch.setattr(chat.Workspace, "save", noting)
+    chat.format_conversations(turns_frame(spark, turns).repartition(5), work)
+    # the fixture's own repartition, the texts to their trees, the paths (without texts) to the same tasks
+    assert sum("Exchange" in line and "hashpartitioning(key" in line for line in plans[0].split("\n")) <= 2, plans[0]
+    assert "leaf" not in "".join(x for x in plans[0].split("\n") if "Exchange hashpartitioning" in x)
+
+
 def test_reply_trees_paths_and_ranks(spark, work):
     # tree 1: a -> b, c; c -> d, e (best); tree 2 has an orphan and a cycle; tree null is one message
     rows = [(1, 1, None, "user", "a", 0.0), (1, 2, 1, "assistant", "b", 0.5), (1, 3, 1, "assistant", "c", 0.2), (1, 4, 3, "user", "d", None),
@@ -132,6 +163,7 @@ def test_reply_trees_paths_and_ranks(spark, work):
 
 def test_chat_of_nothing(spark, work):
     assert chat.format_paths(chat.as_messages(turns_frame(spark, [])), work).count() == 0
+    assert chat.format_conversations(turns_frame(spark, []), chat.Workspace(spark, "nothing")).count() == 0
 
 
 def _units():
