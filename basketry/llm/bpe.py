@@ -170,6 +170,11 @@ class ByteBPE(PieceCache):
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.encode_marked(texts, self.added)
 
+    def rest_after_task(self) -> None:
+        """Drop the chunk tables, which the word tables refill quickly."""
+        for table in (self.first, self.rest):
+            table.clear()
+
     def forget(self) -> None:
         for table in (self.first, self.rest, self.words, self.older):
             table.clear()
@@ -185,7 +190,7 @@ def load(path: str) -> ByteBPE:
     """The vocabulary, read once per Python worker; its tables go when the
     worker turns to another operator."""
     bpe = ByteBPE(path)
-    when_leaving("bpe", bpe.forget)
+    when_leaving("bpe", bpe.forget, bpe.rest_after_task)
     return bpe
 
 

@@ -59,20 +59,30 @@ def words_of(text: str | None) -> list[str]:
 
 
 _LEAVING: dict[str, Callable[[], None]] = {}
+_IDLE: dict[str, Callable[[], None]] = {}
 
 
-def when_leaving(tables: str, forget: Callable[[], None]) -> None:
+def when_leaving(tables: str, forget: Callable[[], None], idle: Callable[[], None] | None = None) -> None:
     """Have this Python worker call ``forget`` before it runs a step that does
-    not use ``tables``: workers outlive operators, their memory should not."""
+    not use ``tables``: workers outlive operators, their memory should not.
+    ``idle`` is called at the end of each task: there may be more workers than
+    running tasks, and tasks go to them in turn."""
     _LEAVING[tables] = forget
+    if idle:
+        _IDLE[tables] = idle
 
 
 def leave_others(tables: str | None = None) -> None:
-    """Drop the tables of other operators and give freed memory back to the
-    system, which allocators otherwise keep for the life of the worker."""
+    """Drop the tables of other operators and give freed memory back, which
+    allocators otherwise keep for the life of the worker."""
     for name, forget in _LEAVING.items():
         if name != tables:
             forget()
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(AttributeError, OSError):  # only the GNU C library has it
         ctypes.CDLL(None).malloc_trim(0)
@@ -96,6 +106,9 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[],
                 out = step(*(part.column(i).to_pylist() for i in range(part.num_columns)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, type=f.type) for v, f in zip(out, out_schema)], schema=out_schema)
+        if tables in _IDLE:
+            _IDLE[tables]()
+            give_back()
 
     return df.select(*columns).mapInArrow(run, schema)
 
