@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from basketry.llm import (bpe, chat, fim, minhash, mixing, quality, recompress, secrets, simhash, suffix, tokenfile, toxicity,
-                          trie)
+from basketry.llm import (bpe, chat, fim, minhash, mixing, quality, recompress, secrets, simhash, sql, suffix, tokenfile,
+                          toxicity, trie)
 from basketry.llm.common import Workspace, documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -29,7 +29,7 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-@register("op1_suffix_dedup")
+@register("op1_suffix_dedup", sql.OP1)
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of repeated 200-byte strings."""
     found = suffix.repeated_bytes(documents(spark, sf_dir), Workspace(spark, "op1"))
@@ -66,7 +66,7 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)))
 
 
-@register("op6_near_duplicates")
+@register("op6_near_duplicates", sql.OP6)
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return minhash.near_duplicates(documents(spark, sf_dir), Workspace(spark, "op6"))
@@ -102,7 +102,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(documents(spark, sf_dir))
 
 
-@register("op10_recompression")
+@register("op10_recompression", sql.OP10)
 def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 50-word windows of earlier ones."""
     found = recompress.repeated_words(documents(spark, sf_dir), Workspace(spark, "op10"))
@@ -110,13 +110,13 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-@register("op11_prefix_trie")
+@register("op11_prefix_trie", sql.OP11)
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of all conversations."""
     return trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), Workspace(spark, "op11"))
 
 
-@register("op12_chat_format")
+@register("op12_chat_format", sql.OP12)
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted and read back from its format."""
     work = Workspace(spark, "op12")
@@ -128,7 +128,7 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("masked").cast("long").alias("loss_chars"), F.sha2(F.col("masked").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 
 
-@register("op13_fill_in_middle")
+@register("op13_fill_in_middle", sql.OP13)
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill-in-the-middle example of every document, and its text rebuilt."""
     return fim.restored(fim.examples(documents(spark, sf_dir)))
