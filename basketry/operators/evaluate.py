@@ -87,7 +87,7 @@ def ranking_metrics(df: DataFrame, label: str, score: str, group_by=()) -> DataF
     d = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
     g = d.groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg"))
-    ps = prefix_sum(g, "score", ["pos", "neg"], descending=True, inclusive=True, partition_by=keys)
+    ps = prefix_sum(g, "score", ["pos", "neg"], descending=True, inclusive=True, partition_by=keys, few_groups=True)
     prec = F.try_divide(F.col("cum_pos") * 1.0, F.col("cum_pos") + F.col("cum_neg"))
     n_pos, n_neg = F.sum("pos").cast("double"), F.sum("neg").cast("double")
     # negatives at or above a score count as lost, half of those tied are given back

@@ -108,7 +108,7 @@ def fit_level_table(train: DataFrame, cols: list[str]) -> DataFrame:
     from basketry.session import cut_lineage
     long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), _q(c).cast("string").alias("level")) for c in cols])).alias("r"))
     levels = long.select("r.*").filter(F.col("level").isNotNull()).distinct().withColumn("_one", F.lit(1).cast("long"))
-    ranked = prefix_sum(levels, "level", "_one", partition_by=["column_name"], inclusive=False)
+    ranked = prefix_sum(levels, "level", "_one", partition_by=["column_name"], inclusive=False, few_groups=True)
     return cut_lineage(ranked.select("column_name", "level", F.col("cum__one").cast("long").alias("level_id")))
 
 
