@@ -117,25 +117,66 @@ def level_counts(table: DataFrame) -> dict[str, int]:
     return {r["column_name"]: r["n"] for r in table.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def apply_level_vectors(df: DataFrame, cols: list[str], table: DataFrame, suffix: str = "_vec") -> DataFrame:
-    """A sparse 0/1 vector per column; unseen levels and NULL are all zeros.
+def _with_level_ids(df: DataFrame, cols: list[str], table: DataFrame) -> DataFrame:
+    """``{c}_id`` per column: the id of the row's level, NULL for unseen levels and NULL.
     Rows are joined to the level table by their text (a table of few levels is
     broadcast at run time, one of many is shuffled and its hot levels split)."""
-    from pyspark.ml.feature import OneHotEncoder
-    counts = level_counts(table)
     out = df
     for c in cols:
-        n = counts.get(c, 0)
-        ids = table.filter(F.col("column_name") == c).select(F.col("level").alias("_level"), F.col("level_id").alias("_level_id"))
-        out = out.withColumn("_level", _q(c).cast("string")).join(ids, "_level", "left")
-        out = out.withColumn(f"{c}_id", F.coalesce("_level_id", F.lit(n)).cast("double")).drop("_level", "_level_id")
-        # the encoder only has to know how many levels there are; id n stands for "none of them"
-        sizes = df.sparkSession.range(1).select(F.lit(float(max(n, 1) - 1)).alias(f"{c}_id"))
-        encoder = OneHotEncoder(inputCol=f"{c}_id", outputCol=f"{c}{suffix}", handleInvalid="keep", dropLast=True).fit(sizes)
-        out = encoder.transform(out).drop(f"{c}_id")
+        ids = table.filter(F.col("column_name") == c).select(F.col("level").alias("_level"), F.col("level_id").cast("int").alias(f"{c}_id"))
+        out = out.withColumn("_level", _q(c).cast("string")).join(ids, "_level", "left").drop("_level")
     return out
 
 
+def _sparse(size: int, entries: Column) -> Column:
+    """The fields of a sparse vector from an array of (place, value) structs in order."""
+    return F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).cast("int").alias("size"),
+                    F.transform(entries, lambda e: e["place"]).alias("indices"), F.transform(entries, lambda e: e["value"]).alias("values"))
+
+
+def _ones(ids: Column, offset: int = 0) -> Column:
+    one = F.array(F.struct((ids + F.lit(offset)).alias("place"), F.lit(1.0).alias("value")))
+    return F.when(ids.isNotNull(), one).otherwise(F.array().cast("array<struct<place:int,value:double>>"))
+
+
+def _as_vectors(df: DataFrame, names) -> DataFrame:
+    """Columns made by ``_sparse`` as vectors. Their type knows no level names: the
+    encoders of MLlib write an attribute per level into the schema, on the driver."""
+    from pyspark.ml.linalg import VectorUDT
+    schema = T.StructType([T.StructField(f.name, VectorUDT() if f.name in names else f.dataType) for f in df.schema.fields])
+
+    def same(batches):
+        yield from batches
+
+    return df.mapInArrow(same, schema)
+
+
+def apply_level_vectors(df: DataFrame, cols: list[str], table: DataFrame, suffix: str = "_vec") -> DataFrame:
+    """A sparse 0/1 vector per column; unseen levels and NULL are all zeros.
+    The driver knows how many levels there are and nothing else of them."""
+    counts = level_counts(table)
+    out = _with_level_ids(df, cols, table)
+    vectors = [_sparse(max(counts.get(c, 0), 1), _ones(F.col(f"`{c}_id`"))).alias(f"{c}{suffix}") for c in cols]
+    return _as_vectors(out.select(*[_q(c) for c in df.columns], *vectors), {f"{c}{suffix}" for c in cols})
+
+
+def vector_nonzeros(df: DataFrame, vec: str, keep, out: str = "n_nonzero") -> DataFrame:
+    """``keep`` columns and how many entries of the vector are not zero, row by row
+    (sums per entry would need buffers as long as the vector)."""
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.LongType())])
+
+    def count(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for batch in batches:
+            values = batch.column(len(keep)).field("values")
+            rows = pc.list_parent_indices(values).to_numpy()[pc.list_flatten(values).to_numpy(zero_copy_only=False) != 0]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(np.bincount(rows, minlength=batch.num_rows), pa.int64())],
+                                             names=[*keep, out])
+
+    return df.select(*keep, vec).mapInArrow(count, schema)
+
+
 def fit_levels(train: DataFrame, col: str) -> list:
     """Sorted train levels by name, for outputs that have a column per level
     (their schema holds the names; ``apply_level_vectors`` needs no names)."""
@@ -257,12 +298,27 @@ class Preprocessor:
         return [*self.numeric, *self.binary, *one_hot, *self._bins()]
 
     def assemble(self, df: DataFrame, keep=(), out: str = "features") -> DataFrame:
-        from pyspark.ml.feature import VectorAssembler
         t = self._filled(df)
+        counts = level_counts(self.level_table) if self.categorical else {}
         if self.categorical:
-            t = apply_level_vectors(t, self.categorical, self.level_table)
-        inputs = [*self.numeric, *self.binary, *[f"{c}_vec" for c in self.categorical], *self._bins()]
-        return VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep").transform(t).select(*keep, out)
+            t = _with_level_ids(t, self.categorical, self.level_table)
+        plain, size, parts = [*self.numeric, *self.binary], 0, []
+
+        def numbers(cols):
+            entries = F.array(*[F.struct(F.lit(size + i).alias("place"), F.coalesce(_q(c).cast("double"), F.lit(float("nan"))).alias("value"))
+                                for i, c in enumerate(cols)])
+            return F.filter(entries, lambda e: e["value"] != 0.0)
+
+        if plain:
+            parts.append(numbers(plain))
+        size += len(plain)
+        for c in self.categorical:
+            parts.append(_ones(F.col(f"`{c}_id`"), size))
+            size += max(counts.get(c, 0), 1)
+        if self.quantile:
+            parts.append(numbers(self._bins()))
+        size += len(self._bins())
+        return _as_vectors(t.select(*keep, _sparse(size, F.concat(*parts)).alias(out)), {out})
 
     def save(self, spark: SparkSession, path: str):
         """Persist the fitted state: numbers as one JSON row, levels as a table."""

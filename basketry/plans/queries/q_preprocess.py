@@ -1,6 +1,5 @@
 """Queries for §2.15 preprocessing (fit on train, apply anywhere)."""
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from basketry.operators import preprocess as pp
@@ -142,14 +141,13 @@ SELECT is_train, count(*) AS n_rows, (SELECT count(*) FROM lv) AS n_levels, coun
 def q_level_vectors(spark, sf):
     """Sparse vectors over a column with a level for almost every row (the
     order value as text), from the fitted level table."""
-    from pyspark.ml.stat import Summarizer
     d = split_frame(spark, sf).select("is_train", F.col("o_totalprice").cast("string").alias("price_text"))
     levels = pp.fit_level_table(d.filter("is_train"), ["price_text"])
     out = pp.apply_level_vectors(d, ["price_text"], levels)
     n = pp.level_counts(levels)["price_text"]
-    hits = out.groupBy("is_train").agg(F.count(F.lit(1)).alias("n_rows"), Summarizer.numNonZeros(F.col("price_text_vec")).alias("_ones"))
-    total = F.aggregate(vector_to_array("_ones"), F.lit(0.0), lambda a, x: a + x)
-    return hits.select("is_train", "n_rows", F.lit(n).cast("long").alias("n_levels"), total.cast("long").alias("n_ones"))
+    ones = pp.vector_nonzeros(out, "price_text_vec", ["is_train"])
+    hits = ones.groupBy("is_train").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n_nonzero").alias("n_ones"))
+    return hits.select("is_train", "n_rows", F.lit(n).cast("long").alias("n_levels"), "n_ones")
 
 
 @register("pca_95", SPLIT_SQL + """,

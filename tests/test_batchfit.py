@@ -312,3 +312,22 @@ def test_sources_keep_what_is_known_too_late_out(spark):
         DailySource("visits", "event", "known_now", events, "when", {"visits": F.count(F.lit(1))})
     with pytest.raises(ValueError, match="different columns"):
         build_daily_model(target, "d", ["y"], [sources[0], sources[0]])
+
+
+def test_level_vectors_keep_level_names_off_the_schema(spark):
+    """A column with many levels: vectors of that size, no attribute a level."""
+    from basketry.operators import preprocess
+    d = spark.range(50_000).select("id", F.col("id").cast("string").alias("c"))
+    levels = preprocess.fit_level_table(d.filter("id < 40000"), ["c"])
+    out = preprocess.apply_level_vectors(d, ["c"], levels)
+    assert len(out.schema.json()) < 2000
+    ones = preprocess.vector_nonzeros(out, "c_vec", ["id"])
+    assert ones.filter((F.col("id") < 40_000) != (F.col("n_nonzero") == 1)).count() == 0 and ones.count() == 50_000
+    assert out.first()["c_vec"].size == 40_000
+
+
+def test_level_vectors_without_any_level_are_zero(spark):
+    from basketry.operators import preprocess
+    d = spark.createDataFrame([(1, None), (2, "a")], "id int, c string")
+    out = preprocess.apply_level_vectors(d, ["c"], preprocess.fit_level_table(d.filter("id = 1"), ["c"]))
+    assert [r["n_nonzero"] for r in preprocess.vector_nonzeros(out, "c_vec", ["id"]).collect()] == [0, 0]
