@@ -29,6 +29,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.session import cut_lineage
+
 
 def task_sums(df: DataFrame, start: Callable[[], object], add: Callable[[object, pa.RecordBatch], None],
               sums: Callable[[object], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
@@ -225,12 +227,24 @@ def _deviation(moments: np.ndarray) -> np.ndarray:
     return np.sqrt(spread)
 
 
+def equal_rows(df: DataFrame, columns: list[str], weight: str) -> DataFrame:
+    """``df`` with one row per distinct values of ``columns`` and ``weight``, which
+    becomes the sum of the weights: the same rows for every weighted loss, in a
+    checkpoint that each step of a fit reads."""
+    groups = df.groupBy(*[F.col(f"`{c}`") for c in columns], F.col(f"`{weight}`")).agg(F.count(F.lit(1)).alias("_n"))
+    return cut_lineage(groups.withColumn(weight, F.col(f"`{weight}`") * F.col("_n")).drop("_n"))
+
+
 def batch_logistic(rows: DataFrame, columns: dict[int, list[str]], candidates: list[dict], max_iter: int = 50,
-                   tol: float = 1e-10) -> dict[tuple[int, int], LogisticFit]:
+                   tol: float = 1e-10, merge_equal: bool = False) -> dict[tuple[int, int], LogisticFit]:
     """Fits of every candidate (``regParam``, optional ``features``: a subset of the
     fold's columns) on every fold of ``rows`` (``long_folds``). One scan for the
-    moments, one per Newton step; a step that raises the objective is halved."""
+    moments, one per Newton step; a step that raises the objective is halved.
+    ``merge_equal``: the steps read a table of distinct rows with summed weights (for
+    few columns; its rows are shuffled once)."""
     moments = _moments(rows, {f: len(c) for f, c in columns.items()})
+    if merge_equal:
+        rows = equal_rows(rows, ["fold", "label", "x"], "weight").select("fold", "label", "weight", "x")
     pairs = {}
     for ci, candidate in enumerate(candidates):
         for f, names in columns.items():

@@ -237,12 +237,15 @@ def family_wrapper(df: DataFrame, date_col: str, target: str, base: list[str], f
 
 
 def dual_model_wrapper(folds, base: list[str], candidates: list[str], label: str, weight: str | None = None,
-                       max_parallel: int = 4) -> DataFrame:
+                       max_parallel: int = 4, merge_equal: bool = False) -> DataFrame:
     """Per model (logistic, boosted trees), candidate and fold the PR-AUC and
     ROC-AUC of the baseline features and of the baseline with the candidate.
     ``folds`` are ``(fold, train, validation)`` with all features and the weight.
-    All logistic fits are made together, the boosted ones ``max_parallel`` at a time."""
-    from basketry.operators.batchfit import batch_logistic, batch_scores, long_folds, run_trials
+    All logistic fits are made together, the boosted ones ``max_parallel`` at a time.
+    ``merge_equal`` (for features of few values each): both models minimise weighted
+    sums over rows, so train rows that agree in the features and label of a fit enter
+    it as one row with their weights summed."""
+    from basketry.operators.batchfit import batch_logistic, batch_scores, equal_rows, long_folds, run_trials
     from basketry.operators.evaluate import ranking_metrics
     from basketry.operators.models import assemble, gbt_classifier, positive_probability
     columns = list(dict.fromkeys([*base, *candidates]))
@@ -250,13 +253,17 @@ def dual_model_wrapper(folds, base: list[str], candidates: list[str], label: str
     prepared = [(fold, train, valid, columns) for fold, train, valid, *_ in folds]
     rows, by_fold = long_folds(prepared, label, weight)
     valid, _ = long_folds(prepared, label, None, role="validation")
-    fits = batch_logistic(rows, by_fold, [{"features": s} for s in sets])
+    fits = batch_logistic(rows, by_fold, [{"features": s} for s in sets], merge_equal=merge_equal)
     scored = ranking_metrics(batch_scores(valid, fits), "label", "score", ["candidate", "fold"])
     found = {("logistic", r["candidate"], r["fold"]): (r["pr_auc"], r["roc_auc"]) for r in scored.collect()}
 
     def boosted(features, train, valid):
         def run():
-            model = gbt_classifier(train, features, label, weight, maxIter=10, maxDepth=3)
+            rows, w = train, weight
+            if merge_equal:
+                w = weight or "_weight"
+                rows = equal_rows(train if weight else train.withColumn(w, F.lit(1.0)), [*features, label], w)
+            model = gbt_classifier(rows, features, label, w, maxIter=10, maxDepth=3)
             r = ranking_metrics(positive_probability(model.transform(assemble(valid, features))), label, "probability_1").first()
             return r["pr_auc"], r["roc_auc"]
         return run

@@ -301,8 +301,10 @@ SELECT m AS model, f AS feature, fold, round(ap, 9) AS baseline_pr_auc, round(CA
        CASE WHEN f = 'answer' THEN 1.0 END AS roc_auc FROM ap, (VALUES ('logistic'), ('gbt')) t(m), (VALUES ('answer'), ('constant'), ('same_as_base')) u(f)""")
 def q_dual_model_planted(spark, sf):
     """Planted candidates: the label itself ranks perfectly, a constant and a
-    copy of the baseline change nothing; the baseline's AP follows from counts."""
-    deltas = gv.dual_model_wrapper(_wrapper_folds(spark, sf, True), WRAPPER_BASE, ["answer", "constant", "same_as_base"], "label", "weight")
+    copy of the baseline change nothing; the baseline's AP follows from counts. All
+    of them are 0/1 flags, so the fits read a few distinct rows with summed weights."""
+    deltas = gv.dual_model_wrapper(_wrapper_folds(spark, sf, True), WRAPPER_BASE, ["answer", "constant", "same_as_base"], "label", "weight",
+                                   merge_equal=True)
     return tidy(deltas.select("model", "feature", "fold", "baseline_pr_auc", "pr_auc", F.when(F.col("feature") == "answer", F.col("roc_auc")).alias("roc_auc")))
 
 

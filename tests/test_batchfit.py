@@ -331,3 +331,33 @@ def test_level_vectors_without_any_level_are_zero(spark):
     d = spark.createDataFrame([(1, None), (2, "a")], "id int, c string")
     out = preprocess.apply_level_vectors(d, ["c"], preprocess.fit_level_table(d.filter("id = 1"), ["c"]))
     assert [r["n_nonzero"] for r in preprocess.vector_nonzeros(out, "c_vec", ["id"]).collect()] == [0, 0]
+
+
+def test_merged_equal_rows_give_the_same_fits(spark):
+    """Distinct rows with summed weights: same coefficients and trees, few rows."""
+    rng = np.random.default_rng(5)
+    rows = [(int(a), float(rng.integers(0, 4)), int(rng.random() < 0.3 + 0.3 * a), 1.0) for a in rng.integers(0, 2, 900)]
+    df = spark.createDataFrame(rows, "a int, b double, label int, weight double").withColumn("weight", F.when(F.col("label") == 1, 1.7).otherwise(0.8))
+    merged = batchfit.equal_rows(df, ["a", "b", "label"], "weight")
+    assert merged.count() <= 16
+    total = df.agg(F.sum("weight")).first()[0]
+    assert abs(merged.agg(F.sum("weight")).first()[0] - total) < 1e-9
+    long, columns = batchfit.long_folds([(1, df, df, ["a", "b"])], "label", "weight")
+    plain, few = (batchfit.batch_logistic(long, columns, [{}], merge_equal=m)[0, 1] for m in (False, True))
+    assert np.allclose(plain.coefficients, few.coefficients, atol=1e-9) and abs(plain.intercept - few.intercept) < 1e-9
+    p, m = (models.gbt_classifier(x, ["a", "b"], "label", "weight", maxIter=5, maxDepth=3) for x in (df, merged))
+    probe = models.assemble(df.select("a", "b").distinct(), ["a", "b"])
+    both = models.positive_probability(p.transform(probe)).select("a", "b", F.col("probability_1").alias("p")).join(
+        models.positive_probability(m.transform(probe)).select("a", "b", F.col("probability_1").alias("m")), ["a", "b"])
+    assert both.filter(F.abs(F.col("p") - F.col("m")) > 1e-9).count() == 0
+
+
+def test_wrapper_steps_read_distinct_rows(spark, monkeypatch):
+    """The Newton scans of the wrapper see a row per distinct values, not per order."""
+    seen = []
+    real = batchfit._newton_sums
+    monkeypatch.setattr(batchfit, "_newton_sums", lambda rows, active: (seen.append(rows.count()), real(rows, active))[1])
+    df = spark.range(400).select(F.col("id").alias("i"), (F.col("id") % 2).cast("double").alias("base"), (F.col("id") % 3 == 0).cast("double").alias("c"),
+                                 (F.col("id") % 5 < 2).cast("int").alias("label"), F.lit(1.0).alias("weight"))
+    govern.dual_model_wrapper([(1, df.filter("i < 300"), df.filter("i >= 300"))], ["base"], ["c"], "label", "weight", merge_equal=True).count()
+    assert seen and max(seen) <= 8
