@@ -160,8 +160,10 @@ def nested_order_features(orders: DataFrame, products: DataFrame, multihot: dict
     lower-cased with an ``unknown`` default; quantities clamped at 0; payment
     falls back to gross − discount; ratio clamped to [0, 1]. Item product
     keys are normalised and categories looked up (explode + join + one
-    aggregate back to the order)."""
+    aggregate back to the order). Orders and their item keys are checkpointed before
+    that, so that what makes them (joins, parsing) runs once, not once per branch."""
     from basketry.operators.clean import coalesce_default_clean, coalesce_nonneg
+    from basketry.session import cut_lineage
     o = orders.select(
         "order_id", F.to_date(F.col("order_date")).alias("order_date"),
         F.coalesce("customer_id", "customer.customer_id").alias("customer_id"),
@@ -185,9 +187,11 @@ def nested_order_features(orders: DataFrame, products: DataFrame, multihot: dict
                      ratio.alias("discount_ratio"), log1p_clip(pay).alias("log_payment_value"), "payment_method", "device_type",
                      "segment", tenure_group(tenure, "serve").alias("tenure_group"),
                      flag(ieq("payment_method", cash_value)).alias("is_cash"), flag(ratio > 0).alias("is_discounted"),
-                     pay.alias("payment_value"))
+                     pay.alias("payment_value"), F.transform("items", lambda x: x["product_id"]).alias("_keys"))
+    cut = cut_lineage(feats)
+    feats = cut.drop("_keys")
     # categories of the items: explode + lookup + back to the order
-    ex = o.select("order_id", F.explode("items").alias("it")).select("order_id", F.col("it.product_id").alias("product_key"))
+    ex = cut.select("order_id", F.explode("_keys").alias("product_key"))
     lk = products.select(F.col("product_id").cast("string").alias("product_key"), *multihot.keys())
     en = lookup_enrich(ex, lk, "product_key", list(multihot.keys()))
     mh = en.groupBy("order_id").agg(*[F.max(F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0))).alias(f"{c}_{slugify(v)}")
