@@ -9,6 +9,8 @@
   a scan sums their gradients and Hessians, the small systems are solved on the
   driver, converged pairs drop out. The objective is MLlib's: mean weighted log loss
   plus a ridge penalty on standardised coefficients.
+* ``bin_cells`` - trees only see bins of columns, so rows are counted by the bins of
+  every (set of columns, fold) in one scan and trees are fitted and scored on cells.
 * ``run_trials`` - a bounded pool for fits that have to be jobs of their own; the
   first failure cancels the jobs of the others.
 
@@ -236,12 +238,13 @@ def equal_rows(df: DataFrame, columns: list[str], weight: str) -> DataFrame:
 
 
 def batch_logistic(rows: DataFrame, columns: dict[int, list[str]], candidates: list[dict], max_iter: int = 50,
-                   tol: float = 1e-10, merge_equal: bool = False) -> dict[tuple[int, int], LogisticFit]:
+                   tol: float = 1e-10, merge_equal: bool = False, first_rows: dict[int, "FoldRows"] | None = None) -> dict[tuple[int, int], LogisticFit]:
     """Fits of every candidate (``regParam``, optional ``features``: a subset of the
     fold's columns) on every fold of ``rows`` (``long_folds``). One scan for the
     moments, one per Newton step; a step that raises the objective is halved.
     ``merge_equal``: the steps read a table of distinct rows with summed weights (for
-    few columns; its rows are shuffled once)."""
+    few columns; its rows are shuffled once). ``first_rows`` (``fold_rows``) only say
+    where the steps begin; all rows decide where they end."""
     moments = _moments(rows, {f: len(c) for f, c in columns.items()})
     if merge_equal:
         rows = equal_rows(rows, ["fold", "label", "x"], "weight").select("fold", "label", "weight", "x")
@@ -255,6 +258,8 @@ def batch_logistic(rows: DataFrame, columns: dict[int, list[str]], candidates: l
             use = [i for i, n in enumerate(names) if n in wanted and deviation[i] > 0]  # constant columns keep 0
             pairs[ci, f] = {"use": use, "penalty": float(candidate.get("regParam", 0.0)) * np.concatenate([[0.0], deviation[use] ** 2]),
                             "beta": np.zeros(len(use) + 1), "step": None, "loss": np.inf, "w": moments[f][0], "iterations": 0, "done": False}
+            if first_rows and f in first_rows:
+                pairs[ci, f]["beta"] = _begin(pairs[ci, f], first_rows[f], tol)
 
     for _ in range(max_iter):
         active = {k: (p["use"], p["beta"]) for k, p in pairs.items() if not p["done"]}
@@ -270,18 +275,36 @@ def batch_logistic(rows: DataFrame, columns: dict[int, list[str]], candidates: l
     return out
 
 
+def _loss_sums(y: np.ndarray, w: np.ndarray, x: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    """Loss, gradient and Hessian of these rows."""
+    xs = np.column_stack([np.ones(len(y)), x])
+    z = xs @ beta
+    p = 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
+    loss = (w * (np.logaddexp(0.0, z) - y * z)).sum()
+    hessian = xs.T @ (xs * (w * p * (1.0 - p))[:, None])
+    return np.concatenate([[loss], xs.T @ (w * (p - y)), hessian.ravel()])
+
+
+def _begin(pair: dict, rows: "FoldRows", tol: float) -> np.ndarray:
+    """Coefficients fitted on a few rows of the fold, zeros if that does not converge."""
+    trial = {**pair, "w": rows.weight.sum(), "beta": pair["beta"].copy()}
+    x = rows.x[:, pair["use"]]
+    for _ in range(20):
+        if not trial["w"] > 0 or not np.isfinite(trial["beta"]).all():
+            break
+        _advance(trial, _loss_sums(rows.label, rows.weight, x, trial["beta"]), tol)
+        if trial["done"]:
+            return trial["beta"]
+    return pair["beta"]
+
+
 def _newton_sums(rows: DataFrame, active: dict) -> dict[tuple[int, int], np.ndarray]:
     """Per pair: loss, gradient and Hessian at its coefficients."""
     def add(state, batch):
         for f, y, w, x in _by_fold(batch):
             for (ci, g), (use, beta) in active.items():
                 if g == f:
-                    xs = np.column_stack([np.ones(len(y)), x[:, use]])
-                    z = xs @ beta
-                    p = 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
-                    loss = (w * (np.logaddexp(0.0, z) - y * z)).sum()
-                    hessian = xs.T @ (xs * (w * p * (1.0 - p))[:, None])
-                    state[ci, g] += np.concatenate([[loss], xs.T @ (w * (p - y)), hessian.ravel()])
+                    state[ci, g] += _loss_sums(y, w, x[:, use], beta)
 
     sums = task_sums(rows, lambda: {k: np.zeros(1 + len(b) + len(b) ** 2) for k, (_, b) in active.items()}, add,
                      lambda s: {f"{ci}|{f}": v for (ci, f), v in s.items()})
@@ -321,6 +344,80 @@ def batch_scores(rows: DataFrame, fits: dict[tuple[int, int], LogisticFit]) -> D
     return rows.mapInArrow(run, "candidate int, fold int, label int, score double")
 
 
+# ------------------------------------------------------------- cells of binned rows
+
+@dataclass
+class FoldRows:
+    """Rows of a fold on the driver, the share of the fold that they are and its size."""
+    label: np.ndarray
+    weight: np.ndarray
+    x: np.ndarray
+    share: float
+    n: int
+
+
+def fold_rows(rows: DataFrame, at_most: int = 10_000, seed: int = 42) -> dict[int, FoldRows]:
+    """About ``at_most`` rows of every fold (all of a smaller one). They propose split
+    points and where Newton steps begin, nothing else: sums are over all rows."""
+    sizes = {r["fold"]: r["n"] for r in rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return {}
+    share = {f: min(1.0, at_most / n) for f, n in sizes.items()}
+    wanted = F.element_at(F.create_map(*[F.lit(v) for f in sizes for v in (f, share[f])]), F.col("fold"))
+    picked = rows.filter((wanted >= 1.0) | (F.rand(seed) < wanted)).select("fold", "label", "weight", "x").toArrow()
+    return {f: FoldRows(y, w, x, share[f], sizes[f]) for batch in picked.combine_chunks().to_batches() for f, y, w, x in _by_fold(batch)}
+
+
+def split_points(sample: FoldRows, max_bins: int = 32) -> list[np.ndarray]:
+    """Per column the thresholds that MLlib's trees choose from: midpoints of all its
+    values, or of every ``max_bins``-th part of the weight where it has more values.
+    MLlib takes them from as many rows."""
+    most = min(max_bins, sample.n) - 1
+    return [_split_points(x, sample.weight, most) for x in sample.x.T]
+
+
+def _split_points(x: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
+    values, place = np.unique(x, return_inverse=True)
+    sums = np.bincount(place, weights=weight)
+    middle = (values[:-1] + values[1:]) / 2.0
+    if len(middle) > most:
+        stride, cum, taken = sums.sum() / (most + 1), np.cumsum(sums), []
+        for i in range(1, len(values)):
+            target = stride * (len(taken) + 1)
+            if abs(cum[i - 1] - target) < abs(cum[i] - target):
+                taken.append(i - 1)
+        middle = middle[taken]
+    return middle[~np.isnan(middle)]
+
+
+def bin_cells(rows: DataFrame, points: dict[int, list[np.ndarray]], sets: list[list[int]]) -> DataFrame:
+    """``fold, candidate, bins, label, weight, n``: all rows of ``long_folds`` counted by
+    the bins of each set of columns (NaN: the last bin), with their weights summed."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for f, y, w, x in _by_fold(batch):
+                if f in points:
+                    bins = np.column_stack([np.searchsorted(p, x[:, i]) for i, p in enumerate(points[f])])
+                    for ci, use in enumerate(sets):
+                        yield _cells(f, ci, bins[:, use], y, w)
+
+    cells = rows.mapInArrow(run, "fold int, candidate int, bins array<double>, label double, weight double, n long")
+    return cells.groupBy("fold", "candidate", "bins", "label").agg(F.sum("weight").alias("weight"), F.sum("n").alias("n"))
+
+
+def _cells(fold: int, candidate: int, bins: np.ndarray, y: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+    keys = np.column_stack([bins, y])
+    order = np.lexsort(keys.T)
+    starts = np.flatnonzero(np.r_[True, (np.diff(keys[order], axis=0) != 0).any(axis=1)])
+    found, k = keys[order][starts], bins.shape[1]
+    offsets = pa.array(np.arange(len(found) + 1) * k, pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(found), fold), pa.int32()), pa.array(np.full(len(found), candidate), pa.int32()),
+         pa.ListArray.from_arrays(offsets, pa.array(found[:, :k].astype(float).ravel())), pa.array(found[:, k]),
+         pa.array(np.add.reduceat(w[order], starts)), pa.array(np.diff(np.r_[starts, len(y)]), pa.int64())],
+        names=["fold", "candidate", "bins", "label", "weight", "n"])
+
+
 # ------------------------------------------------------------------------ trials
 
 def run_trials(spark: SparkSession, trials: dict, max_parallel: int = 4) -> dict:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.primitives import column_quantiles, prefix_sum
 from basketry.operators.binning import qcut
+from basketry.session import cut_lineage
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str, group_by=()) -> DataFrame:
@@ -80,13 +81,17 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     return u.select(F.try_divide(F.col("u"), F.col("P") * F.col("N")).alias("roc_auc"))
 
 
-def ranking_metrics(df: DataFrame, label: str, score: str, group_by=()) -> DataFrame:
+def ranking_metrics(df: DataFrame, label: str, score: str, group_by=(), n: str | None = None, once: bool = False) -> DataFrame:
     """Q04 + Q05 of every group at once (trials and folds of a search): rows,
-    positives, AP and ROC-AUC from one running sum over each group's distinct scores."""
+    positives, AP and ROC-AUC from one running sum over each group's distinct scores.
+    A row stands for ``n`` rows; ``once`` checkpoints the counts per score, which are
+    read for edges, totals and sums, so that scores are made once."""
     keys = [group_by] if isinstance(group_by, str) else list(group_by)
+    times = F.col(n) if n else F.lit(1)
     d = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
     g = d.groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+        F.sum(F.col(label).cast("long") * times).alias("pos"), F.sum((1 - F.col(label)).cast("long") * times).alias("neg"))
+    g = cut_lineage(g) if once else g
     ps = prefix_sum(g, "score", ["pos", "neg"], descending=True, inclusive=True, partition_by=keys, few_groups=True)
     prec = F.try_divide(F.col("cum_pos") * 1.0, F.col("cum_pos") + F.col("cum_neg"))
     n_pos, n_neg = F.sum("pos").cast("double"), F.sum("neg").cast("double")

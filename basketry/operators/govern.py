@@ -241,11 +241,11 @@ def dual_model_wrapper(folds, base: list[str], candidates: list[str], label: str
     """Per model (logistic, boosted trees), candidate and fold the PR-AUC and
     ROC-AUC of the baseline features and of the baseline with the candidate.
     ``folds`` are ``(fold, train, validation)`` with all features and the weight.
-    All logistic fits are made together, the boosted ones ``max_parallel`` at a time.
-    ``merge_equal`` (for features of few values each): both models minimise weighted
-    sums over rows, so train rows that agree in the features and label of a fit enter
-    it as one row with their weights summed."""
-    from basketry.operators.batchfit import batch_logistic, batch_scores, equal_rows, long_folds, run_trials
+    All logistic fits are made together, the boosted ones ``max_parallel`` at a time on
+    the cells of all rows: a tree only sees the bins of its columns.
+    ``merge_equal`` (for features of few values each): the logistic steps read rows
+    that agree in all features and label as one row with their weights summed."""
+    from basketry.operators.batchfit import batch_logistic, batch_scores, bin_cells, fold_rows, long_folds, run_trials, split_points
     from basketry.operators.evaluate import ranking_metrics
     from basketry.operators.models import assemble, gbt_classifier, positive_probability
     columns = list(dict.fromkeys([*base, *candidates]))
@@ -253,23 +253,32 @@ def dual_model_wrapper(folds, base: list[str], candidates: list[str], label: str
     prepared = [(fold, train, valid, columns) for fold, train, valid, *_ in folds]
     rows, by_fold = long_folds(prepared, label, weight)
     valid, _ = long_folds(prepared, label, None, role="validation")
-    fits = batch_logistic(rows, by_fold, [{"features": s} for s in sets], merge_equal=merge_equal)
-    scored = ranking_metrics(batch_scores(valid, fits), "label", "score", ["candidate", "fold"])
-    found = {("logistic", r["candidate"], r["fold"]): (r["pr_auc"], r["roc_auc"]) for r in scored.collect()}
-
-    def boosted(features, train, valid):
+    rows, valid = cut_lineage(rows), cut_lineage(valid)  # read by every step
+    few = fold_rows(rows)
+    fits = batch_logistic(rows, by_fold, [{"features": s} for s in sets], merge_equal=merge_equal, first_rows=few)
+    metrics = ranking_metrics(batch_scores(valid, fits), "label", "score", ["candidate", "fold"], once=True)
+    found = {("logistic", r["candidate"], r["fold"]): (r["pr_auc"], r["roc_auc"]) for r in metrics.collect()}
+
+    points = {fold: split_points(sample) for fold, sample in few.items()}
+    places = [[columns.index(c) for c in s] for s in sets]
+    train_cells, valid_cells = (cut_lineage(bin_cells(d, points, places)) for d in (rows, valid))
+
+    def of(cells, i, fold):
+        part = cells.filter((F.col("candidate") == i) & (F.col("fold") == fold))
+        return part.select("candidate", "fold", "label", "weight", "n", *[F.col("bins")[k].alias(f"_bin_{k}") for k in range(len(sets[i]))])
+
+    def boosted(i, fold):
+        bins = [f"_bin_{k}" for k in range(len(sets[i]))]
         def run():
-            rows, w = train, weight
-            if merge_equal:
-                w = weight or "_weight"
-                rows = equal_rows(train if weight else train.withColumn(w, F.lit(1.0)), [*features, label], w)
-            model = gbt_classifier(rows, features, label, w, maxIter=10, maxDepth=3)
-            r = ranking_metrics(positive_probability(model.transform(assemble(valid, features))), label, "probability_1").first()
-            return r["pr_auc"], r["roc_auc"]
+            model = gbt_classifier(of(train_cells, i, fold), bins, "label", "weight", maxIter=10, maxDepth=3)
+            scored = positive_probability(model.transform(assemble(of(valid_cells, i, fold), bins)))
+            return scored.select("candidate", "fold", "label", "n", "probability_1")
         return run
 
     spark = folds[0][1].sparkSession
-    found |= run_trials(spark, {("gbt", i, int(fold)): boosted(s, train, valid) for i, s in enumerate(sets) for fold, train, valid, _ in prepared}, max_parallel)
+    scored = run_trials(spark, {(i, fold): boosted(i, fold) for i in range(len(sets)) for fold in by_fold}, max_parallel)
+    metrics = ranking_metrics(reduce(DataFrame.unionByName, scored.values()), "label", "probability_1", ["candidate", "fold"], n="n", once=True)
+    found |= {("gbt", r["candidate"], r["fold"]): (r["pr_auc"], r["roc_auc"]) for r in metrics.collect()}
     out = []
     for model in ("logistic", "gbt"):
         for i, c in enumerate(candidates, start=1):

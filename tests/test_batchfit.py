@@ -361,3 +361,29 @@ def test_wrapper_steps_read_distinct_rows(spark, monkeypatch):
                                  (F.col("id") % 5 < 2).cast("int").alias("label"), F.lit(1.0).alias("weight"))
     govern.dual_model_wrapper([(1, df.filter("i < 300"), df.filter("i >= 300"))], ["base"], ["c"], "label", "weight", merge_equal=True).count()
     assert seen and max(seen) <= 8
+
+
+def test_boosted_fits_of_the_wrapper_read_cells(spark, monkeypatch):
+    """Features without equal values: trees are fitted on at most bins x labels rows and
+    score as trees fitted on all rows; Newton steps begin near their end."""
+    rng = np.random.default_rng(21)
+    rows = [(i, float(b), float(c), int(rng.random() < 1 / (1 + np.exp(-c)))) for i, (b, c) in enumerate(zip(rng.integers(0, 2, 4000), rng.normal(size=4000)))]
+    df = spark.createDataFrame(rows, "i int, base double, c double, label int").withColumn("weight", F.when(F.col("label") == 1, 1.3).otherwise(0.8))
+    train, valid = df.filter("i < 3000"), df.filter("i >= 3000")
+    fitted, steps, fit, step = [], [], models.gbt_classifier, batchfit._newton_sums
+    monkeypatch.setattr(models, "gbt_classifier", lambda d, *a, **k: (fitted.append(d.count()), fit(d, *a, **k))[1])
+    monkeypatch.setattr(batchfit, "_newton_sums", lambda *a: (steps.append(1), step(*a))[1])
+    got = {(r.model, r.feature): r for r in govern.dual_model_wrapper([(1, train, valid)], ["base"], ["c"], "label", "weight").collect()}
+    assert len(fitted) == 2 and max(fitted) <= 2 * 32 * 2 and len(steps) <= 2
+    for features, name in ((["base"], "baseline_pr_auc"), (["base", "c"], "pr_auc")):
+        scored = models.positive_probability(fit(train, features, "label", "weight", maxIter=10, maxDepth=3).transform(models.assemble(valid, features)))
+        assert got["gbt", "c"][name] == pytest.approx(evaluate.average_precision(scored, "label", "probability_1").first()[0], abs=1e-6)
+
+
+def test_split_points_are_those_of_mllib():
+    x = np.array([0.0, 0.0, 1.0, 3.0, np.nan])
+    sample = batchfit.FoldRows(np.zeros(5), np.ones(5), x[:, None], 1.0, 5)
+    assert batchfit.split_points(sample)[0].tolist() == [0.5, 2.0]  # a split beside NaN parts nothing
+    many = batchfit.FoldRows(np.zeros(1000), np.ones(1000), np.arange(1000.0)[:, None], 1.0, 1000)
+    cuts = batchfit.split_points(many, max_bins=4)[0]
+    assert cuts.tolist() == [249.5, 499.5, 749.5]
