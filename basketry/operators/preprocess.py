@@ -27,10 +27,10 @@ def _q(c: str) -> Column:
 
 
 def fit_median(train: DataFrame, cols: list[str]) -> dict:
-    """Exact train medians (pandas ``median``) of all columns in one
-    distributed pass — one value per column."""
-    from basketry.functions.primitives import column_quantiles
-    return {c: q[0] for c, q in column_quantiles(train, cols, [0.5]).items()}
+    """Exact train medians (pandas ``median``) of all columns in two
+    scans — one value per column."""
+    from basketry.functions.primitives import column_medians
+    return column_medians(train, cols)
 
 
 def _state_row(state) -> dict:
@@ -45,9 +45,18 @@ def apply_fill(df: DataFrame, state, cols: list[str]) -> DataFrame:
 
 def fit_mode(train: DataFrame, cols: list[str]) -> DataFrame:
     """Most frequent non-null value per column, ties → smallest value.
-    Per column a (value, count) aggregate — map-side combined."""
+    Text columns share one (column, value, count) aggregate — map-side combined;
+    others have one each, which keeps their type."""
+    text = [c for c in cols if isinstance(train.schema[c].dataType, T.StringType)]
     out = None
+    if text:
+        long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), _q(c).alias("v")) for c in text])).alias("r")).select("r.*")
+        g = long.filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+        m = g.groupBy("column_name").agg(F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v").alias("vv"))).alias("v"))
+        out = m.agg(*[F.max(F.when(F.col("column_name") == c, F.col("v"))).alias(c) for c in text])
     for c in cols:
+        if c in text:
+            continue
         g = train.filter(_q(c).isNotNull()).groupBy(_q(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
         # max_by on (count, -rank of value): highest count, then smallest value
         m = g.agg(F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v").alias("vv"))).alias(c))

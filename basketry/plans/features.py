@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from basketry.functions.calendar import calendar_columns
 from basketry.functions.expr import clip, flag, ieq, log1p_clip, normalised_key, slugify
+from basketry.functions.primitives import null_safe_join
 from basketry.operators.binning import tenure_group
 from basketry.operators.govern import banned_column_guard
 from basketry.operators.joins import left_join_chain, lookup_enrich
@@ -75,8 +76,8 @@ def serving_features(master: DataFrame, spec: OrderFeatureSpec, history: DataFra
     """Order × item master → one row per order: label, numeric,
     categorical, binary and quantile inputs. Banned (target-history)
     columns are refused; a missing required column raises. Item rows are
-    reduced to the order in ONE aggregate (sums, distinct products, multi-hot
-    max, order attributes as min — deterministic first value per order)."""
+    reduced to the order in one aggregate (sums, distinct products, multi-hot
+    max), order attributes in another (min — deterministic value per order)."""
     banned_column_guard(master)
     need = [spec.order, spec.customer, spec.date, spec.product, spec.qty, spec.unit_price, spec.discount, spec.payment,
             *spec.categorical, *spec.multihot]
@@ -89,11 +90,14 @@ def serving_features(master: DataFrame, spec: OrderFeatureSpec, history: DataFra
           for c, vals in spec.multihot.items() for v in vals]
     # Order attributes are taken as min() per order: deterministic even if a
     # master table carries conflicting values for one order (grouping by
-    # them would split the order instead).
-    o = master.groupBy(spec.order).agg(
-        *[F.min(a).alias(a) for a in attrs],
+    # them would split the order instead). They are a block of their own: text
+    # in an aggregate makes Spark sort the item rows instead of hashing them, and
+    # min() alone needs no item rows where the master table left-joins them.
+    own = master.groupBy(spec.order).agg(*[F.min(a).alias(a) for a in attrs])
+    block = master.groupBy(spec.order).agg(
         F.sum(spec.qty).alias("total_quantity"), F.count_distinct(spec.product).alias("unique_product_count"),
         F.sum(spec.discount).alias("_disc"), F.sum(F.col(spec.qty) * F.col(spec.unit_price)).alias("_gross"), *mh)
+    o = null_safe_join(own, block, spec.order)
     hist = history if history is not None else o.select(spec.customer, spec.date)
     first = hist.groupBy(spec.customer).agg(F.min(spec.date).alias("_first"))
     o = o.join(first, spec.customer, "left")

@@ -135,7 +135,7 @@ def labelled_frame(spark, sf):
     features = spec(spark, sf)
     feats = ft.serving_features(master(spark, sf), features).filter(F.col("label").isNotNull())
     feats = feats.join(retail.orders(spark, sf).select("order_id", "order_date"), "order_id")
-    frame = cut_lineage(splits.positional_cutoff_split(feats, "order_date"))
+    frame = splits.positional_cutoff_split(cut_lineage(feats), "order_date")  # the cut dates read the checkpoint, too
     return frame, lambda: Preprocessor(numeric=NUMERIC, binary=features.binary(), categorical=features.categorical_all())
 
 

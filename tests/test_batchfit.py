@@ -1,5 +1,6 @@
 """Batch fits against numpy and MLlib, concurrent trials, the wrappers' rule."""
 
+import datetime
 import threading
 import time
 
@@ -387,3 +388,37 @@ def test_split_points_are_those_of_mllib():
     many = batchfit.FoldRows(np.zeros(1000), np.ones(1000), np.arange(1000.0)[:, None], 1.0, 1000)
     cuts = batchfit.split_points(many, max_bins=4)[0]
     assert cuts.tolist() == [249.5, 499.5, 749.5]
+
+
+def test_column_medians_are_exact_in_two_scans(spark):
+    from basketry.functions.primitives import column_medians
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=5000), rng.integers(0, 3, 5001).astype(float)
+    rows = [(float(a[i]) if i < 5000 else None, float(b[i]), None) for i in range(5001)]
+    df = spark.createDataFrame(rows, "a double, b double, none double")
+    assert column_medians(df, ["a", "b", "none"]) == {"a": float(np.median(a)), "b": float(np.median(b)), "none": None}
+    assert column_medians(df.limit(0), ["a"]) == {"a": None} and column_medians(df, []) == {}
+    two = spark.createDataFrame([(1.0,), (4.0,)], "a double")
+    assert column_medians(two, ["a"]) == {"a": 2.5}
+
+
+def test_serving_features_hash_item_rows(spark):
+    """Item rows are never sorted for an order's texts; conflicting texts take the least."""
+    from basketry.plans import features as ft
+    cols = "order_id int, customer_id int, order_date date, order_status string, payment_value double, priority string, segment string"
+    day = datetime.date(2024, 1, 2)
+    orders = spark.createDataFrame([(1, 7, day, "returned", 5.0, "b", "x"), (1, 7, day, "returned", 5.0, "a", "y"), (2, 7, day, "delivered", 6.0, None, None)], cols)
+    items = spark.createDataFrame([(1, 10, 2.0, 3.0, 1.0, "A"), (1, 11, 1.0, 4.0, 0.0, "B")],
+                                  "order_id int, product_id int, quantity double, unit_price double, discount_amount double, category string")
+    spec = ft.OrderFeatureSpec(cash_col="priority", cash_value="a", categorical=["priority", "segment"], multihot={"category": ["A", "B"]})
+    out = ft.serving_features(orders.join(items, "order_id", "left"), spec)
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not [line for line in plan if "SortAggregate" in line and "sum(" in line]
+    got = {r.order_id: r for r in out.collect()}
+    assert (got[1].priority, got[1].segment, got[1].unique_product_count, got[1].total_quantity, got[1].category_a) == ("a", "x", 2, 6.0, 1)
+    assert (got[2].priority, got[2].unique_product_count, got[2].total_quantity, got[2].label) == ("unknown", 0, None, 0)
+
+
+def test_unpenalised_candidates_are_fitted_together():
+    batched = [models._batchable("logistic", [{"regParam": r, "elasticNetParam": 0.5, "maxIter": 30}]) for r in (0.0, 0.1)]
+    assert batched == [True, False]
