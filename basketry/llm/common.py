@@ -8,7 +8,6 @@ import ctypes
 import os
 import re
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -16,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import ensure_checkpoint_dir
+from basketry.session import Workspace, released_shuffles, setting  # noqa: F401 (the operators take them from here)
 
 # Fixed value: a word is a run of characters other than these six.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -24,7 +23,6 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
-CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 CO_PARTITION_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
@@ -119,61 +117,10 @@ def _arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-class Workspace:
-    """Intermediate tables of one operator run, written as Parquet below
-    ``spark.checkpoint.dir`` so that a lost executor only costs its running
-    tasks. Shuffle files of a finished write are released at once; a table is
-    deleted by ``drop`` as soon as no later step reads it, and whatever the
-    returned (lazy) result still reads goes when the session's file system
-    closes."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        root = self._path(self.base)
-        self._fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(root)
-        self._fs.deleteOnExit(root)
-
-    def save(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        path = f"{self.base}/{name}"
-        with released_shuffles(self.spark):
-            w = df.write.mode("overwrite").option("compression", "zstd")
-            (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-        return self.load(name, df)
-
-    def load(self, name: str, like: DataFrame) -> DataFrame:
-        return self.spark.read.schema(like.schema).parquet(f"{self.base}/{name}")
-
-    def drop(self, *names: str) -> None:
-        for name in names:
-            self._fs.delete(self._path(f"{self.base}/{name}"), True)
-
-
-@contextlib.contextmanager
-def _setting(spark: SparkSession, name: str, value: str):
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
-def released_shuffles(spark: SparkSession):
-    """Spark deletes the shuffle files of each execution inside when it ends."""
-    return _setting(spark, CLEANUP_CONF, "true")
-
-
 def co_partitioned(spark: SparkSession):
     """A side that is hashed by some of the join keys already is not shuffled
     again by all of them; the other side comes to it."""
-    return _setting(spark, CO_PARTITION_CONF, "false")
+    return setting(spark, CO_PARTITION_CONF, "false")
 
 
 def partitions(spark: SparkSession) -> int:

@@ -22,6 +22,7 @@ from basketry.operators.govern import banned_column_guard
 from basketry.operators.joins import left_join_chain, lookup_enrich
 from basketry.operators.rules import join_rowcount_check
 from basketry.operators.timeseries import feature_name_compiler, lag_features, rolling_mean_past, densify
+from basketry.session import Workspace, cut_lineage
 
 
 def daily_sales(items: DataFrame, products: DataFrame, date_col: str = "ship_date",
@@ -72,12 +73,15 @@ class OrderFeatureSpec:
         return self.numeric() + self.categorical_all() + self.binary() + [self.payment]
 
 
-def serving_features(master: DataFrame, spec: OrderFeatureSpec, history: DataFrame | None = None) -> DataFrame:
+def serving_features(master: DataFrame, spec: OrderFeatureSpec, history: DataFrame | None = None,
+                     tables: Workspace | None = None) -> DataFrame:
     """Order × item master → one row per order: label, numeric,
     categorical, binary and quantile inputs. Banned (target-history)
     columns are refused; a missing required column raises. Item rows are
     reduced to the order in one aggregate (sums, distinct products, multi-hot
-    max), order attributes in another (min — deterministic value per order)."""
+    max), order attributes in another (min — deterministic value per order).
+    With ``tables`` the former is a table of that workspace ("order_items"), so that
+    the shuffled item rows are gone before orders are joined and shuffled."""
     banned_column_guard(master)
     need = [spec.order, spec.customer, spec.date, spec.product, spec.qty, spec.unit_price, spec.discount, spec.payment,
             *spec.categorical, *spec.multihot]
@@ -97,6 +101,7 @@ def serving_features(master: DataFrame, spec: OrderFeatureSpec, history: DataFra
     block = master.groupBy(spec.order).agg(
         F.sum(spec.qty).alias("total_quantity"), F.count_distinct(spec.product).alias("unique_product_count"),
         F.sum(spec.discount).alias("_disc"), F.sum(F.col(spec.qty) * F.col(spec.unit_price)).alias("_gross"), *mh)
+    block = tables.save(block, "order_items") if tables else block
     o = null_safe_join(own, block, spec.order)
     hist = history if history is not None else o.select(spec.customer, spec.date)
     first = hist.groupBy(spec.customer).agg(F.min(spec.date).alias("_first"))
@@ -157,7 +162,8 @@ ORDER_SCHEMA = T.StructType([
     T.StructField("items", T.ArrayType(ITEM_SCHEMA))])
 
 
-def nested_order_features(orders: DataFrame, products: DataFrame, multihot: dict, cash_value: str = "cod") -> DataFrame:
+def nested_order_features(orders: DataFrame, products: DataFrame, multihot: dict, cash_value: str = "cod",
+                          tables: Workspace | None = None) -> DataFrame:
     """M03 (+ I14, B17, E09): parsed nested orders → features with
     higher-order functions; nested alternatives flattened by precedence
     (top-level field, then ``customer`` / ``payment`` struct); text trimmed /
@@ -165,9 +171,10 @@ def nested_order_features(orders: DataFrame, products: DataFrame, multihot: dict
     falls back to gross − discount; ratio clamped to [0, 1]. Item product
     keys are normalised and categories looked up (explode + join + one
     aggregate back to the order). Orders and their item keys are checkpointed before
-    that, so that what makes them (joins, parsing) runs once, not once per branch."""
+    that, so that what makes them (joins, parsing) runs once, not once per branch.
+    With ``tables`` they are a table of that workspace, which the caller closes
+    once the features are read; a checkpoint stays for the whole session."""
     from basketry.operators.clean import coalesce_default_clean, coalesce_nonneg
-    from basketry.session import cut_lineage
     o = orders.select(
         "order_id", F.to_date(F.col("order_date")).alias("order_date"),
         F.coalesce("customer_id", "customer.customer_id").alias("customer_id"),
@@ -192,7 +199,7 @@ def nested_order_features(orders: DataFrame, products: DataFrame, multihot: dict
                      "segment", tenure_group(tenure, "serve").alias("tenure_group"),
                      flag(ieq("payment_method", cash_value)).alias("is_cash"), flag(ratio > 0).alias("is_discounted"),
                      pay.alias("payment_value"), F.transform("items", lambda x: x["product_id"]).alias("_keys"))
-    cut = cut_lineage(feats)
+    cut = tables.save(feats, "orders") if tables else cut_lineage(feats)
     feats = cut.drop("_keys")
     # categories of the items: explode + lookup + back to the order
     ex = cut.select("order_id", F.explode("_keys").alias("product_key"))

@@ -20,13 +20,14 @@ STATUS = "CASE order_status WHEN 'F' THEN 'delivered' WHEN 'P' THEN 'returned' E
 
 
 def master(spark, sf):
-    """Order × item master (E03) with a text order status."""
+    """Order × item master (E03) with a text order status. Items meet their product
+    before their order: wide rows are shuffled once and lie by order afterwards."""
     o = retail.orders(spark, sf).withColumn("order_status", F.when(F.col("order_status") == "F", "delivered")
                                             .when(F.col("order_status") == "P", "returned").otherwise("processing"))
     c = retail.customers(spark, sf).select("customer_id", "segment")
     it = retail.items(spark, sf).select("order_id", "product_id", "quantity", "unit_price", "discount_amount")
     p = retail.products(spark, sf).select("product_id", "category")
-    return o.join(c, "customer_id", "left").join(it, "order_id", "left").join(p, "product_id", "left")
+    return o.join(c, "customer_id", "left").join(it.join(p, "product_id", "left"), "order_id", "left")
 
 
 M02_SQL = with_roles("orders", "customers", "items", "products") + f""",

@@ -115,12 +115,13 @@ def parse_requests(raw: DataFrame, payload: str = "payload", request_id: str = "
 def requests_from_tables(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
     """Stand-in request payloads in the nested schema built from the order
     tables: one JSON per order — finished orders as a bare object, open
-    orders in an {"orders": [...]} wrapper, partial ones as a list."""
+    orders in an {"orders": [...]} wrapper, partial ones as a list. Item lists
+    are joined last: no join shuffles them by another key."""
     it = items.groupBy("order_id").agg(F.collect_list(F.struct(
         F.col("product_id").cast("double").cast("string").alias("product_id"), F.col("quantity"), F.col("unit_price"),
         F.col("discount_amount"))).alias("items"))
     first = orders.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
-    o = orders.join(it, "order_id", "left").join(first, "customer_id", "left").join(customers.select("customer_id", "segment"), "customer_id", "left")
+    o = orders.join(first, "customer_id", "left").join(customers.select("customer_id", "segment"), "customer_id", "left").join(it, "order_id", "left")
     obj = F.struct(F.col("order_id"), F.col("order_date").cast("string").alias("order_date"),
                    F.col("first_order_date").cast("string").alias("first_order_date"),
                    F.struct(F.col("customer_id"), F.col("segment")).alias("customer"),

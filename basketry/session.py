@@ -1,10 +1,12 @@
-"""Session construction and lineage cutting."""
+"""Session construction, lineage cutting and intermediate tables."""
 
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +70,63 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executors, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def released_shuffles(spark: SparkSession):
+    """Spark deletes the shuffle files of each execution inside when it ends."""
+    return setting(spark, CLEANUP_CONF, "true")
+
+
+class Workspace:
+    """Intermediate tables of one operator run, written as Parquet below
+    ``spark.checkpoint.dir`` so that a lost executor only costs its running
+    tasks. Shuffle files of a finished write are released at once; a table is
+    deleted by ``drop`` as soon as no later step reads it, and whatever the
+    returned (lazy) result still reads goes when the session's file system
+    closes."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        root = self._path(self.base)
+        self._fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._fs.mkdirs(root)
+        self._fs.deleteOnExit(root)
+
+    def save(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = f"{self.base}/{name}"
+        with released_shuffles(self.spark):
+            w = df.write.mode("overwrite").option("compression", "zstd")
+            (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        return self.load(name, df)
+
+    def load(self, name: str, like: DataFrame) -> DataFrame:
+        return self.spark.read.schema(like.schema).parquet(f"{self.base}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._fs.delete(self._path(f"{self.base}/{name}"), True)
+
+    def close(self) -> None:
+        """Delete all tables, of which nothing is read any more."""
+        root = self._path(self.base)
+        self._fs.delete(root, True)
+        self._fs.cancelDeleteOnExit(root)
